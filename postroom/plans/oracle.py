@@ -54,9 +54,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 
 ATTACHMENT_MATCH = """
 SELECT 'po_spending' AS job, p_partkey AS message_id, p_name AS filename FROM part
-  WHERE regexp_matches(p_name, '.*green.*') AND split_part(p_type, ' ', 1) = 'STANDARD'
-UNION ALL SELECT 'views', p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^(red|blue)[a-z].* ')
-UNION ALL SELECT 'bank', p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'metallic.*steel|chocolate*')
+  WHERE regexp_matches(p_name, '.*bolt') AND split_part(p_type, ' ', 1) = 'SMALL'
+UNION ALL SELECT 'views', p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^(red|blue) .*')
+UNION ALL SELECT 'bank', p_partkey, p_name FROM part WHERE regexp_matches(p_name, 'hot.*(gear|gizmo)|ring$')
 """
 
 LAST_BODY = """
@@ -129,6 +129,167 @@ SELECT job, message_id, pos, href,
 FROM j
 """
 
+DISCREPANCIES = """
+WITH b AS (SELECT o_orderkey, o_orderstatus, CAST(floor(o_orderkey / 64) AS BIGINT) AS bucket,
+                  min(CAST(o_orderdate AS DATE)) OVER (PARTITION BY CAST(floor(o_orderkey / 64) AS BIGINT)) AS day
+           FROM orders)
+SELECT 'disc-' || CAST(bucket AS VARCHAR) AS message_id,
+       strftime(day, '%Y-%m-%d') || ' 01:02:03' AS checking_timestamp,
+       CASE WHEN bucket % 7 = 0 THEN '2024-01-02' ELSE strftime(day, '%Y-%m-%d') || ' 00:00:00' END AS unmatched_timestamp,
+       'status ' || o_orderstatus || ' NOT FOUND' AS discrepancy_description,
+       CAST(o_orderkey AS VARCHAR) AS transaction_id
+FROM b WHERE bucket % 50 <> 0
+"""
+
+REPORT_LINES = """
+SELECT report_id, line_no, line FROM (
+  SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS report_id, CAST(i - 1 AS INTEGER) AS line_no, line FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)
+  UNION ALL
+  SELECT 'li-' || CAST(l_orderkey AS VARCHAR), l_linenumber,
+         CASE WHEN l_linenumber % 2 = 0
+              THEN printf('%06d', l_orderkey) || chr(9) || CAST(l_linenumber AS VARCHAR) || chr(9) || l_returnflag
+              ELSE printf('%05d', l_linenumber) || ' short ' || CAST(l_orderkey AS VARCHAR) END
+  FROM lineitem)
+WHERE regexp_matches(line, '^[0-9]{6}')
+"""
+
+SECURE_FILENAME = f"SELECT page_id, url, {_secure('url')} AS file_name FROM pages"
+
+SAFE_NAME = f"""
+SELECT p_partkey, path,
+       'exports/' || {_secure("CASE WHEN regexp_matches(stem, '[0-9]{4}') THEN stem ELSE stem || '_20240101' END || '.csv'")} AS file_name
+FROM (SELECT p_partkey, p_name || CASE WHEN p_partkey % 3 = 0 THEN ' 2023' ELSE '' END AS stem,
+             'exports/' || p_name || CASE WHEN p_partkey % 3 = 0 THEN ' 2023' ELSE '' END || '.csv' AS path FROM part)
+"""
+
+URL_FILE_NAME = f"""
+WITH log AS (
+  SELECT page_id, url,
+         CASE WHEN page_id % 3 = 1 THEN regexp_replace(url, '[?#].*$', '') || '/file_' || CAST(page_id AS VARCHAR) || '.csv' ELSE url END AS final_url,
+         CASE WHEN page_id % 3 = 2 THEN 'attachment; filename=export ' || CAST(page_id AS VARCHAR) || '.xlsx' END AS cd,
+         CASE WHEN page_id % 4 = 0 THEN 'application/zip' ELSE 'text/csv' END AS ctype,
+         'msg' || CAST(page_id AS VARCHAR) AS default_name
+  FROM pages),
+n0 AS (
+  SELECT page_id, ctype, CASE
+    WHEN cd IS NOT NULL AND regexp_extract(cd, 'filename=(.+)', 1) <> '' THEN regexp_extract(cd, 'filename=(.+)', 1)
+    WHEN final_url <> url THEN regexp_extract(regexp_replace(regexp_extract(final_url,
+         '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?(?://[^/?#]*)?([^?#]*)', 1), ';[^/]*$', ''), '([^/]*)$', 1)
+    ELSE default_name END AS name
+  FROM log),
+n1 AS (
+  SELECT page_id, CASE WHEN ctype = 'application/zip'
+    THEN left(name, length(name) - length(regexp_extract(regexp_extract(name, '([^/]*)$', 1), '^\\.*[^.].*?(\\.[^.]*)$', 1))) || '.zip'
+    ELSE name END AS name
+  FROM n0)
+SELECT page_id, {_secure('name')} AS file_name FROM n1
+"""
+
+DROP_VERSION = """
+SELECT o_orderkey, file_name, renamed, substring(renamed, 12, 8) AS file_date FROM (
+  SELECT o_orderkey, file_name, regexp_replace(file_name, '^(.*)_[0-9]\\.', '\\1.') AS renamed FROM (
+    SELECT o_orderkey, 'MKM_REPORT_' || strftime(o_orderdate, '%Y%m%d') ||
+           CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '_' || CAST(o_orderkey % 10 AS VARCHAR)
+                ELSE '_' || CAST(o_orderkey % 10 AS VARCHAR) || '_v' END || '.txt' AS file_name
+    FROM orders))
+"""
+
+HEADER_NAMES = r"""
+WITH h AS (
+  SELECT p_partkey, CAST(i - 1 AS INTEGER) AS header_no, x || ' ' || p_type || ' ' || CAST(p_size AS VARCHAR) AS header FROM (
+    SELECT p_partkey, p_type, p_size,
+           unnest(['Invoice Number', 'PO Number', 'Account Segment 1 Name', 'Commodity Level 3', 'GL Account/Lookup', 'userFullName']) AS x,
+           unnest(generate_series(1, 6)) AS i
+    FROM part))
+SELECT p_partkey, header_no, header,
+  replace(replace(lower(regexp_replace(regexp_replace(header, '(.)([A-Z][a-z]+)', '\1_\2', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g')), ' ', ''), '/_', '/') AS header_name,
+  replace(replace(lower(regexp_replace(regexp_replace(trim(replace(header, ' ', '')), '(.)([A-Z][a-z]+)', '\1_\2', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g')), ' _', '_'), '/_', '/') AS header_name_alt,
+  regexp_replace(trim(lower(replace(header, ' ', ''))), '[^\pL\pN_]', '_', 'g') AS column_key
+FROM h
+"""
+
+FOLD_ACCENTS = "SELECT doc_id, strip_accents(text) AS folded FROM documents WHERE lang IN ('fr', 'de', 'es')"
+
+STRIP_RESERVED = r"""
+SELECT doc_id, regexp_replace(replace(replace(text, '’', ''''), '?', ''), '[^\pL\pN_\-_. \^&''@\{\}\[\],$=!-#\(\)%+~]', '_', 'g') AS stripped
+FROM documents
+"""
+
+NORMALIZE_CELLS = """
+WITH li AS (
+  SELECT l_linenumber, l_returnflag, l_linestatus, l_quantity, l_extendedprice,
+         date_diff('day', DATE '1899-12-30', CAST(l_shipdate AS DATE)) AS days,
+         'lineitem_' || CAST(CAST(floor(l_orderkey / 4096) AS BIGINT) AS VARCHAR) || '.xlsx' AS file,
+         l_orderkey * 8 + l_linenumber AS row
+  FROM lineitem),
+t AS (SELECT *, TIMESTAMP '1899-12-30 00:00:00' + to_days(CAST(days AS INTEGER)) + to_hours(CAST(l_linenumber * 3 AS BIGINT)) AS created FROM li)
+SELECT file, row, 0 AS col, 'order_line_description' AS header,
+       replace(replace(l_returnflag || chr(10) || l_linestatus || chr(9) || 'x', chr(10), ' '), chr(9), ' ') AS value FROM t
+UNION ALL SELECT file, row, 1, 'order_line_quantity', CAST(CAST(round_even(l_quantity / 2, 0) AS DECIMAL(38,0)) AS VARCHAR) FROM t
+UNION ALL SELECT file, row, 2, 'extended_price', CAST(CAST(round_even(l_extendedprice, 0) AS DECIMAL(38,0)) AS VARCHAR) FROM t
+UNION ALL SELECT file, row, 3, 'ship_date', strftime(DATE '1899-12-30' + CAST(days AS INTEGER), '%Y-%m-%d') FROM t
+UNION ALL SELECT file, row, 4, 'created_at',
+       CASE WHEN strftime(created, '%H:%M:%S') = '00:00:00' THEN strftime(created, '%Y-%m-%d') ELSE strftime(created, '%Y-%m-%dT%H:%M:%S') END FROM t
+UNION ALL SELECT file, row, 5, 'invoice_month', strftime(DATE '1899-12-30' + CAST(days AS INTEGER), '%Y-%m') FROM t
+UNION ALL SELECT file, row, 6, 'invoice_year', strftime(DATE '1899-12-30' + CAST(days AS INTEGER), '%Y') FROM t
+"""
+
+CELLS_TO_ROWS = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate, o_orderpriority
+FROM orders
+"""
+
+RUN_WINDOW = """
+SELECT event_id, strftime(d, '%Y%m%d') AS partition, d - INTERVAL 7 HOUR AS window_start, d + INTERVAL 17 HOUR AS window_end,
+       ts >= d - INTERVAL 7 HOUR AND ts < d + INTERVAL 17 HOUR AS in_window
+FROM (SELECT event_id, ts, CAST(date_trunc('day', ts) AS TIMESTAMP) AS d FROM events)
+"""
+
+TRUTHY = """
+SELECT event_id, word, coalesce(lower(word) IN ('yes', 'true', 't', '1'), false) AS truthy,
+       coalesce(lower(word) IN ('true', '1', 'yes', 'y'), false) AS truthy_alt
+FROM (SELECT event_id, (['yes', 'True', 't', '1', 'no', 'Y', '0', 'false'])[(((CAST(json_extract_string(props, '$.k') AS BIGINT) % 8) + 8) % 8) + 1] AS word
+      FROM events)
+"""
+
+CAST_TO_SCHEMA = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
+       concat_ws(',', CASE WHEN o_orderkey % 97 = 0 THEN 'o_totalprice' END, CASE WHEN o_orderkey % 89 = 0 THEN 'o_orderdate' END) AS errors
+FROM orders
+"""
+
+CHECK_REQUIRED = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 83 = 0 THEN 'o_custkey' ELSE '' END AS missing
+FROM orders
+"""
+
+CHECK_RECORDS = """
+SELECT c_custkey, concat_ws(';',
+  CASE WHEN c_custkey IS NULL THEN 'c_custkey: required' END,
+  CASE WHEN c_custkey IS NOT NULL AND TRY_CAST(CAST(c_custkey AS VARCHAR) AS BIGINT) IS NULL THEN 'c_custkey: type' END,
+  CASE WHEN c_name IS NULL THEN 'c_name: required' END,
+  CASE WHEN c_name IS NOT NULL AND c_custkey IS NULL THEN 'c_name: dependencies' END,
+  CASE WHEN (CAST(c_nationkey IS NULL OR c_nationkey <= 10 AS INTEGER) + CAST(c_nationkey IS NULL OR c_nationkey >= 5 AS INTEGER)) <> 1
+       THEN 'c_nationkey: oneof' END,
+  CASE WHEN c_acctbal IS NULL THEN 'c_acctbal: nullable' END,
+  CASE WHEN c_acctbal < 0 THEN 'c_acctbal: min' END,
+  CASE WHEN c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY') THEN 'c_mktsegment: allowed' END,
+  CASE WHEN c_mktsegment IS NOT NULL AND NOT coalesce(c_nationkey BETWEEN 0 AND 19, false) THEN 'c_mktsegment: dependencies' END
+) AS violations
+FROM customer
+"""
+
+CHECK_COUNTS = f"""
+SELECT count(*) AS n_total, count(*) FILTER (WHERE violations = '') AS n_valid, count(*) FILTER (WHERE violations <> '') AS n_invalid
+FROM ({CHECK_RECORDS})
+"""
+
+
 ORACLE = {
     "route_messages": ROUTE_MESSAGES,
     "unprocessed": UNPROCESSED,
@@ -141,4 +302,21 @@ ORACLE = {
     "links_or_body": LINKS_OR_BODY,
     "elements": ELEMENTS,
     "route_links": ROUTE_LINKS,
+    "discrepancies": DISCREPANCIES,
+    "report_lines": REPORT_LINES,
+    "secure_filename": SECURE_FILENAME,
+    "safe_name": SAFE_NAME,
+    "url_file_name": URL_FILE_NAME,
+    "drop_version": DROP_VERSION,
+    "header_names": HEADER_NAMES,
+    "fold_accents": FOLD_ACCENTS,
+    "strip_reserved": STRIP_RESERVED,
+    "normalize_cells": NORMALIZE_CELLS,
+    "cells_to_rows": CELLS_TO_ROWS,
+    "run_window": RUN_WINDOW,
+    "truthy": TRUTHY,
+    "cast_to_schema": CAST_TO_SCHEMA,
+    "check_required": CHECK_REQUIRED,
+    "check_records": CHECK_RECORDS,
+    "check_counts": CHECK_COUNTS,
 }

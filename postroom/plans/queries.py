@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 from postroom.functions import names as N
 from postroom.operators import html_select as H
 from postroom.operators import routing as R
+from postroom.functions import text as X
+from postroom.functions import timewin as W
+from postroom.operators import cells as C
+from postroom.operators import checks as V
+from postroom.operators import schema as S
+from postroom.operators.discrepancies import parse_discrepancies
+from postroom.plans import standins as SI
+from postroom.sources import reports as RP
 from postroom.plans.standins import (
     JOBS,
     conversations_as_mime,
@@ -163,4 +171,217 @@ def route_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         "href",
         N.safe_name(F.concat(stem, F.lit(".html")), stamp=F.date_format("internal_ts", "yyyyMMdd")).alias("file_name"),
     )
+
+
+# -- reports -----------------------------------------------------------------
+
+def discrepancies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discrepancy mails built from orders, parsed back."""
+    _prep(spark)
+    mails = SI.orders_as_discrepancy_mail(table(spark, sf_dir, "orders"))
+    els = html_elements(mails, "message_id", "html")
+    records, _errors = parse_discrepancies(els, SI.RUN_DATE, id_col="message_id")
+    return records
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail lines of text reports (document lines, plus lines
+    made from lineitem, half of them detail lines)."""
+    _prep(spark)
+    docs = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("report_id"),
+        F.posexplode(RP.split_lines("text")).alias("line_no", "line"),
+    )
+    li = table(spark, sf_dir, "lineitem")
+    detail = F.concat_ws("\t", F.format_string("%06d", "l_orderkey"), F.col("l_linenumber").cast("string"), F.col("l_returnflag"))
+    short = F.concat(F.format_string("%05d", "l_linenumber"), F.lit(" short "), F.col("l_orderkey").cast("string"))
+    lines = li.select(
+        F.concat(F.lit("li-"), F.col("l_orderkey").cast("string")).alias("report_id"),
+        F.col("l_linenumber").alias("line_no"),
+        F.when(F.col("l_linenumber") % 2 == 0, detail).otherwise(short).alias("line"),
+    )
+    return RP.clean_report(docs.unionByName(lines))
+
+
+# -- names ---------------------------------------------------------------------
+
+def secure_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 over page URLs."""
+    _prep(spark)
+    return table(spark, sf_dir, "pages").select("page_id", "url", N.secure_filename("url").alias("file_name"))
+
+
+def safe_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2, E3 over part names as export paths."""
+    _prep(spark)
+    part = table(spark, sf_dir, "part")
+    path = F.concat(F.lit("exports/"), F.col("p_name"), F.when(F.col("p_partkey") % 3 == 0, F.lit(" 2023")).otherwise(F.lit("")), F.lit(".csv"))
+    return part.select("p_partkey", path.alias("path")).select("p_partkey", "path", N.safe_name("path", stamp="20240101").alias("file_name"))
+
+
+def fetch_log(pages: DataFrame) -> DataFrame:
+    """Pages as download records: every third redirected, every third with
+    a Content-Disposition name, every fourth a zip."""
+    pid = F.col("page_id")
+    final = F.when(pid % 3 == 1, F.concat(F.regexp_replace("url", r"[?#].*$", ""), F.lit("/file_"), pid.cast("string"), F.lit(".csv"))).otherwise(F.col("url"))
+    cd = F.when(pid % 3 == 2, F.concat(F.lit("attachment; filename=export "), pid.cast("string"), F.lit(".xlsx")))
+    ctype = F.when(pid % 4 == 0, F.lit("application/zip")).otherwise(F.lit("text/csv"))
+    return pages.select("page_id", "url", final.alias("final_url"), cd.alias("content_disposition"), ctype.alias("content_type"),
+                        F.concat(F.lit("msg"), pid.cast("string")).alias("default_name"))
+
+
+def url_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E9, E3 over a fetch log made from pages."""
+    _prep(spark)
+    log = fetch_log(table(spark, sf_dir, "pages"))
+    return log.select("page_id", N.url_file_name("url", "final_url", "content_disposition", "content_type", "default_name").alias("file_name"))
+
+
+def drop_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E10 over versioned report names made from orders."""
+    _prep(spark)
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    ver = F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.concat(F.lit("_"), (k % 10).cast("string"))).otherwise(F.concat(F.lit("_"), (k % 10).cast("string"), F.lit("_v")))
+    name = F.concat(F.lit("MKM_REPORT_"), F.date_format("o_orderdate", "yyyyMMdd"), ver, F.lit(".txt"))
+    out = o.select("o_orderkey", name.alias("file_name")).withColumn("renamed", N.drop_version("file_name"))
+    return out.withColumn("file_date", N.file_date("renamed"))
+
+
+# --- fixed values -------------------------------------------------------------
+# Spreadsheet headers of the reference's jobs (see FIXTURES 6).
+HEADERS = ("Invoice Number", "PO Number", "Account Segment 1 Name", "Commodity Level 3", "GL Account/Lookup", "userFullName")
+# ------------------------------------------------------------------------------
+
+
+def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job headers combined with every part type and size."""
+    _prep(spark)
+    part = table(spark, sf_dir, "part")
+    h = part.select("p_partkey", F.posexplode(F.array(*[F.lit(x) for x in HEADERS])).alias("header_no", "h"), "p_type", "p_size")
+    h = h.select("p_partkey", "header_no", F.concat_ws(" ", "h", "p_type", F.col("p_size").cast("string")).alias("header"))
+    return h.select("p_partkey", "header_no", "header", N.header_name("header").alias("header_name"),
+                    N.header_name_alt("header").alias("header_name_alt"), N.column_key("header").alias("column_key"))
+
+
+def fold_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7 over the French, German and Spanish documents."""
+    _prep(spark)
+    d = table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de", "es"))
+    return d.select("doc_id", X.fold_accents("text").alias("folded"))
+
+
+def strip_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 over all documents."""
+    _prep(spark)
+    return table(spark, sf_dir, "documents").select("doc_id", X.strip_reserved("text").alias("stripped"))
+
+
+# -- cells ---------------------------------------------------------------------
+
+def normalize_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem as workbook cells, normalised as the reference
+    writes them (numbers rounded half-even)."""
+    _prep(spark)
+    cells = SI.lineitem_as_cells(table(spark, sf_dir, "lineitem"))
+    heads = C.sheet_headers(cells)
+    data = cells.where(F.col("row") > 0).join(heads, C.SHEET_KEY + ["col"], "left")
+    out = data.withColumn("value", C.cell_value(F.col("raw"), F.col("ctype"), F.col("header"), round_numbers=True))
+    return out.select("file", "row", "col", "header", "value")
+
+
+ORDER_SCHEMA = S.load_schema([
+    {"name": "o_orderkey", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "o_custkey", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "o_orderstatus", "type": "STRING"},
+    {"name": "o_totalprice", "type": "FLOAT"},
+    {"name": "o_orderdate", "type": "DATE"},
+])
+
+
+def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as cells, pivoted back to rows and typed."""
+    _prep(spark)
+    cells = C.first_sheet(SI.orders_as_cells(table(spark, sf_dir, "orders")))
+    rows = C.cells_to_rows(C.normalize_cells(cells), SI.ORDER_COLUMNS)
+    return rows.select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"),
+        F.col("o_custkey").cast("long").alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+        "o_orderpriority",
+    )
+
+
+# -- windows, flags, schemas, checks --------------------------------------------
+
+def run_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's day as an ISO run start, its -7 h
+    load window, partition stamp and whether the event falls in it."""
+    _prep(spark)
+    ev = table(spark, sf_dir, "events")
+    start = X.parse_iso(F.date_format("ts", "yyyy-MM-dd'T'00:00:00'Z'"))
+    ws, we = W.run_window(start, offset_hours=-7)
+    return ev.select(
+        "event_id",
+        W.partition_stamp(start).alias("partition"),
+        ws.alias("window_start"),
+        we.alias("window_end"),
+        ((F.col("ts") >= ws) & (F.col("ts") < we)).alias("in_window"),
+    )
+
+
+TRUTHY_SAMPLES = ("yes", "True", "t", "1", "no", "Y", "0", "false")
+
+
+def truthy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ``props.k`` mapped to flag words, parsed both ways."""
+    _prep(spark)
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    word = F.element_at(F.array(*[F.lit(w) for w in TRUTHY_SAMPLES]), (F.pmod(k, F.lit(8)) + 1).cast("int"))
+    return ev.select("event_id", word.alias("word")).select("event_id", "word", X.truthy("word").alias("truthy"), X.truthy_alt("word").alias("truthy_alt"))
+
+
+def cast_to_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text with bad values, cast to the declared schema."""
+    _prep(spark)
+    schema, _required = ORDER_SCHEMA
+    out = S.cast_to_schema(SI.orders_as_text(table(spark, sf_dir, "orders")), schema, on_error="null")
+    return out.withColumn("errors", F.array_join("_errors", ",")).drop("_errors")
+
+
+def check_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REQUIRED columns of the declared schema that are NULL."""
+    _prep(spark)
+    schema, required = ORDER_SCHEMA
+    typed = S.cast_to_schema(SI.orders_as_text(table(spark, sf_dir, "orders")), schema, on_error="null")
+    out = S.check_required(typed, required)
+    return out.select("o_orderkey", "o_custkey", F.array_join("_missing", ",").alias("missing"))
+
+
+CUSTOMER_RULES = {
+    "c_custkey": {"required": True, "type": "integer"},
+    "c_name": {"required": True, "type": "string", "dependencies": ["c_custkey"]},
+    "c_nationkey": {"type": ["integer", "string"], "oneof": [{"max": 10}, {"min": 5}]},
+    "c_acctbal": {"type": "float", "nullable": False, "min": 0},
+    "c_mktsegment": {"allowed": ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"], "dependencies": {"c_nationkey": list(range(0, 20))}},
+}
+
+
+def check_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1-V7: customer rows against a rule set."""
+    _prep(spark)
+    cust = table(spark, sf_dir, "customer")
+    out = V.check_records(cust, CUSTOMER_RULES)
+    return out.select("c_custkey", F.array_join("violations", ";").alias("violations"))
+
+
+def check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: valid, invalid and total customer rows."""
+    _prep(spark)
+    return V.check_counts(V.check_records(table(spark, sf_dir, "customer"), CUSTOMER_RULES))
+
+
 NO_ORACLE: tuple[str, ...] = ()

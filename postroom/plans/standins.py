@@ -19,11 +19,11 @@ RECIPIENT = "finance@example.com"
 # Job documents routed over ``events``. 2024-01-01 is
 # epoch 1704067200; the second window is read with the jobs' -7 h offset.
 JOBS = (
-    {"job": "po_spending", "from": "coupa.com", "subject": "purchase", "attachment": "true", "source": "attachment", "file_pattern": "*green*", "mime_type": "STANDARD"},
+    {"job": "po_spending", "from": "coupa.com", "subject": "purchase", "attachment": "true", "source": "attachment", "file_pattern": "*bolt", "mime_type": "SMALL"},
     {"job": "transaction_share", "from": "midtrans.com", "subject": "*click*", "after": 1704067200, "before": 1704931200, "source": "url_in_body", "url_xpath": "//li/a"},
     {"job": "error_digest", "label": "error", "after": 1704067200 - 25200, "before": 1704067200 + 5 * 86400 - 25200, "source": "url_in_body", "url_xpath": "//li/a"},
-    {"job": "views", "subject": "view", "source": "attachment", "file_pattern": "^(red|blue)[a-z]* ", "mime_type": None},
-    {"job": "bank", "from": "BANK.example", "to": "finance", "source": "body", "file_pattern": "metallic.*steel|chocolate*"},
+    {"job": "views", "subject": "view", "source": "attachment", "file_pattern": "^(red|blue) *", "mime_type": None},
+    {"job": "bank", "from": "BANK.example", "to": "finance", "source": "body", "file_pattern": "hot.*(gear|gizmo)|ring$"},
 )
 # ----------------------------------------------------------------------------
 
@@ -120,3 +120,98 @@ def documents_as_parts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("doc_id").cast("string").alias("message_id"), att_id.alias("attachment_id"), enc.alias("data")
     )
     return parts, attachments
+
+
+# --- discrepancy mail, cells, loads -------------------------------------------
+# Orders are grouped into mails of at most this many consecutive order keys.
+MAIL_KEYS = 64
+RUN_DATE = "2024-01-02"
+ORDER_STATUSES = ("F", "O", "P")
+
+
+def orders_as_discrepancy_mail(orders: DataFrame) -> DataFrame:
+    """One HTML mail per block of ``MAIL_KEYS`` order keys: a result
+    paragraph, then per order status a ``NOT FOUND`` paragraph listing the
+    keys. Every 7th mail has no unmatched time (run date used), every 50th
+    a paragraph with two ``:`` (the whole mail is an error)."""
+    bucket = F.floor(F.col("o_orderkey") / MAIL_KEYS).cast("long")
+    per = orders.groupBy(bucket.alias("bucket")).agg(
+        F.min(F.to_date("o_orderdate")).alias("day"),
+        F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("items"),
+    )
+    day = F.date_format("day", "yyyy-MM-dd")
+    paras = []
+    for st in ORDER_STATUSES:
+        ids = F.transform(F.filter("items", lambda x: x["o_orderstatus"] == st), lambda x: x["o_orderkey"].cast("string"))
+        paras.append(F.when(F.size(ids) > 0, F.concat(F.lit(f"<p>Transaction in status {st} NOT FOUND : "), F.array_join(ids, ", "), F.lit("</p>"))).otherwise(F.lit("")))
+    unmatched = F.when(F.col("bucket") % 7 == 0, F.lit("unknown")).otherwise(F.concat(day, F.lit(" 00:00:00")))
+    broken = F.when(F.col("bucket") % 50 == 0, F.lit("<p>Transaction in BQ NOT FOUND : a: b</p>")).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit("<html><body><div><p>Checking time "), day, F.lit(" 01:02:03 with result: unmatched at "), unmatched, F.lit("</p>"),
+        *paras, broken, F.lit("<p>All other transactions matched</p></div></body></html>"),
+    )
+    return per.select(F.concat(F.lit("disc-"), F.col("bucket").cast("string")).alias("message_id"), html.alias("html"))
+
+
+def _serial_days(ts) -> "F.Column":
+    return F.datediff(F.to_date(ts), F.lit("1899-12-30").cast("date"))
+
+
+LINEITEM_CELL_HEADERS = ("Order Line Description", "Order Line Quantity", "Extended Price", "Ship Date", "Created At", "Invoice Month", "Invoice Year")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+# Rows of a generated sheet: one workbook per block of this many order keys.
+SHEET_KEYS = 4096
+
+
+def _melt(df: DataFrame, file_col, row_col, cells, headers) -> DataFrame:
+    """Rows to ``cells(file, sheet_no, sheet, row, col, ctype, raw)`` with a
+    header row 0 for every file."""
+    body = df.select(
+        file_col.alias("file"), row_col.alias("row"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.lit(t).alias("ctype"), v.cast("string").alias("raw")) for i, (t, v) in enumerate(cells)])).alias("c"),
+    ).select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), "row", "c.col", "c.ctype", "c.raw")
+    heads = (
+        df.select(file_col.alias("file")).distinct()
+        .select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), F.lit(0).cast("long").alias("row"),
+                F.posexplode(F.array(*[F.lit(h) for h in headers])).alias("col", "raw"))
+        .select("file", "sheet_no", "sheet", "row", "col", F.lit(1).alias("ctype"), "raw")
+    )
+    return body.unionByName(heads)
+
+
+def lineitem_as_cells(lineitem: DataFrame) -> DataFrame:
+    days = _serial_days("l_shipdate")
+    cells = [
+        (1, F.concat(F.col("l_returnflag"), F.lit("\n"), F.col("l_linestatus"), F.lit("\tx"))),
+        (2, F.col("l_quantity") / 2),
+        (2, F.col("l_extendedprice")),
+        (3, days),
+        (3, days + F.col("l_linenumber") / F.lit(8.0)),
+        (3, days),
+        (3, days),
+    ]
+    file_col = F.concat(F.lit("lineitem_"), F.floor(F.col("l_orderkey") / SHEET_KEYS).cast("string"), F.lit(".xlsx"))
+    return _melt(lineitem, file_col, (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long"), cells, LINEITEM_CELL_HEADERS)
+
+
+def orders_as_cells(orders: DataFrame) -> DataFrame:
+    cells = [
+        (2, F.col("o_orderkey")), (2, F.col("o_custkey")), (1, F.col("o_orderstatus")),
+        (2, F.col("o_totalprice")), (3, _serial_days("o_orderdate")), (1, F.col("o_orderpriority")),
+    ]
+    file_col = F.concat(F.lit("orders_"), F.floor(F.col("o_orderkey") / SHEET_KEYS).cast("string"), F.lit(".xlsx"))
+    headers = ("Order Key", "Cust Key", "Order Status", "Total Price", "Order Date", "Order Priority")
+    return _melt(orders, file_col, (F.col("o_orderkey") + 1).cast("long"), cells, headers)
+
+
+def orders_as_text(orders: DataFrame) -> DataFrame:
+    """Orders as text records with bad values: every 97th total price is
+    ``n/a``, every 89th date impossible, every 83rd customer empty."""
+    k = F.col("o_orderkey")
+    return orders.select(
+        k.cast("string").alias("o_orderkey"),
+        F.when(k % 83 == 0, F.lit("")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.col("o_orderstatus"),
+        F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(k % 89 == 0, F.lit("2024-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+    )
