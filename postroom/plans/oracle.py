@@ -320,3 +320,39 @@ ORACLE = {
     "check_records": CHECK_RECORDS,
     "check_counts": CHECK_COUNTS,
 }
+
+ORDERS_ALL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+
+REPLACE_PARTITION = """
+SELECT o_orderkey, CASE WHEN strftime(o_orderdate, '%Y%m%d') = '19970315' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, strftime(o_orderdate, '%Y%m%d') AS partition
+FROM orders
+"""
+
+MERGE_TABLE = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 'M' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders
+UNION ALL
+SELECT o_orderkey + 1000000000, o_custkey, 'N', o_totalprice FROM orders WHERE o_orderkey % 25 = 0
+"""
+
+FAN_OUT = """
+SELECT c.channel, c.status, (SELECT count(*) FROM events) AS rows
+FROM (VALUES ('parquet', 'ok'), ('json', 'ok'), ('tsv', 'ok'), ('broken', 'failed')) c(channel, status)
+"""
+
+MARK_PROCESSED = "SELECT CAST(event_id AS VARCHAR) AS message_id, 'events_job' AS job FROM events"
+
+INCREMENTAL_LOAD = f"""
+WITH {MESSAGES}
+SELECT message_id, job FROM ({_routed(JOBS)})
+"""
+
+ORACLE.update({
+    "read_delimited": ORDERS_ALL,
+    "read_json_records": ORDERS_ALL,
+    "replace_partition": REPLACE_PARTITION,
+    "merge_table": MERGE_TABLE,
+    "fan_out": FAN_OUT,
+    "mark_processed": MARK_PROCESSED,
+    "incremental_load": INCREMENTAL_LOAD,
+})

@@ -385,3 +385,112 @@ def check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NO_ORACLE: tuple[str, ...] = ()
+
+
+# -- loads, sinks, streams --------------------------------------------------------
+
+from postroom.session import work_path  # noqa: E402
+from postroom.sinks import deliver as D  # noqa: E402
+from postroom.sinks import tables as TB  # noqa: E402
+from postroom.sources import records as REC  # noqa: E402
+from postroom.streaming.incremental import incremental_load as _incremental, read_sink  # noqa: E402
+
+ORDER_FULL_SCHEMA = S.load_schema([
+    {"name": "o_orderkey", "type": "INTEGER", "mode": "REQUIRED"},
+    {"name": "o_custkey", "type": "INTEGER"},
+    {"name": "o_orderstatus", "type": "STRING"},
+    {"name": "o_totalprice", "type": "FLOAT"},
+    {"name": "o_orderdate", "type": "DATETIME"},
+    {"name": "o_orderpriority", "type": "STRING"},
+])[0]
+
+
+def read_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K11, S5 (tab, one header row, null marker, quote), S7, U1: orders
+    delivered as tab-separated files and loaded back against the schema."""
+    _prep(spark)
+    dest = work_path(spark, "orders-tsv")
+    TB.write_delimited(table(spark, sf_dir, "orders"), dest, sep="\t", header=True, null_value="\\N")
+    good, _bad = REC.read_records(spark, dest, "csv", ORDER_FULL_SCHEMA, field_delimiter="tab", skip_leading_rows=1,
+                                  null_marker="\\N", quote_character='"')
+    return good
+
+
+def read_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders delivered as JSON lines and loaded back."""
+    _prep(spark)
+    dest = work_path(spark, "orders-json")
+    TB.write_files(table(spark, sf_dir, "orders"), dest, "json")
+    return REC.read_records(spark, dest + "/*.json", "json", ORDER_FULL_SCHEMA, array=False)
+
+
+REPLACE_DAY = "19970315"
+
+
+def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders loaded by day of ``o_orderdate``,
+    then one day replaced by its re-priced rows."""
+    _prep(spark)
+    dest = work_path(spark, "orders-by-day")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    TB.load_table(orders, dest, "replace", partition="o_orderdate")
+    day = F.date_format("o_orderdate", "yyyyMMdd") == REPLACE_DAY
+    changed = orders.where(day).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    TB.load_table(changed, dest, "replace", partition=REPLACE_DAY)
+    return TB.read_table(spark, dest).select("o_orderkey", "o_totalprice", "o_orderdate", F.col("ds").alias("partition"))
+
+
+def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: keyed upsert of changed and new orders into the orders table."""
+    _prep(spark)
+    dest = work_path(spark, "orders-merge")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    TB.load_table(orders, dest, "merge", keys=["o_orderkey"])
+    k = F.col("o_orderkey")
+    changed = orders.where(k % 10 == 0).withColumn("o_orderstatus", F.lit("M"))
+    new = orders.where(k % 25 == 0).withColumn("o_orderkey", k + 1000000000).withColumn("o_orderstatus", F.lit("N"))
+    TB.load_table(changed.unionByName(new), dest, "merge", keys=["o_orderkey"])
+    return TB.read_table(spark, dest)
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered to four channels, one of them broken."""
+    _prep(spark)
+    ev = table(spark, sf_dir, "events")
+    base = work_path(spark, "fan-out")
+    channels = [
+        {"name": "parquet", "protocol": "files", "dir": f"{base}/parquet", "format": "parquet"},
+        {"name": "json", "protocol": "files", "dir": f"{base}/json", "format": "json"},
+        {"name": "tsv", "protocol": "delimited", "dir": f"{base}/tsv", "quote": "nonnumeric"},
+        {"name": "broken", "protocol": "files", "dir": f"{base}/broken", "format": "no-such-format"},
+    ]
+    return D.fan_out(ev, channels).select("channel", "status", "rows")
+
+
+def mark_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages delivered to two good channels, then marked
+    processed; a second run with a broken channel marks nothing."""
+    _prep(spark)
+    msgs = events_as_messages(table(spark, sf_dir, "events")).select("message_id", "internal_ts")
+    base = work_path(spark, "mark")
+    state = f"{base}/processed"
+    D.guard_empty(msgs, hour=0)
+    ok = D.fan_out(msgs, [{"name": "a", "dir": f"{base}/a"}, {"name": "b", "dir": f"{base}/b"}])
+    D.mark_processed(msgs, "events_job", "2024-01-02 00:00:00", state, ok)
+    bad = D.fan_out(msgs, [{"name": "c", "dir": f"{base}/c", "format": "no-such-format"}])
+    D.mark_processed(msgs, "events_job_2", "2024-01-03 00:00:00", state, bad)
+    return D.processed_ids(spark, state).select("message_id", "job")
+
+
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive as files; a stream routes each new
+    file's messages once; a second run finds nothing new."""
+    _prep(spark)
+    base = work_path(spark, "incremental")
+    src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    ev = table(spark, sf_dir, "events")
+    ev.repartition(4, "event_type").write.parquet(src)
+    fn = lambda df: R.route_messages(events_as_messages(df), JOBS).select("message_id", "job")
+    _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
+    _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
+    return read_sink(spark, sink).select("message_id", "job")

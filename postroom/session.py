@@ -27,6 +27,8 @@ def get_session(master: str = "local[8]", app: str = "postroom", **conf) -> Spar
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "16g",
+        # one JVM: list partition folders on the driver, not as a job
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
         **conf,
     }
     for k, v in settings.items():
