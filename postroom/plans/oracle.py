@@ -356,3 +356,6 @@ ORACLE.update({
     "mark_processed": MARK_PROCESSED,
     "incremental_load": INCREMENTAL_LOAD,
 })
+
+ORACLE["expand_archives"] = "SELECT doc_id, text FROM documents WHERE CAST(floor(doc_id / 16) AS BIGINT) % 9 <> 4"
+ORACLE["workbook_cells"] = ORDERS_ALL

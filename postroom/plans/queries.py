@@ -494,3 +494,38 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
     _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
     return read_sink(spark, sink).select("message_id", "job")
+
+
+# -- files ------------------------------------------------------------------------
+
+from postroom.sources import files as FL  # noqa: E402
+
+
+def expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into zip archives, expanded again;
+    broken archives give error rows (left out here)."""
+    _prep(spark)
+    zips = SI.documents_as_archives(table(spark, sf_dir, "documents"))
+    members = FL.expand_archives(zips).where(F.col("error").isNull())
+    doc_id = F.regexp_extract("member_name", r"^doc_(\d+)\.txt$", 1).cast("long")
+    return members.select(doc_id.alias("doc_id"), F.decode("content", "UTF-8").alias("text"))
+
+
+from postroom.sources import workbooks as WB  # noqa: E402
+
+
+def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10, E11, A5, O2, T5 (``xlsx2csv``): orders as .xlsx workbooks, read
+    to cells (first sheet), normalised and pivoted back to typed rows."""
+    _prep(spark)
+    books = SI.orders_as_workbooks(table(spark, sf_dir, "orders"))
+    cells = WB.workbook_cells(books).where(F.col("error").isNull()).withColumnRenamed("file_name", "file")
+    rows = C.cells_to_rows(C.normalize_cells(cells), SI.ORDER_COLUMNS)
+    return rows.select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"),
+        F.col("o_custkey").cast("long").alias("o_custkey"),
+        "o_orderstatus",
+        F.col("o_totalprice").cast("double").alias("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+        "o_orderpriority",
+    )

@@ -215,3 +215,61 @@ def orders_as_text(orders: DataFrame) -> DataFrame:
         F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
         F.when(k % 89 == 0, F.lit("2024-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
     )
+
+
+# Documents per generated archive (bounded group, see ``documents_as_archives``).
+ARCHIVE_DOCS = 16
+
+
+def documents_as_archives(documents: DataFrame) -> DataFrame:
+    """Documents packed ``ARCHIVE_DOCS`` per zip (groups bounded by the id
+    range): members ``texts/doc_<id>.txt`` (folder flattened on expand),
+    plus a nested ``inner.zip`` and a ``README`` without a dot that the
+    expansion leaves out. Every 9th block is a broken archive."""
+    import pandas as pd
+
+    from postroom.sources.files import build_zip
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = int(pdf["block"].iloc[0])
+        members = [(f"texts/doc_{d}.txt", t.encode("utf-8")) for d, t in zip(pdf["doc_id"], pdf["text"])]
+        members += [("inner.zip", build_zip([("x.txt", b"x")])), ("README", b"readme")]
+        data = build_zip(members)
+        if block % 9 == 4:
+            data = data[: len(data) // 2]
+        return pd.DataFrame({"file_name": [f"block_{block}.zip"], "content": [data]})
+
+    block = F.floor(F.col("doc_id") / ARCHIVE_DOCS).cast("long")
+    return documents.select(block.alias("block"), "doc_id", "text").groupBy("block").applyInPandas(pack, "file_name string, content binary")
+
+
+# Orders per generated workbook (bounded group).
+WORKBOOK_KEYS = 256
+ORDER_HEADERS = ("Order Key", "Cust Key", "Order Status", "Total Price", "Order Date", "Order Priority")
+
+
+def orders_as_workbooks(orders: DataFrame) -> DataFrame:
+    """Orders written as .xlsx files, ``WORKBOOK_KEYS`` order keys each:
+    sheet ``Orders`` with a header row (dates as date-styled serials) and a
+    second sheet ``Summary`` that single-sheet reads leave out."""
+    import datetime as _dt
+
+    import pandas as pd
+
+    from postroom.sources.workbooks import build_xlsx
+
+    epoch = _dt.datetime(1899, 12, 30)
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = int(pdf["block"].iloc[0])
+        pdf = pdf.sort_values("o_orderkey")
+        rows = [list(ORDER_HEADERS)]
+        for r in pdf.itertuples(index=False):
+            serial = (pd.Timestamp(r.o_orderdate).to_pydatetime() - epoch).total_seconds() / 86400.0
+            rows.append([int(r.o_orderkey), int(r.o_custkey), r.o_orderstatus, float(r.o_totalprice), ("date", serial), r.o_orderpriority])
+        data = build_xlsx([("Orders", rows), ("Summary", [["Rows"], [len(pdf)]])])
+        return pd.DataFrame({"file_name": [f"orders_{block}.xlsx"], "content": [data]})
+
+    block = F.floor(F.col("o_orderkey") / WORKBOOK_KEYS).cast("long")
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return orders.select(block.alias("block"), *cols).groupBy("block").applyInPandas(pack, "file_name string, content binary")
