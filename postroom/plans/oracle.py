@@ -359,3 +359,21 @@ ORACLE.update({
 
 ORACLE["expand_archives"] = "SELECT doc_id, text FROM documents WHERE CAST(floor(doc_id / 16) AS BIGINT) % 9 <> 4"
 ORACLE["workbook_cells"] = ORDERS_ALL
+
+ORACLE["apply_transform"] = """
+SELECT CASE WHEN regexp_matches(stem, '[0-9]{4}') THEN stem ELSE stem || '_20240101' END || '.tsv' AS file_name, line
+FROM (SELECT 'RPT_HASIL_' || CAST(CAST(floor(l_orderkey / 64) AS BIGINT) AS VARCHAR) AS stem,
+             printf('%06d', l_orderkey) || chr(9) || CAST(l_linenumber AS VARCHAR) || chr(9) || l_returnflag AS line
+      FROM lineitem)
+"""
+
+ORACLE["transform_chain"] = """
+WITH d AS (SELECT doc_id, CAST(floor(doc_id / 16) AS BIGINT) AS block FROM documents)
+SELECT CASE WHEN regexp_matches('DOC_doc_' || CAST(doc_id AS VARCHAR), '[0-9]{4}') THEN 'DOC_doc_' || CAST(doc_id AS VARCHAR)
+            ELSE 'DOC_doc_' || CAST(doc_id AS VARCHAR) || '_20240101' END || '.txt' AS file_name, 'ok' AS status
+FROM d WHERE block % 9 <> 4
+UNION ALL
+SELECT DISTINCT CASE WHEN regexp_matches('DOC_block_' || CAST(block AS VARCHAR), '[0-9]{4}') THEN 'DOC_block_' || CAST(block AS VARCHAR)
+            ELSE 'DOC_block_' || CAST(block AS VARCHAR) || '_20240101' END || '.zip', 'kept'
+FROM d WHERE block % 9 = 4
+"""

@@ -529,3 +529,25 @@ def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
         "o_orderpriority",
     )
+
+
+from postroom.operators import transforms as TR  # noqa: E402
+
+
+def apply_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1, T5 ``rpt_cleaner``: text reports built from lineitem, cleaned to
+    their detail lines."""
+    _prep(spark)
+    files = SI.lineitem_as_reports(table(spark, sf_dir, "lineitem"))
+    out = TR.apply_transform(files, "rpt_cleaner", filename_format="{source_file}", stamp="20240101")
+    lines = out.select("file_name", F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line"))
+    return lines.where(F.col("line") != "")
+
+
+def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1, T3, T4, T5 ``unzip``, X5: archives unzipped, members renamed by
+    the job format; broken archives kept as they are and renamed too."""
+    _prep(spark)
+    zips = SI.documents_as_archives(table(spark, sf_dir, "documents"))
+    out = TR.apply_transform(zips, "unzip", filename_format="DOC_{source_file}", stamp="20240101", on_error="keep", transform_model="unzip")
+    return out.select("file_name", "status")

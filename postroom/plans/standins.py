@@ -273,3 +273,21 @@ def orders_as_workbooks(orders: DataFrame) -> DataFrame:
     block = F.floor(F.col("o_orderkey") / WORKBOOK_KEYS).cast("long")
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     return orders.select(block.alias("block"), *cols).groupBy("block").applyInPandas(pack, "file_name string, content binary")
+
+
+# Order keys per generated text report.
+REPORT_KEYS = 64
+
+
+def lineitem_as_reports(lineitem: DataFrame) -> DataFrame:
+    """Bank-style text reports: per block of ``REPORT_KEYS`` order keys a
+    file with two title lines, one detail line per lineitem row (six-digit
+    key first) and a short trailer line."""
+    block = F.floor(F.col("l_orderkey") / REPORT_KEYS).cast("long")
+    detail = F.concat_ws("\t", F.format_string("%06d", "l_orderkey"), F.col("l_linenumber").cast("string"), F.col("l_returnflag"))
+    per = lineitem.select(block.alias("block"), F.struct("l_orderkey", "l_linenumber", detail.alias("line")).alias("r")).groupBy("block").agg(
+        F.array_sort(F.collect_list("r")).alias("rs")
+    )
+    body = F.array_join(F.transform("rs", lambda x: x["line"]), "\n")
+    text = F.concat(F.lit("BANK REPORT\n------\n"), body, F.lit("\n12345 total\n"))
+    return per.select(F.concat(F.lit("RPT_HASIL_"), F.col("block").cast("string"), F.lit(".txt")).alias("file_name"), F.encode(text, "UTF-8").alias("content"))

@@ -63,10 +63,11 @@ def _members(content: bytes, password: str | None, drop_nested: bool):
     return [(n, data, len(data), None) for n, data in out.items()]
 
 
-def expand_archives(files: DataFrame, content_col: str = "content", password_col: str | None = None, drop_nested: bool = True, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+def expand_archives(files: DataFrame, content_col: str = "content", password_col: str | None = None, drop_nested: bool = True, max_bytes: int = MAX_FILE_BYTES, keep_failed: bool = False) -> DataFrame:
     """One row per archive member: the file's columns plus
     ``member_name, content, size, error``. A bad, encrypted-but-no-password
-    or oversized archive gives one row with ``error`` set and no member."""
+    or oversized archive gives one row with ``error`` set and no member;
+    with ``keep_failed`` that row carries the archive's own bytes (T3)."""
     import pandas as pd
 
     keep = [c for c in files.columns if c != content_col]
@@ -84,14 +85,15 @@ def expand_archives(files: DataFrame, content_col: str = "content", password_col
                 if data is None:
                     rows.append(base + [None, None, None, "no content"])
                     continue
+                kept = bytes(data) if keep_failed else None
                 if len(data) > max_bytes:
-                    rows.append(base + [None, None, len(data), f"archive larger than {max_bytes} bytes"])
+                    rows.append(base + [None, kept, len(data), f"archive larger than {max_bytes} bytes"])
                     continue
                 try:
                     for m in _members(bytes(data), pw, drop_nested):
                         rows.append(base + list(m))
                 except Exception as e:  # bad archive, wrong password, unsupported method
-                    rows.append(base + [None, None, len(data), f"{type(e).__name__}: {e}"[:500]])
+                    rows.append(base + [None, kept, len(data), f"{type(e).__name__}: {e}"[:500]])
             yield pd.DataFrame(rows, columns=names)
 
     return files.select(*in_cols).mapInPandas(run, schema)
