@@ -41,8 +41,9 @@ def register(*names: str):
 
 def rename_files(files: DataFrame, filename_format: str = "{source_file}", stamp: str | None = None, **params) -> DataFrame:
     """Rename every file by the template (per row, so no file takes
-    another's name); ``stamp`` is the run's ``YYYYMMDD``."""
-    return files.withColumn("file_name", N.safe_name(F.col("file_name"), filename_format, stamp=stamp or "", **params))
+    another's name); ``stamp`` is the run's ``YYYYMMDD`` (default: today)."""
+    st = F.lit(stamp) if stamp else F.date_format(F.current_date(), "yyyyMMdd")
+    return files.withColumn("file_name", N.safe_name(F.col("file_name"), filename_format, stamp=st, **params))
 
 
 @register("unzip")

@@ -210,7 +210,7 @@ def write_delimited(df: DataFrame, dest: str, sep: str = "\t", header: bool = Tr
         cols.append(F.coalesce(v, F.lit(null_value)).alias(f'"{f.name}"' if header else f.name))
     (
         df.select(*cols).write.mode(mode)
-        .option("sep", sep).option("header", header).option("quote", "\u0000").option("escapeQuotes", "false")
+        .option("sep", sep).option("header", header).option("quote", "\u0000").option("escapeQuotes", "false").option("emptyValue", "")
         .csv(dest)
     )
     return dest

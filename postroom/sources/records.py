@@ -8,9 +8,10 @@ does not fit its type is an error. Errors go to the error split with a
 reason, or fail the load (``on_error='fail'``).
 
 Splittable path (``skip_leading_rows`` 0 or 1): Spark's CSV reader in
-PERMISSIVE mode reads every field as text into the declared columns plus
-one spare column, so a long row fills the spare one and a short row leaves
-the last field NULL; types come from ``try_cast`` in the same pass.
+PERMISSIVE mode reads every field as text, with ``columnNameOfCorruptRecord``
+marking rows whose field count is wrong; only those are re-read with
+``from_csv`` and one spare column to tell long rows from short ones. Types
+come from ``try_cast`` in the same pass.
 ``allow_quoted_newlines`` turns on ``multiLine``, which reads each file in
 one task.
 
@@ -47,26 +48,32 @@ def _string_schema(schema: T.StructType, extra: bool) -> T.StructType:
     return T.StructType(fields)
 
 
-def _classify(strings: Column, schema: T.StructType, ignore_unknown: bool, allow_jagged: bool) -> Column:
-    """Reason a row is bad, from its fields read as text (NULL when good)."""
-    n = len(schema.fields)
-    too_long = strings[EXTRA].isNotNull()
-    too_short = strings[schema.fields[n - 1].name].isNull() if n else F.lit(False)
+def _classify(shape: Column, values: Column, schema: T.StructType, ignore_unknown: bool, allow_jagged: bool) -> Column:
+    """Reason a row is bad (NULL when good). ``shape`` is ``long``,
+    ``short`` or NULL; ``values`` the fields after the null marker."""
     bad_type = F.lit(False)
     bad_cols = []
     for f in schema.fields:
-        raw = strings[f.name]
+        v = values[f.name]
         if isinstance(f.dataType, T.StringType):
             continue
-        fail = raw.isNotNull() & (F.trim(raw) != "") & raw.try_cast(f.dataType).isNull()
+        fail = v.isNotNull() & (F.trim(v) != "") & v.try_cast(f.dataType).isNull()
         bad_type = bad_type | fail
         bad_cols.append(F.when(fail, F.lit(f.name)))
-    reason = F.when(too_long & F.lit(not ignore_unknown), F.lit("too many fields"))
+    reason = F.when((shape == "long") & F.lit(not ignore_unknown), F.lit("too many fields"))
+    reason = reason.when((shape == "short") & F.lit(not allow_jagged), F.lit("too few fields"))
     reason = reason.when(bad_type, F.concat(F.lit("bad value: "), F.concat_ws(",", *bad_cols)) if bad_cols else F.lit("bad value"))
-    reason = reason.when(~too_long & too_short & F.lit(not allow_jagged), F.lit("too few fields"))
     return reason
 
 
+def _apply_null_marker(c: Column, null_marker: str | None) -> Column:
+    """The marker (default: the empty string) is NULL."""
+    return F.when(c == F.lit("" if null_marker is None else null_marker), F.lit(None).cast("string")).otherwise(c)
+
+
+CORRUPT = "_corrupt_record"
+
+
 def read_delimited(
     spark: SparkSession,
     path,
@@ -90,31 +97,39 @@ def read_delimited(
     sep = _sep(field_delimiter)
     skip = int(skip_leading_rows or 0)
     opts = {"sep": sep, "encoding": encoding}
-    if null_marker is not None:
-        opts["nullValue"] = null_marker
     if quote_character is not None:
         opts["quote"] = quote_character
     if allow_quoted_newlines:
         opts["multiLine"] = "true"
     if schema is None:
+        if null_marker is not None:
+            opts["nullValue"] = null_marker
         df = spark.read.options(**opts).option("header", skip >= 1).option("inferSchema", "true").csv(path)
         return (df, None) if on_error == "split" else df
 
     if skip > 1:
-        strings = _read_skipping(spark, path, schema, skip, sep, quote_character or '"', null_marker)
+        strings = _read_skipping(spark, path, schema, skip, sep, quote_character or '"')
     else:
-        # Every field as text plus one more column: a long row fills
-        # ``_extra``, a short one leaves the last field NULL (PERMISSIVE
-        # keeps the fields it could read). One scan; types by ``try_cast``.
-        strings = (
+        # Every field as text: exactly the declared columns plus the
+        # corrupt-record column, which Spark fills only when a row has the
+        # wrong number of fields. Only those rows are re-read with one more
+        # column to tell long from short. One scan; types by ``try_cast``.
+        if null_marker is not None:
+            opts["nullValue"] = null_marker
+        fields = T.StructType(_string_schema(schema, False).fields + [T.StructField(CORRUPT, T.StringType())])
+        raw = (
             spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
-            .schema(_string_schema(schema, True)).csv(path)
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(fields).csv(path)
         )
-        fields = [F.coalesce(F.col(c), F.lit("")) for c in strings.columns]
-        strings = strings.withColumn("_line", F.concat_ws(sep, *fields))
-    reason = _classify(F.struct(*[F.col(c) for c in strings.columns]), schema, ignore_unknown_values, allow_jagged_rows)
-    tagged = strings.withColumn("_reason", reason)
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+        csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "nullValue")}
+        wide = F.from_csv(F.col(CORRUPT), _string_schema(schema, True).simpleString(), csv_opts)
+        shape = F.when(F.col(CORRUPT).isNull(), F.lit(None).cast("string")).when(wide[EXTRA].isNotNull(), F.lit("long")).otherwise(F.lit("short"))
+        line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n in schema.names]))
+        strings = raw.select(*schema.names, shape.alias("_shape"), line.alias("_line"))
+    values = F.struct(*[_apply_null_marker(F.col(f.name), null_marker).alias(f.name) for f in schema.fields])
+    tagged = strings.withColumn("_v", values)
+    tagged = tagged.withColumn("_reason", _classify(F.col("_shape"), F.col("_v"), schema, ignore_unknown_values, allow_jagged_rows))
+    typed = [F.col("_v")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
     good = tagged.where(F.col("_reason").isNull()).select(*typed)
     bad = tagged.where(F.col("_reason").isNotNull()).select(F.col("_line").alias("_raw"), "_reason")
     return _finish(good, bad, on_error)
@@ -130,14 +145,14 @@ def _finish(good, bad, on_error):
     return good
 
 
-def _read_skipping(spark, path, schema, skip, sep, quote, null_marker) -> DataFrame:
+def _read_skipping(spark, path, schema, skip, sep, quote) -> DataFrame:
     """Whole files, ``skip`` leading rows dropped, fields as text."""
     import csv
     import io
 
     import pandas as pd
 
-    names = [f.name for f in schema.fields] + [EXTRA, "_line"]
+    names = [f.name for f in schema.fields] + ["_shape", "_line"]
     out_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     n = len(schema.fields)
 
@@ -149,10 +164,9 @@ def _read_skipping(spark, path, schema, skip, sep, quote, null_marker) -> DataFr
                 for i, rec in enumerate(reader):
                     if i < skip or not rec:
                         continue
-                    vals = [None if (v == "" or v == null_marker) else v for v in rec]
-                    line = sep.join(rec)
-                    padded = (vals + [None] * (n + 1))[: n + 1]
-                    rows.append(padded + [line])
+                    shape = "long" if len(rec) > n else ("short" if len(rec) < n else None)
+                    padded = (list(rec) + [None] * n)[:n]
+                    rows.append(padded + [shape, sep.join(rec)])
             yield pd.DataFrame(rows, columns=names)
 
     return spark.read.text(path, wholetext=True).mapInPandas(run, out_schema)
