@@ -60,8 +60,14 @@ def route_messages(messages: DataFrame, jobs: Sequence[Mapping]) -> DataFrame:
     """One row per (message, matching job)."""
     if not jobs:
         return messages.withColumn("job", F.lit(None).cast("string")).limit(0)
-    hits = F.array(*[F.when(message_filter(j), F.lit(j["job"])) for j in jobs])
-    return messages.withColumn("job", F.explode(F.filter(hits, lambda x: x.isNotNull())))
+    conds = [message_filter(j) for j in jobs]
+    # The OR of all job filters first: plain comparisons in it (time
+    # bounds shared by every job) reach the parquet scan as pushed filters.
+    any_job = conds[0]
+    for c in conds[1:]:
+        any_job = any_job | c
+    hits = F.array(*[F.when(c, F.lit(j["job"])) for c, j in zip(conds, jobs)])
+    return messages.where(any_job).withColumn("job", F.explode(F.filter(hits, lambda x: x.isNotNull())))
 
 
 def unprocessed(routed: DataFrame, processed: DataFrame, keys=("message_id", "job")) -> DataFrame:

@@ -66,3 +66,13 @@ def test_discrepancies(spark):
         (1, "2024-01-05", "2024-01-05", "XY NOT FOUND", "z"),
     ]
     assert sorted(r.doc_id for r in errs.collect()) == [2, 3]
+
+
+def test_attach_password(spark):
+    from postroom.operators.html_select import attach_password
+
+    bodies = spark.createDataFrame([("m1", "<p><b>pw1</b></p><p><b> pw2 </b></p>"), ("m2", "<p>none</p>")], "message_id string, html string")
+    pw = H.extract_last(bodies, "//p/b", "text()", id_col="message_id")
+    files = spark.createDataFrame([("m1", "a.zip"), ("m1", "b.zip"), ("m2", "c.zip")], "message_id string, file_name string")
+    got = sorted((r.file_name, r.zip_password) for r in attach_password(files, pw).collect())
+    assert got == [("a.zip", "pw2"), ("b.zip", "pw2"), ("c.zip", None)]

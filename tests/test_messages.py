@@ -101,3 +101,20 @@ def test_unprocessed(spark):
     routed = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "a")], "message_id string, job string")
     done = spark.createDataFrame([("1", "a")], "message_id string, job string")
     assert sorted(tuple(r) for r in R.unprocessed(routed, done).collect()) == [("1", "b"), ("2", "a")]
+
+
+def test_read_lines_and_clean(spark, tmp_dir):
+    import os
+
+    from postroom.sources.reports import clean_report, read_lines
+
+    with open(os.path.join(tmp_dir, "RPT_1.txt"), "w") as fh:
+        fh.write("BANK REPORT\n------\n000123\tA\t10.5\n12345 short\n")
+    out = clean_report(read_lines(spark, tmp_dir))
+    assert [(r.file_name, r.line) for r in out.collect()] == [("RPT_1.txt", "000123\tA\t10.5")]
+
+
+def test_order_by_receive_time(spark):
+    m = spark.createDataFrame([("b", "2024-01-02 00:00:00"), ("a", "2024-01-02 00:00:00"), ("c", "2024-01-01 00:00:00")],
+                              "message_id string, t string").withColumn("internal_ts", F.col("t").cast("timestamp_ntz"))
+    assert [r.message_id for r in R.order_by_receive_time(m).collect()] == ["c", "a", "b"]
