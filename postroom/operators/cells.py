@@ -18,25 +18,33 @@ from postroom.functions.timewin import serial_to_timestamp
 # --- fixed values -----------------------------------------------------------
 CELL_TEXT, CELL_NUMBER, CELL_DATE = 1, 2, 3
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-MIDNIGHT_SUFFIX = "T00:00:00"
 # ----------------------------------------------------------------------------
 
 SHEET_KEY = ["file", "sheet_no"]
 
 
-def cell_value(raw: Column, ctype: Column, header: Column, round_numbers: bool = False) -> Column:
+def cell_value(raw: Column, ctype: Column, header: Column, round_numbers: bool = False, ts: Column | None = None) -> Column:
     """Text: newlines and tabs to spaces; number: half-even rounding to
     a whole number when ``round_numbers`` (the reference always rounds);
     date: ISO date-time, cut to the date at midnight, to ``YYYY-MM`` for
-    ``*_month`` headers and ``YYYY`` for ``*_year``."""
+    ``*_month`` headers and ``YYYY`` for ``*_year``.
+
+    A flat CASE with one literal format per branch; ``ts`` (the cell's
+    timestamp) may be given precomputed so it is evaluated once per cell.
+    """
     text = F.translate(raw, "\n\t", "  ")
     num = raw
     if round_numbers:
         num = F.bround(raw.try_cast("double"), 0).cast("decimal(38,0)").cast("string")
-    iso = F.date_format(serial_to_timestamp(raw.try_cast("double")), ISO_SECONDS)
-    iso = F.when(iso.endswith(MIDNIGHT_SUFFIX), F.substring(iso, 1, 10)).otherwise(iso)
-    iso = F.when(header.endswith("_month"), F.substring(iso, 1, 7)).when(header.endswith("_year"), F.substring(iso, 1, 4)).otherwise(iso)
-    return F.when(ctype == CELL_TEXT, text).when(ctype == CELL_NUMBER, num).when(ctype == CELL_DATE, iso).otherwise(raw)
+    if ts is None:
+        ts = serial_to_timestamp(raw.try_cast("double"))
+    date = (
+        F.when(header.endswith("_month"), F.date_format(ts, "yyyy-MM"))
+        .when(header.endswith("_year"), F.date_format(ts, "yyyy"))
+        .when(ts == F.to_date(ts).cast("timestamp_ntz"), F.date_format(ts, "yyyy-MM-dd"))
+        .otherwise(F.date_format(ts, ISO_SECONDS))
+    )
+    return F.when(ctype == CELL_TEXT, text).when(ctype == CELL_NUMBER, num).when(ctype == CELL_DATE, date).otherwise(raw)
 
 
 def sheet_headers(cells: DataFrame) -> DataFrame:
@@ -44,15 +52,30 @@ def sheet_headers(cells: DataFrame) -> DataFrame:
     return cells.where(F.col("row") == 0).select(*SHEET_KEY, "col", header_name(F.col("raw")).alias("header"))
 
 
-def normalize_cells(cells: DataFrame, round_numbers: bool = False) -> DataFrame:
-    """E11 over a cell table; adds ``header`` and ``value`` to data cells.
+def with_headers(cells: DataFrame) -> DataFrame:
+    """Data cells (row > 0) with their column's ``header`` (E4 of row 0).
 
-    The header side has one row per sheet column; with a sheet holding most
-    rows its key is hot, which AQE's skew join splits on the cell side.
+    Readers that emit ``header_raw`` (the row-0 text, known while reading
+    a sheet in order) need no join: one narrow projection. Otherwise the
+    row-0 cells are joined back; that side has one row per sheet column
+    (AQE broadcasts it when small, and splits the cell side of a hot
+    sheet otherwise).
     """
-    heads = sheet_headers(cells)
-    data = cells.where(F.col("row") > 0).join(heads, SHEET_KEY + ["col"], "left")
-    return data.withColumn("value", cell_value(F.col("raw"), F.col("ctype"), F.coalesce("header", F.lit(""))))
+    data = cells.where(F.col("row") > 0)
+    if "header_raw" in cells.columns:
+        return data.withColumn("header", header_name(F.col("header_raw"))).drop("header_raw")
+    return data.join(sheet_headers(cells), SHEET_KEY + ["col"], "left")
+
+
+def normalize_cells(cells: DataFrame, round_numbers: bool = False) -> DataFrame:
+    """E11 over a cell table; adds ``header`` and ``value`` to data cells.
+    Two projections: the date cells' timestamp first, then the value, so
+    neither is evaluated twice per cell."""
+    data = with_headers(cells).withColumn(
+        "_ts", F.when(F.col("ctype") == CELL_DATE, serial_to_timestamp(F.col("raw").try_cast("double")))
+    )
+    value = cell_value(F.col("raw"), F.col("ctype"), F.coalesce("header", F.lit("")), round_numbers, ts=F.col("_ts"))
+    return data.withColumn("value", value).drop("_ts")
 
 
 def cells_to_rows(cells: DataFrame, columns: Sequence[str], value: str = "value", key: Sequence[str] = ("file", "sheet_no", "row")) -> DataFrame:

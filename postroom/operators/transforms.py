@@ -90,9 +90,7 @@ def xlsx2csv(files: DataFrame, multi=False, round_numbers: bool = True, **_) ->
     multi = str(multi).lower() in ("yes", "true", "1")
     cells = workbook_cells(files, multi=multi).where(F.col("error").isNull())
     cells = cells.withColumn("file", F.concat(N.splitext_root("file_name"), F.lit("_"), F.col("sheet"), F.lit(".csv")))
-    heads = C.sheet_headers(cells)
-    data = cells.where(F.col("row") > 0).join(heads, C.SHEET_KEY + ["col"], "left")
-    return data.withColumn("value", C.cell_value(F.col("raw"), F.col("ctype"), F.coalesce("header", F.lit("")), round_numbers))
+    return C.normalize_cells(cells, round_numbers)
 
 
 @register("parse_email_body")

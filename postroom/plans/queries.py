@@ -284,10 +284,7 @@ def normalize_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     writes them (numbers rounded half-even)."""
     _prep(spark)
     cells = SI.lineitem_as_cells(table(spark, sf_dir, "lineitem"))
-    heads = C.sheet_headers(cells)
-    data = cells.where(F.col("row") > 0).join(heads, C.SHEET_KEY + ["col"], "left")
-    out = data.withColumn("value", C.cell_value(F.col("raw"), F.col("ctype"), F.col("header"), round_numbers=True))
-    return out.select("file", "row", "col", "header", "value")
+    return C.normalize_cells(cells, round_numbers=True).select("file", "row", "col", "header", "value")
 
 
 ORDER_SCHEMA = S.load_schema([

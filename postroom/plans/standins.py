@@ -164,17 +164,19 @@ SHEET_KEYS = 4096
 
 
 def _melt(df: DataFrame, file_col, row_col, cells, headers) -> DataFrame:
-    """Rows to ``cells(file, sheet_no, sheet, row, col, ctype, raw)`` with a
-    header row 0 for every file."""
+    """Rows to ``cells(file, sheet_no, sheet, row, col, ctype, raw,
+    header_raw)`` with a header row 0 for every file, as a sheet reader
+    emits them."""
     body = df.select(
         file_col.alias("file"), row_col.alias("row"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.lit(t).alias("ctype"), v.cast("string").alias("raw")) for i, (t, v) in enumerate(cells)])).alias("c"),
-    ).select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), "row", "c.col", "c.ctype", "c.raw")
+        F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.lit(t).alias("ctype"), v.cast("string").alias("raw"), F.lit(h).alias("header_raw"))
+                            for i, ((t, v), h) in enumerate(zip(cells, headers))])).alias("c"),
+    ).select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), "row", "c.col", "c.ctype", "c.raw", "c.header_raw")
     heads = (
         df.select(file_col.alias("file")).distinct()
         .select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), F.lit(0).cast("long").alias("row"),
                 F.posexplode(F.array(*[F.lit(h) for h in headers])).alias("col", "raw"))
-        .select("file", "sheet_no", "sheet", "row", "col", F.lit(1).alias("ctype"), "raw")
+        .select("file", "sheet_no", "sheet", "row", "col", F.lit(1).alias("ctype"), "raw", F.col("raw").alias("header_raw"))
     )
     return body.unionByName(heads)
 

@@ -35,6 +35,7 @@ CELL_SCHEMA = T.StructType(
         T.StructField("col", T.IntegerType()),
         T.StructField("ctype", T.IntegerType()),
         T.StructField("raw", T.StringType()),
+        T.StructField("header_raw", T.StringType()),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -98,8 +99,10 @@ def _sheets(zf: zipfile.ZipFile):
 
 
 def workbook_cells_of(content: bytes, multi: bool = False):
-    """Cell tuples ``(sheet_no, sheet, row, col, ctype, raw, None)`` of one
-    workbook; only the first sheet unless ``multi``."""
+    """Cell tuples ``(sheet_no, sheet, row, col, ctype, raw, header_raw,
+    None)`` of one workbook; only the first sheet unless ``multi``.
+    ``header_raw`` is the row-0 text of the cell's column (cells come in
+    row order), so later steps need no header join."""
     rows = []
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         try:
@@ -109,6 +112,7 @@ def workbook_cells_of(content: bytes, multi: bool = False):
         dates = _date_styles(zf)
         sheets = _sheets(zf)
         for sheet_no, (name, path) in enumerate(sheets if multi else sheets[:1]):
+            heads: dict[int, str] = {}
             for _, el in ET.iterparse(io.BytesIO(zf.read(path))):
                 if el.tag != _q("c"):
                     continue
@@ -136,7 +140,9 @@ def workbook_cells_of(content: bytes, multi: bool = False):
                         continue
                     ctype = CTYPE_DATE if int(el.get("s", "0")) in dates else CTYPE_NUMBER
                     raw = val
-                rows.append((sheet_no, name, row, col, ctype, raw, None))
+                if row == 0:
+                    heads[col] = raw
+                rows.append((sheet_no, name, row, col, ctype, raw, heads.get(col), None))
                 el.clear()
     return rows
 
@@ -160,7 +166,7 @@ def workbook_cells(files: DataFrame, content_col: str = "content", multi: bool =
                     for cell in workbook_cells_of(bytes(rec[content_col]), multi):
                         out.append(base + list(cell))
                 except Exception as e:
-                    out.append(base + [None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500]])
+                    out.append(base + [None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500]])
             yield pd.DataFrame(out, columns=names)
 
     return files.select(*keep, content_col).mapInPandas(run, schema)
