@@ -133,9 +133,10 @@ def urlsafe_b64decode(c) -> Column:
 
 
 def urlsafe_b64encode(c) -> Column:
-    """Bytes to URL-safe base64 text (no line breaks)."""
+    """Bytes to URL-safe base64 text (no line breaks: Spark's ``base64``
+    wraps lines with CRLF, removed by a literal replace)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.translate(F.regexp_replace(F.base64(c), r"[\r\n]", ""), "+/", "-_")
+    return F.translate(F.replace(F.base64(c), F.lit("\r\n"), F.lit("")), "+/", "-_")
 
 
 def decode_payload(parts: DataFrame, attachments: DataFrame) -> DataFrame:
