@@ -72,3 +72,18 @@ def test_rpt_cleaner_and_version(spark):
     assert bytes(out.content) == b"000123\tA\t10.5\n654321 last"
     v = TR.apply_transform(files_df(spark, [("MKM_REPORT_20240131_2.txt", b"")]), "mkm_remove_version").first()
     assert v.file_name == "MKM_REPORT_20240131.txt" and v.file_date == "20240131"
+
+
+def test_encrypted_archive_password_per_message(spark):
+    from postroom.operators.html_select import attach_password, extract_last
+
+    from tests.zipcrypto import encrypted_zip
+
+    z1 = encrypted_zip([("r1.csv", b"one")], "s3cret")
+    z2 = encrypted_zip([("r2.csv", b"two")], "other")
+    bodies = spark.createDataFrame([("m1", "<p><b>s3cret</b></p>"), ("m2", "<p><b>other</b></p>")], "message_id string, html string")
+    pw = extract_last(bodies, "//p/b", "text()", id_col="message_id")
+    files = spark.createDataFrame([("m1", "a.zip", z1), ("m2", "b.zip", z2), ("m2", "c.zip", z1)], "message_id string, file_name string, content binary")
+    out = TR.apply_transform(attach_password(files, pw), "unzip", stamp="20240101")
+    got = sorted((r.message_id, r.file_name, r.status, bytes(r.content) if r.status == "ok" else None) for r in out.collect())
+    assert got == [("m1", "r1_20240101.csv", "ok", b"one"), ("m2", "c_20240101.zip", "kept", None), ("m2", "r2_20240101.csv", "ok", b"two")]
