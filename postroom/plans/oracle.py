@@ -377,3 +377,17 @@ SELECT DISTINCT CASE WHEN regexp_matches('DOC_block_' || CAST(block AS VARCHAR),
             ELSE 'DOC_block_' || CAST(block AS VARCHAR) || '_20240101' END || '.zip', 'kept'
 FROM d WHERE block % 9 = 4
 """
+
+ORACLE["load_rejects"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'too many fields'
+                        WHEN o_orderkey % 103 = 0 THEN 'too few fields'
+                        WHEN o_orderkey % 107 = 0 THEN 'bad value: o_totalprice'
+                        ELSE 'ok' END AS status
+FROM orders
+"""
+
+ORACLE["discrepancy_errors"] = """
+SELECT DISTINCT 'disc-' || CAST(CAST(floor(o_orderkey / 64) AS BIGINT) AS VARCHAR) AS message_id,
+       'NOT FOUND paragraph without exactly one '':''' AS reason
+FROM orders WHERE CAST(floor(o_orderkey / 64) AS BIGINT) % 50 = 0
+"""

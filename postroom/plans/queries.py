@@ -548,3 +548,36 @@ def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     zips = SI.documents_as_archives(table(spark, sf_dir, "documents"))
     out = TR.apply_transform(zips, "unzip", filename_format="DOC_{source_file}", stamp="20240101", on_error="keep", transform_model="unzip")
     return out.select("file_name", "status")
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5d, S5e, E17: orders written as tab-separated lines where every
+    101st row has an extra field, every 103rd lacks its last one and every
+    107th has a bad price; loaded against the schema, every row is ``ok``
+    or rejected with its reason."""
+    _prep(spark)
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    head = [k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")]
+    price = F.when(k % 107 == 0, F.lit("x")).otherwise(F.col("o_totalprice").cast("string"))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    full = F.concat_ws("\t", *head, price, date, F.col("o_orderpriority"))
+    line = (
+        F.when(k % 101 == 0, F.concat(full, F.lit("\textra")))
+        .when(k % 103 == 0, F.concat_ws("\t", *head, price, date))
+        .otherwise(full)
+    )
+    dest = work_path(spark, "orders-rejects")
+    o.select(line.alias("value")).write.text(dest)
+    good, bad = REC.read_delimited(spark, dest, ORDER_FULL_SCHEMA, field_delimiter="tab")
+    ok = good.select("o_orderkey", F.lit("ok").alias("status"))
+    rejected = bad.select(F.split("_raw", "\t").getItem(0).cast("long").alias("o_orderkey"), F.col("_reason").alias("status"))
+    return ok.unionByName(rejected)
+
+
+def discrepancy_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discrepancy mails that cannot be parsed, with the reason."""
+    _prep(spark)
+    mails = SI.orders_as_discrepancy_mail(table(spark, sf_dir, "orders"))
+    _records, errors = parse_discrepancies(html_elements(mails, "message_id", "html"), SI.RUN_DATE, id_col="message_id")
+    return errors

@@ -114,12 +114,15 @@ def read_delimited(
         # corrupt-record column, which Spark fills only when a row has the
         # wrong number of fields. Only those rows are re-read with one more
         # column to tell long from short. One scan; types by ``try_cast``.
+        # CSV column pruning stays off for this read: with it, a row's
+        # length is judged against only the columns a plan needs, so the
+        # split would depend on the projection.
         if null_marker is not None:
             opts["nullValue"] = null_marker
         fields = T.StructType(_string_schema(schema, False).fields + [T.StructField(CORRUPT, T.StringType())])
         raw = (
             spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).schema(fields).csv(path)
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").schema(fields).csv(path)
         )
         csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "nullValue")}
         wide = F.from_csv(F.col(CORRUPT), _string_schema(schema, True).simpleString(), csv_opts)

@@ -74,3 +74,10 @@ def test_infer_schema(spark, tmp_dir):
     p = write(tmp_dir, "a.csv", "a,b\n1,x\n2,y\n")
     df, _ = REC.read_delimited(spark, p, None, skip_leading_rows=1)
     assert dict(df.dtypes) == {"a": "int", "b": "string"}
+
+
+def test_split_does_not_depend_on_projection(spark, tmp_dir):
+    p = write(tmp_dir, "a.tsv", "1\tx\n2\n3\ty\tz\n4\t\n")
+    good, bad = REC.read_delimited(spark, p, SCHEMA, field_delimiter="tab")
+    assert good.count() == len(good.collect()) == good.select("a").count() == 2
+    assert bad.count() == len(bad.collect()) == 2
