@@ -35,16 +35,45 @@ def get_session(master: str = "local[8]", app: str = "postroom", **conf) -> Spar
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL settings we depend on in an existing session."""
+    """Set the runtime SQL settings we depend on in an existing session,
+    and make this package importable by the session's Python workers."""
     for k, v in DEFAULTS.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf: leave as the cluster set it
             pass
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (``addPyFile`` of
+    a zip, once per SparkContext): functions run by ``mapInPandas`` and
+    pandas UDFs are pickled by reference to their modules."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="postroom-pkg-"), "postroom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
