@@ -14,13 +14,13 @@ from postroom.sources.messages import urlsafe_b64encode
 
 # --- fixed values -----------------------------------------------------------
 # Sender domains of the stand-in messages, picked by user id.
-SENDER_DOMAINS = ("coupa.com", "midtrans.com", "mail.example.com", "bank.example.org")
+SENDER_DOMAINS = ("procure.example.com", "payments.example.net", "mail.example.com", "bank.example.org")
 RECIPIENT = "finance@example.com"
 # Job documents routed over ``events``. 2024-01-01 is
 # epoch 1704067200; the second window is read with the jobs' -7 h offset.
 JOBS = (
-    {"job": "po_spending", "from": "coupa.com", "subject": "purchase", "attachment": "true", "source": "attachment", "file_pattern": "*bolt", "mime_type": "SMALL"},
-    {"job": "transaction_share", "from": "midtrans.com", "subject": "*click*", "after": 1704067200, "before": 1704931200, "source": "url_in_body", "url_xpath": "//li/a"},
+    {"job": "po_spending", "from": "procure.example.com", "subject": "purchase", "attachment": "true", "source": "attachment", "file_pattern": "*bolt", "mime_type": "SMALL"},
+    {"job": "transaction_share", "from": "payments.example.net", "subject": "*click*", "after": 1704067200, "before": 1704931200, "source": "url_in_body", "url_xpath": "//li/a"},
     {"job": "error_digest", "label": "error", "after": 1704067200 - 25200, "before": 1704067200 + 5 * 86400 - 25200, "source": "url_in_body", "url_xpath": "//li/a"},
     {"job": "views", "subject": "view", "source": "attachment", "file_pattern": "^(red|blue) *", "mime_type": None},
     {"job": "bank", "from": "BANK.example", "to": "finance", "source": "body", "file_pattern": "hot.*(gear|gizmo)|ring$"},

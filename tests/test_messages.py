@@ -73,14 +73,14 @@ def test_decode_payload(spark):
 
 def test_route_and_attachments(spark):
     m = spark.createDataFrame(
-        [("1", "2024-01-01 10:00:00", "Billing@Coupa.com", "fin@x", "PO Spending weekly", ["L1"], True),
-         ("2", "2024-01-03 10:00:00", "noreply@midtrans.com", "fin@x", "Transaction share csv download", [], False),
-         ("3", "2023-12-31 23:00:00", "noreply@midtrans.com", "fin@x", "Transaction share csv download", [], False)],
+        [("1", "2024-01-01 10:00:00", "Billing@Procure.Example.com", "fin@x", "PO Spending weekly", ["L1"], True),
+         ("2", "2024-01-03 10:00:00", "noreply@payments.example.net", "fin@x", "Transaction share csv download", [], False),
+         ("3", "2023-12-31 23:00:00", "noreply@payments.example.net", "fin@x", "Transaction share csv download", [], False)],
         "message_id string, ts string, sender string, recipient string, subject string, label_ids array<string>, has_attachment boolean",
     ).withColumn("internal_ts", F.col("ts").cast("timestamp_ntz"))
     jobs = [
-        {"job": "po", "from": "coupa.com", "subject": "PO Spending", "attachment": "true", "file_pattern": "NPO_Spending_*"},
-        {"job": "mid", "from": "noreply@midtrans.com", "subject": "*csv download*", "after": 1704067200, "before": 1704067200 + 3 * 86400},
+        {"job": "po", "from": "procure.example.com", "subject": "PO Spending", "attachment": "true", "file_pattern": "NPO_Spending_*"},
+        {"job": "mid", "from": "noreply@payments.example.net", "subject": "*csv download*", "after": 1704067200, "before": 1704067200 + 3 * 86400},
         {"job": "lab", "label": "L1", "file_pattern": "*.csv", "mime_type": "text/csv"},
     ]
     routed = R.route_messages(m, jobs)
