@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,7 +61,6 @@ def fold_accents(c) -> Column:
 
 def fold_accents_nfkd(c) -> Column:
     """E7 for any script: exact NFKD fold in an Arrow-batched pandas UDF."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def _fold(s: pd.Series) -> pd.Series:

@@ -106,3 +106,37 @@ def test_cell_values_fixture(spark):
     df = spark.createDataFrame([r[:3] for r in rows], "header string, ctype int, raw string")
     got = [r[0] for r in df.select(cell_value(F.col("raw"), F.col("ctype"), F.col("header"), round_numbers=True)).collect()]
     assert got == [r[3] for r in rows]
+
+
+def test_fold_accents_nfkd(spark):
+    assert one(spark, ["ﬁancé Ångström ß", None], X.fold_accents_nfkd) == ["fiance Angstrom ß", None]
+
+
+def test_load_schema_file(spark, tmp_dir):
+    import json
+    import os
+
+    from pyspark.sql import types as T
+
+    from postroom.operators.schema import cast_to_schema, load_schema, schema_json
+
+    spec = [
+        {"name": "a", "type": "INTEGER", "mode": "REQUIRED"},
+        {"name": "b", "type": "FLOAT64"},
+        {"name": "c", "type": "DATE"},
+        {"name": "d", "type": "DATETIME"},
+        {"name": "e", "type": "BOOLEAN"},
+        {"name": "f", "type": "GEOGRAPHY", "policyTags": {"names": ["x"]}},
+    ]
+    path = os.path.join(tmp_dir, "schema.json")
+    with open(path, "w") as fh:
+        json.dump(spec, fh)
+    schema, required = load_schema(path)
+    assert [f.dataType for f in schema.fields] == [T.LongType(), T.DoubleType(), T.DateType(), T.TimestampNTZType(), T.BooleanType(), T.StringType()]
+    assert required == ["a"]
+    assert [f["type"] for f in schema_json(schema, required)] == ["INTEGER", "FLOAT", "DATE", "DATETIME", "BOOLEAN", "STRING"]
+    df = spark.createDataFrame([("1", "2.5", "2024-01-31", "2024-01-31 10:00:00", "yes", "p"), ("x", "", "2024-02-30", None, "maybe", None)],
+                               "a string, b string, c string, d string, e string, f string")
+    good, bad = cast_to_schema(df, schema, on_error="split")
+    assert good.count() == 1
+    assert bad.first()["_errors"] == ["a", "c", "e"]
