@@ -8,13 +8,13 @@ Input is the element table of the bodies (X1). Per document: the first
 per id. A document with a paragraph that cannot be parsed goes to the
 error split with the reason, and gives no records.
 
-Plan: one partial+final aggregate per document for the header facts and
-the error flags, one join of the ``NOT FOUND`` paragraphs to it, explode.
+Plan: the paragraphs are shuffled once by document; the header facts and
+error flags are window aggregates over each document; explode the ids.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postroom.functions.names import py_strip
@@ -38,18 +38,29 @@ def _ts_or(c: Column, run_date: Column) -> Column:
 def parse_discrepancies(elements: DataFrame, run_date, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Returns ``(records, errors)``: records ``(id, checking_timestamp,
     unmatched_timestamp, discrepancy_description, transaction_id)``, errors
-    ``(id, reason)``."""
+    ``(id, reason)``.
+
+    One shuffle: the ``//div/p`` paragraphs are partitioned by document and
+    the document's facts (result text, error flags) are window aggregates
+    over that partition, so the element table is produced once and no join
+    is needed. A partition holds one document's paragraphs, bounded by the
+    size of that one document.
+    """
     run_date = run_date if isinstance(run_date, Column) else F.lit(run_date)
     paras = select_elements(elements, PARAGRAPH_PATH).select(id_col, "ord", "text", F.get(F.col("texts"), 0).alias("first_text"))
     is_result = F.coalesce(F.col("first_text").contains(RESULT_MARK), F.lit(False))
     is_line = F.coalesce(F.col("text").contains(NOT_FOUND), F.lit(False))
     n_colon = F.size(F.split(F.col("text"), ":")) - 1
-    facts = paras.groupBy(id_col).agg(
-        F.min_by("text", F.when(is_result, F.col("ord"))).alias("result_text"),
-        F.max(is_result.cast("int")).alias("has_result"),
-        F.max(F.col("text").isNull().cast("int")).alias("null_text"),
-        F.max((is_line & (n_colon != 1)).cast("int")).alias("bad_line"),
-        F.max(is_line.cast("int")).alias("has_line"),
+    doc = Window.partitionBy(id_col)
+    facts = paras.select(
+        id_col,
+        "text",
+        is_line.alias("is_line"),
+        F.min_by("text", F.when(is_result, F.col("ord"))).over(doc).alias("result_text"),
+        F.max(is_result.cast("int")).over(doc).alias("has_result"),
+        F.max(F.col("text").isNull().cast("int")).over(doc).alias("null_text"),
+        F.max((is_line & (n_colon != 1)).cast("int")).over(doc).alias("bad_line"),
+        F.max(is_line.cast("int")).over(doc).alias("has_line"),
     )
     halves = F.split(F.col("result_text"), RESULT_SPLIT)
     reason = (
@@ -60,20 +71,21 @@ def parse_discrepancies(elements: DataFrame, run_date, id_col: str = "doc_id") -
         .when(F.col("bad_line") == 1, F.lit("NOT FOUND paragraph without exactly one ':'"))
         .when(F.col("has_line") == 0, F.lit("no NOT FOUND paragraph"))
     )
-    facts = facts.select(
+    tagged = facts.select(
         id_col,
+        "text",
+        "is_line",
         reason.alias("reason"),
         _ts_or(F.get(halves, 0), run_date).alias("checking_timestamp"),
         _ts_or(F.get(halves, 1), run_date).alias("unmatched_timestamp"),
     )
-    errors = facts.where(F.col("reason").isNotNull()).select(id_col, "reason")
-    good = facts.where(F.col("reason").isNull()).drop("reason")
-    lines = paras.where(is_line).select(id_col, F.split(py_strip("text"), ":").alias("kv"))
-    records = lines.join(good, id_col).select(
+    errors = tagged.where(F.col("reason").isNotNull()).select(id_col, "reason").dropDuplicates([id_col])
+    kv = F.split(py_strip("text"), ":")
+    records = tagged.where(F.col("reason").isNull() & F.col("is_line")).select(
         id_col,
         "checking_timestamp",
         "unmatched_timestamp",
-        F.substring(py_strip(F.get(F.col("kv"), 0)), DESCRIPTION_SKIP + 1, 1 << 30).alias("discrepancy_description"),
-        F.explode(F.split(py_strip(F.get(F.col("kv"), 1)), ",")).alias("transaction_id"),
+        F.substring(py_strip(F.get(kv, 0)), DESCRIPTION_SKIP + 1, 1 << 30).alias("discrepancy_description"),
+        F.explode(F.split(py_strip(F.get(kv, 1)), ",")).alias("transaction_id"),
     ).withColumn("transaction_id", py_strip("transaction_id"))
     return records, errors

@@ -569,10 +569,9 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dest = work_path(spark, "orders-rejects")
     o.select(line.alias("value")).write.text(dest)
-    good, bad = REC.read_delimited(spark, dest, ORDER_FULL_SCHEMA, field_delimiter="tab")
-    ok = good.select("o_orderkey", F.lit("ok").alias("status"))
-    rejected = bad.select(F.split("_raw", "\t").getItem(0).cast("long").alias("o_orderkey"), F.col("_reason").alias("status"))
-    return ok.unionByName(rejected)
+    rows = REC.read_delimited(spark, dest, ORDER_FULL_SCHEMA, field_delimiter="tab", on_error="tag")
+    key = F.coalesce(F.col("o_orderkey"), F.split("_raw", "\t").getItem(0).try_cast("long"))
+    return rows.select(key.alias("o_orderkey"), F.coalesce("_reason", F.lit("ok")).alias("status"))
 
 
 def discrepancy_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

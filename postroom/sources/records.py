@@ -91,8 +91,9 @@ def read_delimited(
     """S5 (S5a-S5g), E19. Without a schema the types are inferred.
 
     Returns ``(good, bad)`` for ``on_error='split'`` (bad rows carry
-    ``_raw`` and ``_reason``), the good rows for ``'drop'``, and for
-    ``'fail'`` the good rows after checking there is no bad row.
+    ``_raw`` and ``_reason``), the good rows for ``'drop'``, for ``'fail'``
+    the good rows after checking there is no bad row, and for ``'tag'``
+    every row (typed values, ``_raw``, ``_reason``) from one scan.
     """
     sep = _sep(field_delimiter)
     skip = int(skip_leading_rows or 0)
@@ -133,6 +134,8 @@ def read_delimited(
     tagged = strings.withColumn("_v", values)
     tagged = tagged.withColumn("_reason", _classify(F.col("_shape"), F.col("_v"), schema, ignore_unknown_values, allow_jagged_rows))
     typed = [F.col("_v")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if on_error == "tag":
+        return tagged.select(*typed, F.col("_line").alias("_raw"), "_reason")
     good = tagged.where(F.col("_reason").isNull()).select(*typed)
     bad = tagged.where(F.col("_reason").isNotNull()).select(F.col("_line").alias("_raw"), "_reason")
     return _finish(good, bad, on_error)
