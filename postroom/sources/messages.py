@@ -46,7 +46,6 @@ PART = T.StructType(
 )
 PARTS = T.ArrayType(PART)
 
-PART_COLUMNS = ["message_id", "depth", "path", "filename", "mime_type", "size", "data", "attachment_id", "has_more"]
 
 
 def scan_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

@@ -76,3 +76,14 @@ def test_attach_password(spark):
     files = spark.createDataFrame([("m1", "a.zip"), ("m1", "b.zip"), ("m2", "c.zip")], "message_id string, file_name string")
     got = sorted((r.file_name, r.zip_password) for r in attach_password(files, pw).collect())
     assert got == [("a.zip", "pw2"), ("b.zip", "pw2"), ("c.zip", None)]
+
+
+def test_link_fast_path_equals_parser_on_pages(spark):
+    from pyspark.sql import functions as F
+
+    from postroom.sources.html import link_fast_path
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(F.col("page_id").alias("doc_id"), "html")
+    fast = link_fast_path(pages, "doc_id", "html", r'<li><a href="([^"]*)"')
+    parsed = H.extract_links(pages, "//li/a")
+    assert sorted(tuple(r) for r in fast.collect()) == sorted(tuple(r) for r in parsed.collect())
