@@ -118,3 +118,31 @@ def test_order_by_receive_time(spark):
     m = spark.createDataFrame([("b", "2024-01-02 00:00:00"), ("a", "2024-01-02 00:00:00"), ("c", "2024-01-01 00:00:00")],
                               "message_id string, t string").withColumn("internal_ts", F.col("t").cast("timestamp_ntz"))
     assert [r.message_id for r in R.order_by_receive_time(m).collect()] == ["c", "a", "b"]
+
+
+def test_scan_messages_and_window_pushdown(spark, tmp_dir):
+    import io
+    import os
+    from contextlib import redirect_stdout
+
+    rows = [
+        {"message_id": "1", "internal_ts": "2024-01-01T10:00:00", "sender": "a@procure.example.com", "recipient": "f@x",
+         "subject": "PO Spending", "label_ids": ["L"], "has_attachment": True, "payload": "{}"},
+        {"message_id": "2", "internal_ts": "2024-01-05T10:00:00", "sender": "a@procure.example.com", "recipient": "f@x",
+         "subject": "PO Spending", "label_ids": [], "has_attachment": True, "payload": "{}"},
+    ]
+    src = os.path.join(tmp_dir, "messages.json")
+    with open(src, "w") as fh:
+        fh.write("\n".join(json.dumps(r) for r in rows))
+    m = M.scan_messages(spark, src)
+    pq = os.path.join(tmp_dir, "messages.parquet")
+    m.write.parquet(pq)
+    window = {"after": 1704067200, "before": 1704067200 + 86400}
+    jobs = [{"job": "a", "from": "procure.example.com", **window}, {"job": "b", "subject": "PO", **window}]
+    routed = R.route_messages(M.scan_messages(spark, pq, fmt="parquet"), jobs)
+    assert sorted((r.message_id, r.job) for r in routed.collect()) == [("1", "a"), ("1", "b")]
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        routed.explain("formatted")
+    pushed = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PushedFilters")]
+    assert pushed and "internal_ts" in pushed[0]
