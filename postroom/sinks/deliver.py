@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postroom.sinks.tables import load_table, write_delimited, write_files
+from postroom.sinks.tables import load_table, write_blobs, write_delimited, write_files
 
 STATUS_SCHEMA = T.StructType(
     [
@@ -35,10 +35,46 @@ def _deliver_one(df: DataFrame, ch: Mapping) -> None:
     elif kind == "table":
         load_table(df, ch["dir"], ch.get("load_method", "append"), ch.get("partition"), ch.get("path_col"),
                    ch.get("keys"), ch.get("clustering_fields"))
+    elif kind == "blobs":
+        failed = write_blobs(df, ch["dir"]).where(F.col("error").isNotNull()).select("error").limit(1).collect()
+        if failed:
+            raise OSError(failed[0]["error"])
+    elif kind == "records":
+        _load_records(df, ch)
     else:
         raise ValueError(f"unknown protocol {kind!r}")
 
 
+def _load_records(files: DataFrame, ch: Mapping) -> None:
+    """A table load from file rows, as the reference loads delivered files:
+    the files are staged under the shared work folder, read as delimited or
+    JSON records against the channel's schema (any bad row fails the load),
+    and loaded by the channel's method and partition rule (the partition
+    regex sees each staged file's path)."""
+    from postroom.operators.schema import load_schema
+    from postroom.session import work_path
+    from postroom.sources.records import read_records
+
+    spark = files.sparkSession
+    stage = work_path(spark, "stage")
+    write_blobs(files, stage).count()
+    schema = load_schema(ch["schema"])[0] if ch.get("schema") else None
+    opts = {k: ch[k] for k in ("field_delimiter", "skip_leading_rows", "allow_quoted_newlines", "ignore_unknown_values",
+                               "allow_jagged_rows", "null_marker", "quote_character") if ch.get(k) is not None}
+    fmt = ch.get("format", "csv")
+    if str(fmt).lower() == "json":
+        recs = read_records(spark, stage, "json", schema)
+    else:
+        recs = read_records(spark, stage, fmt, schema, on_error="fail" if schema is not None else "drop", **opts)
+    recs = recs.withColumn("_file_path", F.col("_metadata.file_path"))
+    part = ch.get("partition")
+    out = recs if (part and str(part).startswith("regex:")) else recs.drop("_file_path")
+    dest = ch.get("dir") or ch["table_id"]
+    load_table(out, dest, ch.get("load_method") or "append", part, "_file_path", ch.get("keys"), ch.get("clustering_fields"))
+    if "_file_path" in out.columns:
+        pass
+
+
 def fan_out(df: DataFrame, channels: Sequence[Mapping] | Mapping) -> DataFrame:
     """The same data to every channel; a failing channel does not stop
     the others. The input is persisted once (memory and disk, so a lost

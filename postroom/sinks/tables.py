@@ -223,3 +223,44 @@ def split_partition_suffix(table_id: str) -> tuple[str, str | None]:
     """``name$YYYYMMDD`` to ``(name, 'YYYYMMDD')``."""
     m = _TABLE_NAME.search(table_id)
     return (table_id[: m.start()], m.group(1)) if m else (table_id, None)
+
+
+BLOB_STATUS = T.StructType(
+    [
+        T.StructField("file_name", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
+
+def write_blobs(files: DataFrame, dest: str, name_col: str = "file_name", content_col: str = "content") -> DataFrame:
+    """K1 for file rows: each row's bytes become the file ``dest/<name>``.
+
+    Tasks write their own rows through ``pyarrow.fs`` (local, HDFS, S3,
+    GCS by URI), so the work splits over the files and a retried task just
+    rewrites the same files. Returns one status row per file (lazy: run an
+    action on it, e.g. ``count``, to deliver)."""
+    import pandas as pd
+
+    base = dest.rstrip("/")
+
+    def run(batches):
+        from pyarrow import fs as pafs
+
+        filesystem, root = pafs.FileSystem.from_uri(base if "://" in base else "file://" + (base[5:] if base.startswith("file:") else base))
+        filesystem.create_dir(root, recursive=True)
+        for pdf in batches:
+            out = []
+            for name, data in zip(pdf[name_col].tolist(), pdf[content_col].tolist()):
+                path = f"{root}/{name}"
+                try:
+                    with filesystem.open_output_stream(path) as fh:
+                        fh.write(bytes(data))
+                    out.append((name, path, len(data), None))
+                except Exception as e:  # reported per file
+                    out.append((name, path, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pd.DataFrame(out, columns=[f.name for f in BLOB_STATUS.fields])
+
+    return files.select(name_col, content_col).mapInPandas(run, BLOB_STATUS)
