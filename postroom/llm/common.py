@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from postroom.session import apply_defaults, work_path
 CHUNK_CHARS = 1_500_000
 #: Rows up to which a side made of a few numbers a row is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -72,3 +74,40 @@ def code_points(texts: Iterable[str], sentinel: int) -> tuple[str, np.ndarray, n
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
     codes[ends] = sentinel
     return joined, codes, ends
+
+
+def same(joined: str, codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each piece that equal pieces share, and the first piece with each number.
+    Pieces are put together by a 64-bit hash, then compared with the first one code by code."""
+    if not len(begin):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    piece = np.repeat(np.arange(len(begin)), size)
+    inside = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size)
+    own = codes[begin[piece] + inside]
+    power = np.cumprod(np.full(int(size.max()), MULTIPLIER))
+    hashed = np.add.reduceat((own + np.uint64(1)) * power[inside], np.cumsum(size) - size)
+    hashed ^= hashed >> np.uint64(29)
+    kind, distinct = pd.factorize(hashed)
+    first = np.empty(len(distinct), np.int64)
+    first[kind[::-1]] = np.arange(len(kind))[::-1]
+    chosen = first[kind]
+    if not (np.array_equal(size[chosen], size) and np.array_equal(codes[begin[chosen][piece] + inside], own)):
+        kind, _ = pd.factorize(np.array([joined[a : a + n] for a, n in zip(begin.tolist(), size.tolist())], object))
+        first = np.unique(kind, return_index=True)[1]
+    return kind, first
+
+
+class Words:
+    """All words ``[^\\x20\\x09-\\x0D]+`` of a list of texts: where they begin, their size, the number
+    of their text, and a number for each that equal words share."""
+
+    SENTINEL = 0x110000
+
+    def __init__(self, texts: list[str]):
+        self.joined, self.codes, self.ends = code_points(texts, self.SENTINEL)
+        gap = (self.codes == 0x20) | ((self.codes >= 0x09) & (self.codes <= 0x0D)) | (self.codes == self.SENTINEL)
+        edge = np.diff(np.concatenate([[True], gap]).astype(np.int8))
+        self.begin = np.flatnonzero(edge == -1)
+        self.size = np.flatnonzero(edge == 1) - self.begin
+        self.text_of = np.searchsorted(self.ends, self.begin)
+        self.kind, self.first = same(self.joined, self.codes, self.begin, self.size)

@@ -10,9 +10,8 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 
-from postroom.llm.common import code_points
+from postroom.llm.common import code_points, same
 
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
 SENTINEL = 0x110000
@@ -23,7 +22,6 @@ WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(1)
@@ -57,7 +55,7 @@ class Pieces:
         real = codes[begin] != SENTINEL
         begin, size = begin[real], size[real]
         self.text_of = np.searchsorted(ends, begin)
-        self.kind, first = _same(joined, codes, begin, size)
+        self.kind, first = same(joined, codes, begin, size)
         self.distinct = [joined[a:b] for a, b in zip(begin[first].tolist(), (begin + size)[first].tolist())]
 
     def strings(self) -> list[str]:
@@ -88,27 +86,6 @@ def _starts(codes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def _same(joined: str, codes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each piece that equal pieces share, and the first piece with each number.
-    Pieces are put together by a 64-bit hash, then compared with the first one code by code."""
-    if not len(begin):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    piece = np.repeat(np.arange(len(begin)), size)
-    inside = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size)
-    own = codes[begin[piece] + inside]
-    power = np.cumprod(np.full(int(size.max()), MULTIPLIER))
-    hashed = np.add.reduceat((own + np.uint64(1)) * power[inside], np.cumsum(size) - size)
-    hashed ^= hashed >> np.uint64(29)
-    kind, distinct = pd.factorize(hashed)
-    first = np.empty(len(distinct), np.int64)
-    first[kind[::-1]] = np.arange(len(kind))[::-1]
-    chosen = first[kind]
-    if not (np.array_equal(size[chosen], size) and np.array_equal(codes[begin[chosen][piece] + inside], own)):
-        kind, _ = pd.factorize(np.array([joined[a : a + n] for a, n in zip(begin.tolist(), size.tolist())], object))
-        first = np.unique(kind, return_index=True)[1]
-    return kind, first
-
-
 def units(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Texts cut at the special string, which the library takes as one token by default, and for
     each part the number of its text."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from postroom.llm.packing import op5_best_fit_packing
+from postroom.llm.quality_rules import op2_quality_rules
 from postroom.llm.token_counts import op4_token_counts
 
-QUERIES = {q.__name__: q for q in (op4_token_counts,)}
+QUERIES = {q.__name__: q for q in (op2_quality_rules, op4_token_counts, op5_best_fit_packing)}
 ORACLE: dict[str, str] = {}
