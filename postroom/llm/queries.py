@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from postroom.llm.chat import OP9_SQL, op9_chat_formatting
 from postroom.llm.packing import op5_best_fit_packing
 from postroom.llm.quality_rules import op2_quality_rules
+from postroom.llm.simhash import op8_simhash_near_dedup
 from postroom.llm.token_counts import op4_token_counts
 
-QUERIES = {q.__name__: q for q in (op2_quality_rules, op4_token_counts, op5_best_fit_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (op2_quality_rules, op4_token_counts, op5_best_fit_packing, op8_simhash_near_dedup, op9_chat_formatting)}
+ORACLE: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
