@@ -99,12 +99,14 @@ def windows(
         return F.when(held <= history_tokens, c("pos") - k)
 
     spans = spans.withColumn("reach", F.least("pos", *[earlier(k) for k in range(1, history_turns + 1)]))
+    spans = spans.withColumns({f"later{k}": later(k) for k in range(1, history_turns + 1)})
     led = c("first") & c("system").isNotNull() & (c("system.pos") < c("reach"))
+
     def copy(to: Column, part: int, pos: Column, role: Column, body: Column) -> Column:
         return F.struct(to.cast("int").alias("window"), F.lit(part).alias("part"), pos.alias("pos"), role.alias("role"), body.alias("body"))
 
     copies = [copy(c("window"), 2, c("pos"), c("role"), c("body"))]
-    copies += [copy(later(k), 1, c("pos"), c("role"), c("body")) for k in range(1, history_turns + 1)]
+    copies += [copy(c(f"later{k}"), 1, c("pos"), c("role"), c("body")) for k in range(1, history_turns + 1)]
     copies += [copy(F.when(led, c("pos")), 0, c("system.pos"), c("system.role"), c("system.body"))]
     rows = spans.select("conv_id", F.explode(F.filter(F.array(*copies), lambda x: x["window"].isNotNull())).alias("g"))
     opened = F.concat(F.lit(OPEN), escape_role(c("g.role")), F.lit(ENDS)).alias("open")
