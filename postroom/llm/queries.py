@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from postroom.llm.chat import OP9_SQL, op9_chat_formatting
 from postroom.llm.packing import op5_best_fit_packing
+from postroom.llm.perplexity import op1_quality_classifier
 from postroom.llm.quality_rules import op2_quality_rules
 from postroom.llm.simhash import op8_simhash_near_dedup
 from postroom.llm.token_counts import op4_token_counts
 from postroom.llm.toxicity import op3_toxicity
 
-QUERIES = {q.__name__: q for q in (op2_quality_rules, op3_toxicity, op4_token_counts, op5_best_fit_packing, op8_simhash_near_dedup, op9_chat_formatting)}
+QUERIES = {q.__name__: q for q in (op1_quality_classifier, op2_quality_rules, op3_toxicity, op4_token_counts, op5_best_fit_packing, op8_simhash_near_dedup, op9_chat_formatting)}
 ORACLE: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
