@@ -1,18 +1,67 @@
-"""A corpus from raw documents to packed sequences, in stages."""
+"""A corpus from raw documents to packed sequences, in stages.
+
+Each stage reads all that its predecessor kept, as a table, and is one operator of ``postroom.llm``;
+all but the last return the columns of ``documents``. Rows without a ``doc_id`` can't be told apart
+by an operator's verdicts: filters keep them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from postroom.llm import common, mixing, packing, perplexity, simhash, toxicity
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` is rejected. The ids go to the documents' tasks
+    while they are counted to be few; beyond that both sides are shuffled."""
+    return docs.join(common.small(common.staged(rejected.select("doc_id").distinct(), "rejected")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    trusted = common.table(spark, sf_dir, "labels").where("quality = 1")
+    return _without(docs, perplexity.quality_classifier(docs, trusted).where("not kept"))
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network finds toxic go."""
+    found = toxicity.toxicity(docs, common.table(spark, sf_dir, "labels"))
+    return _without(docs, found.where("predicted = 1"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; of equal ids the smallest
+    text."""
+    groups = simhash.simhash_groups(docs.where("doc_id is not null"))
+    kept = _without(docs, groups.where("doc_id <> component_id"))
+    # equal ids are equal texts as a rule; those few are told apart by their contents
+    again = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = common.small(common.staged(again, "equal-ids"))
+    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+    several = kept.join(again, "doc_id", "left_semi").select(*docs.columns)
+    first = several.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("r"))
+    return once.unionByName(first.select("doc_id", "r.*").select(*docs.columns))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rates say."""
+    return mixing.mix(docs, mixing.trusted_languages(docs, common.table(spark, sf_dir, "labels")))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences."""
+    return packing.packed_digests(docs)
 
-from postroom.llm import common
 
-STAGES: list = []
+STAGES = [("quality", quality), ("toxicity", toxic), ("near_dedup", near_dedup), ("mixture", mixture), ("packing", packed)]
 #: The stages train models and follow links between documents, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = common.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
