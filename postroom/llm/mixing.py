@@ -238,13 +238,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixture, members = mixture_of(docs, trusted_languages(docs, labels))
     names = np.array([*mixture.domains, None], object)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            p = np.array(frame["posterior"].tolist(), float).reshape(len(frame), -1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = np.array(batch.column("posterior").to_pylist(), float).reshape(len(batch), -1)
             r = mixture.rates(p)
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "tokens": frame["tokens"], "domain": names[p.argmax(1)] if p.shape[1] else None,
-                "rate": r, "copies": copies([None if pd.isna(i) else int(i) for i in frame["doc_id"]], r),
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "tokens": batch.column("tokens"),
+                "domain": pa.array(names[p.argmax(1)] if p.shape[1] else [None] * len(r), pa.string()),
+                "rate": pa.array(r), "copies": pa.array(copies(batch.column("doc_id").to_pylist(), r)),
             })
 
-    return members.mapInPandas(run, "doc_id long, tokens long, domain string, rate double, copies long")
+    return members.mapInArrow(run, "doc_id long, tokens long, domain string, rate double, copies long")

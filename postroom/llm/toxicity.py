@@ -35,6 +35,10 @@ HIDDEN, WORD_DIM, GRAM_DIM, ATTENTION = 12, 12, 16, 8
 STEPS, BATCH, RATE, DECAY = 360, 129, 0.01, 0.05
 #: The part of words that a training step takes for rare ones, so that their grams are learned too.
 RARE = 0.3
+#: Steps at which witnesses and the clean windows that score highest are chosen anew.
+MINED = tuple(STEPS * k // 6 for k in (2, 3, 4, 5))
+#: One in so many texts of the sample is left out of training, to place the threshold.
+HELD_OUT = 5
 THRESHOLD = 0.7
 #: Words whose inputs a worker remembers, and windows that it scores at a time.
 MEMO = 150_000
@@ -184,7 +188,25 @@ def _pieces(words: tuple, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def train(sample: list[tuple[int, list[list[str]]]]) -> Network | None:
-    """A network from texts as (label, windows of words); None without both kinds."""
+    """A network from texts as (label, windows of words); None without both kinds. Its last bias is
+    such that THRESHOLD parts the texts left out of training best."""
+    by_label = [[x for x in sample if x[0] == y] for y in (1, 0)]
+    apart = [x for held in by_label for x in held[HELD_OUT - 1 :: HELD_OUT]]
+    net = learn([x for held in by_label for i, x in enumerate(held) if i % HELD_OUT != HELD_OUT - 1])
+    if net and len({y for y, _ in apart}) == 2:
+        found = Scorer(net).scores([" ".join(w for held in windows for w in held) for _, windows in apart])
+        label = np.array([y for y, _ in apart])
+        logit = np.log(np.clip(found, 1e-9, 1 - 1e-9)) - np.log1p(-np.clip(found, 1e-9, 1 - 1e-9))
+        cuts = np.sort(logit)
+        cuts = np.concatenate([[cuts[0] - 1], (cuts[1:] + cuts[:-1]) / 2, [cuts[-1] + 1]])
+        # a clean text lost weighs more than a toxic one missed
+        worth = np.array([(logit[label == 1] > t).mean() - 3 * (logit[label == 0] > t).mean() for t in cuts])
+        good = cuts[worth >= worth.max() - 1e-9]
+        net.p["out_bias"] += np.float32(np.log(THRESHOLD / (1 - THRESHOLD)) - (good[0] + good[-1]) / 2)
+    return net
+
+
+def learn(sample: list[tuple[int, list[list[str]]]]) -> Network | None:
     if len({label for label, _ in sample}) < 2:
         return None
     seen = [{w for held in windows for w in held} for _, windows in sample]
@@ -235,7 +257,7 @@ def train(sample: list[tuple[int, list[list[str]]]]) -> Network | None:
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     for step in range(1, STEPS + 1):
-        if step in (STEPS // 2, STEPS * 3 // 4):
+        if step in MINED:
             score = score_windows(net, net.project(net.inputs(*words)), at)
             chosen = witnesses(score)
             hard = clean[np.argsort(-score[clean], kind="stable")][:2000]
@@ -335,7 +357,8 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list[
 
 
 def held_out() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    """The rows that labels are not learned from; a null id is none of them."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
