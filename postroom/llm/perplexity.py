@@ -1,12 +1,12 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model is of characters (order ``ORDER``), one per language, from all trusted texts. Its counts
-are sharded by n-gram: every distinct n-gram of the corpus is joined with the counts of its suffixes
-and contexts, which gives its probability, and the probabilities are joined back to the documents.
-
-Documents are not joined n-gram by n-gram but in blocks of about ``BLOCK_CHARS`` characters: a block
-asks once for each distinct n-gram it holds, and meets the answers with its compressed texts. Blocks
-are cut from the same scan twice; a block whose answers don't cover its n-grams fails the job.
+The model is of characters (order ``ORDER``), one per language, from all trusted texts. N-grams are
+sharded by hash, and all exchanges are between blocks of documents and shards of n-grams: a block
+of about ``BLOCK_CHARS`` characters sends each shard its distinct n-grams, packed, once. Shards of the
+trusted texts' n-grams are summed to the model's counts. Shards of all texts' n-grams are joined
+with those counts, order by order, which gives every distinct n-gram its probability; the answers go
+back to the blocks in the order they were asked and meet the compressed texts.
+Blocks are cut from the same scan twice; answers to other n-grams than a block holds fail the job.
 
 A document is rejected if its mean negative log probability, shrunk towards its language's median
 by ``PRIOR_CHARS`` characters, is above the language's threshold: quantile ``HIGH`` of trusted texts
@@ -20,7 +20,10 @@ other columns are never read. Texts of any length are read whole.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,9 @@ from pyspark.sql import functions as F
 from postroom.llm import common
 
 ORDER = 5
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 32_000_000
+#: Shards of n-grams; partitions of the scan whose blocks meet a shard in one task.
+SHARDS, PART_PARTITIONS = 128, 256
 HIGH, MARGIN = 0.99, 2.0
 PRIOR_CHARS = 200
 #: One in so many trusted texts is held out for the thresholds; the least number a language needs.
@@ -42,9 +47,9 @@ HELD_OUT, LEAST_HELD = 5, 30
 BEFORE, AFTER = "\x02", "\x03"
 
 
-class Block:
-    """The n-grams of some texts: ``grams`` distinct ones as (language, string), ``kind`` the
-    number of each place's n-gram, ``text_of`` its text."""
+class Grams:
+    """The n-grams of some texts: ``grams`` distinct ones, ``langs`` their languages, ``shards`` their
+    shards, ``kind`` the number of each place's n-gram, ``text_of`` its text."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         joined = "".join(f"{BEFORE * (ORDER - 1)}{t}{AFTER}" for t in texts)
@@ -69,42 +74,96 @@ class Block:
         first = np.empty(len(distinct), np.int64)
         first[self.kind[::-1]] = np.arange(len(self.kind))[::-1]
         ends = last[first]
-        self.langs = names[lang[self.text_of[first]]]
+        of = lang[self.text_of[first]]
+        self.langs = names[of].tolist()
         self.grams = [joined[i - ORDER + 1 : i + 1] for i in ends.tolist()]
+        mixed = np.array([zlib.crc32(x.encode()) for x in names], np.uint64)[of]
+        for k in range(ORDER):
+            mixed = (mixed ^ codes[ends - k]) * common.MULTIPLIER
+            mixed ^= mixed >> np.uint64(29)
+        self.shards = (mixed % np.uint64(SHARDS)).astype(np.int64)
+
+
+def batches_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, Iterator[tuple[list, ...]]]]:
+    """Numbered blocks, each as an iterator of chunks that must be taken to its end; a block's
+    number is the scan's partition and the block's place in it."""
+    at, first = columns.index("text"), TaskContext.get().partitionId() << 32
+    source = (part for batch in batches for part in common.chunks(batch, columns))
+    state = {"next": next(source, None)}
+
+    def block() -> Iterator[tuple[list, ...]]:
+        chars = 0
+        while state["next"] is not None and (not chars or chars < BLOCK_CHARS):
+            part = state["next"]
+            yield part
+            chars += 1 + sum(map(len, part[at]))
+            state["next"] = next(source, None)
+
+    while state["next"] is not None:
+        yield first, block()
+        first += 1
+
+
+def packed(number: int, counts: dict[tuple[int, str, str], int], values: bool) -> Iterator[dict]:
+    """A row for each shard: its n-grams, sorted, as one compressed string, with the number of each
+    language's; and their counts."""
+    for shard, keys in groupby(sorted(counts), key=lambda k: k[0]):
+        held = list(keys)
+        langs = Counter(k[1] for k in held)
+        row = {
+            "shard": shard, "part": (number >> 32) // PART_PARTITIONS, "block": number, "langs": sorted(langs),
+            "sizes": [langs[x] for x in sorted(langs)], "grams": zstandard.compress("".join(k[2] for k in held).encode(), 5),
+        }
+        if values:
+            row["n"] = zstandard.compress(np.array([counts[k] for k in held], np.int64).tobytes(), 5)
+        yield row
+
+
+def unpacked(row) -> tuple[list[str], list[str]]:
+    """Languages and n-grams of a packed row."""
+    joined = zstandard.decompress(row.grams).decode()
+    langs = [x for x, n in zip(row.langs, row.sizes) for _ in range(n)]
+    return langs, [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, tuple[list, ...]]]:
-    """Numbered runs of rows of about BLOCK_CHARS characters; a number is the scan's partition and
-    the run's place in it."""
-    held: tuple[list, ...] = tuple([] for _ in columns)
-    at, number, chars = columns.index("text"), TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        for part in common.chunks(batch, columns, most=BLOCK_CHARS):
-            size = sum(map(len, part[at]))
-            if held[0] and chars + size > BLOCK_CHARS:
-                yield number, held
-                held, number, chars = tuple([] for _ in columns), number + 1, 0
-            for own, more in zip(held, part):
-                own.extend(more)
-            chars += size
-    if held[0]:
-        yield number, held
+PACKED = "shard int, part long, block long, langs array<string>, sizes array<long>, grams binary"
 
 
 def _text_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all rows; counts are summed in each task first."""
+def asked(docs: DataFrame, values: bool = False) -> DataFrame:
+    """The distinct n-grams of each block, packed by shard; with ``values`` also their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (langs, texts) in blocks(batches, ["lang", "text"]):
-            b = Block(texts, langs)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(b.langs, pa.string()), "gram": pa.array(b.grams, pa.string()), "n": pa.array(np.bincount(b.kind), pa.int64())})
+        for number, block in batches_of(batches, ["lang", "text"]):
+            counts: Counter[tuple[int, str, str]] = Counter()
+            for langs, texts in block:
+                g = Grams(texts, langs)
+                n = np.bincount(g.kind).tolist()
+                for key, k in zip(zip(g.shards.tolist(), g.langs, g.grams), n):
+                    counts[key] += k
+            yield pa.RecordBatch.from_pylist(list(packed(number, counts, values)), schema)
+
+    fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())), ("grams", pa.binary())]
+    schema = pa.schema(fields + [("n", pa.binary())] * int(values))
+    return docs.select("lang", "text").mapInArrow(run, PACKED + ", n binary" * int(values))
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """``lang, gram, n`` over all rows; summed by block, by shard and part, then over parts."""
 
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, gram string, n long")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    def add(frame: pd.DataFrame) -> pd.DataFrame:
+        counts: Counter[tuple[str, str]] = Counter()
+        for row in frame.itertuples():
+            n = np.frombuffer(zstandard.decompress(row.n), np.int64).tolist()
+            for key, k in zip(zip(*unpacked(row)), n):
+                counts[key] += k
+        return pd.DataFrame({"lang": [k[0] for k in counts], "gram": [k[1] for k in counts], "n": list(counts.values())})
+
+    summed = asked(docs, values=True).groupBy("shard", "part").applyInPandas(add, "lang string, gram string, n long")
+    return summed.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def model(counts: DataFrame) -> DataFrame:
@@ -112,7 +171,7 @@ def model(counts: DataFrame) -> DataFrame:
     the counts after it, and the count that its discounts leave to the lower order. The empty
     context also has, as own, the number of distinct signs and one for all others."""
     c = F.col
-    orders = [common.staged(counts, "grams-5")]
+    orders = [common.staged(counts, "grams")]
     for k in range(ORDER - 1, 0, -1):
         # in how many different ways the shorter one is continued to the left
         lower = orders[-1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("n"))
@@ -142,60 +201,77 @@ def model(counts: DataFrame) -> DataFrame:
 
 
 def gram_probabilities(grams: DataFrame, known: DataFrame) -> DataFrame:
-    """``lang, gram, logp`` for distinct n-grams by joining all their parts with the model; null
-    for a language without one."""
+    """``grams`` (distinct ``lang, gram``, and other columns) with ``logp``: order by order, the
+    distinct suffixes are joined with their counts, their contexts' and the shorter suffix; null
+    for a language without a model."""
     c = F.col
-    suffixes = [F.struct(F.lit(k).alias("part"), F.substring("gram", ORDER - k + 1, k).alias("key")) for k in range(1, ORDER + 1)]
-    before = [F.struct(F.lit(-k).alias("part"), F.substring("gram", ORDER - k + 1, k - 1).alias("key")) for k in range(1, ORDER + 1)]
-    asked = grams.select("lang", "gram", F.explode(F.array(*suffixes, *before)).alias("p")).select("lang", "gram", "p.*")
-    held = asked.join(known, ["lang", "key"], "left")
-    values = [F.max(F.when(c("part") == k, c("own"))).alias(f"own{k}") for k in range(1, ORDER + 1)]
-    values += [F.max(F.when(c("part") == -k, c(v))).alias(f"{v}{k}") for k in range(1, ORDER + 1) for v in ("total", "back")]
-    values.append(F.max(F.when(c("part") == -1, c("own"))).alias("signs"))
-    found = held.groupBy("lang", "gram").agg(*values)
-    p = 1 / c("signs")
+    wanted = {k: grams.select("lang", F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct() for k in range(1, ORDER)}
+    wanted[ORDER] = grams
+    signs = known.where("key = ''").select("lang", (1 / c("own")).alias("lower"))
+    below: DataFrame | None = None
     for k in range(1, ORDER + 1):
-        seen = F.coalesce(c(f"total{k}"), F.lit(0.0)) > 0
-        p = F.when(seen, (F.coalesce(c(f"own{k}"), F.lit(0.0)) + c(f"back{k}") * p) / c(f"total{k}")).otherwise(p)
-        found = found.withColumn(f"p{k}", p)
-        p = c(f"p{k}")
-    return found.select("lang", "gram", F.log(p).alias("logp"))
+        rows = wanted[k].withColumns({"prefix": F.substring("gram", 1, k - 1), "suffix": F.substring("gram", 2, k - 1)})
+        own = known.where(F.char_length("key") == k).select("lang", c("key").alias("gram"), "own")
+        context = known.where(F.char_length("key") == k - 1).select("lang", c("key").alias("prefix"), "total", "back")
+        rows = rows.join(own, ["lang", "gram"], "left").join(context, ["lang", "prefix"], "left")
+        rows = rows.join(signs, "lang", "left") if below is None else rows.join(below, ["lang", "suffix"], "left")
+        p = (F.coalesce("own", F.lit(0.0)) + c("back") * c("lower")) / c("total")
+        rows = rows.withColumn("p", F.when(F.coalesce("total", F.lit(0.0)) > 0, p).otherwise(c("lower")))
+        below = rows.select("lang", c("gram").alias("suffix"), c("p").alias("lower"))
+    return rows.select(*grams.columns, F.log("p").alias("logp"))
 
 
 def document_log_probabilities(docs: DataFrame, known: DataFrame) -> DataFrame:
     """``doc_id, lang, n_chars, logp`` (of all its signs together) for each row of ``docs``."""
     rows = _text_rows(docs)
+    asks = common.staged(asked(rows), "asked")
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (langs, texts) in blocks(batches, ["lang", "text"]):
-            b = Block(texts, langs)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(b.grams), number)), "lang": pa.array(b.langs, pa.string()), "gram": pa.array(b.grams, pa.string())})
+    def distinct(frame: pd.DataFrame) -> pd.DataFrame:
+        held = {key for row in frame.itertuples() for key in zip(*unpacked(row))}
+        return pd.DataFrame({"shard": frame["shard"].iloc[0], "part": frame["part"].iloc[0], "lang": [k[0] for k in held], "gram": [k[1] for k in held]})
+
+    def answer(asks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        logp = dict(zip(zip(answers["lang"], answers["gram"]), answers["logp"]))
+        out = []
+        for row in asks.itertuples():
+            held = np.array([logp[key] for key in zip(*unpacked(row))], np.float32)
+            out.append((row.block, row.shard, row.langs, row.sizes, row.grams, held.tobytes()))
+        return pd.DataFrame(out, columns=["block", "shard", "langs", "sizes", "grams", "logp"])
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (ids, langs, texts) in blocks(batches, ["doc_id", "lang", "text"]):
-            raw = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.large_string())})
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, raw.schema) as out:
-                out.write_batch(raw)
-            yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "texts": pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary())})
+        for number, block in batches_of(batches, ["doc_id", "lang", "text"]):
+            for place, (ids, langs, texts) in enumerate(block):
+                raw = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.large_string())})
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, raw.schema) as out:
+                    out.write_batch(raw)
+                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "place": pa.array([place], pa.int32()), "texts": pa.array([zstandard.compress(sink.getvalue(), 5)], pa.binary())})
 
     def score(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        logp = dict(zip(zip(answers["lang"], answers["gram"]), answers["logp"]))
+        logp: dict[tuple[str, str], float] = {}
+        for row in answers.itertuples():
+            logp.update(zip(zip(*unpacked(row)), np.frombuffer(row.logp, np.float64).tolist()))
         out = []
         for raw in texts["texts"]:
             held = pa.ipc.open_stream(zstandard.decompress(raw)).read_all().to_pydict()
-            b = Block(held["text"], held["lang"])
+            g = Grams(held["text"], held["lang"])
             # a missing n-gram would be a wrong result: it raises
-            each = np.array([logp[k] for k in zip(b.langs, b.grams)], float)
+            each = np.array([logp[k] for k in zip(g.langs, g.grams)], float)
             n = len(held["doc_id"])
-            out.append(pd.DataFrame({"doc_id": held["doc_id"], "lang": held["lang"], "n_chars": np.bincount(b.text_of, minlength=n), "logp": np.bincount(b.text_of, each[b.kind], n)}))
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": []})
-
-    asked = rows.select("lang", "text").mapInArrow(ask, "block long, lang string, gram string")
-    asked = common.staged(asked, "asked")
-    answers = gram_probabilities(asked.select("lang", "gram").distinct(), known)
-    answered = asked.join(answers, ["lang", "gram"])
-    texts = rows.mapInArrow(shrink, "block long, texts binary")
+            out.append(pa.table({
+                "doc_id": pa.array(held["doc_id"], pa.int64()), "lang": pa.array(held["lang"], pa.string()),
+                "n_chars": pa.array(np.bincount(g.text_of, minlength=n)), "logp": pa.array(np.bincount(g.text_of, each[g.kind], n)),
+            }))
+        return pa.concat_tables(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": []})
+
+    parts = asks.groupBy("shard", "part").applyInPandas(distinct, "shard int, part long, lang string, gram string")
+    # a shard's answers go to each of its parts
+    parts = common.staged(parts, "distinct")
+    answers = gram_probabilities(parts.select("shard", "lang", "gram").distinct(), known)
+    answers = answers.drop("shard").join(parts, ["lang", "gram"])
+    schema = "block long, shard int, langs array<string>, sizes array<long>, grams binary, logp binary"
+    answered = asks.groupBy("shard", "part").cogroup(answers.groupBy("shard", "part")).applyInPandas(answer, schema)
+    texts = rows.mapInArrow(shrink, "block long, place int, texts binary")
     return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double")
 
 
