@@ -234,7 +234,7 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame) -> DataFrame:
         logp = dict(zip(zip(answers["lang"], answers["gram"]), answers["logp"]))
         out = []
         for row in asks.itertuples():
-            held = np.array([logp[key] for key in zip(*unpacked(row))], np.float32)
+            held = np.array([logp[key] for key in zip(*unpacked(row))], np.float64)
             out.append((row.block, row.shard, row.langs, row.sizes, row.grams, held.tobytes()))
         return pd.DataFrame(out, columns=["block", "shard", "langs", "sizes", "grams", "logp"])
 
