@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,9 +15,6 @@ TRUTHY_WORDS_ALT = ("true", "1", "yes", "y")
 # Characters kept by ``strip_reserved`` besides letters, numbers and ``_``
 # (the range ``!-#`` is ``! " #``).
 RESERVED_KEEP = r"\-_. \^&'@\{\}\[\],$=!-#\(\)%+~"
-# Code point ranges folded by ``fold_accents`` (Latin-1 Supplement letters
-# and Latin Extended-A/B); wider input goes through ``fold_accents_nfkd``.
-FOLD_RANGES = ((0x00C0, 0x0250), (0x1E00, 0x1F00))
 # ----------------------------------------------------------------------------
 
 
@@ -30,41 +26,14 @@ def _strip_marks(s: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFKD", s) if not unicodedata.combining(ch))
 
 
-@lru_cache(maxsize=1)
-def _fold_table():
-    """Built by rule from the Unicode database: NFKD, then drop combining
-    marks, for every letter of ``FOLD_RANGES``."""
-    src, dst, multi = [], [], []
-    for lo, hi in FOLD_RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            folded = _strip_marks(ch)
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            else:
-                multi.append((ch, folded))
-    return "".join(src), "".join(dst), tuple(multi)
-
-
 def fold_accents(c) -> Column:
-    """Accented Latin letters to their base letters; combining marks
-    removed. Letters without a decomposition (``ß``) stay as they are."""
-    src, dst, multi = _fold_table()
-    out = F.translate(_col(c), src, dst)
-    for ch, folded in multi:
-        out = F.replace(out, F.lit(ch), F.lit(folded))
-    return F.regexp_replace(out, r"\p{Mn}+", "")
-
-
-def fold_accents_nfkd(c) -> Column:
-    """E7 for any script: exact NFKD fold in an Arrow-batched pandas UDF."""
+    """Compatibility decomposition (NFKD) without combining marks, for
+    every character of Unicode; what has no decomposition (``ß``) stays.
+    Spark has no such function, so this is an Arrow-batched pandas UDF."""
 
     @F.pandas_udf("string")
     def _fold(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else _strip_marks(v))
+        return s.map(lambda v: v if v is None or v.isascii() else _strip_marks(v))
 
     return _fold(_col(c))
 

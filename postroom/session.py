@@ -27,8 +27,6 @@ def get_session(master: str = "local[8]", app: str = "postroom", **conf) -> Spar
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "16g",
-        # one JVM: list partition folders on the driver, not as a job
-        "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
         **conf,
     }
     for k, v in settings.items():
@@ -79,13 +77,16 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is set (local runs, tests) do we make our own.
+    Only when nothing is set in a local run (tests) do we make our own: on a
+    cluster a folder of one machine would not be seen by the others.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             path = tempfile.mkdtemp(prefix="postroom-ckpt-")
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path

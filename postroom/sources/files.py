@@ -20,11 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values -----------------------------------------------------------
-# Largest file a task decodes; larger ones become error rows.
-MAX_FILE_BYTES = 512 * 1024 * 1024
-# ----------------------------------------------------------------------------
-
 MEMBER_SCHEMA = T.StructType(
     [
         T.StructField("member_name", T.StringType()),
@@ -63,10 +58,10 @@ def _members(content: bytes, password: str | None, drop_nested: bool):
     return [(n, data, len(data), None) for n, data in out.items()]
 
 
-def expand_archives(files: DataFrame, content_col: str = "content", password_col: str | None = None, drop_nested: bool = True, max_bytes: int = MAX_FILE_BYTES, keep_failed: bool = False) -> DataFrame:
+def expand_archives(files: DataFrame, content_col: str = "content", password_col: str | None = None, drop_nested: bool = True, keep_failed: bool = False) -> DataFrame:
     """One row per archive member: the file's columns plus
-    ``member_name, content, size, error``. A bad, encrypted-but-no-password
-    or oversized archive gives one row with ``error`` set and no member;
+    ``member_name, content, size, error``. A bad or encrypted-but-no-password
+    archive gives one row with ``error`` set and no member;
     with ``keep_failed`` that row carries the archive's own bytes (T3)."""
     import pandas as pd
 
@@ -76,25 +71,23 @@ def expand_archives(files: DataFrame, content_col: str = "content", password_col
     names = [f.name for f in schema.fields]
 
     def run(batches):
+        # rows leave archive by archive: a task holds one archive's members
         for pdf in batches:
-            rows = []
             for rec in pdf.to_dict("records"):
+                rows = []
                 base = [rec[c] for c in keep]
                 data = rec[content_col]
                 pw = rec.get(password_col) if password_col else None
                 if data is None:
-                    rows.append(base + [None, None, None, "no content"])
+                    yield pd.DataFrame([base + [None, None, None, "no content"]], columns=names)
                     continue
                 kept = bytes(data) if keep_failed else None
-                if len(data) > max_bytes:
-                    rows.append(base + [None, kept, len(data), f"archive larger than {max_bytes} bytes"])
-                    continue
                 try:
                     for m in _members(bytes(data), pw, drop_nested):
                         rows.append(base + list(m))
                 except Exception as e:  # bad archive, wrong password, unsupported method
-                    rows.append(base + [None, kept, len(data), f"{type(e).__name__}: {e}"[:500]])
-            yield pd.DataFrame(rows, columns=names)
+                    rows.append(base + [None, kept, len(data), f"{type(e).__name__}: {e}"])
+                yield pd.DataFrame(rows, columns=names)
 
     return files.select(*in_cols).mapInPandas(run, schema)
 

@@ -8,7 +8,9 @@ the memory unit of a task; the work splits over documents.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -145,16 +147,97 @@ class ElementParser(HTMLParser):
         return self.rows
 
 
-def parse_elements(html: str | None):
-    """Element tuples of one document; a parse failure gives no rows."""
-    if not html:
-        return []
+def parse_document(html: str | None) -> tuple[str, list]:
+    """``ok`` or ``failed`` (no document, or a parser error) and the element
+    tuples of one document."""
+    if html is None:
+        return "failed", []
     p = ElementParser()
     try:
         p.feed(html)
-        return p.finish()
+        return "ok", p.finish()
     except Exception:
-        return []
+        return "failed", []
+
+
+def parse_elements(html: str | None) -> list:
+    """Element tuples of one document; see :func:`parse_document`."""
+    return parse_document(html)[1]
+
+
+_PATH = re.compile(r"^//(?:(?P<parent>[A-Za-z][\w-]*|\*)/)?(?P<tag>[A-Za-z][\w-]*|\*)(?:\[(?P<pred>.*)\])?$")
+_EQ = re.compile(r"""^\s*text\(\)\s*=\s*(?P<q>['"])(?P<v>.*)(?P=q)\s*$""")
+_CONTAINS = re.compile(r"""^\s*contains\(\s*text\(\)\s*,\s*(?P<q>['"])(?P<v>.*)(?P=q)\s*\)\s*$""")
+
+
+class Path(NamedTuple):
+    """``//tag`` or ``//parent/tag`` (``*`` is any), with an optional test
+    of the text: ``eq`` any direct text node, ``contains`` the first."""
+
+    tag: str
+    parent: str | None
+    test: str | None
+    value: str | None
+
+    def matches(self, tag: str, parent: str | None, texts: list) -> bool:
+        if self.tag not in ("*", tag) or (self.parent and (parent is None or self.parent not in ("*", parent))):
+            return False
+        if self.test == "eq":
+            return self.value in texts
+        return self.test is None or bool(texts) and self.value in texts[0]
+
+
+def parse_path(path: str) -> Path:
+    """Unsupported paths raise."""
+    m = _PATH.match(path.strip())
+    if not m:
+        raise ValueError(f"unsupported path: {path}")
+    test = value = None
+    if m["pred"]:
+        eq, contains = _EQ.match(m["pred"]), _CONTAINS.match(m["pred"])
+        if not (eq or contains):
+            raise ValueError(f"unsupported predicate: {m['pred']}")
+        test, value = ("eq", eq["v"]) if eq else ("contains", contains["v"])
+    return Path(m["tag"].lower(), m["parent"] and m["parent"].lower(), test, value)
+
+
+MATCH = T.StructType(
+    [
+        T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("texts", T.ArrayType(T.StringType())),
+        T.StructField("text", T.StringType()),
+        T.StructField("href", T.StringType()),
+    ]
+)
+
+
+def html_matches(docs: DataFrame, path: str, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
+    """X1/X2 in one narrow pass: every column of ``docs`` but the HTML, with
+    ``status`` (``ok`` or ``failed``) and ``matches``, the elements of the
+    path in document order. Only they leave the Python worker."""
+    import pandas as pd
+
+    wanted = parse_path(path)
+    keep = [c for c in docs.columns if c != html_col]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("status", T.StringType()), T.StructField("matches", T.ArrayType(MATCH))])
+
+    def run(batches):
+        for pdf in batches:
+            status, matches = [], []
+            for html in pdf[html_col]:
+                how, rows = parse_document(html)
+                status.append(how)
+                matches.append([
+                    {"attrs": attrs, "texts": texts, "text": text, "href": href}
+                    for _ord, _depth, tag, parent, attrs, texts, text, href in rows
+                    if wanted.matches(tag, parent, texts)
+                ])
+            out = pdf[keep].copy()
+            out["status"] = status
+            out["matches"] = pd.Series(matches, index=out.index, dtype=object)
+            yield out
+
+    return docs.select(*keep, html_col).mapInPandas(run, schema)
 
 
 def html_elements(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:

@@ -55,16 +55,26 @@ def scan_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     return reader.parquet(path) if fmt == "parquet" else reader.json(path)
 
 
-def flatten_parts(messages: DataFrame, max_depth: int = 8, payload: str = "payload") -> DataFrame:
-    """MIME tree to one row per part in level order.
+def payload_depth(messages: DataFrame, payload: str = "payload", least: int = 4) -> int:
+    """A depth that no part of any message exceeds: doubled while some
+    payload still has parts below it (one narrow scan each time)."""
+    depth = least
+    while not messages.where(F.get_json_object(payload, "$" + ".parts[*]" * (depth + 2)).isNotNull()).isEmpty():
+        depth *= 2
+    return depth
+
+
+def flatten_parts(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """MIME tree, however deep, to one row per part in level order.
 
     One narrow pass: each level is a higher-order ``transform`` over the
     previous level's JSON children (kept as separate projected columns so
     the optimizer does not re-parse), then one ``inline``. ``depth`` 0 are
     the top-level parts, ``path`` the child indexes from the root; the
-    order key ``(depth, path)`` is the reference's level order. ``has_more``
-    marks parts at ``max_depth`` whose children were not expanded.
+    order key ``(depth, path)`` is the reference's level order. The number
+    of levels is taken from the messages, so no part is left out.
     """
+    max_depth = payload_depth(messages, payload)
     lvl = F.transform(
         F.coalesce(F.from_json(F.get_json_object(F.col(payload), "$.parts"), PARTS), F.array()),
         lambda p, i: F.struct(F.array(i).alias("path"), p.alias("part")),
@@ -93,7 +103,6 @@ def flatten_parts(messages: DataFrame, max_depth: int = 8, payload: str = "paylo
         F.col("part.body.size").alias("size"),
         F.col("part.body.data").alias("data"),
         F.col("part.body.attachmentId").alias("attachment_id"),
-        ((F.size("path") - 1 == max_depth) & (F.coalesce(F.size(F.from_json("part.parts", PARTS)), F.lit(0)) > 0)).alias("has_more"),
     )
 
 

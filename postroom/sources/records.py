@@ -15,9 +15,11 @@ come from ``try_cast`` in the same pass.
 ``allow_quoted_newlines`` turns on ``multiLine``, which reads each file in
 one task.
 
-More than one leading row has no reader option: each file is read whole
-(``wholetext``) and split by Python's ``csv`` in ``mapInPandas``, one file
-per task, so the file size bounds the task's memory.
+More than one leading row has no reader option: the files are read as
+lines, splittable, and the first lines of each file's first block are
+dropped (``_lines_after``); ``from_csv`` reads the rest. Only with
+``allow_quoted_newlines`` as well is each file read whole by Python's
+``csv``, since then a row is not a line.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXTRA = "_extra"
+PATH = "_path"
 
 
 class LoadError(Exception):
@@ -87,28 +90,36 @@ def read_delimited(
     quote_character: str | None = None,
     on_error: str = "split",
     encoding: str = "UTF-8",
+    path_col: str | None = None,
 ):
     """S5 (S5a-S5g), E19. Without a schema the types are inferred.
 
     Returns ``(good, bad)`` for ``on_error='split'`` (bad rows carry
     ``_raw`` and ``_reason``), the good rows for ``'drop'``, for ``'fail'``
     the good rows after checking there is no bad row, and for ``'tag'``
-    every row (typed values, ``_raw``, ``_reason``) from one scan.
+    every row (typed values, ``_raw``, ``_reason``) from one scan. With
+    ``path_col`` the good rows carry their file's path.
     """
+    carried = [F.col(PATH).alias(path_col)] if path_col else []
     sep = _sep(field_delimiter)
     skip = int(skip_leading_rows or 0)
     opts = {"sep": sep, "encoding": encoding}
     if quote_character is not None:
-        opts["quote"] = quote_character
+        # a quote inside a quoted value is doubled
+        opts |= {"quote": quote_character, "escape": quote_character}
     if allow_quoted_newlines:
         opts["multiLine"] = "true"
     if schema is None:
         if null_marker is not None:
             opts["nullValue"] = null_marker
+        if skip > 1:
+            raise ValueError("more than one leading row needs a schema")
         df = spark.read.options(**opts).option("header", skip >= 1).option("inferSchema", "true").csv(path)
+        if path_col:
+            df = df.withColumn(path_col, F.col("_metadata.file_path"))
         return (df, None) if on_error == "split" else df
 
-    if skip > 1:
+    if skip > 1 and allow_quoted_newlines:
         strings = _read_skipping(spark, path, schema, skip, sep, quote_character or '"')
     else:
         # Every field as text: exactly the declared columns plus the
@@ -121,22 +132,27 @@ def read_delimited(
         if null_marker is not None:
             opts["nullValue"] = null_marker
         fields = T.StructType(_string_schema(schema, False).fields + [T.StructField(CORRUPT, T.StringType())])
-        raw = (
-            spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").schema(fields).csv(path)
-        )
-        csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "nullValue")}
+        if skip > 1:
+            row = F.from_csv("value", fields.simpleString(), opts | {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+            raw = _lines_after(spark, path, skip, encoding).where("value <> ''").select(PATH, row.alias("r")).select(PATH, "r.*")
+        else:
+            raw = (
+                spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").schema(fields).csv(path)
+                .withColumn(PATH, F.col("_metadata.file_path"))
+            )
+        csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "escape", "nullValue")}
         wide = F.from_csv(F.col(CORRUPT), _string_schema(schema, True).simpleString(), csv_opts)
         shape = F.when(F.col(CORRUPT).isNull(), F.lit(None).cast("string")).when(wide[EXTRA].isNotNull(), F.lit("long")).otherwise(F.lit("short"))
         line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n in schema.names]))
-        strings = raw.select(*schema.names, shape.alias("_shape"), line.alias("_line"))
+        strings = raw.select(PATH, *schema.names, shape.alias("_shape"), line.alias("_line"))
     values = F.struct(*[_apply_null_marker(F.col(f.name), null_marker).alias(f.name) for f in schema.fields])
     tagged = strings.withColumn("_v", values)
     tagged = tagged.withColumn("_reason", _classify(F.col("_shape"), F.col("_v"), schema, ignore_unknown_values, allow_jagged_rows))
     typed = [F.col("_v")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
     if on_error == "tag":
         return tagged.select(*typed, F.col("_line").alias("_raw"), "_reason")
-    good = tagged.where(F.col("_reason").isNull()).select(*typed)
+    good = tagged.where(F.col("_reason").isNull()).select(*typed, *carried)
     bad = tagged.where(F.col("_reason").isNotNull()).select(F.col("_line").alias("_raw"), "_reason")
     return _finish(good, bad, on_error)
 
@@ -151,6 +167,17 @@ def _finish(good, bad, on_error):
     return good
 
 
+def _lines_after(spark: SparkSession, path, skip: int, encoding: str = "UTF-8") -> DataFrame:
+    """``_path, value``: the lines of the files but each one's first
+    ``skip``. Row ids of a file's block are consecutive, so the smallest one
+    of its first block (one row a file) tells its leading rows."""
+    lines = spark.read.option("encoding", encoding).text(path).select(
+        "value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+    )
+    first = lines.where("_block = 0").groupBy(PATH).agg(F.min("_row").alias("_first"))
+    return lines.join(first, PATH).where((F.col("_block") > 0) | (F.col("_row") >= F.col("_first") + skip)).select(PATH, "value")
+
+
 def _read_skipping(spark, path, schema, skip, sep, quote) -> DataFrame:
     """Whole files, ``skip`` leading rows dropped, fields as text."""
     import csv
@@ -158,24 +185,24 @@ def _read_skipping(spark, path, schema, skip, sep, quote) -> DataFrame:
 
     import pandas as pd
 
-    names = [f.name for f in schema.fields] + ["_shape", "_line"]
+    names = [f.name for f in schema.fields] + ["_shape", "_line", PATH]
     out_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     n = len(schema.fields)
 
     def run(batches):
         for pdf in batches:
             rows = []
-            for text in pdf["value"].tolist():
+            for text, source in zip(pdf["value"].tolist(), pdf[PATH].tolist()):
                 reader = csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar=quote)
                 for i, rec in enumerate(reader):
                     if i < skip or not rec:
                         continue
                     shape = "long" if len(rec) > n else ("short" if len(rec) < n else None)
                     padded = (list(rec) + [None] * n)[:n]
-                    rows.append(padded + [shape, sep.join(rec)])
+                    rows.append(padded + [shape, sep.join(rec), source])
             yield pd.DataFrame(rows, columns=names)
 
-    return spark.read.text(path, wholetext=True).mapInPandas(run, out_schema)
+    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias(PATH)).mapInPandas(run, out_schema)
 
 
 def read_json_records(spark: SparkSession, path, schema: T.StructType | None = None, array: bool | None = None) -> DataFrame:

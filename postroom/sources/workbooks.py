@@ -158,16 +158,17 @@ def workbook_cells(files: DataFrame, content_col: str = "content", multi: bool =
     names = [f.name for f in schema.fields]
 
     def run(batches):
+        # cells leave workbook by workbook: a task holds one workbook's cells
         for pdf in batches:
-            out = []
             for rec in pdf.to_dict("records"):
+                out = []
                 base = [rec[c] for c in keep]
                 try:
                     for cell in workbook_cells_of(bytes(rec[content_col]), multi):
                         out.append(base + list(cell))
                 except Exception as e:
-                    out.append(base + [None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500]])
-            yield pd.DataFrame(out, columns=names)
+                    out.append(base + [None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"])
+                yield pd.DataFrame(out, columns=names)
 
     return files.select(*keep, content_col).mapInPandas(run, schema)
 

@@ -29,15 +29,18 @@ def incremental_load(
 ) -> int:
     """Process every file not seen before, exactly once per batch id;
     returns when all available files are done (``availableNow``). Returns
-    the number of micro batches that ran."""
+    the number of micro batches that ran. Raises ``TimeoutError``, with the
+    query stopped, when they are not done in ``timeout_s``."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(source_dir)
     sink = sink_dir.rstrip("/")
+    ran: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         fn(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        ran.append(batch_id)
 
     q = (
         stream.writeStream.foreachBatch(write_batch)
@@ -45,9 +48,12 @@ def incremental_load(
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-    return len(progress)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"load not done after {timeout_s} s; {len(set(ran))} batches are written")
+    return len(set(ran))
 
 
 def read_sink(spark: SparkSession, sink_dir: str, schema: T.StructType | None = None) -> DataFrame:

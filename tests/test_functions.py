@@ -108,8 +108,8 @@ def test_cell_values_fixture(spark):
     assert got == [r[3] for r in rows]
 
 
-def test_fold_accents_nfkd(spark):
-    assert one(spark, ["ﬁancé Ångström ß", None], X.fold_accents_nfkd) == ["fiance Angstrom ß", None]
+def test_fold_accents_everywhere(spark):
+    assert one(spark, ["ﬁancé Ångström ß", "ﬁ ② x² ½ Ａ", None], X.fold_accents) == ["fiance Angstrom ß", "fi 2 x2 1⁄2 A", None]
 
 
 def test_load_schema_file(spark, tmp_dir):

@@ -40,11 +40,13 @@ def test_level_order(spark):
     assert order == [[0], [1], [0, 0], [0, 1], [0, 0, 0]]
 
 
-def test_max_depth_reports_leftovers(spark):
-    tree = part("root", parts=[part("a", parts=[part("b", parts=[part("c")])])])
-    flat = M.flatten_parts(msgs(spark, [("m", tree)]), max_depth=1)
-    got = sorted((r.depth, r.has_more) for r in flat.collect())
-    assert got == [(0, False), (1, True)]
+def test_no_depth_is_too_deep(spark):
+    tree = part("leaf")
+    for _ in range(30):
+        tree = part("m", parts=[tree])
+    flat = M.flatten_parts(msgs(spark, [("m", part("root", parts=[tree])), ("flat", part("root", parts=[part("a")]))]))
+    assert sorted(r.depth for r in flat.where("message_id = 'm'").collect()) == list(range(31))
+    assert flat.where("message_id = 'flat'").count() == 1
 
 
 def test_select_body(spark):
@@ -93,7 +95,7 @@ def test_route_and_attachments(spark):
     hits = R.match_attachments(parts.join(routed.select("message_id", "job"), "message_id"), jobs)
     assert sorted((r.job, r.filename) for r in hits.collect()) == [
         ("lab", "a.csv"), ("po", "NPO_Spending_2024.xlsx"), ("po", "xNPO_Spending_Y")]
-    assert R.filename_regex("*Scheduled.csv") == r".*Scheduled\.csv"
+    assert R.filename_regex("*Scheduled.csv") == ".*Scheduled[.]csv"
     assert R.filename_regex("a.*b") == "a.*b"
 
 
