@@ -23,7 +23,6 @@ from postroom.functions.names import splitext_stem
 # --- fixed values -----------------------------------------------------------
 # Rule type names and the Spark type a value must cast to.
 RULE_TYPES = {
-    "string": "string",
     "integer": "bigint",
     "float": "double",
     "number": "double",
@@ -31,20 +30,29 @@ RULE_TYPES = {
     "date": "date",
     "datetime": "timestamp_ntz",
 }
+# Rule types that are about how a value is held, as patterns of Spark types.
+HELD_AS = {"string": "^(string|char|varchar)", "list": "^array", "dict": "^(struct|map)"}
+NESTED = "^(array|struct|map)"
 # ----------------------------------------------------------------------------
 
 
 def _type_ok(c: Column, types) -> Column:
+    """A value fits a type that its text can be cast to; it is a string only
+    if that is how it is held, and a list or dict likewise."""
     types = [types] if isinstance(types, str) else list(types)
     ok = F.lit(False)
     for t in types:
-        ok = ok | c.cast("string").try_cast(RULE_TYPES[t]).isNotNull()
+        if t in HELD_AS:
+            ok = ok | F.typeof(c).rlike(HELD_AS[t])
+        else:
+            ok = ok | ~F.typeof(c).rlike(NESTED) & c.cast("string").try_cast(RULE_TYPES[t]).isNotNull()
     return c.isNull() | ok
 
 
-def _rule_checks(name: str, rule: Mapping, file_col: str | None) -> list[tuple[str, Column]]:
-    """(rule name, passes) pairs for one column's rules."""
-    c = F.col(name)
+def _rule_checks(name: str, rule: Mapping, file_col: str | None, c: Column | None = None) -> list[tuple[str, Column]]:
+    """(rule name, passes) pairs for one column's rules, or for the part
+    ``c`` of a column."""
+    c = F.col(name) if c is None else c
     out = []
     if rule.get("required"):
         out.append(("required", c.isNotNull()))
@@ -72,8 +80,14 @@ def _rule_checks(name: str, rule: Mapping, file_col: str | None) -> list[tuple[s
             for other in dep:
                 cond = cond & F.col(other).isNotNull()
         out.append(("dependencies", c.isNull() | cond))
+    for key, inner in (rule.get("schema") or {}).items():
+        # a dict's keys, or every item of a list
+        if key == "items":
+            out.append(("items", c.isNull() | F.forall(c, _item_check(name, inner, file_col))))
+        else:
+            out.extend((f"{key}: {r}", c.isNull() | p) for r, p in _rule_checks(name, inner, file_col, c[key]))
     if "oneof" in rule:
-        passes = [_all(_rule_checks(name, sub, file_col)) for sub in rule["oneof"]]
+        passes = [_all(_rule_checks(name, sub, file_col, c)) for sub in rule["oneof"]]
         n = sum((p.cast("int") for p in passes), F.lit(0))
         out.append(("oneof", n == 1))
     if rule.get("match_filename") and file_col:
@@ -81,6 +95,10 @@ def _rule_checks(name: str, rule: Mapping, file_col: str | None) -> list[tuple[s
     return [(r, F.coalesce(p, F.lit(False))) for r, p in out]
 
 
+def _item_check(name: str, rule: Mapping, file_col: str | None):
+    return lambda item: _all(_rule_checks(name, rule, file_col, item))
+
+
 def _all(checks) -> Column:
     ok = F.lit(True)
     for _, p in checks:

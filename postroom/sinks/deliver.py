@@ -26,60 +26,75 @@ class NoFilesError(Exception):
     pass
 
 
-def _deliver_one(df: DataFrame, ch: Mapping) -> None:
+def _deliver_one(df: DataFrame, ch: Mapping, n: int) -> int:
+    """Delivers and returns how many rows (files, for blobs) were written."""
     kind = ch.get("protocol", "files")
     if kind == "files":
         write_files(df, ch["dir"], ch.get("format", "parquet"), ch.get("mode", "overwrite"), **ch.get("options", {}))
     elif kind == "delimited":
         write_delimited(df, ch["dir"], sep=ch.get("sep", "\t"), header=ch.get("header", True), quote=ch.get("quote", "minimal"))
     elif kind == "table":
-        load_table(df, ch["dir"], ch.get("load_method", "append"), ch.get("partition"), ch.get("path_col"),
-                   ch.get("keys"), ch.get("clustering_fields"))
+        _load(df, ch, ch.get("path_col"))
     elif kind == "blobs":
-        failed = write_blobs(df, ch["dir"]).where(F.col("error").isNotNull()).select("error").limit(1).collect()
-        if failed:
-            raise OSError(failed[0]["error"])
+        return _write_all(df, ch["dir"])
     elif kind == "records":
-        _load_records(df, ch)
+        return _load_records(df, ch)
     else:
         raise ValueError(f"unknown protocol {kind!r}")
+    return n
 
 
-def _load_records(files: DataFrame, ch: Mapping) -> None:
+def _write_all(files: DataFrame, dest: str) -> int:
+    """Every file is written, or the first error is raised."""
+    done = write_blobs(files, dest).agg(F.count("*").alias("n"), F.min("error").alias("error")).first()
+    if done["error"] is not None:
+        raise OSError(done["error"])
+    return done["n"]
+
+
+def _load(df: DataFrame, ch: Mapping, path_col: str | None) -> None:
+    """A channel's table load. The partition is the channel's ``partition``
+    rule, else its ``time_partitioning_field``."""
+    partition = ch.get("partition") or ch.get("time_partitioning_field")
+    load_table(df, ch.get("dir") or ch["table_id"], ch.get("load_method") or "append", partition, path_col, ch.get("keys"),
+               ch.get("clustering_fields"), order_by=ch.get("order_by"), run_day=ch.get("run_day"), unit=ch.get("time_partitioning_type") or "DAY")
+
+
+def _load_records(files: DataFrame, ch: Mapping) -> int:
     """A table load from file rows, as the reference loads delivered files:
     the files are staged under the shared work folder, read as delimited or
     JSON records against the channel's schema (any bad row fails the load),
     and loaded by the channel's method and partition rule (the partition
-    regex sees each staged file's path)."""
+    regex sees each staged file's path). ``multi_file='last'``: only the file
+    with the last name is loaded, as if each replaced the one before."""
     from postroom.operators.schema import load_schema
     from postroom.session import work_path
     from postroom.sources.records import read_records
 
     spark = files.sparkSession
     stage = work_path(spark, "stage")
-    write_blobs(files, stage).count()
+    if ch.get("multi_file") == "last":
+        last = files.agg(F.max("file_name")).first()[0]
+        files = files.where(F.col("file_name") == last)
+    _write_all(files, stage)
     schema = load_schema(ch["schema"])[0] if ch.get("schema") else None
     opts = {k: ch[k] for k in ("field_delimiter", "skip_leading_rows", "allow_quoted_newlines", "ignore_unknown_values",
                                "allow_jagged_rows", "null_marker", "quote_character") if ch.get(k) is not None}
     fmt = ch.get("format", "csv")
     if str(fmt).lower() == "json":
-        recs = read_records(spark, stage, "json", schema)
+        recs = read_records(spark, stage, "json", schema).withColumn("_file_path", F.col("_metadata.file_path"))
     else:
-        recs = read_records(spark, stage, fmt, schema, on_error="fail" if schema is not None else "drop", **opts)
-    recs = recs.withColumn("_file_path", F.col("_metadata.file_path"))
-    part = ch.get("partition")
-    out = recs if (part and str(part).startswith("regex:")) else recs.drop("_file_path")
-    dest = ch.get("dir") or ch["table_id"]
-    load_table(out, dest, ch.get("load_method") or "append", part, "_file_path", ch.get("keys"), ch.get("clustering_fields"))
-    if "_file_path" in out.columns:
-        pass
+        recs = read_records(spark, stage, fmt, schema, on_error="fail" if schema is not None else "drop", path_col="_file_path", **opts)
+    _load(recs, ch, "_file_path")
+    return recs.count()
 
 
 def fan_out(df: DataFrame, channels: Sequence[Mapping] | Mapping) -> DataFrame:
     """The same data to every channel; a failing channel does not stop
     the others. The input is persisted once (memory and disk, so a lost
     executor recomputes only its blocks) and counted once. Returns one
-    status row per channel."""
+    status row per channel, with the rows that were written: none by a
+    failed one."""
     if isinstance(channels, Mapping):
         channels = [channels]
     spark = df.sparkSession
@@ -90,10 +105,9 @@ def fan_out(df: DataFrame, channels: Sequence[Mapping] | Mapping) -> DataFrame:
         for ch in channels:
             name = ch.get("name") or ch.get("dir")
             try:
-                _deliver_one(cached, ch)
-                out.append((name, "ok", n, None))
+                out.append((name, "ok", _deliver_one(cached, ch, n), None))
             except Exception as e:  # the channel failed; go on with the rest
-                out.append((name, "failed", n, f"{type(e).__name__}: {str(e)[:500]}"))
+                out.append((name, "failed", 0, f"{type(e).__name__}: {e}"))
     finally:
         cached.unpersist()
     return spark.createDataFrame(out, STATUS_SCHEMA)

@@ -66,10 +66,14 @@ def read_table(spark: SparkSession, dest: str, schema: T.StructType | None = Non
 
 # -- partition ids (K6, K7, K8) -----------------------------------------------------
 
-def partition_id(spec, path_col: str | None = None) -> Column | None:
+# Partition stamps of a date field, by the channel's time_partitioning_type.
+STAMPS = {"HOUR": "yyyyMMddHH", "DAY": "yyyyMMdd", "MONTH": "yyyyMM", "YEAR": "yyyy"}
+
+
+def partition_id(spec, path_col: str | None = None, unit: str = "DAY") -> Column | None:
     """K6: eight digits are the partition; K7: ``regex:<expr>`` takes group
     1 of a search in the file path; any other spec names a date field whose
-    day is the partition (K8)."""
+    day (hour, month, year by ``unit``) is the partition (K8)."""
     if spec is None or spec == "":
         return None
     s = str(spec)
@@ -79,7 +83,8 @@ def partition_id(spec, path_col: str | None = None) -> Column | None:
         if not path_col:
             raise ValueError("regex partition needs the file path column")
         return F.nullif(F.regexp_extract(F.col(path_col), s[len("regex:"):], 1), F.lit(""))
-    return partition_stamp(F.col(s))
+    unit = str(unit or "DAY").upper()
+    return partition_stamp(F.col(s)) if unit == "DAY" else F.date_format(s, STAMPS[unit])
 
 
 def _clustered(df: DataFrame, cluster_by: Sequence[str] | None, partitioned: bool) -> DataFrame:
@@ -103,6 +108,8 @@ def load_table(
     keys: Sequence[str] | None = None,
     cluster_by: Sequence[str] | str | None = None,
     order_by: str | None = None,
+    run_day: str | None = None,
+    unit: str = "DAY",
 ) -> str:
     """Load ``df`` into the table at ``dest``.
 
@@ -111,7 +118,9 @@ def load_table(
     folder (an empty input clears it); with partitions computed per row
     (regex on the file path, day of a field) each partition present in
     the batch is replaced once (dynamic overwrite: the union of all files
-    of a batch lands in one write). ``merge`` upserts on ``keys``.
+    of a batch lands in one write); ``run_day`` is the partition of rows for
+    which the rule finds none, and a ``path_col`` that begins with ``_`` is
+    not loaded. ``merge`` upserts on ``keys``.
     Returns the folder written.
     """
     if isinstance(cluster_by, str):
@@ -123,7 +132,12 @@ def load_table(
             raise ValueError("merge needs keys")
         return merge_table(df, dest, keys, order_by=order_by)
     dest = current_path(spark, dest)
-    pid = partition_id(partition, path_col)
+    pid = partition_id(partition, path_col, unit)
+    if path_col and path_col.startswith("_") and path_col in df.columns:
+        df = df.withColumn(PARTITION_COL, pid).drop(path_col) if pid is not None else df.drop(path_col)
+        pid = F.col(PARTITION_COL) if pid is not None else None
+    if pid is not None and run_day:
+        pid = F.coalesce(pid, F.lit(run_day))
     literal = partition is not None and str(partition).isdigit() and len(str(partition)) == 8
     if pid is None:
         out = _clustered(df, cluster_by, False)
@@ -144,14 +158,24 @@ def load_table(
     return dest
 
 
+class DuplicateKeyError(Exception):
+    pass
+
+
 def dedupe_keys(src: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
-    """One row per key: the last by ``order_by`` when given, else any one.
-    Partial + final aggregate, so a hot key is combined map-side."""
+    """One row per key: the last by ``order_by`` when given (ties by the
+    other columns). Without it a key that comes twice is an error: any
+    choice could differ when a task runs again. Partial + final aggregate,
+    so a hot key is combined map-side."""
     if order_by:
         others = [c for c in src.columns if c not in keys]
-        agg = src.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order_by)).alias("_r"))
+        plain = [f.name for f in src.schema.fields if f.name in others and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        agg = src.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(order_by, *plain)).alias("_r"))
         return agg.select(*keys, "_r.*")
-    return src.dropDuplicates(list(keys))
+    twice = src.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise DuplicateKeyError(f"{ {k: twice[0][k] for k in keys} } comes {twice[0]['n']} times; give order_by")
+    return src
 
 
 def merge_table(src: DataFrame, dest: str, keys: Sequence[str], order_by: str | None = None) -> str:
@@ -205,14 +229,15 @@ def write_delimited(df: DataFrame, dest: str, sep: str = "\t", header: bool = Tr
 
     cols = []
     for f in df.schema.fields:
-        c = F.col(f.name)
-        v = c.cast("string") if isinstance(f.dataType, _NUMERIC) else q(c.cast("string"))
-        cols.append(F.coalesce(v, F.lit(null_value)).alias(f'"{f.name}"' if header else f.name))
-    (
-        df.select(*cols).write.mode(mode)
-        .option("sep", sep).option("header", header).option("quote", "\u0000").option("escapeQuotes", "false").option("emptyValue", "")
-        .csv(dest)
-    )
+        c = F.col(f"`{f.name}`").cast("string")
+        cols.append(F.coalesce(c if isinstance(f.dataType, _NUMERIC) else q(c), F.lit(null_value)))
+    line = F.concat_ws(sep, *cols)
+    if header:
+        # a task writes one file: the names go before its first row
+        names = sep.join('"' + n.replace('"', '""') + '"' for n in df.columns)
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        line = F.when(first, F.concat(F.lit(names + "\n"), line)).otherwise(line)
+    df.select(line.alias("value")).write.mode(mode).text(dest)
     return dest
 
 
@@ -235,21 +260,54 @@ BLOB_STATUS = T.StructType(
 )
 
 
+# What tells files of one name apart, as far as a table has it.
+CLASH_COLUMNS = ("message_id", "pos")
+
+
+def unique_names(files: DataFrame, name_col: str = "file_name") -> DataFrame:
+    """The clash rule: files whose name comes more than once get the id of
+    their message, and their place in it, before the extension. Names that
+    are still equal are an error, never an overwritten file."""
+    from postroom.functions.names import splitext_root
+
+    def twice(df: DataFrame) -> DataFrame:
+        return df.groupBy(name_col).agg(F.count("*").alias("_n")).where("_n > 1").select(name_col)
+
+    clash = twice(files)
+    if clash.isEmpty():
+        return files
+    by = [c for c in CLASH_COLUMNS if c in files.columns]
+    few = clash.limit(1_000_001).count() <= 1_000_000
+    marked = files.join((F.broadcast(clash) if few else clash).withColumn("_twice", F.lit(True)), name_col, "left")
+    root = splitext_root(name_col)
+    extension = F.substring(F.col(name_col), F.char_length(root) + 1, F.char_length(name_col))
+    longer = F.concat(F.concat_ws("_", root, *[F.col(c).cast("string") for c in by]), extension)
+    out = marked.withColumn(name_col, F.when(F.col("_twice"), longer).otherwise(F.col(name_col))).select(*files.columns)
+    left = twice(out).limit(1).collect()
+    if left:
+        raise DuplicateKeyError(f"more than one file is called {left[0][0]}")
+    return out
+
+
 def write_blobs(files: DataFrame, dest: str, name_col: str = "file_name", content_col: str = "content") -> DataFrame:
-    """K1 for file rows: each row's bytes become the file ``dest/<name>``.
+    """K1 for file rows: each row's bytes become the file ``dest/<name>``,
+    names made unique by :func:`unique_names`.
 
-    Tasks write their own rows through ``pyarrow.fs`` (local, HDFS, S3,
-    GCS by URI), so the work splits over the files and a retried task just
-    rewrites the same files. Returns one status row per file (lazy: run an
-    action on it, e.g. ``count``, to deliver)."""
+    ``dest`` is resolved by the session's default file system; tasks write
+    their own rows there through ``pyarrow.fs``, so the work splits over the
+    files and a retried task just rewrites the same files. Returns one
+    status row per file (lazy: run an action over all of it to deliver)."""
     import pandas as pd
 
-    base = dest.rstrip("/")
+    fs, path, _ = _fs(files.sparkSession, dest)
+    base = fs.makeQualified(path).toString().rstrip("/")
+    base = "file://" + base[5:] if base.startswith("file:/") and not base.startswith("file:///") else base
+    files = unique_names(files, name_col)
 
     def run(batches):
         from pyarrow import fs as pafs
 
-        filesystem, root = pafs.FileSystem.from_uri(base if "://" in base else "file://" + (base[5:] if base.startswith("file:") else base))
+        filesystem, root = pafs.FileSystem.from_uri(base)
         filesystem.create_dir(root, recursive=True)
         for pdf in batches:
             out = []
@@ -260,7 +318,7 @@ def write_blobs(files: DataFrame, dest: str, name_col: str = "file_name", conten
                         fh.write(bytes(data))
                     out.append((name, path, len(data), None))
                 except Exception as e:  # reported per file
-                    out.append((name, path, None, f"{type(e).__name__}: {e}"[:500]))
+                    out.append((name, path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=[f.name for f in BLOB_STATUS.fields])
 
     return files.select(name_col, content_col).mapInPandas(run, BLOB_STATUS)

@@ -73,7 +73,7 @@ def test_fan_out_and_mark(spark, tmp_dir):
     df = spark.createDataFrame([("m1",), ("m2",)], "message_id string")
     st = D.fan_out(df, [{"name": "ok", "dir": os.path.join(tmp_dir, "a")}, {"name": "bad", "dir": os.path.join(tmp_dir, "b"), "format": "nope"}])
     got = sorted((r.channel, r.status, r.rows) for r in st.collect())
-    assert got == [("bad", "failed", 2), ("ok", "ok", 2)]
+    assert got == [("bad", "failed", 0), ("ok", "ok", 2)]
     state = os.path.join(tmp_dir, "state")
     assert D.mark_processed(df, "j", "2024-01-01 00:00:00", state, st) is False
     ok = D.fan_out(df, [{"name": "ok", "dir": os.path.join(tmp_dir, "c")}])
