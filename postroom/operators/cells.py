@@ -62,6 +62,8 @@ def with_headers(cells: DataFrame) -> DataFrame:
     sheet otherwise).
     """
     data = cells.where(F.col("row") > 0)
+    if "error" in cells.columns:  # a file that could not be read stays as one row
+        data = cells.where((F.col("row") > 0) | F.col("error").isNotNull())
     if "header_raw" in cells.columns:
         return data.withColumn("header", header_name(F.col("header_raw"))).drop("header_raw")
     return data.join(sheet_headers(cells), SHEET_KEY + ["col"], "left")

@@ -1,24 +1,24 @@
 """Discrepancy e-mails to records.
 
-Input is the element table of the bodies (X1). Per document: the first
-``//div/p`` whose first text contains ``with result`` gives two timestamps
-(text split at ``result:``, each falling back to the run date); every
-``//div/p`` containing ``NOT FOUND`` is split at ``:`` into a description
-(trimmed, first 15 characters dropped) and comma-separated ids, one row
-per id. A document with a paragraph that cannot be parsed goes to the
-error split with the reason, and gives no records.
+Per document: the first ``//div/p`` whose first text contains ``with
+result`` gives two timestamps (text split at ``result:``, each falling back
+to the run date); every ``//div/p`` containing ``NOT FOUND`` is split at
+``:`` into a description (trimmed, first 15 characters dropped) and
+comma-separated ids, one row per id. A document that cannot be parsed so,
+or has no such paragraph, goes to the error split with the reason, and
+gives no records.
 
-Plan: the paragraphs are shuffled once by document; the header facts and
-error flags are window aggregates over each document; explode the ids.
+Plan: narrow. A document's paragraphs are one array (X1/X2); the facts are
+array functions over it; then the ids are exploded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postroom.functions.names import py_strip
-from postroom.operators.html_select import select_elements
+from postroom.sources.html import html_matches
 
 # --- fixed values -----------------------------------------------------------
 TIMESTAMP_PATTERN = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
@@ -35,53 +35,38 @@ def _ts_or(c: Column, run_date: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(py_strip(c), TIMESTAMP_PATTERN, 0), F.lit("")), run_date)
 
 
-def parse_discrepancies(elements: DataFrame, run_date, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def parse_discrepancies(docs: DataFrame, run_date, id_col: str = "doc_id", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
     """Returns ``(records, errors)``: records ``(id, checking_timestamp,
     unmatched_timestamp, discrepancy_description, transaction_id)``, errors
-    ``(id, reason)``.
-
-    One shuffle: the ``//div/p`` paragraphs are partitioned by document and
-    the document's facts (result text, error flags) are window aggregates
-    over that partition, so the element table is produced once and no join
-    is needed. A partition holds one document's paragraphs, bounded by the
-    size of that one document.
-    """
+    ``(id, reason)``. Every document is in one of the two."""
     run_date = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    paras = select_elements(elements, PARAGRAPH_PATH).select(id_col, "ord", "text", F.get(F.col("texts"), 0).alias("first_text"))
-    is_result = F.coalesce(F.col("first_text").contains(RESULT_MARK), F.lit(False))
-    is_line = F.coalesce(F.col("text").contains(NOT_FOUND), F.lit(False))
-    n_colon = F.size(F.split(F.col("text"), ":")) - 1
-    doc = Window.partitionBy(id_col)
-    facts = paras.select(
-        id_col,
-        "text",
-        is_line.alias("is_line"),
-        F.min_by("text", F.when(is_result, F.col("ord"))).over(doc).alias("result_text"),
-        F.max(is_result.cast("int")).over(doc).alias("has_result"),
-        F.max(F.col("text").isNull().cast("int")).over(doc).alias("null_text"),
-        F.max((is_line & (n_colon != 1)).cast("int")).over(doc).alias("bad_line"),
-        F.max(is_line.cast("int")).over(doc).alias("has_line"),
-    )
-    halves = F.split(F.col("result_text"), RESULT_SPLIT)
+    docs = html_matches(docs.select(id_col, html_col), PARAGRAPH_PATH, id_col, html_col)
+    contains = lambda c, mark: F.coalesce(c.contains(mark), F.lit(False))
+    facts = docs.withColumns({
+        "results": F.filter("matches", lambda p: contains(F.get(p["texts"], 0), RESULT_MARK)),
+        "lines": F.filter("matches", lambda p: contains(p["text"], NOT_FOUND)),
+    }).withColumn("halves", F.split(F.get("results", F.lit(0))["text"], RESULT_SPLIT))
     reason = (
-        F.when(F.col("null_text") == 1, F.lit("paragraph without text"))
-        .when(F.col("has_result") == 0, F.lit("no result paragraph"))
-        .when(F.col("result_text").isNull(), F.lit("result paragraph without text"))
-        .when(F.size(halves) != 2, F.lit("result paragraph not split in two"))
-        .when(F.col("bad_line") == 1, F.lit("NOT FOUND paragraph without exactly one ':'"))
-        .when(F.col("has_line") == 0, F.lit("no NOT FOUND paragraph"))
+        F.when(F.col("status") == "failed", F.lit("document not parsed"))
+        .when(F.size("matches") == 0, F.lit("no paragraph"))
+        .when(F.exists("matches", lambda p: p["text"].isNull()), F.lit("paragraph without text"))
+        .when(F.size("results") == 0, F.lit("no result paragraph"))
+        .when(F.col("halves").isNull(), F.lit("result paragraph without text"))
+        .when(F.size("halves") != 2, F.lit("result paragraph not split in two"))
+        .when(F.exists("lines", lambda p: F.size(F.split(p["text"], ":")) != 2), F.lit("NOT FOUND paragraph without exactly one ':'"))
+        .when(F.size("lines") == 0, F.lit("no NOT FOUND paragraph"))
     )
-    tagged = facts.select(
+    tagged = facts.withColumn("reason", reason)
+    errors = tagged.where(F.col("reason").isNotNull()).select(id_col, "reason")
+    halves = F.col("halves")
+    lines = tagged.where(F.col("reason").isNull()).select(
         id_col,
-        "text",
-        "is_line",
-        reason.alias("reason"),
         _ts_or(F.get(halves, 0), run_date).alias("checking_timestamp"),
         _ts_or(F.get(halves, 1), run_date).alias("unmatched_timestamp"),
+        F.explode("lines").alias("line"),
     )
-    errors = tagged.where(F.col("reason").isNotNull()).select(id_col, "reason").dropDuplicates([id_col])
-    kv = F.split(py_strip("text"), ":")
-    records = tagged.where(F.col("reason").isNull() & F.col("is_line")).select(
+    kv = F.split(py_strip(F.col("line.text")), ":")
+    records = lines.select(
         id_col,
         "checking_timestamp",
         "unmatched_timestamp",

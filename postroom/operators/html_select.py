@@ -7,40 +7,25 @@ Column predicate over ``(tag, parent_tag, texts)``.
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postroom.functions.names import PY_WHITESPACE
-from postroom.sources.html import html_elements
-
-_PATH = re.compile(r"^//(?:(?P<parent>[A-Za-z][\w-]*|\*)/)?(?P<tag>[A-Za-z][\w-]*|\*)(?:\[(?P<pred>.*)\])?$")
-_EQ = re.compile(r"""^\s*text\(\)\s*=\s*(?P<q>['"])(?P<v>.*)(?P=q)\s*$""")
-_CONTAINS = re.compile(r"""^\s*contains\(\s*text\(\)\s*,\s*(?P<q>['"])(?P<v>.*)(?P=q)\s*\)\s*$""")
+from postroom.functions.names import py_strip
+from postroom.sources.html import html_matches, parse_path  # noqa: F401
 
 
 def path_predicate(path: str) -> Column:
-    """The element predicate of a path. Unsupported paths raise."""
-    m = _PATH.match(path.strip())
-    if not m:
-        raise ValueError(f"unsupported path: {path}")
+    """The predicate of a path over element rows. Unsupported paths raise."""
+    p = parse_path(path)
     cond = F.lit(True)
-    if m["tag"] != "*":
-        cond = cond & (F.col("tag") == m["tag"].lower())
-    if m["parent"] and m["parent"] != "*":
-        cond = cond & (F.col("parent_tag") == m["parent"].lower())
-    elif m["parent"] == "*":
-        cond = cond & F.col("parent_tag").isNotNull()
-    pred = m["pred"]
-    if pred:
-        eq, co = _EQ.match(pred), _CONTAINS.match(pred)
-        if eq:
-            cond = cond & F.coalesce(F.array_contains("texts", eq["v"]), F.lit(False))
-        elif co:
-            cond = cond & F.coalesce(F.get(F.col("texts"), 0).contains(co["v"]), F.lit(False))
-        else:
-            raise ValueError(f"unsupported predicate: {pred}")
+    if p.tag != "*":
+        cond = cond & (F.col("tag") == p.tag)
+    if p.parent:
+        cond = cond & (F.col("parent_tag").isNotNull() if p.parent == "*" else F.col("parent_tag") == p.parent)
+    if p.test == "eq":
+        cond = cond & F.coalesce(F.array_contains("texts", p.value), F.lit(False))
+    elif p.test == "contains":
+        cond = cond & F.coalesce(F.get(F.col("texts"), 0).contains(p.value), F.lit(False))
     return cond
 
 
@@ -49,30 +34,23 @@ def select_elements(elements: DataFrame, path: str) -> DataFrame:
     return elements.where(path_predicate(path))
 
 
-def extract_links(docs: DataFrame, path: str, id_col: str = "doc_id", html_col: str = "html", elements: DataFrame | None = None) -> DataFrame:
+def _hrefs() -> Column:
+    return F.filter(F.transform("matches", lambda m: m["href"]), lambda h: h.isNotNull())
+
+
+def extract_links(docs: DataFrame, path: str, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """Link targets of the matching elements in document order:
-    ``(id, pos, href)``, ``pos`` from 0. A document that fails to parse
-    gives no rows. The window only sorts the selected elements of one
-    document, bounded by that document's size."""
-    els = elements if elements is not None else html_elements(docs, id_col, html_col)
-    sel = select_elements(els, path).where(F.col("href").isNotNull())
-    w = Window.partitionBy(id_col).orderBy("ord")
-    return sel.select(id_col, (F.row_number().over(w) - 1).alias("pos"), "href")
+    ``(id, pos, href)``, ``pos`` from 0. Narrow: no shuffle."""
+    found = html_matches(docs.select(id_col, html_col), path, id_col, html_col)
+    return found.select(id_col, F.posexplode(_hrefs()).alias("pos", "href"))
 
 
-def extract_last(docs: DataFrame, path: str, attr: str = "href", id_col: str = "doc_id", html_col: str = "html", elements: DataFrame | None = None) -> DataFrame:
+def extract_last(docs: DataFrame, path: str, attr: str = "href", id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """Per document, the attribute (or ``text()``) of the last match,
-    trimmed; NULL when nothing matches. Partial + final aggregate, then a
-    left join that keeps every document."""
-    els = elements if elements is not None else html_elements(docs, id_col, html_col)
-    value = F.col("text") if "()" in attr else F.col("attrs")[attr]
-    last = (
-        select_elements(els, path)
-        .groupBy(id_col)
-        .agg(F.max_by(value, "ord").alias("_v"))
-        .select(id_col, F.regexp_replace("_v", f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "").alias("value"))
-    )
-    return docs.select(id_col).join(last, id_col, "left")
+    trimmed; NULL when nothing matches. Narrow: every document is a row."""
+    found = html_matches(docs.select(id_col, html_col), path, id_col, html_col)
+    last = F.try_element_at("matches", F.lit(-1))
+    return found.select(id_col, py_strip(last["text"] if "()" in attr else last["attrs"][attr]).alias("value"))
 
 
 def attach_password(files: DataFrame, passwords: DataFrame, key: str = "message_id") -> DataFrame:
@@ -81,17 +59,14 @@ def attach_password(files: DataFrame, passwords: DataFrame, key: str = "message_
     return files.join(passwords.select(key, F.col("value").alias("zip_password")), key, "left")
 
 
-def links_or_body(links: DataFrame, bodies: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The links of bodies whose job has a link path; the body itself
-    when the job has none or the extraction failed. A body whose path
-    matches no link yields nothing.
-
-    ``links``: ``(key, pos, href)``; ``bodies``: ``(key, url_xpath, status,
-    ...)`` where ``status`` is ``failed`` when parsing failed.
-    """
-    as_body = bodies.where(F.col("url_xpath").isNull() | (F.col("status") == "failed"))
-    with_path = bodies.where(F.col("url_xpath").isNotNull() & (F.coalesce(F.col("status"), F.lit("ok")) != "failed"))
-    linked = links.join(with_path.select(key), key, "left_semi")
-    return linked.select(key, F.lit("link").alias("kind"), "pos", "href").unionByName(
-        as_body.select(key, F.lit("body").alias("kind"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("href"))
-    )
+def links_or_body(docs: DataFrame, path: str | None, id_col: str = "doc_id", html_col: str = "html", with_path: Column | None = None) -> DataFrame:
+    """``(id, kind, pos, href)``: the links of a body; the body itself
+    when its job has no path (``path`` or ``with_path`` says so) or it could
+    not be parsed. A body whose path matches no link yields nothing."""
+    body = F.struct(F.lit("body").alias("kind"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("href"))
+    if path is None:
+        return docs.select(id_col, F.inline(F.array(body)))
+    wanted = F.lit(True) if with_path is None else F.coalesce(with_path, F.lit(False))
+    found = html_matches(docs.select(id_col, html_col, wanted.alias("_wanted")), path, id_col, html_col)
+    links = F.transform(_hrefs(), lambda h, i: F.struct(F.lit("link").alias("kind"), i.cast("int").alias("pos"), h.alias("href")))
+    return found.select(id_col, F.inline(F.when(F.col("_wanted") & (F.col("status") != "failed"), links).otherwise(F.array(body))))

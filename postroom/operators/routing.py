@@ -14,7 +14,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postroom.functions.text import truthy
 from postroom.functions.timewin import in_window
 
 # Job keys understood by the filter (a subset of a job document).
@@ -22,12 +21,14 @@ FILTER_KEYS = ("from", "to", "subject", "label", "after", "before", "attachment"
 
 
 def filename_regex(pattern: str) -> str:
-    """a pattern with ``*`` and without ``.*`` is a glob: ``.`` escaped,
-    ``*`` to ``.*``; anything else is already a regex. Matching is an
-    unanchored search."""
-    if "*" in pattern and ".*" not in pattern:
-        return pattern.replace(".", r"\.").replace("*", ".*")
-    return pattern
+    """the regex of a file pattern, for an unanchored search. A pattern
+    whose stars all stand alone is a glob: a star is any text, a dot a dot,
+    and other regex signs keep their meaning (jobs use ``^`` and ``|``
+    beside stars). Any other pattern is a regex as it is."""
+    pieces = pattern.split("*")
+    if len(pieces) == 1 or any(piece.endswith(".") for piece in pieces[:-1]):
+        return pattern
+    return ".*".join("[.]".join(piece.split(".")) for piece in pieces)
 
 
 def _contains_ci(col: Column, needle: str) -> Column:
@@ -93,6 +94,19 @@ def match_attachments(parts: DataFrame, jobs: Sequence[Mapping]) -> DataFrame:
     return parts.where((F.col("depth") == 0) & F.coalesce(cond, F.lit(False)))
 
 
+def attachment_jobs(parts: DataFrame, jobs: Sequence[Mapping]) -> DataFrame:
+    """J3 for parts that are not routed to one job yet: a row for each job
+    whose pattern (and MIME type) takes a top-level part. As in J1, only
+    the matches are exploded."""
+
+    def takes(j: Mapping) -> Column:
+        m = F.col("filename").rlike(filename_regex(j["file_pattern"]))
+        return m & (F.col("mime_type") == F.lit(j["mime_type"])) if j.get("mime_type") else m
+
+    hits = F.array(*[F.when(takes(j), F.lit(j["job"])) for j in jobs if j.get("file_pattern")])
+    return parts.where(F.col("depth") == 0).withColumn("job", F.explode(F.filter(hits, lambda x: x.isNotNull())))
+
+
 def match_counts(routed: DataFrame) -> DataFrame:
     """A1: matches per job, with the first and last receive time."""
     return routed.groupBy("job").agg(
@@ -105,8 +119,3 @@ def match_counts(routed: DataFrame) -> DataFrame:
 def order_by_receive_time(df: DataFrame) -> DataFrame:
     """O1: receive time ascending (output only; a global sort)."""
     return df.orderBy("internal_ts", "message_id")
-
-
-def attachment_flag(c) -> Column:
-    """job attachment flag from text (``yes``, ``true``, ``t``, ``1``)."""
-    return truthy(c)

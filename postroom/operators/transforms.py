@@ -24,7 +24,6 @@ from postroom.operators import cells as C
 from postroom.operators.discrepancies import parse_discrepancies
 from postroom.sinks.tables import write_delimited
 from postroom.sources.files import expand_archives
-from postroom.sources.html import html_elements
 from postroom.sources.workbooks import workbook_cells
 
 TRANSFORMS: dict[str, Callable[..., DataFrame]] = {}
@@ -84,21 +83,29 @@ def mkm_remove_version(files: DataFrame, **_) -> DataFrame:
 
 
 @register("xlsx2csv", "excel_split_sheet")
-def xlsx2csv(files: DataFrame, multi=False, round_numbers: bool = True, **_) -> DataFrame:
+def xlsx2csv(files: DataFrame, multi=False, round_numbers: bool = False, on_error: str = "keep", **_) -> DataFrame:
     """T5 (S10, E11): workbook files to normalised cells, named
-    ``<stem>_<sheet>.csv``; ``multi`` reads every sheet."""
+    ``<stem>_<sheet>.csv``; ``multi`` reads every sheet. A file that is no
+    workbook is one row with its ``error`` (T3), or fails the run with
+    ``on_error='fail'``. Numbers keep their decimals unless
+    ``round_numbers``."""
     multi = str(multi).lower() in ("yes", "true", "1")
-    cells = workbook_cells(files, multi=multi).where(F.col("error").isNull())
+    cells = workbook_cells(files, multi=multi)
+    if on_error == "fail":
+        cells = cells.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("xlsx2csv failed: "), F.col("error")))))
     cells = cells.withColumn("file", F.concat(N.splitext_root("file_name"), F.lit("_"), F.col("sheet"), F.lit(".csv")))
     return C.normalize_cells(cells, round_numbers)
 
 
 @register("parse_email_body")
 def parse_email_body(files: DataFrame, run_date: str | None = None, key: str = "file_name", **_) -> DataFrame:
-    """T5 (X7): discrepancy records of HTML bodies."""
+    """T5 (X7): discrepancy records of HTML bodies; a body that gives none
+    is a row with its ``error`` (T3)."""
     docs = files.select(key, F.decode("content", "UTF-8").alias("html"))
-    records, _errors = parse_discrepancies(html_elements(docs, key, "html"), run_date or "", id_col=key)
-    return records
+    records, errors = parse_discrepancies(docs, run_date or "", id_col=key)
+    return records.withColumn("error", F.lit(None).cast("string")).unionByName(
+        errors.withColumnRenamed("reason", "error"), allowMissingColumns=True
+    )
 
 
 def apply_transform(files: DataFrame, name: str | None, stamp: str | None = None, **params) -> DataFrame:

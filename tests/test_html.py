@@ -2,10 +2,11 @@
 (FIXTURES.md 4)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from postroom.operators import html_select as H
 from postroom.operators.discrepancies import parse_discrepancies
-from postroom.sources.html import html_elements, parse_elements
+from postroom.sources.html import parse_elements
 
 
 def docs(spark, *htmls):
@@ -44,9 +45,10 @@ def test_parser_rules():
 
 def test_links_or_body(spark):
     d = docs(spark, '<li><a href="/x">x</a></li>', '<li><a href="/y">y</a></li>', "<p>no links</p>")
-    bodies = spark.createDataFrame([(0, "//li/a", "ok"), (1, None, "ok"), (2, "//li/a", "ok")], "doc_id long, url_xpath string, status string")
-    got = sorted((r.doc_id, r.kind, r.href) for r in H.links_or_body(H.extract_links(d, "//li/a"), bodies).collect())
-    assert got == [(0, "link", "/x"), (1, "body", None)]
+    d = d.unionByName(spark.createDataFrame([(3, None)], d.schema))
+    got = sorted((r.doc_id, r.kind, r.href) for r in H.links_or_body(d, "//li/a", with_path=F.col("doc_id") != 1).collect())
+    assert got == [(0, "link", "/x"), (1, "body", None), (3, "body", None)]
+    assert H.links_or_body(d, None).where("kind = 'body'").count() == 4
 
 
 BODY = """<div><p>Checking time 2024-01-02 03:04:05 with result: unmatched at 2024-01-01 00:00:00</p>
@@ -58,14 +60,15 @@ def test_discrepancies(spark):
     two_colons = "<div><p>x with result: y</p><p>Transaction in BQ NOT FOUND : a: b</p></div>"
     no_result = "<div><p>Transaction in BQ NOT FOUND : a</p></div>"
     d = docs(spark, BODY, no_ts, two_colons, no_result)
-    recs, errs = parse_discrepancies(html_elements(d), "2024-01-05")
+    d = d.unionByName(spark.createDataFrame([(4, "<ul></ul>"), (5, None), (6, "")], d.schema))
+    recs, errs = parse_discrepancies(d, "2024-01-05")
     got = sorted(tuple(r) for r in recs.collect())
     assert got == [
         (0, "2024-01-02 03:04:05", "2024-01-01 00:00:00", "BQ NOT FOUND", "a1"),
         (0, "2024-01-02 03:04:05", "2024-01-01 00:00:00", "BQ NOT FOUND", "b2"),
         (1, "2024-01-05", "2024-01-05", "XY NOT FOUND", "z"),
     ]
-    assert sorted(r.doc_id for r in errs.collect()) == [2, 3]
+    assert sorted(r.doc_id for r in errs.collect()) == [2, 3, 4, 5, 6]
 
 
 def test_attach_password(spark):
