@@ -210,7 +210,7 @@ SELECT p_partkey, header_no, header,
 FROM h
 """
 
-FOLD_ACCENTS = "SELECT doc_id, strip_accents(text) AS folded FROM documents WHERE lang IN ('fr', 'de', 'es')"
+FOLD_ACCENTS = "SELECT doc_id, strip_accents(text) AS folded FROM documents"
 
 STRIP_RESERVED = r"""
 SELECT doc_id, regexp_replace(replace(replace(text, '’', ''''), '?', ''), '[^\pL\pN_\-_. \^&''@\{\}\[\],$=!-#\(\)%+~]', '_', 'g') AS stripped
@@ -336,7 +336,7 @@ SELECT o_orderkey + 1000000000, o_custkey, 'N', o_totalprice FROM orders WHERE o
 """
 
 FAN_OUT = """
-SELECT c.channel, c.status, (SELECT count(*) FROM events) AS rows
+SELECT c.channel, c.status, CASE WHEN c.status = 'ok' THEN (SELECT count(*) FROM events) ELSE 0 END AS rows
 FROM (VALUES ('parquet', 'ok'), ('json', 'ok'), ('tsv', 'ok'), ('broken', 'failed')) c(channel, status)
 """
 
@@ -357,7 +357,11 @@ ORACLE.update({
     "incremental_load": INCREMENTAL_LOAD,
 })
 
-ORACLE["expand_archives"] = "SELECT doc_id, text FROM documents WHERE CAST(floor(doc_id / 16) AS BIGINT) % 9 <> 4"
+ORACLE["expand_archives"] = """
+SELECT doc_id, text, CAST(NULL AS VARCHAR) AS broken FROM documents WHERE CAST(floor(doc_id / 16) AS BIGINT) % 9 <> 4
+UNION ALL SELECT DISTINCT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 'block_' || CAST(CAST(floor(doc_id / 16) AS BIGINT) AS VARCHAR) || '.zip'
+FROM documents WHERE CAST(floor(doc_id / 16) AS BIGINT) % 9 = 4
+"""
 ORACLE["workbook_cells"] = ORDERS_ALL
 
 ORACLE["apply_transform"] = """

@@ -58,7 +58,8 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attachment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names (``part.p_name``) against every attachment
-    job's file pattern and MIME type."""
+    job's file pattern and MIME type; a part has a row for each job that
+    takes it, and no others are made."""
     _prep(spark)
     part = table(spark, sf_dir, "part")
     parts = part.select(
@@ -68,8 +69,7 @@ def attachment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split("p_type", " ").getItem(0).alias("mime_type"),
     )
     jobs = [j for j in JOBS if j.get("file_pattern")]
-    routed = parts.withColumn("job", F.explode(F.array(*[F.lit(j["job"]) for j in jobs])))
-    return R.match_attachments(routed, jobs).select("job", "message_id", "filename")
+    return R.attachment_jobs(parts, jobs).select("job", "message_id", "filename")
 
 
 def last_body(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,18 +129,11 @@ def links_or_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even pages belong to a job with a link path, odd ones to a job
     without: links for the first, the body itself for the second."""
     _prep(spark)
-    pages = _pages(spark, sf_dir)
-    bodies = pages.select(
-        "doc_id",
-        F.when(F.col("doc_id") % 2 == 0, F.lit(LINK_PATH)).alias("url_xpath"),
-        F.lit("ok").alias("status"),
-    )
-    lk = H.extract_links(pages, LINK_PATH)
-    return H.links_or_body(lk, bodies).withColumnRenamed("doc_id", "page_id")
+    return H.links_or_body(_pages(spark, sf_dir), LINK_PATH, with_path=F.col("doc_id") % 2 == 0).withColumnRenamed("doc_id", "page_id")
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements per page and tag for ``a p li h1``."""
+    """Elements per page and tag for ``a p li h1``."""
     _prep(spark)
     els = html_elements(_pages(spark, sf_dir))
     return (
@@ -179,8 +172,7 @@ def discrepancies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discrepancy mails built from orders, parsed back."""
     _prep(spark)
     mails = SI.orders_as_discrepancy_mail(table(spark, sf_dir, "orders"))
-    els = html_elements(mails, "message_id", "html")
-    records, _errors = parse_discrepancies(els, SI.RUN_DATE, id_col="message_id")
+    records, _errors = parse_discrepancies(mails, SI.RUN_DATE, id_col="message_id")
     return records
 
 
@@ -265,9 +257,9 @@ def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fold_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 over the French, German and Spanish documents."""
+    """E7 over all documents."""
     _prep(spark)
-    d = table(spark, sf_dir, "documents").where(F.col("lang").isin("fr", "de", "es"))
+    d = table(spark, sf_dir, "documents")
     return d.select("doc_id", X.fold_accents("text").alias("folded"))
 
 
@@ -280,7 +272,7 @@ def strip_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- cells ---------------------------------------------------------------------
 
 def normalize_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem as workbook cells, normalised as the reference
+    """Lineitem as workbook cells, normalised as the reference
     writes them (numbers rounded half-even)."""
     _prep(spark)
     cells = SI.lineitem_as_cells(table(spark, sf_dir, "lineitem"))
@@ -486,7 +478,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_path(spark, "incremental")
     src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     ev = table(spark, sf_dir, "events")
-    ev.repartition(4, "event_type").write.parquet(src)
+    ev.repartition(8, "event_id").write.parquet(src)
     fn = lambda df: R.route_messages(events_as_messages(df), JOBS).select("message_id", "job")
     _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
     _incremental(spark, src, ev.schema, ckpt, sink, fn, max_files_per_trigger=2)
@@ -500,12 +492,13 @@ from postroom.sources import files as FL  # noqa: E402
 
 def expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into zip archives, expanded again;
-    broken archives give error rows (left out here)."""
+    broken archives give a row with their error."""
     _prep(spark)
     zips = SI.documents_as_archives(table(spark, sf_dir, "documents"))
-    members = FL.expand_archives(zips).where(F.col("error").isNull())
-    doc_id = F.regexp_extract("member_name", r"^doc_(\d+)\.txt$", 1).cast("long")
-    return members.select(doc_id.alias("doc_id"), F.decode("content", "UTF-8").alias("text"))
+    members = FL.expand_archives(zips)
+    doc_id = F.nullif(F.regexp_extract("member_name", r"^doc_(\d+)\.txt$", 1), F.lit("")).cast("long")
+    broken = F.when(F.col("error").isNotNull(), F.col("file_name"))
+    return members.select(doc_id.alias("doc_id"), F.decode("content", "UTF-8").alias("text"), broken.alias("broken"))
 
 
 from postroom.sources import workbooks as WB  # noqa: E402
@@ -542,7 +535,7 @@ def apply_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transform_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1, T3, T4, T5 ``unzip``, X5: archives unzipped, members renamed by
+    """T1, T3, T4, T5 ``unzip``: archives unzipped, members renamed by
     the job format; broken archives kept as they are and renamed too."""
     _prep(spark)
     zips = SI.documents_as_archives(table(spark, sf_dir, "documents"))
@@ -578,5 +571,5 @@ def discrepancy_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discrepancy mails that cannot be parsed, with the reason."""
     _prep(spark)
     mails = SI.orders_as_discrepancy_mail(table(spark, sf_dir, "orders"))
-    _records, errors = parse_discrepancies(html_elements(mails, "message_id", "html"), SI.RUN_DATE, id_col="message_id")
+    _records, errors = parse_discrepancies(mails, SI.RUN_DATE, id_col="message_id")
     return errors

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def _names():
     import __spark_entry__ as E
 
-    return list(E.queries())
+    return list(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())
