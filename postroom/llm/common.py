@@ -15,7 +15,7 @@ from postroom.session import apply_defaults, work_path
 #: Characters of text that one vectorised step holds at a time.
 CHUNK_CHARS = 800_000
 #: Rows up to which a side made of a few numbers a row is broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
