@@ -353,3 +353,38 @@ def strict_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("/in/cust3.yaml").alias("_file"),
     )
     return V.check_records(cust, STRICT_RULES, file_col="_file").select("c_custkey", F.array_join("violations", ";").alias("violations"))
+
+
+# -- a whole job ------------------------------------------------------------------------
+
+@query(f"""
+WITH {MESSAGES}, links AS (
+  SELECT page_id, unnest(m) AS href, CAST(unnest(generate_series(1, len(m))) - 1 AS INTEGER) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS m FROM pages))
+SELECT m.message_id, k.pos, k.href, CAST(1 AS BIGINT) AS n_processed, 'skipped' AS second_run
+FROM messages m JOIN links k ON k.page_id = m.event_id % (SELECT count(*) FROM pages)
+WHERE list_contains(label_ids, 'error') AND internal_ts >= TIMESTAMP '2024-01-01' AND internal_ts < TIMESTAMP '2024-01-06'
+""")
+def run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry A of SURVEY 3: error mails with page bodies, their links
+    delivered once and marked; a second run has nothing to do."""
+    import datetime as dt
+
+    from postroom.plans.job import run_job as run
+
+    pages = table(spark, sf_dir, "pages")
+    n = pages.count()
+    body = F.struct(F.octet_length("html").cast("long").alias("size"), M.urlsafe_b64encode(F.encode("html", "UTF-8")).alias("data"))
+    html = pages.select("page_id", F.to_json(F.struct(F.lit("text/html").alias("mimeType"), F.lit("").alias("filename"), body.alias("body"))).alias("payload"))
+    events = SI.events_as_messages(table(spark, sf_dir, "events")).withColumn("page_id", F.pmod("event_id", F.lit(n)))
+    msgs = events.join(html, "page_id").drop("page_id", "event_id")
+    base = work_path(spark, "job")
+    job = {"name": "error_digest", "mail_filter": {"label": "error"}, "file_to_extract": {"source": "url_in_body", "url_xpath": "//li/a"},
+           "load_destination": {"name": "links", "dir": f"{base}/links"}}
+    first, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 6)
+    run(job, msgs, None, f"{base}/state", first, end, hour=1)
+    again, _ = run(job, msgs, None, f"{base}/state", first, end, hour=23)
+    second = again.first()["status"]
+    done = D.processed_ids(spark, f"{base}/state").groupBy("message_id").agg(F.count("*").alias("n_processed"))
+    links = spark.read.parquet(f"{base}/links").where("kind = 'link'").select("message_id", "pos", "href")
+    return links.join(done, "message_id").withColumn("second_run", F.lit(second))

@@ -20,6 +20,7 @@ from postroom.functions import names as N
 from postroom.operators import html_select as H
 from postroom.operators import routing as R
 from postroom.operators.transforms import apply_transform
+from postroom.session import work_path
 from postroom.sinks import deliver as D
 from postroom.sources import messages as M
 
@@ -46,26 +47,29 @@ def job_filter(job: Mapping, run_start: dt.datetime, run_end: dt.datetime | None
 
 def job_files(job: Mapping, routed: DataFrame, attachments: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
     """Files of the routed messages ``(message_id, file_name, content)``,
-    or, for jobs with a link path, the links to fetch ``(message_id, pos,
-    href, file_name[, zip_password])``; a body whose path matches no link
-    yields nothing (X6). Jobs without a link path use the body itself."""
+    or, for jobs with a link path, the links to fetch ``(message_id, kind,
+    pos, href, file_name[, zip_password])``; a body whose path matches no
+    link yields nothing, one that cannot be parsed is itself the file (kind
+    ``body``, X6). Jobs without a link path use the body itself."""
     extract = job.get("file_to_extract") or {}
     source = extract.get("source", "attachment")
     parts = M.flatten_parts(routed)
     if source == "attachment":
         hits = R.match_attachments(parts.withColumn("job", F.lit(job["name"])), [job_filter(job, dt.datetime(1970, 1, 1))])
         atts = attachments if attachments is not None else routed.sparkSession.createDataFrame([], M.ATTACHMENT_SCHEMA)
-        files = M.decode_payload(hits, atts).select("message_id", F.col("filename").alias("file_name"), "content")
+        place = F.array_join(F.transform("path", lambda x: x.cast("string")), ".")
+        files = M.decode_payload(hits, atts).select("message_id", place.alias("pos"), F.col("filename").alias("file_name"), "content")
         return files, None
     bodies = M.select_body(routed, parts, extract.get("mime_type") or "text/html")
     bodies = bodies.select("message_id", M.urlsafe_b64decode("data").alias("content"))
     html = bodies.select("message_id", F.decode("content", "UTF-8").alias("html"))
     links = None
     if extract.get("url_xpath"):
-        links = H.extract_links(html, extract["url_xpath"], id_col="message_id")
+        links = H.links_or_body(html, extract["url_xpath"], id_col="message_id")
         default = F.concat_ws("_", F.col("message_id"), F.col("pos").cast("string"))
-        links = links.withColumn("file_name", N.url_file_name(F.col("href"), F.lit(None).cast("string"), F.lit(None).cast("string"),
-                                                              F.lit(None).cast("string"), default))
+        none = F.lit(None).cast("string")
+        name = F.when(F.col("kind") == "link", N.url_file_name(F.col("href"), none, none, none, default))
+        links = links.withColumn("file_name", name.otherwise(F.concat(F.col("message_id"), F.lit("_body.html"))))
         if extract.get("password_xpath"):
             pw = H.extract_last(html, extract["password_xpath"], "text()", id_col="message_id")
             links = H.attach_password(links, pw)
@@ -82,9 +86,14 @@ def run_job(
     run_start: dt.datetime,
     run_end: dt.datetime | None = None,
     hour: int | None = None,
+    test: bool = False,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Route, skip processed, extract, transform, deliver, mark processed.
 
+    The messages to do are computed once, into the shared work folder: what
+    is guarded, delivered and marked is one batch. In ``test`` runs processed
+    messages are not skipped and none are marked.
+
     Returns ``(statuses, links)``; ``statuses`` has one row per destination
     (or one ``skipped`` row when nothing matched at or after the job's
     ``ignore_after`` hour); ``links`` are the body links to fetch, which is
@@ -92,8 +101,11 @@ def run_job(
     """
     spark = messages.sparkSession
     routed = R.route_messages(messages, [job_filter(job, run_start, run_end)])
-    done = D.processed_ids(spark, processed_path)
-    todo = R.unprocessed(routed, done.select("message_id", "job"))
+    if not test:
+        routed = R.unprocessed(routed, D.processed_ids(spark, processed_path).select("message_id", "job"))
+    batch = work_path(spark, "batch")
+    routed.write.parquet(batch)
+    todo = spark.read.schema(routed.schema).parquet(batch)
     files, links = job_files(job, todo, attachments)
     work = files if files is not None else links
     status = D.guard_empty(work, hour if hour is not None else dt.datetime.now().hour, job.get("ignore_after", 23))
@@ -108,5 +120,6 @@ def run_job(
     dests = job.get("load_destination") or []
     dests = [dests] if isinstance(dests, Mapping) else list(dests)
     statuses = D.fan_out(out, dests)
-    D.mark_processed(todo.select("message_id").distinct(), job["name"], run_start.strftime("%Y-%m-%d %H:%M:%S"), processed_path, statuses)
+    if not test:
+        D.mark_processed(todo.select("message_id").distinct(), job["name"], run_start.strftime("%Y-%m-%d %H:%M:%S"), processed_path, statuses)
     return statuses, links

@@ -72,3 +72,8 @@ def test_link_job(spark, tmp_dir):
     assert [r.status for r in st.collect()] == ["ok"]
     got = [(r.message_id, r.href, r.file_name, r.zip_password) for r in links.collect()]
     assert got == [("m1", "http://h/files/a.csv", "m1_0", "pw9")]
+    # a test run takes processed messages again and marks none
+    state = os.path.join(tmp_dir, "state")
+    before = D.processed_ids(spark, state).count()
+    st, links = run_job(job, messages, None, state, dt.datetime(2024, 1, 1), hour=10, test=True)
+    assert links.count() == 1 and D.processed_ids(spark, state).count() == before
