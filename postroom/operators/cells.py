@@ -55,7 +55,8 @@ def sheet_headers(cells: DataFrame) -> DataFrame:
 def with_headers(cells: DataFrame) -> DataFrame:
     """Data cells (row > 0) with their column's ``header`` (E4 of row 0).
 
-    Readers that emit ``header_raw`` (the row-0 text, known while reading
+    Readers that emit ``header`` have done that once a column. Those that
+    emit ``header_raw`` (the row-0 text, known while reading
     a sheet in order) need no join: one narrow projection. Otherwise the
     row-0 cells are joined back; that side has one row per sheet column
     (AQE broadcasts it when small, and splits the cell side of a hot
@@ -64,6 +65,8 @@ def with_headers(cells: DataFrame) -> DataFrame:
     data = cells.where(F.col("row") > 0)
     if "error" in cells.columns:  # a file that could not be read stays as one row
         data = cells.where((F.col("row") > 0) | F.col("error").isNotNull())
+    if "header" in cells.columns:
+        return data
     if "header_raw" in cells.columns:
         return data.withColumn("header", header_name(F.col("header_raw"))).drop("header_raw")
     return data.join(sheet_headers(cells), SHEET_KEY + ["col"], "left")

@@ -426,7 +426,8 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("o_orderdate", "yyyyMMdd") == REPLACE_DAY
     changed = orders.where(day).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     TB.load_table(changed, dest, "replace", partition=REPLACE_DAY)
-    return TB.read_table(spark, dest).select("o_orderkey", "o_totalprice", "o_orderdate", F.col("ds").alias("partition"))
+    schema = S.T.StructType([*orders.schema.fields, S.T.StructField("ds", S.T.StringType())])
+    return TB.read_table(spark, dest, schema).select("o_orderkey", "o_totalprice", "o_orderdate", F.col("ds").alias("partition"))
 
 
 def merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postroom.functions.names import header_name
 from postroom.sources.messages import urlsafe_b64encode
 
 # --- fixed values -----------------------------------------------------------
@@ -165,18 +166,18 @@ SHEET_KEYS = 4096
 
 def _melt(df: DataFrame, file_col, row_col, cells, headers) -> DataFrame:
     """Rows to ``cells(file, sheet_no, sheet, row, col, ctype, raw,
-    header_raw)`` with a header row 0 for every file, as a sheet reader
-    emits them."""
+    header)`` with a header row 0 for every file, as a sheet reader emits
+    them. A header is normalised once, as a literal of its column."""
     body = df.select(
         file_col.alias("file"), row_col.alias("row"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.lit(t).alias("ctype"), v.cast("string").alias("raw"), F.lit(h).alias("header_raw"))
+        F.explode(F.array(*[F.struct(F.lit(i).alias("col"), F.lit(t).alias("ctype"), v.cast("string").alias("raw"), header_name(F.lit(h)).alias("header"))
                             for i, ((t, v), h) in enumerate(zip(cells, headers))])).alias("c"),
-    ).select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), "row", "c.col", "c.ctype", "c.raw", "c.header_raw")
+    ).select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), "row", "c.col", "c.ctype", "c.raw", "c.header")
     heads = (
         df.select(file_col.alias("file")).distinct()
         .select("file", F.lit(0).alias("sheet_no"), F.lit("Sheet1").alias("sheet"), F.lit(0).cast("long").alias("row"),
                 F.posexplode(F.array(*[F.lit(h) for h in headers])).alias("col", "raw"))
-        .select("file", "sheet_no", "sheet", "row", "col", F.lit(1).alias("ctype"), "raw", F.col("raw").alias("header_raw"))
+        .select("file", "sheet_no", "sheet", "row", "col", F.lit(1).alias("ctype"), "raw", F.lit(None).cast("string").alias("header"))
     )
     return body.unionByName(heads)
 

@@ -150,7 +150,7 @@ def load_table(
         return target
     out = _clustered(df.withColumn(PARTITION_COL, pid), cluster_by, True)
     w = out.write.partitionBy(PARTITION_COL)
-    if method == "replace":
+    if method == "replace" and table_exists(spark, dest):
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         w = w.mode("append")
