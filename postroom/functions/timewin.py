@@ -23,11 +23,6 @@ def epoch_to_ntz(seconds) -> Column:
     return F.timestamp_add("SECOND", _col(seconds).cast("long"), F.lit(UNIX_EPOCH).cast("timestamp_ntz"))
 
 
-def ntz_to_epoch(ts) -> Column:
-    """UTC wall clock to epoch seconds, zone-free."""
-    return F.timestamp_diff("SECOND", F.lit(UNIX_EPOCH).cast("timestamp_ntz"), _col(ts))
-
-
 def run_window(start, end=None, offset_hours: int = 0) -> tuple[Column, Column]:
     """The half-open load window ``[start, end)``; the default end is
     start + 1 day; both bounds moved by ``offset_hours`` (the jobs use -7 h

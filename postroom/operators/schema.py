@@ -85,11 +85,6 @@ def check_required(df: DataFrame, columns: Sequence[str], on_error: str = "null"
     return out
 
 
-def all_strings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Every column as text (as a delimited file would give it)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in (columns or df.columns)])
-
-
 def schema_json(schema: T.StructType, required: Iterable[str] = ()) -> list[Mapping]:
     """StructType back to a schema file's list of fields."""
     rev = {v.simpleString(): k for k, v in TYPE_MAP.items() if k in ("STRING", "INTEGER", "FLOAT", "BOOLEAN", "DATE", "DATETIME")}

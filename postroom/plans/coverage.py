@@ -22,6 +22,7 @@ from postroom.sinks import tables as TB
 from postroom.sources import messages as M
 from postroom.sources import records as REC
 from postroom.sources import reports as RP
+from postroom.sources.html import html_elements
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -257,6 +258,20 @@ def remove_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TR.apply_transform(o.select("o_orderkey", name.alias("file_name")), "mkm_remove_version")
 
 
+@query(ORDERS_ALL + " WHERE floor(o_orderkey / 256) IS NOT NULL")
+def load_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10, T5 ``xlsx2csv``, K13: workbooks transformed and delivered to a
+    table, decimals kept."""
+    books = SI.orders_as_workbooks(table(spark, sf_dir, "orders"))
+    cells = TR.apply_transform(books, "xlsx2csv", filename_format="{source_file}")
+    types = ("INTEGER", "INTEGER", "STRING", "FLOAT", "DATETIME", "STRING")
+    dest = work_path(spark, "workbooks")
+    status = D.fan_out(cells, {"protocol": "records", "dir": dest, "schema": [{"name": n, "type": t} for n, t in zip(SI.ORDER_COLUMNS, types)]}).first()
+    if status["status"] != "ok":
+        raise OSError(status["error"])
+    return TB.read_table(spark, dest)
+
+
 # -- HTML --------------------------------------------------------------------------
 
 _TEXTS = """list_transform(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1), lambda x:
@@ -272,7 +287,8 @@ def path_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     count = lambda path: H.html_matches(pages, path, "page_id")
     some = count("//li/a[contains(text(),'a')]").select("page_id", F.size("matches").cast("long").alias("n_with"))
-    return some.join(count("//li/a").select("page_id", F.size("matches").cast("long").alias("n_all")), "page_id")
+    every = H.select_elements(html_elements(pages, "page_id"), "//li/a").groupBy("page_id").agg(F.count("*").alias("n_all"))
+    return some.join(every, "page_id", "left").withColumn("n_all", F.coalesce("n_all", F.lit(0).cast("long")))
 
 
 @query(f"""

@@ -97,12 +97,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/postroom-work/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for stdlib access in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

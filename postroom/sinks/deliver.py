@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postroom.sinks.tables import load_table, write_blobs, write_delimited, write_files
+from postroom.sinks.tables import load_table, split_partition_suffix, write_blobs, write_delimited, write_files
 
 STATUS_SCHEMA = T.StructType(
     [
@@ -38,12 +38,34 @@ def _deliver_one(df: DataFrame, ch: Mapping, n: int) -> int:
     elif kind == "blobs":
         return _write_all(df, ch["dir"])
     elif kind == "records":
-        return _load_records(df, ch)
+        return _load_cells(df, ch) if CELL_COLUMNS <= set(df.columns) else _load_records(df, ch)
     else:
         raise ValueError(f"unknown protocol {kind!r}")
     return n
 
 
+# What a table of workbook cells has (``xlsx2csv``).
+CELL_COLUMNS = {"file", "sheet_no", "row", "col", "value"}
+
+
+def _load_cells(cells: DataFrame, ch: Mapping) -> int:
+    """A table load of workbook cells: the rows of each sheet, typed by the
+    channel's schema, without the detour over delimited files. A workbook
+    that could not be read, or a value that does not fit, fails the load."""
+    from postroom.operators.cells import cells_to_rows
+    from postroom.operators.schema import cast_to_schema, load_schema
+
+    if "error" in cells.columns:
+        bad = cells.where(F.col("error").isNotNull()).agg(F.min("error")).first()[0]
+        if bad is not None:
+            raise OSError(bad)
+    schema = load_schema(ch["schema"])[0]
+    rows = cells_to_rows(cells, schema.names).drop("sheet_no", "row").withColumnRenamed("file", "_file_path")
+    typed = cast_to_schema(rows, T.StructType([T.StructField("_file_path", T.StringType()), *schema.fields]), on_error="fail")
+    _load(typed, ch, "_file_path")
+    return rows.count()
+
+
 def _write_all(files: DataFrame, dest: str) -> int:
     """Every file is written, or the first error is raised."""
     done = write_blobs(files, dest).agg(F.count("*").alias("n"), F.min("error").alias("error")).first()
@@ -55,8 +77,9 @@ def _write_all(files: DataFrame, dest: str) -> int:
 def _load(df: DataFrame, ch: Mapping, path_col: str | None) -> None:
     """A channel's table load. The partition is the channel's ``partition``
     rule, else its ``time_partitioning_field``."""
-    partition = ch.get("partition") or ch.get("time_partitioning_field")
-    load_table(df, ch.get("dir") or ch["table_id"], ch.get("load_method") or "append", partition, path_col, ch.get("keys"),
+    dest, suffix = split_partition_suffix(ch.get("dir") or ch["table_id"])
+    partition = suffix or ch.get("partition") or ch.get("time_partitioning_field")
+    load_table(df, dest, ch.get("load_method") or "append", partition, path_col, ch.get("keys"),
                ch.get("clustering_fields"), order_by=ch.get("order_by"), run_day=ch.get("run_day"), unit=ch.get("time_partitioning_type") or "DAY")
 
 
