@@ -84,19 +84,20 @@ class Grams:
         self.shards = (mixed % np.uint64(SHARDS)).astype(np.int64)
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, Iterator[tuple[list, ...]]]]:
-    """Numbered blocks, each as an iterator of chunks that must be taken to its end; a block's
-    number is the scan's partition and the block's place in it."""
-    at, first = columns.index("text"), TaskContext.get().partitionId() << 32
-    source = (part for batch in batches for part in common.chunks(batch, columns))
+def batches_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, Iterator[tuple[list, list, list]]]]:
+    """Numbered blocks, each as an iterator of chunks (ids, languages, texts) that must be taken to
+    its end; a block's number is the scan's partition and the block's place in it. Both scans give
+    the same columns, so that Spark cuts the same batches from them."""
+    first = TaskContext.get().partitionId() << 32
+    source = (part for batch in batches for part in common.chunks(batch, ["doc_id", "lang", "text"]))
     state = {"next": next(source, None)}
 
-    def block() -> Iterator[tuple[list, ...]]:
+    def block() -> Iterator[tuple[list, list, list]]:
         chars = 0
-        while state["next"] is not None and (not chars or chars < BLOCK_CHARS):
+        while state["next"] is not None and (not chars or chars < block_chars):
             part = state["next"]
             yield part
-            chars += 1 + sum(map(len, part[at]))
+            chars += 1 + sum(map(len, part[2]))
             state["next"] = next(source, None)
 
     while state["next"] is not None:
@@ -133,13 +134,13 @@ def _text_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text")
 
 
-def asked(docs: DataFrame, values: bool = False) -> DataFrame:
+def asked(docs: DataFrame, values: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The distinct n-grams of each block, packed by shard; with ``values`` also their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, block in batches_of(batches, ["lang", "text"]):
+        for number, block in batches_of(batches, block_chars):
             counts: Counter[tuple[int, str, str]] = Counter()
-            for langs, texts in block:
+            for _, langs, texts in block:
                 g = Grams(texts, langs)
                 n = np.bincount(g.kind).tolist()
                 for key, k in zip(zip(g.shards.tolist(), g.langs, g.grams), n):
@@ -148,10 +149,10 @@ def asked(docs: DataFrame, values: bool = False) -> DataFrame:
 
     fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())), ("grams", pa.binary())]
     schema = pa.schema(fields + [("n", pa.binary())] * int(values))
-    return docs.select("lang", "text").mapInArrow(run, PACKED + ", n binary" * int(values))
+    return _text_rows(docs).mapInArrow(run, PACKED + ", n binary" * int(values))
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
+def gram_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``lang, gram, n`` over all rows; summed by block, by shard and part, then over parts."""
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -162,7 +163,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 counts[key] += k
         return pd.DataFrame({"lang": [k[0] for k in counts], "gram": [k[1] for k in counts], "n": list(counts.values())})
 
-    summed = asked(docs, values=True).groupBy("shard", "part").applyInPandas(add, "lang string, gram string, n long")
+    summed = asked(docs, True, block_chars).groupBy("shard", "part").applyInPandas(add, "lang string, gram string, n long")
     return summed.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -221,10 +222,10 @@ def gram_probabilities(grams: DataFrame, known: DataFrame) -> DataFrame:
     return rows.select(*grams.columns, F.log("p").alias("logp"))
 
 
-def document_log_probabilities(docs: DataFrame, known: DataFrame) -> DataFrame:
+def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, lang, n_chars, logp`` (of all its signs together) for each row of ``docs``."""
     rows = _text_rows(docs)
-    asks = common.staged(asked(rows), "asked")
+    asks = common.staged(asked(rows, False, block_chars), "asked")
 
     def distinct(frame: pd.DataFrame) -> pd.DataFrame:
         held = {key for row in frame.itertuples() for key in zip(*unpacked(row))}
@@ -239,7 +240,7 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["block", "shard", "langs", "sizes", "grams", "logp"])
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, block in batches_of(batches, ["doc_id", "lang", "text"]):
+        for number, block in batches_of(batches, block_chars):
             for place, (ids, langs, texts) in enumerate(block):
                 raw = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()), "text": pa.array(texts, pa.large_string())})
                 sink = pa.BufferOutputStream()
