@@ -1,12 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney n-gram model.
 
 The model is of characters (order ``ORDER``), one per language, from all trusted texts. N-grams are
-sharded by hash, and all exchanges are between blocks of documents and shards of n-grams: a block
-of about ``BLOCK_CHARS`` characters sends each shard its distinct n-grams, packed, once. Shards of the
-trusted texts' n-grams are summed to the model's counts. Shards of all texts' n-grams are joined
-with those counts, order by order, which gives every distinct n-gram its probability; the answers go
-back to the blocks in the order they were asked and meet the compressed texts.
-Blocks are cut from the same scan twice; answers to other n-grams than a block holds fail the job.
+sharded by their language and the two characters before the last: then all suffixes of three and
+more characters, and all their contexts, stand in the same shard, and only counts of one and two
+characters go to every shard. A block of about ``BLOCK_CHARS`` characters sends each shard its
+distinct n-grams, packed, once. Shards of the trusted texts' n-grams are summed to the model's
+counts; shards of all texts' n-grams meet those counts, and the answers go back to the blocks, where
+they meet the compressed texts. Answers are fixed-point numbers of five bytes (``STEP``). Blocks are
+cut from the same scan twice; a text with an n-gram that was not answered fails the job.
 
 A document is rejected if its mean negative log probability, shrunk towards its language's median
 by ``PRIOR_CHARS`` characters, is above the language's threshold: quantile ``HIGH`` of trusted texts
@@ -20,10 +21,10 @@ other columns are never read. Texts of any length are read whole.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,12 @@ from postroom.llm import common
 
 ORDER = 5
 BLOCK_CHARS = 32_000_000
+#: Characters of a block that are worked on at a time.
+CHUNK_CHARS = 1_600_000
 #: Shards of n-grams; partitions of the scan whose blocks meet a shard in one task.
-SHARDS, PART_PARTITIONS = 128, 256
+SHARDS, PART_PARTITIONS = 64, 256
+#: The unit of the log probabilities that answers carry.
+STEP = 2.0**-33
 HIGH, MARGIN = 0.99, 2.0
 PRIOR_CHARS = 200
 #: One in so many trusted texts is held out for the thresholds; the least number a language needs.
@@ -48,8 +53,8 @@ BEFORE, AFTER = "\x02", "\x03"
 
 
 class Grams:
-    """The n-grams of some texts: ``grams`` distinct ones, ``langs`` their languages, ``shards`` their
-    shards, ``kind`` the number of each place's n-gram, ``text_of`` its text."""
+    """The n-grams of some texts: ``grams`` distinct ones by language, ``kind`` the number of each
+    place's n-gram, ``text_of`` its text."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         joined = "".join(f"{BEFORE * (ORDER - 1)}{t}{AFTER}" for t in texts)
@@ -73,15 +78,14 @@ class Grams:
         self.text_of = np.repeat(np.arange(len(texts)), size)[last]
         first = np.empty(len(distinct), np.int64)
         first[self.kind[::-1]] = np.arange(len(self.kind))[::-1]
-        ends = last[first]
+        self.grams = [joined[i - ORDER + 1 : i + 1] for i in last[first].tolist()]
         of = lang[self.text_of[first]]
-        self.langs = names[of].tolist()
-        self.grams = [joined[i - ORDER + 1 : i + 1] for i in ends.tolist()]
-        mixed = np.array([zlib.crc32(x.encode()) for x in names], np.uint64)[of]
-        for k in range(ORDER):
-            mixed = (mixed ^ codes[ends - k]) * common.MULTIPLIER
-            mixed ^= mixed >> np.uint64(29)
-        self.shards = (mixed % np.uint64(SHARDS)).astype(np.int64)
+        self.by_lang = [(name, np.flatnonzero(of == k)) for k, name in enumerate(names)]
+
+    def each_lang(self) -> Iterator[tuple[str, np.ndarray, list[str]]]:
+        """Languages with the numbers of their n-grams, and those."""
+        for name, at in self.by_lang:
+            yield name, at, self.grams if len(at) == len(self.grams) else [self.grams[i] for i in at.tolist()]
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, Iterator[tuple[list, list, list]]]]:
@@ -89,7 +93,7 @@ def batches_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[
     its end; a block's number is the scan's partition and the block's place in it. Both scans give
     the same columns, so that Spark cuts the same batches from them."""
     first = TaskContext.get().partitionId() << 32
-    source = (part for batch in batches for part in common.chunks(batch, ["doc_id", "lang", "text"]))
+    source = (part for batch in batches for part in common.chunks(batch, ["doc_id", "lang", "text"], most=CHUNK_CHARS))
     state = {"next": next(source, None)}
 
     def block() -> Iterator[tuple[list, list, list]]:
@@ -105,29 +109,48 @@ def batches_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[
         first += 1
 
 
-def packed(number: int, counts: dict[tuple[int, str, str], int], values: bool) -> Iterator[dict]:
-    """A row for each shard: its n-grams, sorted, as one compressed string, with the number of each
-    language's; and their counts."""
-    for shard, keys in groupby(sorted(counts), key=lambda k: k[0]):
-        held = list(keys)
-        langs = Counter(k[1] for k in held)
-        row = {
-            "shard": shard, "part": (number >> 32) // PART_PARTITIONS, "block": number, "langs": sorted(langs),
-            "sizes": [langs[x] for x in sorted(langs)], "grams": zstandard.compress("".join(k[2] for k in held).encode(), 5),
-        }
-        if values:
-            row["n"] = zstandard.compress(np.array([counts[k] for k in held], np.int64).tobytes(), 5)
-        yield row
+def shard_of(lang: str, pair: str) -> int:
+    return zlib.crc32(f"{lang}\0{pair}".encode()) % SHARDS
+
+
+def packed(number: int, counts: dict[str, dict[str, int]], values: bool) -> Iterator[dict]:
+    """A row for each shard and language: its n-grams, sorted, as one compressed string; and their
+    counts."""
+    for lang, held in counts.items():
+        shards: dict[str, int] = {}
+        dealt: dict[int, list[str]] = {}
+        for gram in sorted(held):
+            pair = gram[-3:-1]
+            if (shard := shards.get(pair)) is None:
+                shard = shards[pair] = shard_of(lang, pair)
+            dealt.setdefault(shard, []).append(gram)
+        for shard, grams in dealt.items():
+            row = {"shard": shard, "part": (number >> 32) // PART_PARTITIONS, "block": number, "lang": lang, "grams": zstandard.compress("".join(grams).encode(), 9)}
+            if values:
+                row["n"] = zstandard.compress(np.array([held[g] for g in grams], np.int64).tobytes(), 9)
+            yield row
+
+
+def unpacked(raw: bytes) -> list[str]:
+    joined = zstandard.decompress(raw).decode()
+    return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+
+
+def fixed(logp: np.ndarray) -> bytes:
+    """Log probabilities in units of STEP, five bytes each, byte by byte apart; all ones: none."""
+    n = np.where(np.isnan(logp), (1 << 40) - 1, np.round(np.nan_to_num(-logp) / STEP)).astype("<u8")
+    return zstandard.compress(np.ascontiguousarray(n.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes(), 3)
 
 
-def unpacked(row) -> tuple[list[str], list[str]]:
-    """Languages and n-grams of a packed row."""
-    joined = zstandard.decompress(row.grams).decode()
-    langs = [x for x, n in zip(row.langs, row.sizes) for _ in range(n)]
-    return langs, [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
+def unfixed(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(5, -1)
+    n = np.zeros((planes.shape[1], 8), np.uint8)
+    n[:, :5] = planes.T
+    whole = n.view("<u8").ravel()
+    return np.where(whole == (1 << 40) - 1, np.nan, whole * -STEP)
 
 
-PACKED = "shard int, part long, block long, langs array<string>, sizes array<long>, grams binary"
+PACKED = "shard int, part long, block long, lang string, grams binary"
 
 
 def _text_rows(docs: DataFrame) -> DataFrame:
@@ -139,15 +162,20 @@ def asked(docs: DataFrame, values: bool = False, block_chars: int = BLOCK_CHARS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in batches_of(batches, block_chars):
-            counts: Counter[tuple[int, str, str]] = Counter()
+            counts: dict[str, dict[str, int]] = {}
             for _, langs, texts in block:
                 g = Grams(texts, langs)
-                n = np.bincount(g.kind).tolist()
-                for key, k in zip(zip(g.shards.tolist(), g.langs, g.grams), n):
-                    counts[key] += k
+                n = np.bincount(g.kind)
+                for lang, at, grams in g.each_lang():
+                    held = counts.setdefault(lang, {})
+                    if values:
+                        for gram, k in zip(grams, n[at].tolist()):
+                            held[gram] = held.get(gram, 0) + k
+                    else:
+                        held.update(dict.fromkeys(grams, 0))
             yield pa.RecordBatch.from_pylist(list(packed(number, counts, values)), schema)
 
-    fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())), ("grams", pa.binary())]
+    fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary())]
     schema = pa.schema(fields + [("n", pa.binary())] * int(values))
     return _text_rows(docs).mapInArrow(run, PACKED + ", n binary" * int(values))
 
@@ -156,12 +184,13 @@ def gram_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``lang, gram, n`` over all rows; summed by block, by shard and part, then over parts."""
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        counts: Counter[tuple[str, str]] = Counter()
+        counts: dict[str, Counter[str]] = {}
         for row in frame.itertuples():
             n = np.frombuffer(zstandard.decompress(row.n), np.int64).tolist()
-            for key, k in zip(zip(*unpacked(row)), n):
-                counts[key] += k
-        return pd.DataFrame({"lang": [k[0] for k in counts], "gram": [k[1] for k in counts], "n": list(counts.values())})
+            held = counts.setdefault(row.lang, Counter())
+            for gram, k in zip(unpacked(row.grams), n):
+                held[gram] += k
+        return pd.concat([pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())}) for lang, held in counts.items()])
 
     summed = asked(docs, True, block_chars).groupBy("shard", "part").applyInPandas(add, "lang string, gram string, n long")
     return summed.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -201,43 +230,51 @@ def model(counts: DataFrame) -> DataFrame:
     )
 
 
-def gram_probabilities(grams: DataFrame, known: DataFrame) -> DataFrame:
-    """``grams`` (distinct ``lang, gram``, and other columns) with ``logp``: order by order, the
-    distinct suffixes are joined with their counts, their contexts' and the shorter suffix; null
-    for a language without a model."""
-    c = F.col
-    wanted = {k: grams.select("lang", F.substring("gram", ORDER - k + 1, k).alias("gram")).distinct() for k in range(1, ORDER)}
-    wanted[ORDER] = grams
-    signs = known.where("key = ''").select("lang", (1 / c("own")).alias("lower"))
-    below: DataFrame | None = None
-    for k in range(1, ORDER + 1):
-        rows = wanted[k].withColumns({"prefix": F.substring("gram", 1, k - 1), "suffix": F.substring("gram", 2, k - 1)})
-        own = known.where(F.char_length("key") == k).select("lang", c("key").alias("gram"), "own")
-        context = known.where(F.char_length("key") == k - 1).select("lang", c("key").alias("prefix"), "total", "back")
-        rows = rows.join(own, ["lang", "gram"], "left").join(context, ["lang", "prefix"], "left")
-        rows = rows.join(signs, "lang", "left") if below is None else rows.join(below, ["lang", "suffix"], "left")
-        p = (F.coalesce("own", F.lit(0.0)) + c("back") * c("lower")) / c("total")
-        rows = rows.withColumn("p", F.when(F.coalesce("total", F.lit(0.0)) > 0, p).otherwise(c("lower")))
-        below = rows.select("lang", c("gram").alias("suffix"), c("p").alias("lower"))
-    return rows.select(*grams.columns, F.log("p").alias("logp"))
+def sharded(known: DataFrame, parts: int) -> DataFrame:
+    """The model's rows in the shards where n-grams can ask for them, for each part of the blocks."""
+    size, key = F.char_length("key"), F.col("key")
+
+    def shard(pair: Column) -> Column:
+        return F.pmod(F.crc32(F.encode(F.concat(F.col("lang"), F.lit("\0"), pair), "UTF-8")), F.lit(SHARDS)).cast("int")
+
+    as_own = F.when((F.col("own") > 0) & (size > 2), F.array(shard(F.substring(key, size - 2, F.lit(2))))).otherwise(F.array().cast("array<int>"))
+    as_context = F.when((F.col("total") > 0) & (size > 2), F.array(shard(F.substring(key, size - 1, F.lit(2))))).otherwise(F.array().cast("array<int>"))
+    every = F.sequence(F.lit(0), F.lit(SHARDS - 1))
+    dealt = known.withColumn("shard", F.explode(F.when(size <= 2, every).otherwise(F.array_distinct(F.concat(as_own, as_context)))))
+    return dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+
+
+class ShardModel:
+    """What one shard holds of a language's model, and the probabilities of its n-grams."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.own = dict(zip(rows["key"], rows["own"]))
+        self.context = {k: (t, b) for k, t, b in zip(rows["key"], rows["total"], rows["back"]) if t > 0}
+        self.known: dict[str, float] = {}
+
+    def logp(self, gram: str) -> float:
+        if (found := self.known.get(gram)) is None:
+            p = 1 / self.own[""]
+            for k in range(1, ORDER + 1):
+                if held := self.context.get(gram[ORDER - k : ORDER - 1]):
+                    p = (self.own.get(gram[ORDER - k :], 0.0) + held[1] * p) / held[0]
+            found = self.known[gram] = math.log(p)
+        return found
 
 
 def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, lang, n_chars, logp`` (of all its signs together) for each row of ``docs``."""
     rows = _text_rows(docs)
-    asks = common.staged(asked(rows, False, block_chars), "asked")
-
-    def distinct(frame: pd.DataFrame) -> pd.DataFrame:
-        held = {key for row in frame.itertuples() for key in zip(*unpacked(row))}
-        return pd.DataFrame({"shard": frame["shard"].iloc[0], "part": frame["part"].iloc[0], "lang": [k[0] for k in held], "gram": [k[1] for k in held]})
+    parts = -(-rows.rdd.getNumPartitions() // PART_PARTITIONS)
 
     def answer(asks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        logp = dict(zip(zip(answers["lang"], answers["gram"]), answers["logp"]))
+        models = {lang: ShardModel(held) for lang, held in answers.groupby("lang")}
         out = []
         for row in asks.itertuples():
-            held = np.array([logp[key] for key in zip(*unpacked(row))], np.float64)
-            out.append((row.block, row.shard, row.langs, row.sizes, row.grams, held.tobytes()))
-        return pd.DataFrame(out, columns=["block", "shard", "langs", "sizes", "grams", "logp"])
+            grams = unpacked(row.grams)
+            model = models.get(row.lang)
+            out.append((row.block, row.lang, row.grams, fixed(np.array([model.logp(g) for g in grams] if model else [np.nan] * len(grams)))))
+        return pd.DataFrame(out, columns=["block", "lang", "grams", "logp"])
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in batches_of(batches, block_chars):
@@ -246,18 +283,20 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, raw.schema) as out:
                     out.write_batch(raw)
-                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "place": pa.array([place], pa.int32()), "texts": pa.array([zstandard.compress(sink.getvalue(), 5)], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "place": pa.array([place], pa.int32()), "texts": pa.array([zstandard.compress(sink.getvalue(), 9)], pa.binary())})
 
     def score(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        logp: dict[tuple[str, str], float] = {}
+        logp: dict[str, dict[str, float]] = {}
         for row in answers.itertuples():
-            logp.update(zip(zip(*unpacked(row)), np.frombuffer(row.logp, np.float64).tolist()))
+            logp.setdefault(row.lang, {}).update(zip(unpacked(row.grams), unfixed(row.logp).tolist()))
         out = []
         for raw in texts["texts"]:
             held = pa.ipc.open_stream(zstandard.decompress(raw)).read_all().to_pydict()
             g = Grams(held["text"], held["lang"])
-            # a missing n-gram would be a wrong result: it raises
-            each = np.array([logp[k] for k in zip(g.langs, g.grams)], float)
+            each = np.empty(len(g.grams))
+            for lang, at, grams in g.each_lang():
+                # a missing n-gram would be a wrong result: it raises
+                each[at] = list(map(logp[lang].__getitem__, grams))
             n = len(held["doc_id"])
             out.append(pa.table({
                 "doc_id": pa.array(held["doc_id"], pa.int64()), "lang": pa.array(held["lang"], pa.string()),
@@ -265,13 +304,9 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
             }))
         return pa.concat_tables(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": []})
 
-    parts = asks.groupBy("shard", "part").applyInPandas(distinct, "shard int, part long, lang string, gram string")
-    # a shard's answers go to each of its parts
-    parts = common.staged(parts, "distinct")
-    answers = gram_probabilities(parts.select("shard", "lang", "gram").distinct(), known)
-    answers = answers.drop("shard").join(parts, ["lang", "gram"])
-    schema = "block long, shard int, langs array<string>, sizes array<long>, grams binary, logp binary"
-    answered = asks.groupBy("shard", "part").cogroup(answers.groupBy("shard", "part")).applyInPandas(answer, schema)
+    asks = asked(rows, False, block_chars)
+    schema = "block long, lang string, grams binary, logp binary"
+    answered = asks.groupBy("shard", "part").cogroup(sharded(known, parts).groupBy("shard", "part")).applyInPandas(answer, schema)
     texts = rows.mapInArrow(shrink, "block long, place int, texts binary")
     return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double")
 
