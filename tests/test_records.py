@@ -81,3 +81,24 @@ def test_split_does_not_depend_on_projection(spark, tmp_dir):
     good, bad = REC.read_delimited(spark, p, SCHEMA, field_delimiter="tab")
     assert good.count() == len(good.collect()) == good.select("a").count() == 2
     assert bad.count() == len(bad.collect()) == 2
+
+
+def test_many_leading_rows_over_splits(spark, tmp_dir):
+    """Two leading rows of files that are read in several splits, no Python
+    worker; the path goes with the rows."""
+
+    schema = load_schema([{"name": "k", "type": "INTEGER"}, {"name": "v", "type": "STRING"}])[0]
+    for n in (0, 1):
+        with open(os.path.join(tmp_dir, f"f{n}.tsv"), "w") as f:
+            f.write("title\nk\tv\n" + "".join(f"{i}\trow {i}\n" for i in range(n, 20_000, 2)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        got = REC.read_delimited(spark, tmp_dir, schema, field_delimiter="tab", skip_leading_rows=2, on_error="fail", path_col="p")
+        assert got.rdd.getNumPartitions() > 2
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.k for r in rows) == list(range(20_000))
+    assert all(r.p.endswith(f"f{r.k % 2}.tsv") for r in rows)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan

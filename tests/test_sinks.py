@@ -87,3 +87,38 @@ def test_guard_empty(spark):
     with pytest.raises(D.NoFilesError):
         D.guard_empty(empty, hour=10, ignore_after=15)
     assert D.guard_empty(spark.createDataFrame([(1,)], "x int"), hour=0) == "ok"
+
+
+def test_quoted_lines_hold_separators(spark, tmp_dir):
+    dest = os.path.join(tmp_dir, "q2")
+    df = spark.createDataFrame([(1, "a\tb"), (2, "c\nd"), (3, 'e"f')], "k long, v string")
+    TB.write_delimited(df, dest, quote="nonnumeric")
+    text = "".join(open(p).read() for p in sorted(glob.glob(dest + "/part-*")))
+    assert "\0" not in text and '1\t"a\tb"' in text and '2\t"c\nd"' in text and '3\t"e""f"' in text
+
+
+def test_merge_needs_an_order_for_repeated_keys(spark, tmp_dir):
+    src = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(TB.DuplicateKeyError):
+        TB.load_table(src, os.path.join(tmp_dir, "m"), "merge", keys=["k"])
+
+
+def test_equal_file_names(spark, tmp_dir):
+    files = spark.createDataFrame([("m1", "r.csv", b"1"), ("m2", "r.csv", b"2"), ("m2", "s.csv", b"3")], "message_id string, file_name string, content binary")
+    dest = os.path.join(tmp_dir, "b")
+    st = D.fan_out(files, {"protocol": "blobs", "dir": dest}).first()
+    assert (st.status, st.rows) == ("ok", 3)
+    assert sorted(os.path.basename(p) for p in glob.glob(dest + "/*")) == ["r_m1.csv", "r_m2.csv", "s.csv"]
+    st = D.fan_out(files.drop("message_id"), {"protocol": "blobs", "dir": dest + "2"}).first()
+    assert st.status == "failed" and st.rows == 0 and "r.csv" in st.error
+
+
+def test_partition_fallback_and_suffix(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "/in/b_20240131.csv"), (2, "/in/c.csv")], "k long, _path string")
+    dest = os.path.join(tmp_dir, "t")
+    TB.load_table(df, dest, "replace", partition=r"regex:(\d{8})", path_col="_path", run_day="20240301")
+    got = TB.read_table(spark, dest)
+    assert sorted(got.columns) == ["ds", "k"] and sorted((r.k, r.ds) for r in got.collect()) == [(1, "20240131"), (2, "20240301")]
+    dest = os.path.join(tmp_dir, "u")
+    assert D.fan_out(df.select("k"), {"protocol": "table", "dir": dest + "$20240102"}).first().status == "ok"
+    assert [r.ds for r in TB.read_table(spark, dest).collect()] == ["20240102"] * 2
