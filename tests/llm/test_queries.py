@@ -41,3 +41,23 @@ def test_pipeline(spark):
             assert docs.columns == columns
     held = docs.groupBy("sequence_id").sum("length").collect()
     assert max(r[1] for r in held) <= 1024
+
+
+def test_stages_take_odd_documents(spark, odd_docs, no_docs, odd_rows):
+    """Each stage on nulls, empty and long texts, ties and repeated rows, and on no rows at all."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for docs in (odd_docs.select(*columns), no_docs.select(*columns)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            found = stage(spark, docs, SF)
+            rows = found.collect()
+            if name == "packing":
+                assert {r["doc_id"] for r in rows} == {r[0] for r in docs.select("doc_id").collect()}
+                continue
+            assert found.columns == columns
+            if name in ("quality", "toxicity"):
+                assert len(rows) <= n
+            if name == "near_dedup" and n:
+                # the three equal texts are one document; so are all texts without words
+                ids = [r["doc_id"] for r in rows]
+                assert ids.count(6) == 1 and 7 not in ids and sum(i in (1, 2, 3) for i in ids) == 1 and None in ids
