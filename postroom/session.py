@@ -27,6 +27,8 @@ def get_session(master: str = "local[8]", app: str = "postroom", **conf) -> Spar
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "16g",
+        # many partition folders are listed by a job of so many tasks
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
         **conf,
     }
     for k, v in settings.items():
