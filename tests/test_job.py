@@ -6,7 +6,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from postroom.plans.job import run_job
 from postroom.sinks import deliver as D
