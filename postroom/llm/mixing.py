@@ -111,7 +111,7 @@ def classifier(docs: DataFrame, labelled: DataFrame) -> Mixture:
                 some = np.flatnonzero(n)
                 yield pa.RecordBatch.from_pydict({"domain": pa.array(names[some // BUCKETS], pa.string()), "bucket": pa.array(some % BUCKETS, pa.int32()), "n": pa.array(n[some], pa.int64())})
 
-    counted = rows.where(~held).select("domain", "text").mapInArrow(count, "domain string, bucket int, n long")
+    counted = rows.where(~held).select("domain", "text").mapInArrow(common.lean(count), "domain string, bucket int, n long")
     sums = counted.groupBy("domain", "bucket").agg(F.sum("n").alias("n"))
     # at most DOMAINS * BUCKETS numbers
     names = [r["domain"] for r in ids.select("domain").distinct().orderBy("domain").limit(DOMAINS + 1).collect()]
@@ -129,7 +129,7 @@ def classifier(docs: DataFrame, labelled: DataFrame) -> Mixture:
             for doc_ids, domains, texts in common.chunks(batch, ["doc_id", "domain", "text"]):
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc_ids, pa.int64()), "domain": pa.array(domains, pa.string()), "x": pa.array(found.evidence(texts).tolist(), pa.list_(pa.float64()))})
 
-    some = rows.where(held).mapInArrow(show, "doc_id long, domain string, x array<double>")
+    some = rows.where(held).mapInArrow(common.lean(show), "doc_id long, domain string, x array<double>")
     shown = some.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(FIT_ROWS).collect()
     if shown:
         x, y = np.array([r["x"] for r in shown]), np.array([names.index(r["domain"]) for r in shown])
@@ -155,7 +155,7 @@ def memberships(docs: DataFrame, mixture: Mixture, path: str | None = None) -> D
                 p = mixture.posteriors(texts) if mixture.domains else np.zeros((len(texts), 0))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "tokens": pa.array(count_tokens(texts, path)), "posterior": pa.array(p.tolist(), pa.list_(pa.float64()))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, tokens long, posterior array<double>")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, tokens long, posterior array<double>")
 
 
 def _sums(members: DataFrame, mixture: Mixture, second: bool = False) -> np.ndarray:
@@ -224,7 +224,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
                 begin += len(part)
                 yield held.take(pa.array(np.repeat(np.arange(len(part)), n)))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.lean(run), schema)
 
 
 def trusted_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -248,4 +248,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "rate": pa.array(r), "copies": pa.array(copies(batch.column("doc_id").to_pylist(), r)),
             })
 
-    return members.mapInArrow(run, "doc_id long, tokens long, domain string, rate double, copies long")
+    return members.mapInArrow(common.lean(run), "doc_id long, tokens long, domain string, rate double, copies long")

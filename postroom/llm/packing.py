@@ -77,7 +77,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                     "ids": pa.array([raw[a : a + k] for a, k in zip(at.tolist(), (length * 4).tolist())], pa.binary()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, piece int, start long, length long, ids binary")
 
 
 @dataclass

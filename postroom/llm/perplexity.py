@@ -177,7 +177,7 @@ def asked(docs: DataFrame, values: bool = False, block_chars: int = BLOCK_CHARS)
 
     fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary())]
     schema = pa.schema(fields + [("n", pa.binary())] * int(values))
-    return _text_rows(docs).mapInArrow(run, PACKED + ", n binary" * int(values))
+    return _text_rows(docs).mapInArrow(common.lean(run), PACKED + ", n binary" * int(values))
 
 
 def gram_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -190,7 +190,10 @@ def gram_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
             held = counts.setdefault(row.lang, Counter())
             for gram, k in zip(unpacked(row.grams), n):
                 held[gram] += k
-        return pd.concat([pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())}) for lang, held in counts.items()])
+        found = pd.concat([pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())}) for lang, held in counts.items()])
+        del counts
+        common.release()
+        return found
 
     summed = asked(docs, True, block_chars).groupBy("shard", "part").applyInPandas(add, "lang string, gram string, n long")
     return summed.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -274,6 +277,8 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
             grams = unpacked(row.grams)
             model = models.get(row.lang)
             out.append((row.block, row.lang, row.grams, fixed(np.array([model.logp(g) for g in grams] if model else [np.nan] * len(grams)))))
+        del models
+        common.release()
         return pd.DataFrame(out, columns=["block", "lang", "grams", "logp"])
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,12 +307,14 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
                 "doc_id": pa.array(held["doc_id"], pa.int64()), "lang": pa.array(held["lang"], pa.string()),
                 "n_chars": pa.array(np.bincount(g.text_of, minlength=n)), "logp": pa.array(np.bincount(g.text_of, each[g.kind], n)),
             }))
+        del logp
+        common.release()
         return pa.concat_tables(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": []})
 
     asks = asked(rows, False, block_chars)
     schema = "block long, lang string, grams binary, logp binary"
     answered = asks.groupBy("shard", "part").cogroup(sharded(known, parts).groupBy("shard", "part")).applyInPandas(answer, schema)
-    texts = rows.mapInArrow(shrink, "block long, place int, texts binary")
+    texts = rows.mapInArrow(common.lean(shrink), "block long, place int, texts binary")
     return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double")
 
 

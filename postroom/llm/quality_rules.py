@@ -102,7 +102,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, lang string, source string, " + ", ".join(f"{k} long" for k in COUNTS)
-    return docs.select("doc_id", F.col("lang").cast("string"), F.col("source").cast("string"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("lang").cast("string"), F.col("source").cast("string"), "text").mapInArrow(common.lean(run), schema)
 
 
 def transformed(stats: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 found = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "fp": pa.array(found)})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, fp long")
 
 
 class BKTrees:

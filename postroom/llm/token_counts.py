@@ -138,7 +138,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
                     "over_limit": pa.array(n > limit, pa.bool_()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -376,7 +376,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
                     "predicted": pa.array((found >= threshold).astype(np.int32), pa.int32()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, score double, predicted int")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
