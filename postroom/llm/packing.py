@@ -20,11 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postroom.llm import common, pretokens
 from postroom.llm.token_counts import VOCABULARY, merges
@@ -176,13 +176,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     ranked = salted.withColumn("_rank", F.row_number().over(within) - 1).join(common.small(before), ["length", "_salt"])
     key = plan.length << 44 | plan.rank
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        at = np.searchsorted(key, (length.to_numpy() << 44) | rank.to_numpy(), "right") - 1
-        return pd.DataFrame({"sequence_id": plan.sequence[at] + rank.to_numpy() - plan.rank[at], "offset": plan.offset[at]})
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
 
-    placed = ranked.withColumn("_at", place("length", F.col("_before") + F.col("_rank")))
-    return placed.select(*[c for c in pieces.columns if c not in ("sequence_id", "offset")], "_at.*")
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rank = batch.column("_at").to_numpy()
+            at = np.searchsorted(key, (batch.column("_length").to_numpy() << 44) | rank, "right") - 1
+            found = [pa.array(plan.sequence[at] + rank - plan.rank[at], pa.int64()), pa.array(plan.offset[at], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *found], [*kept, "sequence_id", "offset"])
+
+    rows = ranked.select(*kept, F.col("length").cast("long").alias("_length"), (F.col("_before") + F.col("_rank")).alias("_at"))
+    schema = T.StructType([*pieces.select(*kept).schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return rows.mapInArrow(common.lean(place), schema)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,11 +33,16 @@ def char_classes() -> np.ndarray:
 
     table = np.zeros(SENTINEL + 1, np.uint8)
     kinds = {"L": LETTER, "N": NUMBER}
-    found = [unicodedata.category(chr(c)) for c in range(SENTINEL)]
-    table[:SENTINEL] = [kinds.get(k[0], OTHER) for k in found]
+    unknown = []
+    for c in range(SENTINEL):
+        kind = unicodedata.category(chr(c))
+        if kind == "Cn":
+            unknown.append(c)
+        elif kind[0] in kinds:
+            table[c] = kinds[kind[0]]
     cut = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).pre_tokenizer.pre_tokenize_str
-    for c in range(0x32400):
-        if found[c] == "Cn":
+    for c in unknown:
+        if c < 0x32400:
             table[c] = LETTER if len(cut(f"a{chr(c)}")) == 1 else NUMBER if len(cut(f"1{chr(c)}")) == 1 else OTHER
     table[list(WHITE_SPACE)] = SPACE
     table[SENTINEL] = END

@@ -25,7 +25,7 @@ from postroom.llm import common, pretokens
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 #: Distinct pre-tokens that a worker remembers.
-MEMO = 250_000
+MEMO = 120_000
 NONE = np.int64(1 << 40)
 
 
