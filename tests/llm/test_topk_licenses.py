@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from importlib import metadata
 
 import numpy as np
 
@@ -74,3 +75,43 @@ def test_scan(spark, odd_rows, no_docs):
     assert licenses.license_scan(no_docs, licenses.known_licenses(spark)).count() == 0
     empty = licenses.known_licenses(spark).limit(0)
     assert all(r["license"] is None and not r["n_license_lines"] for r in licenses.license_scan(frame(spark, rows), empty).collect())
+
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_license_files_and_other_notices(spark):
+    # unmodified files of installed packages; those that aren't installed are left out
+    wanted = [("requests", "LICENSE", "Apache-2.0"), ("idna", "LICENSE.md", "BSD-3-Clause"), ("zstandard", "LICENSE", "BSD-3-Clause"), ("xxhash", "LICENSE", "BSD-2-Clause"), ("pytest", "LICENSE", "MIT")]
+    files = [("MIT", MIT_FILE)]
+    for package, name, license in wanted:
+        try:
+            files += [(license, f.read_text()) for f in metadata.files(package) or [] if f.name == name and "dist-info" in str(f)]
+        except metadata.PackageNotFoundError:
+            pass
+    lines = [("MIT", "This project is licensed under the MIT License."), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"), ("MPL-2.0", "Distributed under the terms of the Mozilla Public License, version 2.0"), ("CC-BY-4.0", "This work is licensed under a text")]
+    rows = [(i, t, "en", "a") for i, (_, t) in enumerate(files)] + [(100 + i, f"before\n{t}\nafter", "en", "a") for i, (_, t) in enumerate(lines)]
+    got = {r["doc_id"]: r for r in licenses.license_scan(frame(spark, rows), licenses.known_licenses(spark)).collect()}
+    assert [got[i]["license"] for i in range(len(files))] == [name for name, _ in files]
+    assert [got[100 + i]["line_licenses"] for i in range(len(lines))] == ["MIT", "GPL-2.0", "MPL-2.0", ""]
