@@ -36,13 +36,13 @@ SHARE = 0.75
 STEPS = 5
 LEAST_ROWS = 60
 #: The part of the normal distribution beyond the cutoff.
-BEYOND = 1e-9
+BEYOND = 1e-3
 #: The transformed statistics, and the least standard deviation each is taken to have: what most
 #: documents lack altogether has no spread of its own.
 FEATURES = {"f_word": 0.25, "f_symbol": 0.03, "f_dup": 0.1, "f_repeat": 0.05, "f_upper": 0.05, "f_mark": 0.05}
 #: Words (lines, characters) that are added to a document's own in a ratio, so that the ratios of
 #: short texts vary no more than those of long ones.
-PRIOR_WORDS, PRIOR_CHARS, PRIOR_WORD_SIZE, PRIOR_LINES = 100, 500, 5, 10
+PRIOR_WORDS, PRIOR_CHARS, PRIOR_WORD_SIZE, PRIOR_LINES = 50, 250, 5, 5
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 COUNTS = (*BASE, "n_lines", "n_upper", "n_marks")
 

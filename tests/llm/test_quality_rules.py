@@ -69,3 +69,13 @@ def test_estimates_are_concentration_steps(spark):
 def test_chi_squared():
     assert abs(Q.chi2_cdf(Q.chi2_quantile(0.95, 6), 6) - 0.95) < 1e-9
     assert abs(Q.chi2_quantile(0.95, 2) - 5.991) < 1e-3
+
+
+def test_short_junk_goes(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randint(12, 400)), "en", "a") for i in range(300)]
+    bad = [(1000 + i, prose(rng, 25).upper().replace(" ", "!! ") + "!!", "en", "a") for i in range(5)]
+    bad += [(2000 + i, " ".join(w + " |" for w in prose(rng, 30).split()), "en", "a") for i in range(5)]
+    got = {r["doc_id"]: r for r in Q.quality_rules(frame(spark, rows + bad)).collect()}
+    assert all(got[i]["kept"] for i, *_ in rows)
+    assert not any(got[i]["kept"] for i, *_ in bad)
