@@ -11,7 +11,8 @@ cut from the same scan twice; a text with an n-gram that was not answered fails
 
 A document is rejected if its mean negative log probability, shrunk towards its language's median
 by ``PRIOR_CHARS`` characters, is above the language's threshold: quantile ``HIGH`` of trusted texts
-that the model has not learned, and ``MARGIN`` times the way to it from the median.
+that the model has not learned. Where they are too few to show it, it is the highest of them or, if
+that is more, the quantile of an exponential tail above the median with their mean.
 
 Defined results: null texts and languages are empty strings; an empty text has its end sign only;
 a text in a language without trusted texts has perplexity null and is kept; languages with few
@@ -44,7 +45,7 @@ CHUNK_CHARS = 1_600_000
 SHARDS, PART_PARTITIONS = 64, 256
 #: The unit of the log probabilities that answers carry.
 STEP = 2.0**-33
-HIGH, MARGIN = 0.99, 2.0
+HIGH = 0.999
 PRIOR_CHARS = 200
 #: One in so many trusted texts is held out for the thresholds; the least number a language needs.
 HELD_OUT, LEAST_HELD = 5, 30
@@ -318,7 +319,7 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
     return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double")
 
 
-def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH, margin: float = MARGIN) -> DataFrame:
+def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
     """``doc_id, lang, n_chars, perplexity, loss, threshold, kept`` for each row of ``docs``, given
     the ``doc_id`` of trusted rows. loss is the shrunk mean that is held against the threshold."""
     c = F.col
@@ -341,11 +342,12 @@ def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH,
 
     any_mid = apart.agg(*mid).first()["mid"]
     above = placed(apart).withColumn("over", c("loss") - c("mid"))
-    top = F.percentile_approx("over", high, 10000)
+    tail = F.avg(F.when(c("over") > 0, c("over"))) * math.log(0.5 / (1 - high))
+    top = F.greatest(F.percentile_approx("over", high, 10000), F.when(F.count("*") * (1 - high) < 1, tail))
     any_top = above.agg(top).first()[0]
     tops = above.groupBy("lang").agg(top.alias("top"), F.count("*").alias("n")).where(c("n") >= LEAST_HELD).drop("n")
     found = placed(scored).join(common.small(tops), "lang", "left")
-    limit = c("mid") + (1 + margin) * F.coalesce("top", F.lit(any_top).cast("double"))
+    limit = c("mid") + F.coalesce("top", F.lit(any_top).cast("double"))
     return found.select(
         "doc_id", "lang", "n_chars", F.exp("mean").alias("perplexity"), F.when(c("mean").isNotNull(), c("loss")).alias("loss"), limit.alias("threshold"),
         (~F.coalesce(c("mean").isNotNull() & (c("loss") > limit), F.lit(False))).alias("kept"),

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 from postroom.llm import perplexity as K
@@ -73,6 +74,19 @@ def test_junk_goes_and_clean_stays(spark):
     assert not any(got[i]["kept"] for i, *_ in bad)
 
 
+def test_threshold_is_the_held_out_quantile(spark):
+    rng = random.Random(7)
+    good = [(i, prose(rng, rng.randint(20, 200)), "en", "a") for i in range(600)]
+    # far beyond every held-out text, but not by three times
+    bad = [(2000 + i, " ".join(w if k % 10 else w.upper() for k, w in enumerate(prose(rng, 150).split())), "en", "a") for i in range(10)]
+    docs = frame(spark, good + bad)
+    rows = K.quality_classifier(docs, docs.where("doc_id < 600").select("doc_id"), high=0.98).collect()
+    held = sorted(r["loss"] for r in rows if r["doc_id"] < 600 and zlib.crc32(str(r["doc_id"]).encode()) % K.HELD_OUT == 0)
+    (threshold,) = {r["threshold"] for r in rows}
+    assert len(held) >= 50 and math.isclose(threshold, held[math.ceil(0.98 * len(held)) - 1], rel_tol=1e-9)
+    assert not any(r["kept"] for r in rows if r["doc_id"] >= 2000)
+
+
 def test_odd_tables(spark, odd_docs, odd_rows, no_docs):
     trusted = odd_docs.where("doc_id >= 20").select("doc_id")
     got = K.quality_classifier(odd_docs, trusted).collect()
