@@ -7,15 +7,20 @@ works on classes.
 
 Inverted lists: of its ``KEYS`` smallest values a class is listed under its rarest ones only, so many
 that two sets with ``least_common`` values in common still meet in a list (prefix filter). Within a
-list, pairs whose sizes and union sketches allow the limit are candidates; short lists give all of
-them, long ones only the pairs with the list's first class. Candidates are confirmed by intersecting
-full sets, the sets of a first class's partners streaming past its own. Long lists are then read
-again: only pairs whose classes aren't connected yet are candidates. So a group of many near copies
-costs a confirmation or two a member, and no link between different components is left out.
+list, pairs whose sizes and union sketches allow the limit are likely. A list gives no pairs but what
+connects its likely ones: a few rows a member, however large the group. Components of all that are
+the loose components; two linked classes always are in one.
 
-Lists longer than ``PART_ROWS`` are cut into parts and all pairs of parts meet, each in a task of its
-own; a first class with many partners has them dealt to parts of ``PART_PAIRS``. Components are found
-by large-star / small-star over tables in the shared folder.
+The likely pairs that came out are confirmed by intersecting full sets, the sets of a class's
+partners streaming past its own. Where a loose component then still has more than one label, its
+full sets, each sent once as a rule, meet in cells, and intersections of classes with different
+labels are counted exactly by products of 0/1 matrices. Again only what connects labels comes out.
+In a component the members of the most frequent label meet the others, never each other.
+
+Lists longer than ``PART_ROWS`` and components of more than ``PART_VALUES`` values are cut into parts
+and all pairs of parts meet, each in a task of its own; a class with many partners has them dealt to
+parts of ``PART_PAIRS``. Components are found by large-star / small-star over tables in the shared
+folder.
 
 Defined results: a text without words has an empty set, is linked with nothing and kept; a null
 ``doc_id`` is no candidate for a component's name, and a component without any id is named null
@@ -36,19 +41,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postroom.llm import common
-from postroom.llm.simhash import components
+from postroom.llm.simhash import _union, components
 
 WORDS, PERCENT = 5, 80
 #: Smallest hashes that are listed, and kept for union sketches.
 KEYS, SKETCH = 32, 64
 #: The chance that a sketch hides a pair that is just similar enough.
 LOSS = 1e-9
-#: Classes in a list up to which all its pairs are candidates; rows of a part of a longer list.
+#: Classes in a list up to which all its pairs are tried at once; rows of a part of a longer list.
 SHORT_ROWS, PART_ROWS = 64, 4096
 #: Partners of a class that one task confirms, and pairs held at a time.
 PART_PAIRS, BLOCK_PAIRS = 512, 50_000
-#: Rows of lists that a task holds at a time.
-HELD_ROWS = 20_000
+#: Rows of lists that a task holds at a time; values of a part of a component; sides of a product.
+HELD_ROWS, PART_VALUES, TILE_ROWS, TILE_VALUES = 20_000, 1_000_000, 512, 4096
+#: Words of a sketch's bits.
+BIT_WORDS = 8
 #: The value that fills the place of values a small set doesn't have.
 NONE = np.uint32(0xFFFFFFFF)
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
@@ -172,6 +179,13 @@ class Rows:
         self.sig = np.ascontiguousarray(fixed("sig", 4 * SKETCH)).view(np.uint32)
         self.n = batch.column("n").to_numpy()
         self.table = batch
+        # the sketch's values as bits: two sketches share no more values than bits, but for those
+        # of one sketch that fall on the same bit
+        real = self.sig != NONE
+        bits = np.zeros((self.count, 64 * BIT_WORDS), bool)
+        bits[np.nonzero(real)[0], self.sig[real] % (64 * BIT_WORDS)] = True
+        self.bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).reshape(self.count, BIT_WORDS)
+        self.slack = real.sum(1) - bits.sum(1)
 
     def column(self, name: str) -> np.ndarray:
         return self.table.column(name).to_numpy()
@@ -191,16 +205,22 @@ def union_sketch(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (again & (rank <= SKETCH)).sum(1), again.sum(1)
 
 
-def likely(rows: Rows, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs may be at the limit or above, by sizes and union sketches."""
+def _allowed(rows: Rows, i: np.ndarray, j: np.ndarray, shared: np.ndarray, bottom: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may be at the limit, given (at most) how many values their sketches share."""
     small, large = np.minimum(rows.n[i], rows.n[j]), np.maximum(rows.n[i], rows.n[j])
-    out = 100 * small >= percent * large
-    at = np.flatnonzero(out)
-    common_, shared = union_sketch(rows.sig[i[at]], rows.sig[j[at]])
     # sets that are whole in their sketches are compared as they are
-    whole = large[at] <= SKETCH
-    union = small[at] + large[at] - shared
-    out[at] = np.where(whole, 100 * shared >= percent * union, common_ >= least_common(SKETCH, percent))
+    return np.where(large <= SKETCH, 100 * shared >= percent * (small + large - shared), bottom >= least_common(SKETCH, percent))
+
+
+def likely(rows: Rows, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may be at the limit or above, by sizes, sketches' bits and union sketches."""
+    at = np.flatnonzero(100 * np.minimum(rows.n[i], rows.n[j]) >= percent * np.maximum(rows.n[i], rows.n[j]))
+    most = np.bitwise_count(rows.bits[i[at]] & rows.bits[j[at]]).sum(1, dtype=np.int64) + np.minimum(rows.slack[i[at]], rows.slack[j[at]])
+    at = at[_allowed(rows, i[at], j[at], most, most, percent)]
+    out = np.zeros(len(i), bool)
+    if len(at):
+        bottom, shared = union_sketch(rows.sig[i[at]], rows.sig[j[at]])
+        out[at] = _allowed(rows, i[at], j[at], shared, bottom, percent)
     return out
 
 
@@ -258,54 +278,55 @@ def _starts(rows: Rows, key: list[str]) -> np.ndarray:
 
 
 def candidates(listed: DataFrame, percent: int, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
-    """``a, b`` of candidate pairs of the lists ``key, cid, df, n, sig``: all pairs of a short list,
-    the pairs with its first class of a long one (or of its part)."""
-    key = ["key", "part"]
-    parts = F.when(F.col("df") > part_rows, F.ceil(F.col("df") / part_rows)).otherwise(F.lit(1)).cast("int")
-    dealt = listed.select("key", F.pmod(F.xxhash64("cid"), parts).cast("int").alias("part"), "cid", "df", "n", "sig")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _lists(batches, key):
-            start = _starts(rows, key)
-            size = np.diff(np.append(start, rows.count))
-            begin, end, at = np.repeat(start, size), np.repeat(start + size, size), np.arange(rows.count)
-            short = rows.column("df") <= short_rows
-            for i, j in _ranges(at + 1, np.where(short | (at == begin), end, 0)):
-                near = likely(rows, i, j, percent)
-                if near.any():
-                    yield rows.pairs(i[near], j[near])
-
-    return dealt.repartition(*key).sortWithinPartitions(*key, "cid").mapInArrow(common.lean(run), "a binary, b binary").distinct()
-
-
-def apart(listed: DataFrame, percent: int, part_rows: int = PART_ROWS) -> DataFrame:
-    """``a, b`` of candidate pairs with different labels, of the lists ``key, cid, df, n, sig, label``
-    (a whole number). A list over ``PART_ROWS`` is cut into parts, and all pairs of parts meet."""
+    """``a, b, real`` for the lists ``key, cid, df, n, sig``: pairs that connect what the likely pairs
+    of each list connect; real: the pair is itself likely. A list over ``part_rows`` is cut into
+    parts, and all pairs of parts meet."""
     parts = F.ceil(F.col("df") / part_rows).cast("int")
     own = listed.withColumn("parts", parts).withColumn("p", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     dealt = own.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "cid", "n", "sig", "label",
-        F.when(F.col("p") == F.col("q"), 2).when(F.col("p") < F.col("q"), 0).otherwise(1).alias("side"),
+        "key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "cid", "df", "n", "sig",
     )
     key = ["key", "i", "j"]
 
+    def made(rows: Rows, i: list, j: list, real: bool) -> pa.RecordBatch:
+        i, j = np.concatenate([np.zeros(0, np.int64), *i]), np.concatenate([np.zeros(0, np.int64), *j])
+        batch = rows.pairs(np.minimum(i, j), np.maximum(i, j))
+        return batch.append_column("real", pa.array(np.full(len(i), real)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _lists(batches, key):
             start = _starts(rows, key)
-            label, side = rows.column("label"), rows.column("side")
-            for a, b in zip(start.tolist(), np.append(start[1:], rows.count).tolist()):
-                # ordered by size: partners of a row are those behind it that aren't too large
-                most = np.minimum(a + np.searchsorted(rows.n[a:b], rows.n[a:b] * 100 // percent, "right"), b)
-                for i, j in _ranges(np.arange(a + 1, b + 1), most):
-                    i = i + a
-                    real = (label[i] != label[j]) & ((side[i] == 2) | (side[i] != side[j]))
-                    i, j = i[real], j[real]
-                    near = likely(rows, i, j, percent)
-                    if near.any():
-                        yield rows.pairs(i[near], j[near])
-
-    found = dealt.repartition(*key).sortWithinPartitions(*key, "n").mapInArrow(common.lean(run), "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            size = np.diff(np.append(start, rows.count))
+            label = np.arange(rows.count)
+            found_i, found_j = [], []
+            # short lists: all pairs at once; each class's first likely partner, and what connects all
+            end = np.repeat(np.where(size <= short_rows, start + size, 0), size)
+            for i, j in _ranges(label + 1, end):
+                near = likely(rows, i, j, percent)
+                i, j = i[near], j[near]
+                label = _union(label, i, j)
+                _, first = np.unique(j, return_index=True)
+                found_i.append(i[first])
+                found_j.append(j[first])
+            joined = np.flatnonzero(label != np.arange(rows.count))
+            if len(joined):
+                yield made(rows, [joined], [label[joined]], False)
+            # long ones: each class with those that nothing connects with it yet
+            for a, n in zip(start[size > short_rows].tolist(), size[size > short_rows].tolist()):
+                of = np.arange(n)
+                for k in range(n - 1):
+                    others = k + 1 + np.flatnonzero(of[k + 1 :] != of[k])
+                    if not len(others):
+                        continue
+                    near = others[likely(rows, np.full(len(others), a + k), a + others, percent)]
+                    if len(near):
+                        found_i.append(np.full(len(near), a + k))
+                        found_j.append(a + near)
+                        of[np.isin(of, of[near])] = of[k]
+            yield made(rows, found_i, found_j, True)
+
+    found = dealt.repartition(*key).sortWithinPartitions(*key, "cid").mapInArrow(common.lean(run), "a binary, b binary, real boolean")
+    return found.groupBy("a", "b").agg(F.max("real").alias("real"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -334,46 +355,123 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(common.lean(run), "a binary, b binary")
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
-    """``a, b``: confirmed links that connect all classes (cid, least, n, keys, sig) that any chain
-    of links connects."""
+def _shared(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many values each set shares with each other one, exactly: products of 0/1 matrices, some
+    values at a time."""
+    size = np.array([len(x) for x in [*sets, *others]])
+    owner = np.repeat(np.arange(len(size)), size)
+    _, place, n = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
+    # values that only one set has are shared with none
+    common_ = n[place] > 1
+    number = np.cumsum(n > 1) - 1
+    owner, place = owner[common_], number[place[common_]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(sets), len(others)), np.int64)
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, TILE_VALUES):
+        a, b = np.searchsorted(place, [low, low + TILE_VALUES])
+        held = np.zeros((len(size), TILE_VALUES), np.float32)
+        held[owner[a:b], place[a:b] - low] = 1
+        # whole numbers below 2^24 are exact in single precision
+        out += (held[: len(sets)] @ held[len(sets) :].T).astype(np.int64)
+    return out
+
+
+def cells(members: DataFrame, sets: DataFrame, percent: int, part_values: int = PART_VALUES) -> DataFrame:
+    """``a, b``: pairs that connect the labels of each loose component as far as links of its
+    members connect them. ``members`` has cid, n, loose and label; sets has cid and held."""
+    label = members.groupBy("loose", "label").agg(F.count("*").alias("m"), F.sum("n").alias("values"))
+    each = label.groupBy("loose").agg(
+        F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("labels"), F.sum("m").alias("m"), F.sum("values").alias("values"),
+        F.max_by("m", F.struct("m", "label")).alias("main_m"), F.max_by("values", F.struct("m", "label")).alias("main_values"),
+    ).where("labels > 1")
+    cut = lambda m, values: F.greatest(F.lit(1), F.ceil(values / part_values), F.ceil(m / PART_ROWS)).cast("int")
+    each = each.select("loose", "main", cut(F.col("main_m"), F.col("main_values")).alias("x"), cut(F.col("m") - F.col("main_m"), F.col("values") - F.col("main_values")).alias("y"))
+    rows = members.join(each, "loose")
+    own = F.pmod(F.xxhash64("cid", F.lit(3)), F.when(F.col("label") == F.col("main"), F.col("x")).otherwise(F.col("y"))).cast("int")
+    rows = rows.withColumn("own", own)
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    # of the main label: their part with every part of the others (i counts from -1 down)
+    main = F.transform(upto("y"), lambda q: cell(-1 - F.col("own"), q))
+    rest = F.concat(F.transform(upto("x"), lambda p: cell(-1 - p, F.col("own"))), F.transform(upto("y"), lambda q: cell(F.least(q, F.col("own")), F.greatest(q, F.col("own")))))
+    dealt = rows.withColumn("cell", F.explode(F.when(F.col("label") == F.col("main"), main).otherwise(rest)))
+    dealt = dealt.select(F.xxhash64("loose").alias("key"), "cell.i", "cell.j", "cid", "label", (F.col("label") == F.col("main")).alias("is_main")).join(sets, "cid")
+    key = ["key", "i", "j"]
+
+    def connect(rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
+        """Rows of one cell: cid, label, is_main, set."""
+        rows = sorted(rows, key=lambda r: (r[2], len(r[3]), r[0]))
+        kind = pd.factorize(np.array([r[1] for r in rows], object))[0]
+        first = np.unique(kind, return_index=True)[1]
+        label, n = first[kind], np.array([len(r[3]) for r in rows])
+        begun = label.copy()
+        tiles = [np.arange(k, min(k + TILE_ROWS, len(rows))) for k in range(0, len(rows), TILE_ROWS)]
+        for s, x in enumerate(tiles):
+            for y in tiles[s:]:
+                if len(np.unique(label[np.concatenate([x, y])])) == 1 or 100 * min(n[x].max(), n[y].max()) < percent * max(n[x].min(), n[y].min()):
+                    continue
+                shared = _shared([rows[k][3] for k in x], [rows[k][3] for k in y])
+                i, j = np.nonzero(100 * shared >= percent * (n[x][:, None] + n[y] - shared))
+                i, j = x[i], y[j]
+                apart = label[i] != label[j]
+                label = _union(label, i[apart], j[apart])
+        joined = np.unique(begun[label[begun] != begun])
+        return [rows[k][0] for k in label[joined]], [rows[k][0] for k in joined]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def close() -> pa.RecordBatch:
+            a, b = connect(held) if held else ([], [])
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+        for batch in batches:
+            for k, i, j, cid, name, is_main, raw in zip(*(batch.column(c).to_pylist() for c in (*key, "cid", "label", "is_main", "held"))):
+                if (k, i, j) != at:
+                    yield close()
+                    at, held = (k, i, j), []
+                held.append((cid, name, is_main, np.frombuffer(raw, np.uint64)))
+        yield close()
+
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(common.lean(run), "a binary, b binary")
+
+
+def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS, part_values: int = PART_VALUES) -> DataFrame:
+    """``a, b``: pairs that connect exactly the classes (cid, least, n, keys, sig) that chains of
+    links connect."""
     listed = common.staged(postings(classes, percent), "postings")
-    sketch = classes.select("cid", "n", "sig")
-    first = common.staged(candidates(listed.join(sketch, "cid"), percent, short_rows, part_rows), "candidates")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        wanted = common.staged(classes.select("cid", "least").join(wanted, "cid", "left_semi"), "wanted")
-        sets = common.staged(full_sets(docs, wanted, words), "sets")
-        return common.staged(confirmed(pairs, sets, percent), "links")
-
-    sure = confirm(first)
-    long = listed.where(F.col("df") > short_rows)
-    if long.isEmpty():
-        return sure
-    label = common.staged(components(sure), "labels")
-    label = label.unionByName(label.select(F.col("component").alias("node"), "component").distinct())
-    named = long.join(label.select(F.col("node").alias("cid"), "component"), "cid", "left").select("key", "cid", "df", F.xxhash64(F.coalesce("component", "cid")).alias("label"))
-    named = common.staged(named, "named-postings")
-    mixed_ = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    again = apart(named.join(mixed_, "key", "left_semi").join(sketch, "cid"), percent, part_rows)
-    rest = common.staged(again.join(first, ["a", "b"], "left_anti"), "candidates-apart")
-    return sure if rest.isEmpty() else sure.unionByName(confirm(rest))
-
-
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
+    found = common.staged(candidates(listed.join(classes.select("cid", "n", "sig"), "cid"), percent, short_rows, part_rows), "candidates")
+    pairs = found.where("real").select("a", "b")
+    loose = named(components(found.select("a", "b")), "loose")
+    members = common.staged(loose.join(classes.select("cid", "n", "least"), "cid"), "loose-members")
+    sets = common.staged(full_sets(docs, members.select("cid", "least"), words), "sets")
+    sure = common.staged(confirmed(pairs, sets, percent), "links")
+    # a component of two was confirmed or refuted by its one pair
+    several = members.groupBy("loose").agg(F.count("*").alias("m")).where("m > 2").select("loose")
+    label = named(components(sure), "label")
+    members = members.join(several, "loose", "left_semi").join(label, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    return sure.unionByName(cells(common.staged(members, "labelled"), sets, percent, part_values))
+
+
+def named(linked: DataFrame, name: str) -> DataFrame:
+    """``cid`` and its component for every node, the components' own among them."""
+    every = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
+    return common.staged(every.select(F.col("node").alias("cid"), F.col("component").alias(name)), name)
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS, part_values: int = PART_VALUES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``."""
     rows = common.staged(sketches(docs, words), "sketches")
     grouped = rows.where("cid is not null").groupBy("cid").agg(
         F.min("doc_id").alias("least"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sig").alias("sig")
     )
     classes = common.staged(grouped, "classes")
-    linked = components(links(docs, classes, words, percent, short_rows, part_rows))
+    linked = components(links(docs, classes, words, percent, short_rows, part_rows, part_values))
     # the smallest document of each component, over the few classes that are linked at all
-    named = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
-    members = named.join(classes.select(F.col("cid").alias("node"), "least"), "node")
+    members = named(linked, "component").join(classes.select("cid", "least"), "cid")
     first = members.groupBy("component").agg(F.min("least").alias("first"))
-    place = members.join(first, "component").select(F.col("node").alias("cid"), "first", F.lit(True).alias("linked"))
+    place = members.join(first, "component").select("cid", "first", F.lit(True).alias("linked"))
     place = classes.select("cid", "least").join(place, "cid", "left").select("cid", F.when(F.col("linked"), F.col("first")).otherwise(F.col("least")).alias("component_id"))
     full = rows.where("cid is not null").join(place, "cid").select("doc_id", "n", "component_id")
     empty = rows.where("cid is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
