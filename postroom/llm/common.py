@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows else df
 
 
+def text_hash(text: str | None) -> int:
+    """Spark's ``xxhash64`` of a text, null like empty: with the id it tells rows apart."""
+    n = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return n - (1 << 64) if n >> 63 else n
+
+
 def chunks(batch: pa.RecordBatch, columns: list[str], text: str = "text", most: int = CHUNK_CHARS) -> Iterator[tuple[list, ...]]:
     """Lists of column values in runs of about ``most`` characters; a null text comes as the empty
     string. A longer text is a run of its own, whole."""

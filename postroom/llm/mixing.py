@@ -8,7 +8,8 @@ so a step sends only that: a document's rate is replayed from the steps so far,
 its posterior alone.
 
 Gradients are scaled by 1 / tokens for a document and measured by the inverse of the domains' second
-moments; in that metric the step length is 1.
+moments; in that metric the step length is 1. Steps end when the targets are met (``CLOSE``) or when
+they come no closer because rates may not be negative; ``residual`` says how far off they then are.
 
 Targets are given weights, or else natural shares to the power ``TEMPER``; their total is the least
 that asks no document to be given up. A document is taken floor(rate) times and once more with
@@ -36,9 +37,11 @@ from postroom.llm.token_counts import VOCABULARY, count_tokens
 
 BUCKETS = 4096
 TEMPER = 0.7
-#: Domains at most; labelled rows that the temperature is fitted on at most; one in so many.
-DOMAINS, FIT_ROWS, HELD_OUT = 64, 2000, 5
-STEPS, CLOSE = 30, 1e-6
+#: Labelled rows that the temperature is fitted on at most; one in so many.
+FIT_ROWS, HELD_OUT = 2000, 5
+#: The residual, as a part of all targets, that is as good as none; steps that must lower it by a
+#: hundredth, or it is the least that nonnegative rates reach.
+CLOSE, PATIENCE = 1e-6, 8
 #: Trigrams that a text is given beside its own, of no domain.
 PRIOR_TRIGRAMS = 50
 
@@ -63,6 +66,8 @@ class Mixture:
     weights: np.ndarray
     beta: float = 1.0
     steps: list[np.ndarray] = field(default_factory=list)
+    #: The largest difference between targets and expected tokens, as a part of all targets.
+    residual: float = 0.0
 
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Mean log probability of a text's trigrams by domain."""
@@ -113,15 +118,14 @@ def classifier(docs: DataFrame, labelled: DataFrame) -> Mixture:
 
     counted = rows.where(~held).select("domain", "text").mapInArrow(common.lean(count), "domain string, bucket int, n long")
     sums = counted.groupBy("domain", "bucket").agg(F.sum("n").alias("n"))
-    # at most DOMAINS * BUCKETS numbers
-    names = [r["domain"] for r in ids.select("domain").distinct().orderBy("domain").limit(DOMAINS + 1).collect()]
-    if len(names) > DOMAINS:
-        raise ValueError(f"more than {DOMAINS} domains")
+    # domains * BUCKETS numbers, however many rows there are
+    names = [r["domain"] for r in ids.select("domain").distinct().orderBy("domain").collect()]
     if not names:
         return Mixture([], np.zeros((0, BUCKETS)))
     table = np.ones((len(names), BUCKETS))
+    place = {name: k for k, name in enumerate(names)}
     for r in sums.collect():
-        table[names.index(r["domain"]), r["bucket"]] += r["n"]
+        table[place[r["domain"]], r["bucket"]] += r["n"]
     found = Mixture(names, np.log(table / table.sum(1, keepdims=True)))
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +136,7 @@ def classifier(docs: DataFrame, labelled: DataFrame) -> Mixture:
     some = rows.where(held).mapInArrow(common.lean(show), "doc_id long, domain string, x array<double>")
     shown = some.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(FIT_ROWS).collect()
     if shown:
-        x, y = np.array([r["x"] for r in shown]), np.array([names.index(r["domain"]) for r in shown])
+        x, y = np.array([r["x"] for r in shown]), np.array([place[r["domain"]] for r in shown])
         k = len(names)
 
         def loss(beta: float) -> float:
@@ -191,12 +195,14 @@ def fit_rates(members: DataFrame, mixture: Mixture, weights: dict[str, float] |
     # wanted domain's documents fall below one copy
     need = inverse @ (wanted * natural.sum())
     targets = wanted * natural.sum() / need[need > 0].min()
-    reached = natural
-    for _ in range(STEPS):
-        if np.abs(targets - reached).max() <= CLOSE * targets.sum():
-            break
+    off = lambda reached: float(np.abs(targets - reached).max() / targets.sum())
+    reached, errors = natural, [off(natural)]
+    # until the targets are met, or rates that may not fall below zero can't come closer
+    while errors[-1] > CLOSE and (len(errors) <= PATIENCE or errors[-1] < 0.99 * errors[-1 - PATIENCE]):
         mixture.steps.append(inverse @ (targets - reached))
         reached = _sums(members, mixture)
+        errors.append(off(reached))
+    mixture.residual = errors[-1]
     return mixture
 
 
@@ -245,7 +251,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "tokens": batch.column("tokens"),
                 "domain": pa.array(names[p.argmax(1)] if p.shape[1] else [None] * len(r), pa.string()),
-                "rate": pa.array(r), "copies": pa.array(copies(batch.column("doc_id").to_pylist(), r)),
+                "rate": pa.array(r), "copies": pa.array(copies(batch.column("doc_id").to_pylist(), r)), "residual": pa.array(np.full(len(r), mixture.residual)),
             })
 
-    return members.mapInArrow(common.lean(run), "doc_id long, tokens long, domain string, rate double, copies long")
+    return members.mapInArrow(common.lean(run), "doc_id long, tokens long, domain string, rate double, copies long, residual double")

@@ -15,16 +15,16 @@ that the model has not learned. Where they are too few to show it, it is the hig
 that is more, the quantile of an exponential tail above the median with their mean.
 
 Defined results: null texts and languages are empty strings; an empty text has its end sign only;
-a text in a language without trusted texts has perplexity null and is kept; languages with few
-held-out texts use the quantiles of all; repeated rows one row each; an empty table gives no rows;
-other columns are never read. Texts of any length are read whole.
+a text in a language without trusted texts is held against the model and the quantiles of the trusted
+texts of all languages together (``POOLED``); without any trusted text perplexity is null and all is
+kept; languages with few held-out texts use the quantiles of all; repeated rows one row each; an
+empty table gives no rows; other columns are never read. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +39,8 @@ from postroom.llm import common
 
 ORDER = 5
 BLOCK_CHARS = 32_000_000
-#: Characters of a block that are worked on at a time.
-CHUNK_CHARS = 1_600_000
+#: Characters of a block that are worked on at a time; n-grams that are merged at a time at least.
+CHUNK_CHARS, LEAST_MERGED = 1_600_000, 500_000
 #: Shards of n-grams; partitions of the scan whose blocks meet a shard in one task.
 SHARDS, PART_PARTITIONS = 64, 256
 #: The unit of the log probabilities that answers carry.
@@ -49,13 +49,15 @@ HIGH = 0.999
 PRIOR_CHARS = 200
 #: One in so many trusted texts is held out for the thresholds; the least number a language needs.
 HELD_OUT, LEAST_HELD = 5, 30
+#: The language that texts without a model of their own are given.
+POOLED = "*"
 #: The signs that stand before and after a text.
 BEFORE, AFTER = "\x02", "\x03"
 
 
 class Grams:
-    """The n-grams of some texts: ``grams`` distinct ones by language, ``kind`` the number of each
-    place's n-gram, ``text_of`` its text."""
+    """The n-grams of some texts: ``codes`` of distinct ones by language (a row of code points each),
+    ``kind`` the number of each place's n-gram, ``text_of`` its text."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         joined = "".join(f"{BEFORE * (ORDER - 1)}{t}{AFTER}" for t in texts)
@@ -79,14 +81,76 @@ class Grams:
         self.text_of = np.repeat(np.arange(len(texts)), size)[last]
         first = np.empty(len(distinct), np.int64)
         first[self.kind[::-1]] = np.arange(len(self.kind))[::-1]
-        self.grams = [joined[i - ORDER + 1 : i + 1] for i in last[first].tolist()]
+        self.codes = codes[last[first][:, None] + np.arange(1 - ORDER, 1)]
         of = lang[self.text_of[first]]
         self.by_lang = [(name, np.flatnonzero(of == k)) for k, name in enumerate(names)]
 
-    def each_lang(self) -> Iterator[tuple[str, np.ndarray, list[str]]]:
-        """Languages with the numbers of their n-grams, and those."""
-        for name, at in self.by_lang:
-            yield name, at, self.grams if len(at) == len(self.grams) else [self.grams[i] for i in at.tolist()]
+
+class Keys:
+    """Whole numbers for n-grams given by their code points: equal for equal ones, in their order.
+    Other n-grams are looked up with ``of``; one with a sign or a beginning that isn't known is -1."""
+
+    def __init__(self, codes: np.ndarray):
+        seen = np.bincount(codes.ravel()) > 0 if len(codes) else np.zeros(1, bool)
+        self.base = max(1, int(seen.sum()))
+        self.dense = np.where(seen, np.cumsum(seen) - 1, -1)
+        self.heads: np.ndarray | None = None
+        if self.base**ORDER >= 1 << 63:
+            # too many signs for one number: the n-grams' beginnings are numbered
+            self.heads = np.unique(self._number(self.dense[codes[:, :3]]))
+            if len(self.heads) * self.base ** (ORDER - 3) >= 1 << 63:
+                raise OverflowError("too many different n-grams in a block")
+        self.known = self.of(codes)
+
+    def _number(self, ids: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ids), np.int64)
+        for k in range(ids.shape[1]):
+            out = out * self.base + ids[:, k]
+        return out
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        ids = np.full(codes.shape, -1, np.int64)
+        low = codes < len(self.dense)
+        ids[low] = self.dense[codes[low]]
+        missing = (ids < 0).any(1)
+        ids[missing] = 0
+        if self.heads is None:
+            out = self._number(ids)
+        else:
+            head = self._number(ids[:, :3])
+            at = np.minimum(np.searchsorted(self.heads, head), max(0, len(self.heads) - 1))
+            missing |= self.heads[at] != head
+            out = at
+            for k in range(3, ORDER):
+                out = out * self.base + ids[:, k]
+        out[missing] = -1
+        return out
+
+
+class Distinct:
+    """The distinct n-grams of many chunks, with the sum of their counts, as sorted arrays."""
+
+    def __init__(self) -> None:
+        self.codes, self.n = np.zeros((0, ORDER), np.uint32), np.zeros(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, codes: np.ndarray, n: np.ndarray) -> None:
+        self.more.append((codes, n))
+        self.waiting += len(codes)
+        if self.waiting > max(len(self.codes), LEAST_MERGED):
+            self.merge()
+
+    def merge(self) -> Distinct:
+        if self.more:
+            codes, n = (np.concatenate(x) for x in zip((self.codes, self.n), *self.more))
+            self.more, self.waiting = [], 0
+            key = Keys(codes).known
+            order = np.argsort(key)
+            key = key[order]
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            self.codes, self.n = codes[order[start]], np.add.reduceat(n[order], start) if len(key) else n
+        return self
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, Iterator[tuple[list, list, list]]]]:
@@ -114,26 +178,30 @@ def shard_of(lang: str, pair: str) -> int:
     return zlib.crc32(f"{lang}\0{pair}".encode()) % SHARDS
 
 
-def packed(number: int, counts: dict[str, dict[str, int]], values: bool) -> Iterator[dict]:
+def packed(number: int, held: dict[str, Distinct], values: bool) -> Iterator[dict]:
     """A row for each shard and language: its n-grams, sorted, as one compressed string; and their
     counts."""
-    for lang, held in counts.items():
-        shards: dict[str, int] = {}
-        dealt: dict[int, list[str]] = {}
-        for gram in sorted(held):
-            pair = gram[-3:-1]
-            if (shard := shards.get(pair)) is None:
-                shard = shards[pair] = shard_of(lang, pair)
-            dealt.setdefault(shard, []).append(gram)
-        for shard, grams in dealt.items():
-            row = {"shard": shard, "part": (number >> 32) // PART_PARTITIONS, "block": number, "lang": lang, "grams": zstandard.compress("".join(grams).encode(), 9)}
+    for lang, found in held.items():
+        found.merge()
+        pair, which = np.unique(found.codes[:, ORDER - 3].astype(np.int64) << 21 | found.codes[:, ORDER - 2], return_inverse=True)
+        shard = np.array([shard_of(lang, chr(p >> 21) + chr(p & (1 << 21) - 1)) for p in pair.tolist()], np.int64)[which]
+        order = np.argsort(shard, kind="stable")
+        edge = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0)) if len(order) else order
+        for at in np.split(order, edge[1:]) if len(order) else []:
+            joined = found.codes[at].astype("<u4").tobytes().decode("utf-32-le").encode()
+            row = {"shard": int(shard[at[0]]), "part": (number >> 32) // PART_PARTITIONS, "block": number, "lang": lang, "grams": zstandard.compress(joined, 9)}
             if values:
-                row["n"] = zstandard.compress(np.array([held[g] for g in grams], np.int64).tobytes(), 9)
+                row["n"] = zstandard.compress(found.n[at].tobytes(), 9)
             yield row
 
 
-def unpacked(raw: bytes) -> list[str]:
-    joined = zstandard.decompress(raw).decode()
+def unpacked(raw: bytes) -> np.ndarray:
+    """The code points of packed n-grams, a row each."""
+    return np.frombuffer(zstandard.decompress(raw).decode().encode("utf-32-le"), "<u4").reshape(-1, ORDER)
+
+
+def strings(codes: np.ndarray) -> list[str]:
+    joined = codes.astype("<u4").tobytes().decode("utf-32-le")
     return [joined[i : i + ORDER] for i in range(0, len(joined), ORDER)]
 
 
@@ -163,18 +231,13 @@ def asked(docs: DataFrame, values: bool = False, block_chars: int = BLOCK_CHARS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in batches_of(batches, block_chars):
-            counts: dict[str, dict[str, int]] = {}
+            held: dict[str, Distinct] = {}
             for _, langs, texts in block:
                 g = Grams(texts, langs)
-                n = np.bincount(g.kind)
-                for lang, at, grams in g.each_lang():
-                    held = counts.setdefault(lang, {})
-                    if values:
-                        for gram, k in zip(grams, n[at].tolist()):
-                            held[gram] = held.get(gram, 0) + k
-                    else:
-                        held.update(dict.fromkeys(grams, 0))
-            yield pa.RecordBatch.from_pylist(list(packed(number, counts, values)), schema)
+                n = np.bincount(g.kind, minlength=len(g.codes))
+                for lang, at in g.by_lang:
+                    held.setdefault(lang, Distinct()).add(g.codes[at], n[at])
+            yield pa.RecordBatch.from_pylist(list(packed(number, held, values)), schema)
 
     fields = [("shard", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary())]
     schema = pa.schema(fields + [("n", pa.binary())] * int(values))
@@ -185,13 +248,10 @@ def gram_counts(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``lang, gram, n`` over all rows; summed by block, by shard and part, then over parts."""
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
-        counts: dict[str, Counter[str]] = {}
+        counts: dict[str, Distinct] = {}
         for row in frame.itertuples():
-            n = np.frombuffer(zstandard.decompress(row.n), np.int64).tolist()
-            held = counts.setdefault(row.lang, Counter())
-            for gram, k in zip(unpacked(row.grams), n):
-                held[gram] += k
-        found = pd.concat([pd.DataFrame({"lang": lang, "gram": list(held), "n": list(held.values())}) for lang, held in counts.items()])
+            counts.setdefault(row.lang, Distinct()).add(unpacked(row.grams), np.frombuffer(zstandard.decompress(row.n), np.int64))
+        found = pd.concat([pd.DataFrame({"lang": lang, "gram": strings(held.merge().codes), "n": held.n}) for lang, held in counts.items()])
         del counts
         common.release()
         return found
@@ -267,7 +327,7 @@ class ShardModel:
 
 
 def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``doc_id, lang, n_chars, logp`` (of all its signs together) for each row of ``docs``."""
+    """``doc_id, lang, n_chars, logp`` (of all its signs together), ``text_hash`` for each row of ``docs``."""
     rows = _text_rows(docs)
     parts = -(-rows.rdd.getNumPartitions() // PART_PARTITIONS)
 
@@ -275,7 +335,7 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
         models = {lang: ShardModel(held) for lang, held in answers.groupby("lang")}
         out = []
         for row in asks.itertuples():
-            grams = unpacked(row.grams)
+            grams = strings(unpacked(row.grams))
             model = models.get(row.lang)
             out.append((row.block, row.lang, row.grams, fixed(np.array([model.logp(g) for g in grams] if model else [np.nan] * len(grams)))))
         del models
@@ -292,45 +352,53 @@ def document_log_probabilities(docs: DataFrame, known: DataFrame, block_chars: i
                 yield pa.RecordBatch.from_pydict({"block": pa.array([number], pa.int64()), "place": pa.array([place], pa.int32()), "texts": pa.array([zstandard.compress(sink.getvalue(), 9)], pa.binary())})
 
     def score(key: tuple, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        logp: dict[str, dict[str, float]] = {}
+        held_: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for row in answers.itertuples():
-            logp.setdefault(row.lang, {}).update(zip(unpacked(row.grams), unfixed(row.logp).tolist()))
+            held_.setdefault(row.lang, []).append((unpacked(row.grams), unfixed(row.logp)))
+        del answers
+        logp: dict[str, tuple[Keys, np.ndarray, np.ndarray]] = {}
+        for lang in list(held_):
+            codes, value = (np.concatenate(x) for x in zip(*held_.pop(lang)))
+            keys = Keys(codes)
+            order = np.argsort(keys.known)
+            logp[lang] = keys, keys.known[order], value[order]
+            keys.known = codes = value = None
         out = []
         for raw in texts["texts"]:
             held = pa.ipc.open_stream(zstandard.decompress(raw)).read_all().to_pydict()
             g = Grams(held["text"], held["lang"])
-            each = np.empty(len(g.grams))
-            for lang, at, grams in g.each_lang():
-                # a missing n-gram would be a wrong result: it raises
-                each[at] = list(map(logp[lang].__getitem__, grams))
+            each = np.empty(len(g.codes))
+            for lang, at in g.by_lang:
+                keys, known, value = logp[lang]
+                wanted = keys.of(g.codes[at])
+                order = np.argsort(wanted)
+                place = np.searchsorted(known, wanted[order])
+                if len(known) <= place.max(initial=-1) or (known[place] != wanted[order]).any():
+                    raise KeyError(f"an n-gram of language {lang!r} was not answered")
+                each[at[order]] = value[place]
             n = len(held["doc_id"])
             out.append(pa.table({
                 "doc_id": pa.array(held["doc_id"], pa.int64()), "lang": pa.array(held["lang"], pa.string()),
                 "n_chars": pa.array(np.bincount(g.text_of, minlength=n)), "logp": pa.array(np.bincount(g.text_of, each[g.kind], n)),
+                "text_hash": pa.array([common.text_hash(t) for t in held["text"]], pa.int64()),
             }))
         del logp
         common.release()
-        return pa.concat_tables(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": []})
+        return pa.concat_tables(out).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get) if out else pd.DataFrame({"doc_id": [], "lang": [], "n_chars": [], "logp": [], "text_hash": []})
 
     asks = asked(rows, False, block_chars)
     schema = "block long, lang string, grams binary, logp binary"
     answered = asks.groupBy("shard", "part").cogroup(sharded(known, parts).groupBy("shard", "part")).applyInPandas(answer, schema)
     texts = rows.mapInArrow(common.lean(shrink), "block long, place int, texts binary")
-    return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double")
+    return texts.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, "doc_id long, lang string, n_chars long, logp double, text_hash long")
 
 
-def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
-    """``doc_id, lang, n_chars, perplexity, loss, threshold, kept`` for each row of ``docs``, given
-    the ``doc_id`` of trusted rows. loss is the shrunk mean that is held against the threshold."""
+def judged(scored: DataFrame, apart: DataFrame, high: float) -> DataFrame:
+    """The columns of ``quality_classifier`` for rows of ``document_log_probabilities``, with the
+    thresholds that the trusted rows ``apart`` show."""
     c = F.col
-    ids = common.small(trusted.select("doc_id").where("doc_id is not null").distinct())
-    held = F.pmod(F.crc32(c("doc_id").cast("string").cast("binary")), F.lit(HELD_OUT)) == 0
-    learned = _text_rows(docs).join(ids.where(~held), "doc_id", "left_semi")
-    known = common.staged(model(gram_counts(learned)), "model")
-    scored = common.staged(document_log_probabilities(docs, known), "log-probabilities")
-    scored = scored.withColumn("logp", F.when(~F.isnan("logp"), c("logp"))).withColumn("mean", -c("logp") / c("n_chars"))
-
-    apart = scored.where("mean is not null").join(ids.where(held), "doc_id", "left_semi")
+    mean = lambda rows: rows.withColumn("logp", F.when(~F.isnan("logp"), c("logp"))).withColumn("mean", -c("logp") / c("n_chars"))
+    scored, apart = mean(scored), mean(apart).where("mean is not null")
     mid = [F.percentile_approx("mean", 0.5, 10000).alias("mid"), F.count("*").alias("n")]
     middle = apart.groupBy("lang").agg(*mid).where(c("n") >= LEAST_HELD).drop("n")
     shrunk = (-c("logp") + PRIOR_CHARS * c("mid")) / (c("n_chars") + PRIOR_CHARS)
@@ -350,10 +418,38 @@ def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH)
     limit = c("mid") + F.coalesce("top", F.lit(any_top).cast("double"))
     return found.select(
         "doc_id", "lang", "n_chars", F.exp("mean").alias("perplexity"), F.when(c("mean").isNotNull(), c("loss")).alias("loss"), limit.alias("threshold"),
-        (~F.coalesce(c("mean").isNotNull() & (c("loss") > limit), F.lit(False))).alias("kept"),
+        (~F.coalesce(c("mean").isNotNull() & (c("loss") > limit), F.lit(False))).alias("kept"), "text_hash",
     )
 
 
+def quality_classifier(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
+    """``doc_id, lang, n_chars, perplexity, loss, threshold, kept, text_hash`` for each row of
+    ``docs``, given the ``doc_id`` of trusted rows. loss is the shrunk mean that is held against the
+    threshold; lang is ``POOLED`` where all languages' model was asked; text_hash tells rows of one
+    id apart."""
+    ids = common.small(trusted.select("doc_id").where("doc_id is not null").distinct())
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(HELD_OUT)) == 0
+    rows = _text_rows(docs)
+    learned = rows.join(ids.where(~held), "doc_id", "left_semi")
+    known = common.staged(model(gram_counts(learned)), "model")
+    # languages there are trusted texts of, not rows
+    languages = [r["lang"] for r in known.select("lang").distinct().collect()]
+    strange = ~F.col("lang").isin(languages)
+    pooled = bool(languages) and not rows.select("lang").where(strange).isEmpty()
+
+    own = rows.where(~strange) if pooled else rows
+    scored = common.staged(document_log_probabilities(own, known), "log-probabilities")
+    found = judged(scored, scored.join(ids.where(held), "doc_id", "left_semi"), high)
+    if not pooled:
+        return found
+    as_one = lambda part: part.select("doc_id", F.lit(POOLED).alias("lang"), "text")
+    every = common.staged(model(gram_counts(as_one(learned))), "pooled-model")
+    probes = common.staged(as_one(rows.join(ids.where(held), "doc_id", "left_semi")), "probes")
+    rest = common.staged(document_log_probabilities(as_one(rows.where(strange)), every), "log-probabilities")
+    probed = common.staged(document_log_probabilities(probes, every), "log-probabilities")
+    return found.unionByName(judged(rest, probed, high))
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
-    return quality_classifier(docs, labels.where("quality = 1"))
+    return quality_classifier(docs, labels.where("quality = 1")).drop("text_hash")

@@ -14,7 +14,7 @@ Components are found by alternating large-star and small-star steps over tables
 folder; nothing is collected.
 
 Defined results: a null text, and one without words, has fingerprint zero and is linked like any
-other; repeated rows one row each; an empty table gives no rows; other columns are never read.
+other; ``component_id`` is null where no row of a component has an id; repeated rows one row each; an empty table gives no rows; other columns are never read.
 Texts of any length are read whole, with all repeated shingles.
 """
 
@@ -64,15 +64,15 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed long; a narrow pass."""
+    """``doc_id, text_hash, fp``: the fingerprint as a signed long; a narrow pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, texts in common.chunks(batch, ["doc_id", "text"]):
                 found = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "fp": pa.array(found)})
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text_hash": pa.array([common.text_hash(t) for t in texts], pa.int64()), "fp": pa.array(found)})
 
-    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, text_hash long, fp long")
 
 
 class BKTrees:
@@ -243,23 +243,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, words: int = WORDS, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for each row of ``docs``."""
+    """``doc_id, text_hash, fingerprint, component_id, component`` for each row of ``docs``; component
+    is a fingerprint of the component, the same for all its rows, also where none has an id."""
     rows = common.staged(fingerprints(docs, words), "fingerprints")
     return groups_of(rows, bits, shard_rows)
 
 
 def groups_of(rows: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The same for rows ``doc_id, fp`` in a table."""
+    """The same for rows ``doc_id, fp`` in a table; other columns are carried along."""
     distinct = common.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = components(links(distinct.select("fp"), bits, shard_rows))
     # the smallest document of each component, over the few fingerprints that are linked at all
     named = linked.unionByName(linked.select(F.col("component").alias("node"), "component").distinct())
     members = named.join(distinct, F.col("node") == F.col("fp")).select("fp", "component", "least")
     first = members.groupBy("component").agg(F.min("least").alias("first"))
-    linked = common.staged(members.join(first, "component").select("fp", "first"), "linked")
-    place = distinct.join(linked, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id"))
-    return rows.join(place, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    linked = common.staged(members.join(first, "component").select("fp", "component", "first"), "linked")
+    place = distinct.join(linked, "fp", "left").select("fp", F.coalesce("first", "least").alias("component_id"), F.coalesce("component", "fp").alias("component"))
+    carried = [c for c in rows.columns if c != "fp"]
+    return rows.join(place, "fp").select(*carried, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(common.table(spark, sf_dir, "documents"))
+    return simhash_groups(common.table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

@@ -351,7 +351,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, list[
             yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "windows": kept})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = rows.mapInPandas(cut, "doc_id long, toxic int, windows array<string>").dropDuplicates(["doc_id"])
+    found = rows.mapInPandas(cut, "doc_id long, toxic int, windows array<string>")
+    # of rows with one id the one whose windows sort first, so that every run learns the same
+    found = found.groupBy("doc_id").agg(F.min(F.struct("windows", "toxic")).alias("r")).select("doc_id", "r.windows", "r.toxic")
     held = found.orderBy("doc_id").limit(TOXIC_DOCS + CLEAN_DOCS).collect()
     return [(r["toxic"], [w.split(" ") if w else [] for w in r["windows"]]) for r in held]
 
@@ -362,8 +364,8 @@ def held_out() -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, score, predicted`` for each row of ``docs``; ``labels`` (doc_id, toxic) are all
-    learned from."""
+    """``doc_id, score, predicted, text_hash`` for each row of ``docs``; ``labels`` (doc_id, toxic) are
+    all learned from; text_hash tells rows of one id apart."""
     net = train(training_sample(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,10 +375,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
                 found = scorer.scores(texts) if scorer else np.zeros(len(texts))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids, pa.int64()), "score": pa.array(found, pa.float64()),
-                    "predicted": pa.array((found >= threshold).astype(np.int32), pa.int32()),
+                    "predicted": pa.array((found >= threshold).astype(np.int32), pa.int32()), "text_hash": pa.array([common.text_hash(t) for t in texts], pa.int64()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, score double, predicted int")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, score double, predicted int, text_hash long")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,6 +74,15 @@ def test_junk_goes_and_clean_stays(spark):
     assert not any(got[i]["kept"] for i, *_ in bad)
 
 
+def test_junk_without_a_language_goes(spark):
+    rng = random.Random(4)
+    good = [(i, prose(rng, rng.randint(20, 120)), "en", "a") for i in range(300)] + [(500, prose(rng, 60), None, "a"), (501, prose(rng, 60), "xx", "a")]
+    bad = [(900, "$$$ ### " * 40, None, "a"), (901, "$$$ ### " * 40, "xx", "a"), (None, "$$$ ### " * 40, "en", "a")]
+    docs = frame(spark, good + bad)
+    got = K.quality_classifier(docs, docs.where("doc_id < 300").select("doc_id")).collect()
+    assert {(r["doc_id"], r["kept"]) for r in got} == {(i, True) for i, *_ in good} | {(900, False), (901, False), (None, False)}
+
+
 def test_threshold_is_the_held_out_quantile(spark):
     rng = random.Random(7)
     good = [(i, prose(rng, rng.randint(20, 200)), "en", "a") for i in range(600)]
@@ -92,8 +101,9 @@ def test_odd_tables(spark, odd_docs, odd_rows, no_docs):
     got = K.quality_classifier(odd_docs, trusted).collect()
     assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(str(r[0]) for r in odd_rows)
     assert sorted(r["n_chars"] for r in got) == sorted(len(t or "") + 1 for _, t, _, _ in odd_rows)
-    strange = [r for r in got if r["lang"] in ("xx", "zh")]
-    assert len(strange) == 2 and all(r["kept"] and r["perplexity"] is None for r in strange)
+    # languages without trusted texts, and none, are held against all languages together
+    strange = [r for r in got if r["lang"] == K.POOLED]
+    assert sorted(r["doc_id"] for r in strange) == [3, 8, 9] and all(r["perplexity"] is not None for r in strange)
     # no trusted text at all, and no document at all
     assert all(r["kept"] for r in K.quality_classifier(odd_docs, trusted.where("false")).collect())
     assert K.quality_classifier(no_docs, trusted).count() == 0

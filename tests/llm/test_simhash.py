@@ -34,7 +34,7 @@ def test_table(odd_docs, odd_rows, no_docs):
     label = brute_components(fp)
     least = {k: min(rows[i][0] for i in np.flatnonzero(label == k)) for k in set(label)}
     want = sorted((rows[i][0], f"{int(fp[i]):016x}", least[label[i]]) for i in range(len(rows)))
-    got = sorted(tuple(r) for r in S.simhash_groups(odd_docs).collect() if r[0] is not None)
+    got = sorted(tuple(r) for r in S.simhash_groups(odd_docs).select("doc_id", "fingerprint", "component_id").collect() if r[0] is not None)
     assert got == want
     assert S.simhash_groups(no_docs).count() == 0
 

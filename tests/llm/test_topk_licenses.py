@@ -15,15 +15,14 @@ def embeddings(spark, rows):
 
 
 def brute(rows, every, k):
-    seen: dict = {}
+    held = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            q = [int(np.floor(256 * float(np.float32(x)))) for x in v]
-            seen[i] = min(seen.get(i, q), q)
+            held.append((i, [int(np.floor(256 * float(np.float32(x)))) for x in v]))
     out = []
-    for i in seen:
+    for at, (i, q) in enumerate(held):
         if i % every == 0:
-            found = sorted((-sum(a * b for a, b in zip(seen[i], v)), j) for j, v in seen.items() if j != i)
+            found = sorted((-sum(a * b for a, b in zip(q, v)), j) for other, (j, v) in enumerate(held) if other != at)
             out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found[:k])]
     return sorted(out)
 
@@ -46,6 +45,10 @@ def test_against_brute_force(spark):
 def test_few_and_none(spark):
     held = topk.vectors(embeddings(spark, [(0, [1.0]), (50, [2.0])]))
     assert sorted(tuple(r) for r in topk.top_k(held, held, 5).collect()) == [(0, 1, 50, 131072), (50, 1, 0, 131072)]
+    # rows of one id are all searched and asked
+    held = topk.vectors(embeddings(spark, [(2, [0.1, 0.0]), (2, [9.0, 0.0]), (50, [1.0, 0.0]), (50, [1.0, 0.0])]))
+    got = sorted(tuple(r) for r in topk.top_k(held.where("vec_id = 50"), held, 2).collect())
+    assert got == [(50, 1, 2, 589824), (50, 1, 2, 589824), (50, 2, 50, 65536), (50, 2, 50, 65536)]
     none = topk.vectors(embeddings(spark, []))
     assert topk.top_k(none, none).count() == 0
 
