@@ -17,6 +17,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postroom.functions.names import splitext_stem
 
@@ -49,9 +50,10 @@ def _type_ok(c: Column, types) -> Column:
     return c.isNull() | ok
 
 
-def _rule_checks(name: str, rule: Mapping, file_col: str | None, c: Column | None = None) -> list[tuple[str, Column]]:
+def _rule_checks(name: str, rule: Mapping, file_col: str | None, c: Column | None = None, kind: T.DataType | None = None, beside=F.col, allow_unknown: bool = True) -> list[tuple[str, Column]]:
     """(rule name, passes) pairs for one column's rules, or for the part
-    ``c`` of a column."""
+    ``c`` of a column, of type ``kind`` where that is known; ``beside`` gives
+    a sibling of it by name."""
     c = F.col(name) if c is None else c
     out = []
     if rule.get("required"):
@@ -74,20 +76,33 @@ def _rule_checks(name: str, rule: Mapping, file_col: str | None, c: Column | Non
             cond = F.lit(True)
             for other, vals in dep.items():
                 vals = vals if isinstance(vals, (list, tuple)) else [vals]
-                cond = cond & F.coalesce(F.col(other).isin(*vals), F.lit(False))
+                cond = cond & F.coalesce(beside(other).isin(*vals), F.lit(False))
         else:
             cond = F.lit(True)
             for other in dep:
-                cond = cond & F.col(other).isNotNull()
+                cond = cond & beside(other).isNotNull()
         out.append(("dependencies", c.isNull() | cond))
-    for key, inner in (rule.get("schema") or {}).items():
+    below = rule.get("schema") or {}
+    for key, inner in below.items():
         # a dict's keys, or every item of a list
         if key == "items":
-            out.append(("items", c.isNull() | F.forall(c, _item_check(name, inner, file_col))))
+            item = kind.elementType if isinstance(kind, T.ArrayType) else None
+            out.append(("items", c.isNull() | F.forall(c, _item_check(name, inner, file_col, item, allow_unknown))))
+        elif isinstance(kind, T.StructType) and key not in kind.names:
+            # a key that no row has
+            if inner.get("required"):
+                out.append((f"{key}: required", c.isNull()))
         else:
-            out.extend((f"{key}: {r}", c.isNull() | p) for r, p in _rule_checks(name, inner, file_col, c[key]))
+            part = kind[key].dataType if isinstance(kind, T.StructType) else kind.valueType if isinstance(kind, T.MapType) else None
+            checks = _rule_checks(name, inner, file_col, c[key], part, lambda other: _key(c, kind, other), allow_unknown)
+            out.extend((f"{key}: {r}", c.isNull() | p) for r, p in checks)
+    if below and "items" not in below and not allow_unknown:
+        if isinstance(kind, T.StructType):
+            out.extend((f"{k}: unknown field", c.isNull() | c[k].isNull()) for k in kind.names if k not in below)
+        elif isinstance(kind, T.MapType):
+            out.append(("unknown field", c.isNull() | F.forall(F.map_keys(c), lambda k: k.isin(*below))))
     if "oneof" in rule:
-        passes = [_all(_rule_checks(name, sub, file_col, c)) for sub in rule["oneof"]]
+        passes = [_all(_rule_checks(name, sub, file_col, c, kind, beside, allow_unknown)) for sub in rule["oneof"]]
         n = sum((p.cast("int") for p in passes), F.lit(0))
         out.append(("oneof", n == 1))
     if rule.get("match_filename") and file_col:
@@ -95,8 +110,13 @@ def _rule_checks(name: str, rule: Mapping, file_col: str | None, c: Column | Non
     return [(r, F.coalesce(p, F.lit(False))) for r, p in out]
 
 
-def _item_check(name: str, rule: Mapping, file_col: str | None):
-    return lambda item: _all(_rule_checks(name, rule, file_col, item))
+def _key(c: Column, kind: T.DataType | None, key: str) -> Column:
+    """A key of a dict; null if no row has it."""
+    return F.lit(None) if isinstance(kind, T.StructType) and key not in kind.names else c[key]
+
+
+def _item_check(name: str, rule: Mapping, file_col: str | None, kind: T.DataType | None, allow_unknown: bool):
+    return lambda item: _all(_rule_checks(name, rule, file_col, item, kind, lambda other: _key(item, kind, other), allow_unknown))
 
 
 def _all(checks) -> Column:
@@ -114,7 +134,7 @@ def violations(df: DataFrame, rules: Mapping[str, Mapping], allow_unknown: bool
             if rule.get("required"):
                 items.append(F.lit(f"{name}: required"))
             continue
-        for r, p in _rule_checks(name, rule, file_col):
+        for r, p in _rule_checks(name, rule, file_col, None, df.schema[name].dataType, lambda other: F.col(other) if other in df.columns else F.lit(None), allow_unknown):
             items.append(F.when(~p, F.lit(f"{name}: {r}")))
     if not allow_unknown:
         skip = set(rules) | ({file_col} if file_col else set())

@@ -20,15 +20,29 @@ from postroom.functions.timewin import in_window
 FILTER_KEYS = ("from", "to", "subject", "label", "after", "before", "attachment")
 
 
+# --- fixed values -----------------------------------------------------------
+# Signs that keep their regex meaning in a glob: jobs anchor with the first
+# two and give choices with the others.
+KEPT_SIGNS = "^$|()"
+# ----------------------------------------------------------------------------
+
+
 def filename_regex(pattern: str) -> str:
     """the regex of a file pattern, for an unanchored search. A pattern
-    whose stars all stand alone is a glob: a star is any text, a dot a dot,
-    and other regex signs keep their meaning (jobs use ``^`` and ``|``
-    beside stars). Any other pattern is a regex as it is."""
-    pieces = pattern.split("*")
-    if len(pieces) == 1 or any(piece.endswith(".") for piece in pieces[:-1]):
+    is a glob if it has a star and none that stands after a dot (``.*`` is a
+    regex): there a star is any text, ``KEPT_SIGNS`` are as in a regex, and
+    every other sign is itself. Any other pattern is a regex as it is."""
+    if "*" not in pattern or ".*" in pattern:
         return pattern
-    return ".*".join("[.]".join(piece.split(".")) for piece in pieces)
+    out = []
+    for sign in pattern:
+        if sign == "*":
+            out.append(".*")
+        elif sign in KEPT_SIGNS or sign.isalnum() or sign.isspace():
+            out.append(sign)
+        else:
+            out.append("\\" + sign)
+    return "".join(out)
 
 
 def _contains_ci(col: Column, needle: str) -> Column:
@@ -76,35 +90,22 @@ def unprocessed(routed: DataFrame, processed: DataFrame, keys=("message_id", "jo
     return routed.join(processed.select(*keys), list(keys), "left_anti")
 
 
-def match_attachments(parts: DataFrame, jobs: Sequence[Mapping]) -> DataFrame:
-    """Top-level parts whose file name matches the job's pattern
-    (and whose MIME type equals the job's, when given).
-
-    ``parts`` carries the routed ``job`` column (parts joined to routed
-    messages on ``message_id``). One CASE over jobs with literal regexes.
-    """
-    cond = F.lit(False)
-    for j in jobs:
-        if not j.get("file_pattern"):
-            continue
-        m = F.col("filename").rlike(filename_regex(j["file_pattern"]))
-        if j.get("mime_type"):
-            m = m & (F.col("mime_type") == F.lit(j["mime_type"]))
-        cond = F.when(F.col("job") == F.lit(j["job"]), m).otherwise(cond)
-    return parts.where((F.col("depth") == 0) & F.coalesce(cond, F.lit(False)))
+def _takes(job: Mapping) -> Column:
+    """whether a part's file name matches the job's pattern, and
+    its MIME type the job's, when given."""
+    named = F.col("filename").rlike(filename_regex(job["file_pattern"]))
+    return named & (F.col("mime_type") == F.lit(job["mime_type"])) if job.get("mime_type") else named
 
 
 def attachment_jobs(parts: DataFrame, jobs: Sequence[Mapping]) -> DataFrame:
-    """J3 for parts that are not routed to one job yet: a row for each job
-    whose pattern (and MIME type) takes a top-level part. As in J1, only
-    the matches are exploded."""
-
-    def takes(j: Mapping) -> Column:
-        m = F.col("filename").rlike(filename_regex(j["file_pattern"]))
-        return m & (F.col("mime_type") == F.lit(j["mime_type"])) if j.get("mime_type") else m
-
-    hits = F.array(*[F.when(takes(j), F.lit(j["job"])) for j in jobs if j.get("file_pattern")])
-    return parts.where(F.col("depth") == 0).withColumn("job", F.explode(F.filter(hits, lambda x: x.isNotNull())))
+    """A row for each job that takes a top-level part. As in J1, only the
+    matches are exploded. Parts that were routed already, with a column
+    ``job``, are only matched with that job."""
+    routed = "job" in parts.columns
+    hits = [F.when(_takes(j) & (F.col("job") == F.lit(j["job"])) if routed else _takes(j), F.lit(j["job"])) for j in jobs if j.get("file_pattern")]
+    if not hits:
+        return parts.withColumn("job", F.lit(None).cast("string")).limit(0)
+    return parts.where(F.col("depth") == 0).withColumn("job", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())))
 
 
 def match_counts(routed: DataFrame) -> DataFrame:

@@ -13,11 +13,13 @@ from postroom.operators import html_select as H
 from postroom.operators import routing as R
 from postroom.operators import schema as S
 from postroom.operators import transforms as TR
+from postroom.plans import queries as _q
 from postroom.plans import standins as SI
 from postroom.plans.oracle import MESSAGES, ORDERS_ALL, _secure
 from postroom.plans.standins import table
 from postroom.session import apply_defaults, work_path
 from postroom.sinks import deliver as D
+from postroom.sinks import snapshots as SN
 from postroom.sinks import tables as TB
 from postroom.sources import messages as M
 from postroom.sources import records as REC
@@ -320,7 +322,7 @@ def email_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(k % 3 == 0, F.lit("<ul><li>nothing</li></ul>")).otherwise(F.concat(
         F.lit("<div><p>x with result: y</p>"), F.when(k % 3 == 1, found).otherwise(F.lit("<p>all is well</p>")), F.lit("</div>")))
     files = table(spark, sf_dir, "orders").select(F.concat(F.lit("mail-"), k.cast("string")).alias("file_name"), F.encode(body, "UTF-8").alias("content"))
-    return TR.parse_email_body(files, run_date="2024-01-02").select("file_name", "transaction_id", "error")
+    return TR.apply_transform(files, "parse_email_body", run_date="2024-01-02").select("file_name", "transaction_id", "error")
 
 
 # -- cells and checks -----------------------------------------------------------------
@@ -404,3 +406,261 @@ def run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = D.processed_ids(spark, f"{base}/state").groupBy("message_id").agg(F.count("*").alias("n_processed"))
     links = spark.read.parquet(f"{base}/links").where("kind = 'link'").select("message_id", "pos", "href")
     return links.join(done, "message_id").withColumn("second_run", F.lit(second))
+
+
+# -- records over blocks -----------------------------------------------------------------
+
+def _in_splits(spark: SparkSession, size: int, read) -> DataFrame:
+    """What ``read`` gives when files are split every ``size`` bytes, with
+    the task that gave each row."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    dest = work_path(spark, "in-splits")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        read().withColumn("task", F.spark_partition_id()).write.parquet(dest)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return spark.read.parquet(dest)
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Whether more than one task gave the rows, beside each of them."""
+    tasks = df.agg((F.count_distinct("task") > 1).alias("spread"))
+    return df.drop("task").join(F.broadcast(tasks))
+
+
+_ODD_TEXT = """CASE doc_id % 4 WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN 'say "' || text || '"' || chr(9) || 'back \\ slash' ELSE text END"""
+
+
+def _odd_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    odd = F.when(k == 1, "").when(k == 3, F.concat(F.lit('say "'), "text", F.lit('"\tback \\ slash'))).when(k == 0, F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", odd.alias("text"), "lang")
+
+
+TEXT_SCHEMA = [{"name": "doc_id", "type": "INTEGER"}, {"name": "text", "type": "STRING"}, {"name": "lang", "type": "STRING"}]
+
+
+@query(f"SELECT doc_id, {_ODD_TEXT} AS text, lang FROM documents")
+def quoted_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, tabs, backslashes and line ends, nulls and
+    empty texts, written and read back."""
+    dest = work_path(spark, "quoted-tsv")
+    TB.write_delimited(_odd_texts(spark, sf_dir), dest, null_value="\\N")
+    return REC.read_delimited(spark, dest, S.load_schema(TEXT_SCHEMA)[0], field_delimiter="tab", skip_leading_rows=1, allow_quoted_newlines=True,
+                              quote_character='"', null_marker="\\N", on_error="fail")
+
+
+@query(f"SELECT doc_id, {_ODD_TEXT} AS text, lang, true AS spread FROM documents")
+def split_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of quoted values with line ends, read by many tasks."""
+    dest = work_path(spark, "one-file")
+    TB.write_delimited(_odd_texts(spark, sf_dir).coalesce(1), dest, null_value="\\N")
+    load = lambda: REC.read_delimited(spark, dest, S.load_schema(TEXT_SCHEMA)[0], field_delimiter="tab", skip_leading_rows=1, allow_quoted_newlines=True,
+                                      quote_character='"', null_marker="\\N", on_error="fail")
+    return _spread(_in_splits(spark, 1 << 17, load))
+
+
+@query("SELECT doc_id, text, lang, true AS spread FROM documents")
+def split_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file that is one JSON array, read by many tasks."""
+    docs = table(spark, sf_dir, "documents")
+    first = docs.agg(F.min("doc_id")).first()[0]
+    element = F.to_json(F.struct("doc_id", "text", "lang"))
+    head = docs.where(F.col("doc_id") == first).select(F.concat(F.lit("["), element).alias("value"))
+    body = docs.where(F.col("doc_id") != first).select(F.concat(F.lit(","), element).alias("value"))
+    dest = work_path(spark, "one-array")
+    head.unionAll(body).unionAll(spark.range(1).select(F.lit("]").alias("value"))).coalesce(1).write.text(dest)
+    return _spread(_in_splits(spark, 1 << 17, lambda: REC.read_json_records(spark, dest, S.load_schema(TEXT_SCHEMA)[0])))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def long_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two leading rows, the first longer than the blocks that the file
+    is read in."""
+    o = table(spark, sf_dir, "orders")
+    line = F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus")
+    title = spark.range(1).select(F.concat(F.repeat(F.lit("title "), 20_000), F.lit("\nkey\tcust\tstatus")).alias("value"))
+    dest = work_path(spark, "long-title")
+    title.unionAll(o.select(line.alias("value"))).coalesce(1).write.text(dest)
+    load = lambda: REC.read_delimited(spark, dest, S.load_schema(LINE_SCHEMA)[0], field_delimiter="tab", skip_leading_rows=2, on_error="fail")
+    return _in_splits(spark, 1 << 15, load).drop("task")
+
+
+# -- names and snapshots -------------------------------------------------------------------
+
+@query("""
+SELECT 'in/' || CASE p_partkey % 5 WHEN 0 THEN 'esc_' || p_partkey || '.txt' WHEN 1 THEN 'dir_' || p_partkey || '.txt' WHEN 2 THEN 'back_' || p_partkey || '.txt'
+  ELSE 'same_' || p_partkey || '.txt' END AS path, p_name AS text FROM part WHERE p_partkey % 5 <> 4
+UNION ALL SELECT NULL, CAST(count(*) AS VARCHAR) FROM part WHERE p_partkey % 5 = 4
+""")
+def hostile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: file names with paths in them, equal and missing ones; all that is
+    below the folder's parent, and the number of errors."""
+    k = F.col("p_partkey")
+    end = F.concat(k.cast("string"), F.lit(".txt"))
+    name = F.when(k % 5 == 0, F.concat(F.lit("../esc_"), end)).when(k % 5 == 1, F.concat(F.lit("/a/sub/dir_"), end))
+    name = name.when(k % 5 == 2, F.concat(F.lit("c:\\x\\back_"), end)).when(k % 5 == 3, "same.txt").when(k % 10 == 4, "..")
+    part = table(spark, sf_dir, "part")
+    files = part.select(k.cast("string").alias("message_id"), name.alias("file_name"), F.encode("p_name", "UTF-8").alias("content"))
+    base = work_path(spark, "hostile")
+    errors = TB.write_blobs(files, f"{base}/in").agg(F.count_if(F.col("error").isNotNull()).alias("n")).first()["n"]
+    held = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(base)
+    found = held.select(F.regexp_extract("path", "hostile-[0-9a-f]+/(.*)$", 1).alias("path"), F.decode("content", "UTF-8").alias("text"))
+    return found.unionAll(spark.range(1).select(F.lit(None).cast("string"), F.lit(str(errors))))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_custkey END AS o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN 'M' ELSE o_orderstatus END AS o_orderstatus FROM orders
+""")
+def merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: keys of two fields, one of which may be null; rows merged twice
+    stay one."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderstatus")
+    dest, keys = work_path(spark, "null-keys"), ["o_custkey", "o_orderkey"]
+    TB.load_table(orders, dest, "merge", keys=keys)
+    for _ in range(2):
+        TB.load_table(orders.where("o_orderkey % 10 = 0").withColumn("o_orderstatus", F.lit("M")), dest, "merge", keys=keys)
+    return TB.read_table(spark, dest)
+
+
+@query("""
+WITH m AS (SELECT min(o_orderkey) AS a, max(o_orderkey) - min(o_orderkey) AS w FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN a + w // 2 AND a + w // 2 + w // 100 THEN 'M' ELSE o_orderstatus END AS o_orderstatus, true AS few FROM orders, m
+""")
+def merge_touches_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: a merge of a hundredth of the keys; whether the manifest shows
+    that it wrote under a twentieth of the bytes."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    m = orders.agg(F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("b"), F.count("*").alias("n")).first()
+    dest, w = work_path(spark, "clustered-merge"), m["b"] - m["a"]
+    size = -(-m["n"] // 100)
+    TB.load_table(orders, dest, "merge", keys=["o_orderkey"], file_rows=size)
+    low = m["a"] + w // 2
+    some = orders.where(F.col("o_orderkey").between(low, low + w // 100)).withColumn("o_orderstatus", F.lit("M"))
+    TB.load_table(some, dest, "merge", keys=["o_orderkey"], file_rows=size)
+    before, after = SN.manifest(spark, dest, 1), SN.manifest(spark, dest, 2)
+    new = after.join(before.select("path"), "path", "left_anti").agg(F.sum("bytes").alias("new"))
+    few = new.join(after.agg(F.sum("bytes").alias("all"))).select((20 * F.col("new") < F.col("all")).alias("few"))
+    return TB.read_table(spark, dest).join(F.broadcast(few))
+
+
+@query(f"""
+WITH o AS (SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m%d') AS partition FROM orders)
+SELECT CAST(1 AS INTEGER) AS version, *, true AS few_files FROM o
+UNION ALL SELECT 2, o_orderkey, CASE WHEN partition = '{_q.REPLACE_DAY}' THEN o_totalprice * 2 ELSE o_totalprice END, partition, true FROM o
+""")
+def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K8: both snapshots of a table by day, before and after one day was
+    replaced; days share files."""
+    dest = work_path(spark, "history")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    TB.load_table(orders, dest, "replace", partition="o_orderdate")
+    changed = orders.where(F.date_format("o_orderdate", "yyyyMMdd") == _q.REPLACE_DAY).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    TB.load_table(changed, dest, "replace", partition=_q.REPLACE_DAY)
+    few = SN.manifest(spark, dest).count() < 100
+    each = [TB.read_table(spark, dest, version=v).select(F.lit(v).alias("version"), "o_orderkey", "o_totalprice", F.col("ds").alias("partition")) for v in (1, 2)]
+    return each[0].unionAll(each[1]).withColumn("few_files", F.lit(few))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, true AS few FROM lineitem WHERE l_suppkey = 3")
+def clustered_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: clustered on two fields; a filter on the second reads under a
+    quarter of the files."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    dest, ranges = work_path(spark, "clustered"), {"l_suppkey": (3, 3)}
+    TB.load_table(rows, dest, "append", cluster_by="l_partkey, l_suppkey", file_rows=-(-rows.count() // 256))
+    files = SN.manifest(spark, dest)
+    few = 4 * SN.overlapping(files, ranges).count() < files.count()
+    return TB.read_table(spark, dest, ranges=ranges).where("l_suppkey = 3").withColumn("few", F.lit(few))
+
+
+# -- deep mails, attachment jobs, nested rules ------------------------------------------------
+
+DEEPEST = 200
+
+
+@query(f"""
+WITH m AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS message_id, text, conv_id, turn FROM conversations),
+d AS (SELECT message_id, text FROM m WHERE conv_id = (SELECT min(conv_id) FROM m) AND turn = (SELECT min(turn) FROM m))
+SELECT message_id, 0 AS depth, 'text/html' AS mime_type, text FROM m WHERE message_id NOT IN (SELECT message_id FROM d)
+UNION ALL SELECT message_id, CAST(r.i AS INTEGER), 'multipart/mixed', NULL FROM d, range({DEEPEST}) r(i)
+UNION ALL SELECT message_id, {DEEPEST}, 'text/html', text FROM d
+""")
+def deep_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One mail 200 parts deep among flat ones."""
+    conv = table(spark, sf_dir, "conversations")
+    least = conv.agg(F.min("conv_id").alias("c"), F.min("turn").alias("t")).first()
+    leaf = F.to_json(F.struct(
+        F.lit("text/html").alias("mimeType"), F.lit("").alias("filename"),
+        F.struct(F.octet_length("text").cast("long").alias("size"), M.urlsafe_b64encode(F.encode("text", "UTF-8")).alias("data")).alias("body"),
+    ))
+    deep = (F.col("conv_id") == least["c"]) & (F.col("turn") == least["t"])
+    open_part = '{"mimeType":"multipart/mixed","filename":"","body":{"size":0},"parts":['
+    n = F.when(deep, DEEPEST + 1).otherwise(1)
+    payload = F.concat(F.repeat(F.lit(open_part), n), leaf, F.repeat(F.lit("]}"), n))
+    msgs = conv.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"), payload.alias("payload"))
+    return M.flatten_parts(msgs).select("message_id", "depth", "mime_type", F.decode(M.urlsafe_b64decode("data"), "UTF-8").alias("text"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(1 AS BIGINT) AS n_files FROM orders")
+def run_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 in a whole job (entry A of SURVEY 3): attachments that match the
+    job's pattern, renamed and delivered as files and into a table; others
+    are left."""
+    import datetime as dt
+
+    from postroom.plans.job import run_job as run
+
+    files = _orders_lines(spark, sf_dir, 1024)
+    part = lambda name, content: F.struct(name.alias("filename"), F.lit("text/tab-separated-values").alias("mimeType"), F.struct(F.octet_length(content).cast("long").alias("size"), M.urlsafe_b64encode(content).alias("data")).alias("body"))
+    parts = F.array(part(F.concat(F.lit("orders_"), F.col("b").cast("string"), F.lit(".tsv")), F.col("content")), part(F.lit("note.txt"), F.encode(F.lit("no rows"), "UTF-8")))
+    msgs = files.select(
+        F.col("b").cast("string").alias("message_id"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("internal_ts"), F.lit("x@y.example").alias("sender"),
+        F.lit("z@y.example").alias("recipient"), F.lit("Orders").alias("subject"), F.array(F.lit("in")).alias("label_ids"), F.lit(True).alias("has_attachment"),
+        F.to_json(F.struct(F.lit("multipart/mixed").alias("mimeType"), F.lit("").alias("filename"), F.struct(F.lit(0).alias("size")).alias("body"), parts.alias("parts"))).alias("payload"),
+    )
+    base = work_path(spark, "attachments")
+    job = {"name": "orders", "mail_filter": {"subject": "orders"}, "file_to_extract": {"source": "attachment", "file_pattern": "orders_*.tsv"}, "transform": {"filename_format": "{source_file}"},
+           "load_destination": [{"name": "files", "protocol": "blobs", "dir": f"{base}/files"}, {
+               "name": "table", "protocol": "records", "dir": f"{base}/table", "schema": LINE_SCHEMA, "field_delimiter": "tab", "skip_leading_rows": 2}]}
+    statuses, _ = run(job, msgs, None, f"{base}/state", dt.datetime(2024, 1, 1), hour=1)
+    bad = statuses.where("status <> 'ok'").limit(1).collect()
+    if bad:
+        raise OSError(str(bad[0]))
+    held = REC.read_delimited(spark, f"{base}/files", S.load_schema(LINE_SCHEMA)[0], field_delimiter="tab", skip_leading_rows=2, on_error="fail")
+    n = held.groupBy("o_orderkey").agg(F.count("*").alias("n_files"))
+    return TB.read_table(spark, f"{base}/table").join(n, "o_orderkey")
+
+
+DESTINATION = {
+    "protocol": {"required": True, "allowed": ["store", "table", "host"]},
+    "bucket": {"type": "string", "dependencies": {"protocol": ["store"]}},
+    "table_id": {"type": "string", "dependencies": {"protocol": ["table"]}},
+    "skip": {"type": "integer", "dependencies": "table_id"},
+}
+NESTED_RULES = {"c_custkey": {"type": "integer"}, "dest": {"schema": DESTINATION}, "dests": {"schema": {"items": {"schema": DESTINATION}}}}
+
+
+@query("""
+WITH d AS (SELECT c_custkey AS k, ['store', 'table', 'host', 'ftp', NULL][c_custkey % 5 + 1] AS protocol, CASE WHEN c_custkey % 3 = 0 THEN 'b' END AS bucket,
+  CASE WHEN c_custkey % 2 = 0 THEN 't' END AS table_id, CASE WHEN c_custkey % 7 < 2 THEN 1 END AS skip, CASE WHEN c_custkey % 11 = 0 THEN 'x' END AS other FROM customer),
+v AS (SELECT k, [CASE WHEN protocol IS NULL THEN 'protocol: required' END, CASE WHEN protocol = 'ftp' THEN 'protocol: allowed' END,
+  CASE WHEN bucket IS NOT NULL AND coalesce(protocol, '') <> 'store' THEN 'bucket: dependencies' END,
+  CASE WHEN table_id IS NOT NULL AND coalesce(protocol, '') <> 'table' THEN 'table_id: dependencies' END,
+  CASE WHEN skip IS NOT NULL AND table_id IS NULL THEN 'skip: dependencies' END, CASE WHEN other IS NOT NULL THEN 'other: unknown field' END] AS found FROM d)
+SELECT k AS c_custkey, array_to_string(list_transform(list_filter(found, lambda x: x IS NOT NULL), lambda x: 'dest: ' || x), ';')
+  || CASE WHEN len(list_filter(found, lambda x: x IS NOT NULL)) > 0 THEN ';dests: items' ELSE '' END AS violations FROM v
+""")
+def nested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5, V7: siblings that a key depends on, and unknown keys, in a dict
+    and in the dicts of a list."""
+    k = F.col("c_custkey")
+    protocol = F.get(F.array(F.lit("store"), F.lit("table"), F.lit("host"), F.lit("ftp"), F.lit(None)), (k % 5).cast("int"))
+    dest = F.struct(
+        protocol.alias("protocol"), F.when(k % 3 == 0, "b").alias("bucket"), F.when(k % 2 == 0, "t").alias("table_id"),
+        F.when(k % 7 < 2, 1).alias("skip"), F.when(k % 11 == 0, "x").alias("other"),
+    )
+    fine = F.struct(F.lit("store").alias("protocol"), F.lit("b").alias("bucket"), F.lit(None).cast("string").alias("table_id"), F.lit(None).cast("int").alias("skip"), F.lit(None).cast("string").alias("other"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", dest.alias("dest"), F.array(fine, dest).alias("dests"))
+    return V.check_records(cust, NESTED_RULES).select("c_custkey", F.array_join("violations", ";").alias("violations"))

@@ -55,7 +55,7 @@ def job_files(job: Mapping, routed: DataFrame, attachments: DataFrame | None) ->
     source = extract.get("source", "attachment")
     parts = M.flatten_parts(routed)
     if source == "attachment":
-        hits = R.match_attachments(parts.withColumn("job", F.lit(job["name"])), [job_filter(job, dt.datetime(1970, 1, 1))])
+        hits = R.attachment_jobs(parts.withColumn("job", F.lit(job["name"])), [job_filter(job, dt.datetime(1970, 1, 1))])
         atts = attachments if attachments is not None else routed.sparkSession.createDataFrame([], M.ATTACHMENT_SCHEMA)
         place = F.array_join(F.transform("path", lambda x: x.cast("string")), ".")
         files = M.decode_payload(hits, atts).select("message_id", place.alias("pos"), F.col("filename").alias("file_name"), "content")

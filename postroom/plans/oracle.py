@@ -99,12 +99,9 @@ UNION ALL SELECT page_id, 'body', CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR) F
 """
 
 ELEMENTS = r"""
-SELECT page_id, tag, n FROM (
-  SELECT page_id, 'a' AS tag, CAST(len(regexp_extract_all(html, '<a[\s>/]')) AS BIGINT) AS n FROM pages
-  UNION ALL SELECT page_id, 'p', len(regexp_extract_all(html, '<p[\s>/]')) FROM pages
-  UNION ALL SELECT page_id, 'li', len(regexp_extract_all(html, '<li[\s>/]')) FROM pages
-  UNION ALL SELECT page_id, 'h1', len(regexp_extract_all(html, '<h1[\s>/]')) FROM pages)
-WHERE n > 0
+SELECT page_id, lower(t) AS tag, count(*) AS n
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)[\s>/]', 1)) AS t FROM pages)
+GROUP BY ALL
 """
 
 

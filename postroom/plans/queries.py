@@ -133,12 +133,11 @@ def links_or_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements per page and tag for ``a p li h1``."""
+    """Elements per page and tag, all tags."""
     _prep(spark)
     els = html_elements(_pages(spark, sf_dir))
     return (
-        els.where(F.col("tag").isin("a", "p", "li", "h1"))
-        .groupBy(F.col("doc_id").alias("page_id"), "tag")
+        els.groupBy(F.col("doc_id").alias("page_id"), "tag")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postroom.session import work_path
 from postroom.sinks.tables import load_table, split_partition_suffix, write_blobs, write_delimited, write_files
 
 STATUS_SCHEMA = T.StructType(
@@ -30,18 +30,27 @@ def _deliver_one(df: DataFrame, ch: Mapping, n: int) -> int:
     """Delivers and returns how many rows (files, for blobs) were written."""
     kind = ch.get("protocol", "files")
     if kind == "files":
-        write_files(df, ch["dir"], ch.get("format", "parquet"), ch.get("mode", "overwrite"), **ch.get("options", {}))
+        return _counted(df, n, lambda rows: write_files(rows, ch["dir"], ch.get("format", "parquet"), ch.get("mode", "overwrite"), **ch.get("options", {})))
     elif kind == "delimited":
-        write_delimited(df, ch["dir"], sep=ch.get("sep", "\t"), header=ch.get("header", True), quote=ch.get("quote", "minimal"))
+        return _counted(df, n, lambda rows: write_delimited(rows, ch["dir"], sep=ch.get("sep", "\t"), header=ch.get("header", True), quote=ch.get("quote", "minimal")))
     elif kind == "table":
-        _load(df, ch, ch.get("path_col"))
+        return _load(df, ch, ch.get("path_col"))
     elif kind == "blobs":
         return _write_all(df, ch["dir"])
     elif kind == "records":
         return _load_cells(df, ch) if CELL_COLUMNS <= set(df.columns) else _load_records(df, ch)
     else:
         raise ValueError(f"unknown protocol {kind!r}")
-    return n
+
+
+def _counted(df: DataFrame, n: int, write) -> int:
+    """The rows that a write wrote, by its own metric."""
+    if not n:  # a plan that Spark finds empty has no metric
+        write(df)
+        return 0
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
 
 
 # What a table of workbook cells has (``xlsx2csv``).
@@ -62,8 +71,7 @@ def _load_cells(cells: DataFrame, ch: Mapping) -> int:
     schema = load_schema(ch["schema"])[0]
     rows = cells_to_rows(cells, schema.names).drop("sheet_no", "row").withColumnRenamed("file", "_file_path")
     typed = cast_to_schema(rows, T.StructType([T.StructField("_file_path", T.StringType()), *schema.fields]), on_error="fail")
-    _load(typed, ch, "_file_path")
-    return rows.count()
+    return _load(typed, ch, "_file_path")
 
 
 def _write_all(files: DataFrame, dest: str) -> int:
@@ -74,13 +82,14 @@ def _write_all(files: DataFrame, dest: str) -> int:
     return done["n"]
 
 
-def _load(df: DataFrame, ch: Mapping, path_col: str | None) -> None:
-    """A channel's table load. The partition is the channel's ``partition``
+def _load(df: DataFrame, ch: Mapping, path_col: str | None) -> int:
+    """A channel's table load, and its rows. The partition is the channel's ``partition``
     rule, else its ``time_partitioning_field``."""
     dest, suffix = split_partition_suffix(ch.get("dir") or ch["table_id"])
     partition = suffix or ch.get("partition") or ch.get("time_partitioning_field")
-    load_table(df, dest, ch.get("load_method") or "append", partition, path_col, ch.get("keys"),
-               ch.get("clustering_fields"), order_by=ch.get("order_by"), run_day=ch.get("run_day"), unit=ch.get("time_partitioning_type") or "DAY")
+    done = load_table(df, dest, ch.get("load_method") or "append", partition, path_col, ch.get("keys"),
+                      ch.get("clustering_fields"), order_by=ch.get("order_by"), run_day=ch.get("run_day"), unit=ch.get("time_partitioning_type") or "DAY")
+    return done.rows
 
 
 def _load_records(files: DataFrame, ch: Mapping) -> int:
@@ -91,7 +100,6 @@ def _load_records(files: DataFrame, ch: Mapping) -> int:
     regex sees each staged file's path). ``multi_file='last'``: only the file
     with the last name is loaded, as if each replaced the one before."""
     from postroom.operators.schema import load_schema
-    from postroom.session import work_path
     from postroom.sources.records import read_records
 
     spark = files.sparkSession
@@ -105,34 +113,32 @@ def _load_records(files: DataFrame, ch: Mapping) -> int:
                                "allow_jagged_rows", "null_marker", "quote_character") if ch.get(k) is not None}
     fmt = ch.get("format", "csv")
     if str(fmt).lower() == "json":
-        recs = read_records(spark, stage, "json", schema).withColumn("_file_path", F.col("_metadata.file_path"))
+        recs = read_records(spark, stage, "json", schema, path_col="_file_path")
     else:
         recs = read_records(spark, stage, fmt, schema, on_error="fail" if schema is not None else "drop", path_col="_file_path", **opts)
-    _load(recs, ch, "_file_path")
-    return recs.count()
+    return _load(recs, ch, "_file_path")
 
 
 def fan_out(df: DataFrame, channels: Sequence[Mapping] | Mapping) -> DataFrame:
     """The same data to every channel; a failing channel does not stop
-    the others. The input is persisted once (memory and disk, so a lost
-    executor recomputes only its blocks) and counted once. Returns one
-    status row per channel, with the rows that were written: none by a
-    failed one."""
+    the others. The input is written once to the shared work folder, where a
+    lost executor can't lose it, and each channel reads it there. Returns one
+    status row per channel, with the rows that it wrote by its own count:
+    none by a failed one."""
     if isinstance(channels, Mapping):
         channels = [channels]
     spark = df.sparkSession
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = cached.count()
-        out = []
-        for ch in channels:
-            name = ch.get("name") or ch.get("dir")
-            try:
-                out.append((name, "ok", _deliver_one(cached, ch, n), None))
-            except Exception as e:  # the channel failed; go on with the rest
-                out.append((name, "failed", 0, f"{type(e).__name__}: {e}"))
-    finally:
-        cached.unpersist()
+    stage = work_path(spark, "delivery")
+    df.write.parquet(stage)
+    staged = spark.read.schema(df.schema).parquet(stage)
+    n = staged.count()
+    out = []
+    for ch in channels:
+        name = ch.get("name") or ch.get("dir")
+        try:
+            out.append((name, "ok", _deliver_one(staged, ch, n), None))
+        except Exception as e:  # the channel failed; go on with the rest
+            out.append((name, "failed", 0, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(out, STATUS_SCHEMA)
 
 

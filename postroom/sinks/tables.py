@@ -1,67 +1,50 @@
 """Table and file sinks.
 
-A table is a parquet folder on any Hadoop file system, optionally
-partitioned by ``ds=YYYYMMDD``. Keyed merges write a new version folder
-``_v=<n>`` and readers take the newest complete one, so a table is never
-rewritten while it is read.
+A table is a folder of snapshots (``sinks.snapshots``) on any Hadoop file
+system: loads become visible at once or not at all, and a table is never
+rewritten while it is read. Rows of a partitioned table carry their
+partition in the column ``ds``.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroom.functions.timewin import partition_stamp
+from postroom.session import work_path
+from postroom.sinks import snapshots as SN
+from postroom.sinks.snapshots import file_system as _fs
+from postroom.sinks.snapshots import versions as _versions
 
 PARTITION_COL = "ds"
-VERSION_PREFIX = "_v="
+METHODS = ("append", "replace", "merge")
 
 
-# -- file system helpers (Hadoop FS through the session's JVM) -----------------
+class Load(NamedTuple):
+    """What a load made: the version, and the rows of the batch in it."""
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _versions(spark: SparkSession, dest: str) -> list[int]:
-    fs, p, jvm = _fs(spark, dest)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
-
-
-def current_path(spark: SparkSession, dest: str) -> str:
-    """The folder holding the table's current data."""
-    v = _versions(spark, dest)
-    return f"{dest.rstrip('/')}/{VERSION_PREFIX}{v[-1]:06d}" if v else dest
+    version: int
+    rows: int
 
 
 def table_exists(spark: SparkSession, dest: str) -> bool:
-    fs, p, _ = _fs(spark, current_path(spark, dest))
-    return fs.exists(p)
+    return bool(_versions(spark, dest))
 
 
-def read_table(spark: SparkSession, dest: str, schema: T.StructType | None = None) -> DataFrame:
-    path = current_path(spark, dest)
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    if PARTITION_COL in df.columns:
-        df = df.withColumn(PARTITION_COL, F.col(PARTITION_COL).cast("string"))
-    return df
+def read_table(spark: SparkSession, dest: str, schema: T.StructType | None = None, version: int | None = None, ranges=None) -> DataFrame:
+    """The table's newest snapshot, or a given one; a folder of parquet
+    files without snapshots as it is. ``ranges``: see ``snapshots.read``."""
+    if _versions(spark, dest):
+        return SN.read(spark, dest, version, ranges, schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(dest)
+    return df.withColumn(PARTITION_COL, F.col(PARTITION_COL).cast("string")) if PARTITION_COL in df.columns else df
 
 
 # -- partition ids (K6, K7, K8) -----------------------------------------------------
@@ -87,18 +70,6 @@ def partition_id(spec, path_col: str | None = None, unit: str = "DAY") -> Column
     return partition_stamp(F.col(s)) if unit == "DAY" else F.date_format(s, STAMPS[unit])
 
 
-def _clustered(df: DataFrame, cluster_by: Sequence[str] | None, partitioned: bool) -> DataFrame:
-    """K9: range partition and sort on the clustering fields so parquet
-    min/max statistics skip row groups. Without clustering, a partitioned
-    write is rebalanced on the partition column: each day's rows go to few
-    tasks (few files per day), and AQE splits a day that holds most rows
-    instead of giving it to one task."""
-    if not cluster_by:
-        return df.hint("rebalance", PARTITION_COL) if partitioned else df
-    cols = ([PARTITION_COL] if partitioned else []) + list(cluster_by)
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-
-
 def load_table(
     df: DataFrame,
     dest: str,
@@ -110,52 +81,99 @@ def load_table(
     order_by: str | None = None,
     run_day: str | None = None,
     unit: str = "DAY",
-) -> str:
+    file_rows: int | None = None,
+) -> Load:
     """Load ``df`` into the table at ``dest``.
 
     ``append`` adds files; ``replace`` without a partition replaces the
-    table; with one literal partition it overwrites only that ``ds=``
-    folder (an empty input clears it); with partitions computed per row
-    (regex on the file path, day of a field) each partition present in
-    the batch is replaced once (dynamic overwrite: the union of all files
-    of a batch lands in one write); ``run_day`` is the partition of rows for
+    table; with one literal partition it replaces only that one (an empty
+    input clears it); with partitions computed per row (regex on the file
+    path, day of a field) each partition present in the batch is replaced
+    once, all in one snapshot; only files that hold such a partition are
+    rewritten, without it. ``run_day`` is the partition of rows for
     which the rule finds none, and a ``path_col`` that begins with ``_`` is
-    not loaded. ``merge`` upserts on ``keys``.
-    Returns the folder written.
+    not loaded. ``merge`` upserts on ``keys``; any other word is an error.
+    ``cluster_by`` arranges the rows (K9: see ``snapshots.arranged``);
+    ``file_rows`` is the most rows of a file.
     """
     if isinstance(cluster_by, str):
         cluster_by = [c.strip() for c in cluster_by.split(",") if c.strip()]
     method = (method or "append").lower()
+    if method not in METHODS:
+        raise ValueError(f"unknown load method {method!r}")
     spark = df.sparkSession
     if method == "merge":
         if not keys:
             raise ValueError("merge needs keys")
-        return merge_table(df, dest, keys, order_by=order_by)
-    dest = current_path(spark, dest)
+        return merge_table(df, dest, keys, order_by=order_by, file_rows=file_rows)
+    old = _files(spark, dest)
     pid = partition_id(partition, path_col, unit)
     if path_col and path_col.startswith("_") and path_col in df.columns:
         df = df.withColumn(PARTITION_COL, pid).drop(path_col) if pid is not None else df.drop(path_col)
         pid = F.col(PARTITION_COL) if pid is not None else None
     if pid is not None and run_day:
         pid = F.coalesce(pid, F.lit(run_day))
-    literal = partition is not None and str(partition).isdigit() and len(str(partition)) == 8
-    if pid is None:
-        out = _clustered(df, cluster_by, False)
-        out.write.mode("overwrite" if method == "replace" else "append").parquet(dest)
-        return dest
-    if literal:
-        target = f"{dest.rstrip('/')}/{PARTITION_COL}={partition}"
-        out = _clustered(df.drop(PARTITION_COL), cluster_by, False)
-        out.write.mode("overwrite" if method == "replace" else "append").parquet(target)
-        return target
-    out = _clustered(df.withColumn(PARTITION_COL, pid), cluster_by, True)
-    w = out.write.partitionBy(PARTITION_COL)
-    if method == "replace" and table_exists(spark, dest):
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = df if pid is None else df.withColumn(PARTITION_COL, pid)
+    fields = list(cluster_by or ([PARTITION_COL] if pid is not None else []))
+    told = [*fields, *([PARTITION_COL] if pid is not None else []), *(SN.told_columns(old) if old is not None else [])]
+    new = SN.write(out, dest, [c for c in told if c in out.columns], fields, file_rows)
+    stage = work_path(spark, "new-files")
+    new.write.parquet(stage)
+    new = spark.read.schema(new.schema).parquet(stage)
+    rows = new.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    schema = out.schema
+    if old is None or method == "replace" and pid is None:
+        return Load(SN.commit(spark, dest, schema, new), rows)
+    schema = _widened(SN.schema_of(spark, dest), schema)
+    if method == "append":
+        return Load(SN.commit(spark, dest, schema, old, new), rows)
+    literal = str(partition) if partition is not None and str(partition).isdigit() and len(str(partition)) == 8 else None
+    days = _days(SN.read_files(spark, dest, new, out.schema)) if literal is None else spark.createDataFrame([(literal,)], "day string")
+    kept, rest = _without_days(spark, dest, old, days, schema, told, file_rows)
+    return Load(SN.commit(spark, dest, schema, kept, rest, new), rows)
+
+
+def _files(spark: SparkSession, dest: str) -> DataFrame | None:
+    """The table's manifest; None for a new table."""
+    if _versions(spark, dest):
+        return SN.manifest(spark, dest)
+    fs, p, _ = _fs(spark, dest)
+    if fs.exists(p) and any(not st.getPath().getName().startswith(("_", ".")) and st.getPath().getName() != SN.DATA for st in fs.listStatus(p)):
+        raise ValueError(f"{dest} holds files that are no snapshot's")
+    return None
+
+
+def _widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The table's columns, then those it hasn't had."""
+    return T.StructType([*old.fields, *[f for f in new.fields if f.name not in old.names]])
+
+
+def _days(df: DataFrame) -> DataFrame:
+    """The partitions there are; rows without one are a partition too."""
+    return df.select(F.coalesce(F.col(PARTITION_COL), F.lit("")).alias("day")).distinct()
+
+
+def _without_days(spark, dest, old, days, schema, told, file_rows):
+    """The files that hold none of the days, and new ones of the others'
+    rows without them (None where there is no such file)."""
+    if f"min_{PARTITION_COL}" not in old.columns:
+        hit = old
     else:
-        w = w.mode("append")
-    w.parquet(dest)
-    return dest
+        least, most, nulls = (F.col(f"{x}_{PARTITION_COL}") for x in ("min", "max", "nulls"))
+        least = F.when(F.coalesce(nulls, F.lit(1)) > 0, "").otherwise(least)
+        few = [r["day"] for r in days.limit(SN.MOST_VALUES + 1).collect()]
+        if len(few) > SN.MOST_VALUES:
+            few = list(days.agg(F.min("day"), F.max("day")).first())
+            holds = (least <= few[1]) & (most >= few[0]) | (least == "")
+        else:
+            holds = F.exists(F.array(*[F.lit(d) for d in few]).cast("array<string>"), lambda d: (d >= least) & (d <= F.coalesce(most, F.lit(""))))
+        hit = old.where(holds)
+    paths = hit.select("path")
+    if hit.isEmpty():
+        return old, None
+    rest = SN.read_files(spark, dest, hit, schema).withColumn("_day", F.coalesce(F.col(PARTITION_COL), F.lit("")))
+    rest = rest.join(days.withColumnRenamed("day", "_day"), "_day", "left_anti").drop("_day").select(*schema.names)
+    return old.join(paths, "path", "left_anti"), SN.write(rest, dest, [c for c in told if c in rest.columns], [PARTITION_COL], file_rows)
 
 
 class DuplicateKeyError(Exception):
@@ -178,28 +196,53 @@ def dedupe_keys(src: DataFrame, keys: Sequence[str], order_by: str | None = None
     return src
 
 
-def merge_table(src: DataFrame, dest: str, keys: Sequence[str], order_by: str | None = None) -> str:
-    """K5: keyed upsert. The current rows whose key is in ``src`` are
-    replaced by ``src``'s; the result is written as a new version folder.
-    Both sides shuffle once on the keys (anti join), with AQE splitting a
-    hot key; nothing is broadcast unless AQE measures it small."""
+def _same_keys(df: DataFrame, src: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys; null equals null."""
+    other = src.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return df.join(other, same, how)
+
+
+def merge_table(src: DataFrame, dest: str, keys: Sequence[str], order_by: str | None = None, file_rows: int | None = None) -> Load:
+    """K5: keyed upsert; a null key equals a null key. The manifest tells
+    which files may hold a key of ``src`` (least and greatest value); the key
+    columns of those tell which do; only those are read whole and rewritten,
+    and all other files go on into the new snapshot. Files are sorted by the
+    keys, so a merge of near keys touches few. Joins shuffle on the keys,
+    with AQE splitting a hot one; nothing is broadcast unless AQE measures
+    it small."""
     spark = src.sparkSession
-    base = dest.rstrip("/")
-    versions = _versions(spark, dest)
-    src1 = dedupe_keys(src, keys, order_by)
-    if table_exists(spark, dest):
-        cur = read_table(spark, dest)
-        kept = cur.join(src1.select(*keys), list(keys), "left_anti")
-        merged = kept.unionByName(src1.select(*cur.columns), allowMissingColumns=False)
-    else:
-        merged = src1
-    nxt = (versions[-1] + 1) if versions else 1
-    target = f"{base}/{VERSION_PREFIX}{nxt:06d}"
-    w = merged.write.mode("error")
-    if PARTITION_COL in merged.columns:
-        w = w.partitionBy(PARTITION_COL)
-    w.parquet(target)
-    return target
+    keys = list(keys)
+    stage = work_path(spark, "merge-source")
+    once = dedupe_keys(src, keys, order_by)
+    once.write.parquet(stage)
+    src1 = spark.read.schema(once.schema).parquet(stage)
+    rows = src1.count()
+    old = _files(spark, dest)
+    if old is None:
+        return Load(SN.commit(spark, dest, src1.schema, SN.write(src1, dest, keys, keys, file_rows)), rows)
+    schema = SN.schema_of(spark, dest)
+    bounds = src1.agg(*[x for i, k in enumerate(keys) for x in (F.min(k).alias(f"low{i}"), F.max(k).alias(f"high{i}"), F.count_if(F.col(k).isNull()).alias(f"nulls{i}"))]).first()
+    some = old
+    for i, k in enumerate(keys):
+        if f"min_{k}" not in old.columns:
+            continue
+        unknown = F.col(f"nulls_{k}").isNull()
+        inside = F.lit(False) if bounds[f"low{i}"] is None else (F.col(f"min_{k}") <= F.lit(bounds[f"high{i}"])) & (F.col(f"max_{k}") >= F.lit(bounds[f"low{i}"]))
+        some = some.where(unknown | F.coalesce(inside, F.lit(False)) | (F.lit(bounds[f"nulls{i}"] > 0) & (F.col(f"nulls_{k}") > 0)))
+    held = SN.read_files(spark, dest, some, schema)
+    told = [*keys, *SN.told_columns(old)]
+    if some.isEmpty():
+        return Load(SN.commit(spark, dest, schema, old, SN.write(src1.select(*schema.names), dest, told, keys, file_rows)), rows)
+    hit = _same_keys(held.select(*keys, SN.relative_path().alias("path")), src1, keys, "left_semi").select("path").distinct()
+    touched = work_path(spark, "touched-files")
+    hit.write.parquet(touched)
+    hit = spark.read.schema(hit.schema).parquet(touched)
+    kept = _same_keys(SN.read_files(spark, dest, hit, schema), src1, keys, "left_anti")
+    merged = kept.select(*schema.names).unionByName(src1.select(*schema.names))
+    return Load(SN.commit(spark, dest, schema, old.join(hit, "path", "left_anti"), SN.write(merged, dest, told, keys, file_rows)), rows)
 
 
 # -- files (K1, K11, K12) ---------------------------------------------------------------
@@ -218,7 +261,8 @@ def write_delimited(df: DataFrame, dest: str, sep: str = "\t", header: bool = Tr
     non-numeric value (and the header), numbers stay bare; quotes inside
     values are doubled. Each output file has its own header line."""
     if quote != "nonnumeric":
-        w = df.write.mode(mode).option("sep", sep).option("header", header).option("nullValue", null_value)
+        # a quote inside a value is doubled, as the loads read it
+        w = df.write.mode(mode).option("sep", sep).option("header", header).option("nullValue", null_value).option("escape", '"')
         if quote == "all":
             w = w.option("quoteAll", "true")
         w.csv(dest)
@@ -271,7 +315,7 @@ def unique_names(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     from postroom.functions.names import splitext_root
 
     def twice(df: DataFrame) -> DataFrame:
-        return df.groupBy(name_col).agg(F.count("*").alias("_n")).where("_n > 1").select(name_col)
+        return df.where(F.col(name_col).isNotNull()).groupBy(name_col).agg(F.count("*").alias("_n")).where("_n > 1").select(name_col)
 
     clash = twice(files)
     if clash.isEmpty():
@@ -293,16 +337,24 @@ def write_blobs(files: DataFrame, dest: str, name_col: str = "file_name", conten
     """K1 for file rows: each row's bytes become the file ``dest/<name>``,
     names made unique by :func:`unique_names`.
 
+    Names come from mails: only what follows the last slash or backslash of
+    a name is taken, without control signs; a name that is null or nothing
+    then, or ``.`` or ``..``, is an error, and nothing is written for it.
+
     ``dest`` is resolved by the session's default file system; tasks write
-    their own rows there through ``pyarrow.fs``, so the work splits over the
-    files and a retried task just rewrites the same files. Returns one
-    status row per file (lazy: run an action over all of it to deliver)."""
+    their own rows there through ``pyarrow.fs`` (local files, ``hdfs``,
+    ``s3`` also as ``s3a`` and ``s3n``, ``gs``, ``abfs``; others are an
+    error), so the work splits over the files and a retried task just
+    rewrites the same files. Returns one status row per file (lazy: run an
+    action over all of it to deliver)."""
     import pandas as pd
 
     fs, path, _ = _fs(files.sparkSession, dest)
     base = fs.makeQualified(path).toString().rstrip("/")
     base = "file://" + base[5:] if base.startswith("file:/") and not base.startswith("file:///") else base
-    files = unique_names(files, name_col)
+    base = re.sub(r"^s3[an]://", "s3://", base)
+    plain = F.regexp_replace(F.regexp_extract(F.col(name_col), r"([^/\\\\]*)$", 1), r"[\x00-\x1f\x7f]", "")
+    files = unique_names(files.withColumn(name_col, F.when(~plain.isin("", ".", ".."), plain)), name_col)
 
     def run(batches):
         from pyarrow import fs as pafs
@@ -312,6 +364,9 @@ def write_blobs(files: DataFrame, dest: str, name_col: str = "file_name", conten
         for pdf in batches:
             out = []
             for name, data in zip(pdf[name_col].tolist(), pdf[content_col].tolist()):
+                if name is None or name != name:
+                    out.append((None, None, None, "ValueError: a file without a usable name"))
+                    continue
                 path = f"{root}/{name}"
                 try:
                     with filesystem.open_output_stream(path) as fh:

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postroom.session import work_path
+
 MESSAGE_SCHEMA = T.StructType(
     [
         T.StructField("message_id", T.StringType()),
@@ -55,46 +57,60 @@ def scan_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     return reader.parquet(path) if fmt == "parquet" else reader.json(path)
 
 
-def payload_depth(messages: DataFrame, payload: str = "payload", least: int = 4) -> int:
-    """A depth that no part of any message exceeds: doubled while some
-    payload still has parts below it (one narrow scan each time)."""
-    depth = least
-    while not messages.where(F.get_json_object(payload, "$" + ".parts[*]" * (depth + 2)).isNotNull()).isEmpty():
-        depth *= 2
-    return depth
+#: Levels that one narrow pass unrolls: the first, for all messages, and the
+#: next ones, for those that still have parts below.
+FIRST_LEVELS, NEXT_LEVELS = 4, 12
+
+
+def _levels(trees: DataFrame, levels: int) -> DataFrame:
+    """The parts of the first ``levels`` levels below rows ``message_id,
+    path, parts`` (children as JSON text), in one narrow pass: each level is
+    a higher-order ``transform`` over the one before, kept as a projected
+    column of its own so the optimizer does not parse it again. ``below`` is
+    the JSON of the children of the last level's parts."""
+    children = lambda text: F.coalesce(F.from_json(text, PARTS), F.array())
+    df = trees.select("message_id", F.transform(children(F.col("parts")), lambda p, i: F.struct(F.array_append("path", i).alias("path"), p.alias("part"))).alias("_l0"))
+    for d in range(1, levels):
+        below = lambda x: F.transform(children(x["part"]["parts"]), lambda c, j: F.struct(F.array_append(x["path"], j).alias("path"), c.alias("part")))
+        df = df.withColumn(f"_l{d}", F.flatten(F.transform(F.col(f"_l{d - 1}"), below)))
+
+    def tagged(d: int) -> Column:
+        return F.transform(f"_l{d}", lambda x: F.struct(x["path"].alias("path"), x["part"].alias("part"), F.lit(d == levels - 1).alias("last")))
+
+    return df.select("message_id", F.inline(F.concat(*[tagged(d) for d in range(levels)])))
 
 
 def flatten_parts(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """MIME tree, however deep, to one row per part in level order.
-
-    One narrow pass: each level is a higher-order ``transform`` over the
-    previous level's JSON children (kept as separate projected columns so
-    the optimizer does not re-parse), then one ``inline``. ``depth`` 0 are
-    the top-level parts, ``path`` the child indexes from the root; the
-    order key ``(depth, path)`` is the reference's level order. The number
-    of levels is taken from the messages, so no part is left out.
-    """
-    max_depth = payload_depth(messages, payload)
-    lvl = F.transform(
-        F.coalesce(F.from_json(F.get_json_object(F.col(payload), "$.parts"), PARTS), F.array()),
-        lambda p, i: F.struct(F.array(i).alias("path"), p.alias("part")),
-    )
-    df = messages.select("message_id", lvl.alias("_l0"))
-    for d in range(1, max_depth + 1):
-        prev = F.col(f"_l{d - 1}")
-        nxt = F.flatten(
-            F.transform(
-                prev,
-                lambda x: F.transform(
-                    F.coalesce(F.from_json(x["part"]["parts"], PARTS), F.array()),
-                    lambda c, j: F.struct(F.array_append(x["path"], j).alias("path"), c.alias("part")),
-                ),
-            )
-        )
-        df = df.withColumn(f"_l{d}", nxt)
-    levels = [F.col(f"_l{d}") for d in range(max_depth + 1)]
-    out = df.select("message_id", F.inline(F.concat(*levels)))
-    return out.select(
+    ``depth`` 0 are the top-level parts, ``path`` the child indexes from the
+    root; the order key ``(depth, path)`` is the reference's level order.
+
+    A few levels are unrolled for all messages in one narrow pass. Only the
+    subtrees that go deeper are written to the shared work folder, and taken
+    from there some levels at a time until none is left: a deep mail costs
+    its own levels, and the plan doesn't grow with it."""
+    spark = messages.sparkSession
+    trees = messages.select("message_id", F.array().cast("array<int>").alias("path"), F.get_json_object(F.col(payload), "$.parts").alias("parts"))
+    found = _levels(trees, FIRST_LEVELS)
+    left, stage, steps = _left(found), work_path(spark, "deep-mails"), []
+    left.write.parquet(stage)
+    left = spark.read.schema(left.schema).parquet(stage)
+    while not left.isEmpty():
+        steps.append(work_path(spark, "deep-parts"))
+        deeper = _levels(left, NEXT_LEVELS)
+        deeper.write.parquet(steps[-1])
+        left = _left(spark.read.schema(deeper.schema).parquet(steps[-1]))
+    return _described(found.unionByName(spark.read.schema(found.schema).parquet(*steps)) if steps else found)
+
+
+def _left(found: DataFrame) -> DataFrame:
+    """The subtrees below the last level that was unrolled."""
+    below = F.col("part.parts")
+    return found.where("last").where(below.isNotNull() & (F.trim(below) != "[]")).select("message_id", "path", below.alias("parts"))
+
+
+def _described(found: DataFrame) -> DataFrame:
+    return found.select(
         "message_id",
         (F.size("path") - 1).alias("depth"),
         "path",

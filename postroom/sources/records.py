@@ -12,24 +12,23 @@ PERMISSIVE mode reads every field as text, with ``columnNameOfCorruptRecord``
 marking rows whose field count is wrong; only those are re-read with
 ``from_csv`` and one spare column to tell long rows from short ones. Types
 come from ``try_cast`` in the same pass.
-``allow_quoted_newlines`` turns on ``multiLine``, which reads each file in
-one task.
-
-More than one leading row has no reader option: the files are read as
-lines, splittable, and the first lines of each file's first block are
-dropped (``_lines_after``); ``from_csv`` reads the rest. Only with
-``allow_quoted_newlines`` as well is each file read whole by Python's
-``csv``, since then a row is not a line.
+
+With ``allow_quoted_newlines`` a row is not a line, and more than one leading
+row has no reader option: the files are cut into records first, splittable
+all the same (``sources.blocks``; ``_lines_after`` without quoted line ends),
+and ``from_csv`` reads the records. The same goes for JSON arrays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postroom.session import work_path
+from postroom.sources.blocks import PATH, _pieces, json_objects, quoted_records
+
 EXTRA = "_extra"
-PATH = "_path"
 
 
 class LoadError(Exception):
@@ -119,33 +118,37 @@ def read_delimited(
             df = df.withColumn(path_col, F.col("_metadata.file_path"))
         return (df, None) if on_error == "split" else df
 
-    if skip > 1 and allow_quoted_newlines:
-        strings = _read_skipping(spark, path, schema, skip, sep, quote_character or '"')
-    else:
-        # Every field as text: exactly the declared columns plus the
-        # corrupt-record column, which Spark fills only when a row has the
-        # wrong number of fields. Only those rows are re-read with one more
-        # column to tell long from short. One scan; types by ``try_cast``.
-        # CSV column pruning stays off for this read: with it, a row's
-        # length is judged against only the columns a plan needs, so the
-        # split would depend on the projection.
-        if null_marker is not None:
-            opts["nullValue"] = null_marker
-        fields = T.StructType(_string_schema(schema, False).fields + [T.StructField(CORRUPT, T.StringType())])
-        if skip > 1:
-            row = F.from_csv("value", fields.simpleString(), opts | {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-            raw = _lines_after(spark, path, skip, encoding).where("value <> ''").select(PATH, row.alias("r")).select(PATH, "r.*")
+    # Every field as text: exactly the declared columns plus the
+    # corrupt-record column, which Spark fills only when a row has the
+    # wrong number of fields. Only those rows are re-read with one more
+    # column to tell long from short. One scan; types by ``try_cast``.
+    # CSV column pruning stays off for this read: with it, a row's
+    # length is judged against only the columns a plan needs, so the
+    # split would depend on the projection.
+    opts.pop("multiLine", None)
+    if null_marker is not None:
+        opts["nullValue"] = null_marker
+    fields = T.StructType(_string_schema(schema, False).fields + [T.StructField(CORRUPT, T.StringType())])
+    if allow_quoted_newlines or skip > 1:
+        if allow_quoted_newlines:
+            quote = quote_character or '"'
+            opts |= {"quote": quote, "escape": quote}
+            lines = quoted_records(spark, path, sep, quote, skip, encoding)
         else:
-            raw = (
-                spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").schema(fields).csv(path)
-                .withColumn(PATH, F.col("_metadata.file_path"))
-            )
-        csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "escape", "nullValue")}
-        wide = F.from_csv(F.col(CORRUPT), _string_schema(schema, True).simpleString(), csv_opts)
-        shape = F.when(F.col(CORRUPT).isNull(), F.lit(None).cast("string")).when(wide[EXTRA].isNotNull(), F.lit("long")).otherwise(F.lit("short"))
-        line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n in schema.names]))
-        strings = raw.select(PATH, *schema.names, shape.alias("_shape"), line.alias("_line"))
+            lines = _lines_after(spark, path, skip, encoding).where("value <> ''")
+        row = F.from_csv("value", fields.simpleString(), {k: v for k, v in opts.items() if k != "encoding"} | {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
+        raw = lines.select(PATH, row.alias("r")).select(PATH, "r.*")
+    else:
+        raw = (
+            spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false").schema(fields).csv(path)
+            .withColumn(PATH, F.col("_metadata.file_path"))
+        )
+    csv_opts = {k: v for k, v in opts.items() if k in ("sep", "quote", "escape", "nullValue")}
+    wide = F.from_csv(F.col(CORRUPT), _string_schema(schema, True).simpleString(), csv_opts)
+    shape = F.when(F.col(CORRUPT).isNull(), F.lit(None).cast("string")).when(wide[EXTRA].isNotNull(), F.lit("long")).otherwise(F.lit("short"))
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n in schema.names]))
+    strings = raw.select(PATH, *schema.names, shape.alias("_shape"), line.alias("_line"))
     values = F.struct(*[_apply_null_marker(F.col(f.name), null_marker).alias(f.name) for f in schema.fields])
     tagged = strings.withColumn("_v", values)
     tagged = tagged.withColumn("_reason", _classify(F.col("_shape"), F.col("_v"), schema, ignore_unknown_values, allow_jagged_rows))
@@ -169,55 +172,41 @@ def _finish(good, bad, on_error):
 
 def _lines_after(spark: SparkSession, path, skip: int, encoding: str = "UTF-8") -> DataFrame:
     """``_path, value``: the lines of the files but each one's first
-    ``skip``. Row ids of a file's block are consecutive, so the smallest one
-    of its first block (one row a file) tells its leading rows."""
-    lines = spark.read.option("encoding", encoding).text(path).select(
-        "value", F.col("_metadata.file_path").alias(PATH), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
-    )
-    first = lines.where("_block = 0").groupBy(PATH).agg(F.min("_row").alias("_first"))
-    return lines.join(first, PATH).where((F.col("_block") > 0) | (F.col("_row") >= F.col("_first") + skip)).select(PATH, "value")
-
-
-def _read_skipping(spark, path, schema, skip, sep, quote) -> DataFrame:
-    """Whole files, ``skip`` leading rows dropped, fields as text."""
-    import csv
-    import io
-
-    import pandas as pd
-
-    names = [f.name for f in schema.fields] + ["_shape", "_line", PATH]
-    out_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    n = len(schema.fields)
-
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for text, source in zip(pdf["value"].tolist(), pdf[PATH].tolist()):
-                reader = csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar=quote)
-                for i, rec in enumerate(reader):
-                    if i < skip or not rec:
-                        continue
-                    shape = "long" if len(rec) > n else ("short" if len(rec) < n else None)
-                    padded = (list(rec) + [None] * n)[:n]
-                    rows.append(padded + [shape, sep.join(rec), source])
-            yield pd.DataFrame(rows, columns=names)
-
-    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias(PATH)).mapInPandas(run, out_schema)
-
-
-def read_json_records(spark: SparkSession, path, schema: T.StructType | None = None, array: bool | None = None) -> DataFrame:
-    """JSON records. A file holding one JSON array is read with
-    ``multiLine`` (each element a row); ``.ndjson`` / JSON lines as is."""
+    ``skip``. Row ids of a file's block are consecutive; the lines of the
+    blocks before, counted, tell which line of its file a row is. Only blocks
+    that may hold leading rows, few or one a file, meet the lines."""
+    lines = _pieces(spark, path, "\n", encoding).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
+    blocks = lines.groupBy(PATH, "_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(PATH).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    leading = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < skip).drop("_n")
+    number = F.col("_before") + F.col("_row") - F.col("_first")
+    return lines.join(leading, [PATH, "_block"], "left").where(number.isNull() | (number >= skip)).select(PATH, "value")
+
+
+def read_json_records(spark: SparkSession, path, schema: T.StructType | None = None, array: bool | None = None, path_col: str | None = None) -> DataFrame:
+    """JSON records. Files that hold one JSON array (each element a row)
+    are cut into their objects, whatever splits they are read in;
+    ``.ndjson`` / JSON lines are read as is. Without a schema the objects are
+    written as lines first, for Spark to infer one from all of them."""
     if array is None:
         array = not str(path).endswith((".ndjson", ".jsonl"))
-    reader = spark.read.option("multiLine", "true" if array else "false")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(path)
+    if not array:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.json(path)
+        return df.withColumn(path_col, F.col("_metadata.file_path")) if path_col else df
+    objects = json_objects(spark, path)
+    carried = [F.col(PATH).alias(path_col)] if path_col else []
+    if schema is None:
+        stage = work_path(spark, "json-lines")
+        objects.select("value").write.text(stage)
+        if not path_col:
+            return spark.read.json(stage)
+        schema = spark.read.json(stage).schema
+    return objects.select(F.from_json("value", schema).alias("r"), *carried).select("r.*", *([path_col] if path_col else []))
 
 
 def read_records(spark: SparkSession, path, fmt: str = "csv", schema: T.StructType | None = None, **opts):
     """``json`` reads JSON records, anything else delimited text."""
     if str(fmt).lower() == "json":
-        return read_json_records(spark, path, schema, opts.get("array"))
+        return read_json_records(spark, path, schema, opts.get("array"), opts.get("path_col"))
     return read_delimited(spark, path, schema, **opts)

@@ -92,10 +92,11 @@ def test_route_and_attachments(spark):
          ("1", 0, "a.csv", "text/csv"), ("1", 0, "b.csv", "text/plain"), ("1", 0, "xNPO_Spending_Y", "a")],
         "message_id string, depth int, filename string, mime_type string",
     )
-    hits = R.match_attachments(parts.join(routed.select("message_id", "job"), "message_id"), jobs)
+    hits = R.attachment_jobs(parts.join(routed.select("message_id", "job"), "message_id"), jobs)
     assert sorted((r.job, r.filename) for r in hits.collect()) == [
         ("lab", "a.csv"), ("po", "NPO_Spending_2024.xlsx"), ("po", "xNPO_Spending_Y")]
-    assert R.filename_regex("*Scheduled.csv") == ".*Scheduled[.]csv"
+    assert R.filename_regex("*Scheduled.csv") == r".*Scheduled\.csv"
+    assert R.filename_regex("^a+b*.csv$|c[1]*") == r"^a\+b.*\.csv$|c\[1\].*"
     assert R.filename_regex("a.*b") == "a.*b"
 
 

@@ -122,3 +122,70 @@ def test_partition_fallback_and_suffix(spark, tmp_dir):
     dest = os.path.join(tmp_dir, "u")
     assert D.fan_out(df.select("k"), {"protocol": "table", "dir": dest + "$20240102"}).first().status == "ok"
     assert [r.ds for r in TB.read_table(spark, dest).collect()] == ["20240102"] * 2
+
+
+def test_snapshots_can_be_read_and_removed(spark, tmp_dir):
+    from postroom.sinks import snapshots as SN
+
+    dest = os.path.join(tmp_dir, "s")
+    days = [(i, "a", f"2024-01-{1 + i % 9:02d}") for i in range(90)]
+    assert TB.load_table(df_days(spark, days), dest, "replace", partition="d", file_rows=20) == (1, 90)
+    assert TB.load_table(df_days(spark, [(500, "b", "2024-01-03"), (501, "c", None)]), dest, "replace", partition="d") == (2, 2)
+    assert TB.load_table(df_days(spark, [(502, "d", None)]), dest, "replace", partition="d").rows == 1
+    old = {r.k for r in TB.read_table(spark, dest, version=1).collect()}
+    new = {(r.k, r.ds) for r in TB.read_table(spark, dest).collect()}
+    assert old == set(range(90))
+    assert new == {(i, f"202401{1 + i % 9:02d}") for i in range(90) if i % 9 != 2} | {(500, "20240103"), (502, None)}
+    # files that hold no such day go on; only some are read for a range of days
+    first, last = (SN.manifest(spark, dest, v) for v in (1, 3))
+    assert first.join(last, "path", "left_semi").count() >= 2
+    ranges = {"ds": ("20240109", "20240109")}
+    assert SN.overlapping(last, ranges).count() < last.count()
+    assert {r.k for r in TB.read_table(spark, dest, ranges=ranges).where("ds = '20240109'").collect()} == {i for i in range(90) if i % 9 == 8}
+    assert SN.expire(spark, dest) > 0 and SN.versions(spark, dest) == [3]
+    assert {(r.k, r.ds) for r in TB.read_table(spark, dest).collect()} == new
+
+
+def test_a_failed_load_leaves_nothing_visible(spark, tmp_dir):
+    dest = os.path.join(tmp_dir, "s")
+    TB.load_table(spark.createDataFrame([(1, "a")], "k long, v string"), dest)
+    bad = spark.createDataFrame([(2, "x")], "k long, v string").withColumn("v", F.raise_error(F.col("v")).cast("string"))
+    with pytest.raises(Exception):
+        TB.load_table(bad, dest, "replace")
+    with pytest.raises(ValueError, match="replase"):
+        TB.load_table(bad, dest, "replase")
+    assert [tuple(r) for r in TB.read_table(spark, dest).collect()] == [(1, "a")]
+    other = os.path.join(tmp_dir, "plain")
+    spark.range(3).write.parquet(other)
+    assert TB.read_table(spark, other).count() == 3
+    with pytest.raises(ValueError, match="no snapshot"):
+        TB.load_table(spark.range(1).toDF("id"), other)
+
+
+def test_merge_with_null_keys_and_untold_files(spark, tmp_dir):
+    dest = os.path.join(tmp_dir, "m")
+    rows = spark.createDataFrame([(None, "a"), (1, "b")], "k long, v string")
+    TB.load_table(rows, dest)  # told by no column: the merge must read it
+    for _ in range(2):
+        assert TB.load_table(rows.withColumn("v", F.upper("v")), dest, "merge", keys=["k"]).rows == 2
+    assert sorted(map(tuple, TB.read_table(spark, dest).collect()), key=str) == [(1, "B"), (None, "A")]
+
+
+def test_names_from_mails_stay_in_their_folder(spark, tmp_dir):
+    dest = os.path.join(tmp_dir, "in")
+    files = spark.createDataFrame([("1", "../esc.txt", b"a"), ("2", "sub/dir.txt", b"b"), ("3", None, b"c"), ("4", "x\\..", b"d"), ("5", "a\x00b", b"e")], "message_id string, file_name string, content binary")
+    status = sorted(((r.file_name, r.size, r.error is None) for r in TB.write_blobs(files, dest).collect()), key=str)
+    assert status == [("ab", 1, True), ("dir.txt", 1, True), ("esc.txt", 1, True), (None, None, False), (None, None, False)]
+    assert sorted(os.listdir(tmp_dir)) == ["in"] and sorted(p for p in os.listdir(dest) if not p.startswith(".")) == ["ab", "dir.txt", "esc.txt"]
+
+
+def test_quotes_nulls_and_empty_values_come_back(spark, tmp_dir):
+    from postroom.operators.schema import load_schema
+    from postroom.sources.records import read_delimited
+
+    dest = os.path.join(tmp_dir, "q")
+    rows = [(1, 'a"b'), (2, "t\tb\\"), (3, ""), (4, None), (5, '"'), (6, "l\nm")]
+    TB.write_delimited(spark.createDataFrame(rows, "k long, v string"), dest, null_value="\\N")
+    schema = load_schema([{"name": "k", "type": "INTEGER"}, {"name": "v", "type": "STRING"}])[0]
+    got = read_delimited(spark, dest, schema, field_delimiter="tab", skip_leading_rows=1, quote_character='"', allow_quoted_newlines=True, null_marker="\\N", on_error="fail")
+    assert sorted(map(tuple, got.collect())) == rows
