@@ -45,7 +45,7 @@ from postroom.llm.simhash import _union, components
 
 WORDS, PERCENT = 5, 80
 #: Smallest hashes that are listed, and kept for union sketches.
-KEYS, SKETCH = 32, 64
+KEYS, SKETCH = 32, 32
 #: The chance that a sketch hides a pair that is just similar enough.
 LOSS = 1e-9
 #: Classes in a list up to which all its pairs are tried at once; rows of a part of a longer list.
