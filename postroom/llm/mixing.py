@@ -39,8 +39,8 @@ BUCKETS = 4096
 TEMPER = 0.7
 #: Labelled rows that the temperature is fitted on at most; one in so many.
 FIT_ROWS, HELD_OUT = 2000, 5
-#: The residual, as a part of all targets, that is as good as none; steps that must lower it by a
-#: hundredth, or it is the least that nonnegative rates reach.
+#: The residual, as a part of all targets, that is as good as none; steps that must halve it, or it
+#: is about the least that nonnegative rates reach.
 CLOSE, PATIENCE = 1e-6, 8
 #: Trigrams that a text is given beside its own, of no domain.
 PRIOR_TRIGRAMS = 50
@@ -198,7 +198,7 @@ def fit_rates(members: DataFrame, mixture: Mixture, weights: dict[str, float] |
     off = lambda reached: float(np.abs(targets - reached).max() / targets.sum())
     reached, errors = natural, [off(natural)]
     # until the targets are met, or rates that may not fall below zero can't come closer
-    while errors[-1] > CLOSE and (len(errors) <= PATIENCE or errors[-1] < 0.99 * errors[-1 - PATIENCE]):
+    while errors[-1] > CLOSE and (len(errors) <= PATIENCE or errors[-1] < 0.5 * errors[-1 - PATIENCE]):
         mixture.steps.append(inverse @ (targets - reached))
         reached = _sums(members, mixture)
         errors.append(off(reached))
