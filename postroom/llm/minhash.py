@@ -2,8 +2,8 @@
 
 Each document keeps the ``SKETCH`` smallest hashes of its shingle set. Of the bottom k of a union,
 each value lies in both sets with the sets' Jaccard similarity, so a pair at the limit shares fewer
-than ``least_common(k)`` of them with a chance below ``LOSS``. Equal sets are one class; the rest
-works on classes.
+than ``least_common(k)`` of them with a chance below ``LOSS``. Equal sets are one class, which gets a
+number; the rest works on classes.
 
 Inverted lists: of its ``KEYS`` smallest values a class is listed under its rarest ones only, so many
 that two sets with ``least_common`` values in common still meet in a list (prefix filter). Within a
@@ -45,7 +45,7 @@ from postroom.llm.simhash import _union, components
 
 WORDS, PERCENT = 5, 80
 #: Smallest hashes that are listed, and kept for union sketches.
-KEYS, SKETCH = 32, 32
+KEYS, SKETCH = 28, 32
 #: The chance that a sketch hides a pair that is just similar enough.
 LOSS = 1e-9
 #: Classes in a list up to which all its pairs are tried at once; rows of a part of a longer list.
@@ -56,8 +56,9 @@ PART_PAIRS, BLOCK_PAIRS = 512, 50_000
 HELD_ROWS, PART_VALUES, TILE_ROWS, TILE_VALUES = 20_000, 1_000_000, 512, 4096
 #: Words of a sketch's bits.
 BIT_WORDS = 8
-#: The value that fills the place of values a small set doesn't have.
-NONE = np.uint32(0xFFFFFFFF)
+#: Bytes of a hash that a sketch holds, and the value that fills the place of those a small set doesn't have.
+VALUE_BYTES = 3
+NONE = np.uint32(0xFFFFFF)
 LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 
 
@@ -107,16 +108,23 @@ def set_id(held: np.ndarray) -> bytes:
 
 
 def signature(held: np.ndarray) -> bytes:
-    """The ``SKETCH`` smallest hashes, their upper halves: those keep the order, and halves that are
+    """The ``SKETCH`` smallest hashes, their upper bytes: those keep the order, and values that are
     equal by chance can only make a pair look more similar."""
     out = np.full(SKETCH, NONE)
-    low = np.minimum(held[:SKETCH] >> np.uint64(32), np.uint64(0xFFFFFFFE))
+    low = np.minimum(held[:SKETCH] >> np.uint64(64 - 8 * VALUE_BYTES), np.uint64(NONE - 1))
     out[: len(low)] = low
-    return out.tobytes()
+    return out.view(np.uint8).reshape(SKETCH, 4)[:, :VALUE_BYTES].tobytes()
+
+
+def values(signatures: list[bytes]) -> np.ndarray:
+    """The signatures' values, a row each."""
+    wide = np.zeros((len(signatures), SKETCH, 4), np.uint8)
+    wide[:, :, :VALUE_BYTES] = np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, SKETCH, VALUE_BYTES)
+    return wide.reshape(-1, 4 * SKETCH).view(np.uint32)
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, n, cid, keys, sig``: set size, set id (null for an empty set), smallest hashes."""
+    """``doc_id, n, sid, keys, sig``: set size, set id (null for an empty set), smallest hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,29 +132,29 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 sets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "cid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()),
+                    "sid": pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()),
                     "keys": pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64())), "sig": pa.array([signature(s) for s in sets], pa.binary()),
                 })
 
-    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, n long, cid binary, keys array<long>, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, n long, sid binary, keys array<long>, sig binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``cid, held``: the sets of the classes ``wanted`` (cid, least), from the texts anew."""
+    """``cid, held``: the sets of the classes ``wanted`` (cid, sid, least), from the texts anew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for (texts,) in common.chunks(batch, ["text"]):
                 sets = shingle_sets(texts, words)
-                yield pa.RecordBatch.from_pydict({"cid": pa.array([set_id(s) for s in sets], pa.binary()), "held": pa.array([s.tobytes() for s in sets], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"sid": pa.array([set_id(s) for s in sets], pa.binary()), "held": pa.array([s.tobytes() for s in sets], pa.binary())})
 
     # an id may be shared by texts of which only some are wanted: the set id decides
     ids = common.small(wanted.select(F.col("least").alias("doc_id")).where("doc_id is not null").distinct())
     rows = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     if not wanted.where("least is null").isEmpty():
         rows = rows.unionByName(docs.select("doc_id", "text").where("doc_id is null"))
-    found = rows.select("text").mapInArrow(common.lean(run), "cid binary, held binary")
-    return found.join(common.small(wanted.select("cid")), "cid", "left_semi").dropDuplicates(["cid"])
+    found = rows.select("text").mapInArrow(common.lean(run), "sid binary, held binary")
+    return found.join(common.small(wanted.select("sid", "cid")), "sid").select("cid", "held").dropDuplicates(["cid"])
 
 
 def postings(classes: DataFrame, percent: int) -> DataFrame:
@@ -165,18 +173,13 @@ def postings(classes: DataFrame, percent: int) -> DataFrame:
 
 
 class Rows:
-    """Rows of lists as arrays: set ids, sizes, signatures, and whatever else they carry."""
+    """Rows of lists as arrays: class numbers, sizes, signatures, and whatever else they carry."""
 
     def __init__(self, batch: pa.Table):
         batch = batch.combine_chunks()
         self.count = batch.num_rows
-
-        def fixed(name: str, width: int) -> np.ndarray:
-            held = batch.column(name).to_pylist()
-            return np.frombuffer(b"".join(held), np.uint8).reshape(len(held), width)
-
-        self.cid = fixed("cid", 16)
-        self.sig = np.ascontiguousarray(fixed("sig", 4 * SKETCH)).view(np.uint32)
+        self.cid = batch.column("cid").to_numpy()
+        self.sig = values(batch.column("sig").to_pylist())
         self.n = batch.column("n").to_numpy()
         self.table = batch
         # the sketch's values as bits: two sketches share no more values than bits, but for those
@@ -191,7 +194,7 @@ class Rows:
         return self.table.column(name).to_numpy()
 
     def pairs(self, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({side: pa.array([x.tobytes() for x in self.cid[at]], pa.binary()) for side, at in (("a", i), ("b", j))})
+        return pa.RecordBatch.from_pydict({side: pa.array(self.cid[at], pa.int64()) for side, at in (("a", i), ("b", j))})
 
 
 def union_sketch(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,7 +287,7 @@ def candidates(listed: DataFrame, percent: int, short_rows: int = SHORT_ROWS, pa
     parts = F.ceil(F.col("df") / part_rows).cast("int")
     own = listed.withColumn("parts", parts).withColumn("p", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     dealt = own.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "cid", "df", "n", "sig",
+        "key", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "cid", "n", "sig",
     )
     key = ["key", "i", "j"]
 
@@ -325,7 +328,7 @@ def candidates(listed: DataFrame, percent: int, short_rows: int = SHORT_ROWS, pa
                         of[np.isin(of, of[near])] = of[k]
             yield made(rows, found_i, found_j, True)
 
-    found = dealt.repartition(*key).sortWithinPartitions(*key, "cid").mapInArrow(common.lean(run), "a binary, b binary, real boolean")
+    found = dealt.repartition(*key).sortWithinPartitions(*key, "cid").mapInArrow(common.lean(run), "a long, b long, real boolean")
     return found.groupBy("a", "b").agg(F.max("real").alias("real"))
 
 
@@ -333,14 +336,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets (cid, held) are similar enough."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_PAIRS).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
-    first = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("b"))
+    first = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
     a_set, b_set = sets.select(F.col("cid").alias("a"), "held"), sets.select(F.col("cid").alias("b"), "held")
     both = first.join(a_set, "a").select("a", "part", "b", "held").unionByName(dealt.join(b_set, "b").select("a", "part", "b", "held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.zeros(0, np.uint64)
         for batch in batches:
-            found: list[tuple[bytes, bytes]] = []
+            found: list[tuple[int, int]] = []
             for a, b, raw in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
                 held = np.frombuffer(raw, np.uint64)
                 if b is None:
@@ -349,10 +352,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 shared = len(np.intersect1d(mine, held, assume_unique=True))
                 if 100 * shared >= percent * (len(mine) + len(held) - shared):
                     found.append((a, b))
-            yield pa.RecordBatch.from_pydict({side: pa.array([p[k] for p in found], pa.binary()) for k, side in enumerate("ab")})
+            yield pa.RecordBatch.from_pydict({side: pa.array([p[k] for p in found], pa.int64()) for k, side in enumerate("ab")})
 
     # a class's own set comes before those of its partners
-    return both.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(common.lean(run), "a binary, b binary")
+    return both.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(common.lean(run), "a long, b long")
 
 
 def _shared(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
@@ -399,7 +402,7 @@ def cells(members: DataFrame, sets: DataFrame, percent: int, part_values: int =
     dealt = dealt.select(F.xxhash64("loose").alias("key"), "cell.i", "cell.j", "cid", "label", (F.col("label") == F.col("main")).alias("is_main")).join(sets, "cid")
     key = ["key", "i", "j"]
 
-    def connect(rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
+    def connect(rows: list[tuple]) -> tuple[list[int], list[int]]:
         """Rows of one cell: cid, label, is_main, set."""
         rows = sorted(rows, key=lambda r: (r[2], len(r[3]), r[0]))
         kind = pd.factorize(np.array([r[1] for r in rows], object))[0]
@@ -424,7 +427,7 @@ def cells(members: DataFrame, sets: DataFrame, percent: int, part_values: int =
 
         def close() -> pa.RecordBatch:
             a, b = connect(held) if held else ([], [])
-            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
         for batch in batches:
             for k, i, j, cid, name, is_main, raw in zip(*(batch.column(c).to_pylist() for c in (*key, "cid", "label", "is_main", "held"))):
@@ -434,18 +437,18 @@ def cells(members: DataFrame, sets: DataFrame, percent: int, part_values: int =
                 held.append((cid, name, is_main, np.frombuffer(raw, np.uint64)))
         yield close()
 
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(common.lean(run), "a binary, b binary")
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(common.lean(run), "a long, b long")
 
 
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS, part_values: int = PART_VALUES) -> DataFrame:
-    """``a, b``: pairs that connect exactly the classes (cid, least, n, keys, sig) that chains of
+    """``a, b``: pairs that connect exactly the classes (cid, sid, least, n, keys, sig) that chains of
     links connect."""
     listed = common.staged(postings(classes, percent), "postings")
     found = common.staged(candidates(listed.join(classes.select("cid", "n", "sig"), "cid"), percent, short_rows, part_rows), "candidates")
     pairs = found.where("real").select("a", "b")
     loose = named(components(found.select("a", "b")), "loose")
-    members = common.staged(loose.join(classes.select("cid", "n", "least"), "cid"), "loose-members")
-    sets = common.staged(full_sets(docs, members.select("cid", "least"), words), "sets")
+    members = common.staged(loose.join(classes.select("cid", "sid", "n", "least"), "cid"), "loose-members")
+    sets = common.staged(full_sets(docs, members.select("cid", "sid", "least"), words), "sets")
     sure = common.staged(confirmed(pairs, sets, percent), "links")
     # a component of two was confirmed or refuted by its one pair
     several = members.groupBy("loose").agg(F.count("*").alias("m")).where("m > 2").select("loose")
@@ -463,18 +466,19 @@ def named(linked: DataFrame, name: str) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, short_rows: int = SHORT_ROWS, part_rows: int = PART_ROWS, part_values: int = PART_VALUES) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``."""
     rows = common.staged(sketches(docs, words), "sketches")
-    grouped = rows.where("cid is not null").groupBy("cid").agg(
+    grouped = rows.where("sid is not null").groupBy("sid").agg(
         F.min("doc_id").alias("least"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys"), F.any_value("sig").alias("sig")
     )
-    classes = common.staged(grouped, "classes")
+    # numbers are those of the written table, whatever is computed again
+    classes = common.staged(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     linked = components(links(docs, classes, words, percent, short_rows, part_rows, part_values))
     # the smallest document of each component, over the few classes that are linked at all
     members = named(linked, "component").join(classes.select("cid", "least"), "cid")
     first = members.groupBy("component").agg(F.min("least").alias("first"))
     place = members.join(first, "component").select("cid", "first", F.lit(True).alias("linked"))
-    place = classes.select("cid", "least").join(place, "cid", "left").select("cid", F.when(F.col("linked"), F.col("first")).otherwise(F.col("least")).alias("component_id"))
-    full = rows.where("cid is not null").join(place, "cid").select("doc_id", "n", "component_id")
-    empty = rows.where("cid is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    place = classes.select("cid", "sid", "least").join(place, "cid", "left").select("sid", F.when(F.col("linked"), F.col("first")).otherwise(F.col("least")).alias("component_id"))
+    full = rows.where("sid is not null").join(place, "sid").select("doc_id", "n", "component_id")
+    empty = rows.where("sid is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 

@@ -98,7 +98,7 @@ def test_union_sketch_and_its_bound():
         x, y = np.unique(a), np.unique(b)
         low = np.union1d(x, y)[: M.SKETCH]
         want = np.isin(low, x) & np.isin(low, y)
-        sig = [np.frombuffer(M.signature(s), np.uint32)[None] for s in (x, y)]
+        sig = [M.values([M.signature(s)]) for s in (x, y)]
         assert M.union_sketch(*sig)[0][0] == want.sum()
         if max(len(x), len(y)) <= M.SKETCH:
             assert M.union_sketch(*sig)[1][0] == len(np.intersect1d(x, y))
