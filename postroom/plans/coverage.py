@@ -181,6 +181,39 @@ def inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({"o_orderkey": F.col("o_orderkey").cast("long"), "o_custkey": F.col("o_custkey").cast("long"), "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
 
 
+@query("""
+WITH o AS (SELECT *, o_orderkey = (SELECT max(o_orderkey) FROM orders) AS last FROM orders),
+p AS (SELECT *, o_orderkey % 2 = 1 AND NOT last AS other FROM o)
+SELECT o_orderkey AS key, CASE WHEN NOT other THEN o_custkey END AS cust, CASE WHEN other THEN o_orderstatus END AS extra, o_totalprice AS price,
+  CASE WHEN last THEN 0.5 ELSE CAST(o_orderkey % 7 AS DOUBLE) END AS mixed,
+  CASE WHEN last THEN date_trunc('day', o_orderdate) + INTERVAL 1 HOUR ELSE CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) END AS day,
+  CASE WHEN last THEN 'A1' ELSE CAST(o_custkey AS VARCHAR) END AS code,
+  'code:string key:bigint cust:bigint day:timestamp_ntz extra:string price:double mixed:double' AS types
+FROM p
+""")
+def inferred_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose headers differ; one row, in a file of its own, decides
+    three of the types."""
+    o = table(spark, sf_dir, "orders")
+    most = o.agg(F.max("o_orderkey").alias("most"))
+    o = o.join(F.broadcast(most), F.col("o_orderkey") == F.col("most"), "left").withColumn("last", F.col("most").isNotNull())
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    named = o.select(
+        "last", F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("extra"), F.col("o_totalprice").alias("price"),
+        F.when(F.col("last"), "0.5").otherwise((F.col("o_orderkey") % 7).cast("string")).alias("mixed"),
+        F.when(F.col("last"), F.concat(day, F.lit(" 01:00:00"))).otherwise(day).alias("day"),
+        F.when(F.col("last"), "A1").otherwise(F.col("o_custkey").cast("string")).alias("code"),
+    )
+    other = (F.col("key") % 2 == 1) & ~F.col("last")
+    dest = work_path(spark, "ragged")
+    few = ["key", "cust", "price", "mixed", "day", "code"]
+    TB.write_delimited(named.where(~other & ~F.col("last")).select(few), f"{dest}/a", sep=",")
+    TB.write_delimited(named.where(other).select("code", "day", "extra", "mixed", "price", "key"), f"{dest}/b", sep=",")
+    TB.write_delimited(named.where("last").select(few), f"{dest}/z", sep=",")
+    df = REC.read_records(spark, f"{dest}/*", "csv", None, skip_leading_rows=1, on_error="drop", detect=True)
+    return df.withColumn("types", F.lit(" ".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)))
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that are one JSON array each."""

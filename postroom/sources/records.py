@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from postroom.session import work_path
 from postroom.sources.blocks import PATH, _pieces, json_objects, quoted_records
+from postroom.sources.inferred import read_inferred
 
 EXTRA = "_extra"
 
@@ -90,8 +91,11 @@ def read_delimited(
     on_error: str = "split",
     encoding: str = "UTF-8",
     path_col: str | None = None,
+    detect: bool = False,
 ):
-    """S5 (S5a-S5g), E19. Without a schema the types are inferred.
+    """S5 (S5a-S5g), E19. Without a schema the types are inferred (E19) by
+    Spark's reader; with ``detect`` from all values, by the names in each
+    file's own first line (``read_inferred``).
 
     Returns ``(good, bad)`` for ``on_error='split'`` (bad rows carry
     ``_raw`` and ``_reason``), the good rows for ``'drop'``, for ``'fail'``
@@ -113,6 +117,11 @@ def read_delimited(
             opts["nullValue"] = null_marker
         if skip > 1:
             raise ValueError("more than one leading row needs a schema")
+        if detect:
+            if skip != 1 or allow_quoted_newlines:
+                raise ValueError("detection needs one leading row, and rows that are lines")
+            df = read_inferred(spark, path, sep, quote_character or '"', null_marker, encoding, path_col)
+            return (df, None) if on_error == "split" else df
         df = spark.read.options(**opts).option("header", skip >= 1).option("inferSchema", "true").csv(path)
         if path_col:
             df = df.withColumn(path_col, F.col("_metadata.file_path"))
