@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postroom.functions import timewin as W
 from postroom.operators import checks as V
 from postroom.operators import html_select as H
+from postroom.operators import paths as P
 from postroom.operators import routing as R
 from postroom.operators import schema as S
 from postroom.operators import transforms as TR
@@ -18,6 +19,7 @@ from postroom.plans import standins as SI
 from postroom.plans.oracle import MESSAGES, ORDERS_ALL, _secure
 from postroom.plans.standins import table
 from postroom.session import apply_defaults, work_path
+from postroom.streaming import incremental as INC
 from postroom.sinks import deliver as D
 from postroom.sinks import snapshots as SN
 from postroom.sinks import tables as TB
@@ -697,3 +699,120 @@ def nested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     fine = F.struct(F.lit("store").alias("protocol"), F.lit("b").alias("bucket"), F.lit(None).cast("string").alias("table_id"), F.lit(None).cast("int").alias("skip"), F.lit(None).cast("string").alias("other"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", dest.alias("dest"), F.array(fine, dest).alias("dests"))
     return V.check_records(cust, NESTED_RULES).select("c_custkey", F.array_join("violations", ";").alias("violations"))
+
+
+# -- late mail -----------------------------------------------------------------
+
+LATENESS_DAYS = 10
+
+
+@query(f"""
+WITH e AS (SELECT event_id, ts, event_id % 10 = 0 AS held_back, ts - min(ts) OVER () AS t, max(ts) OVER () - min(ts) OVER () AS span FROM events),
+r AS (
+  SELECT 1 AS run, * FROM e WHERE NOT held_back AND t * 2 < span
+  UNION ALL SELECT 2, * FROM e WHERE NOT held_back AND t * 4 >= span AND t * 4 < span * 3
+  UNION ALL SELECT 3, * FROM e WHERE held_back OR t * 4 >= span),
+mark AS (SELECT run, max(max(epoch_ms(ts))) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {LATENESS_DAYS} * 86400000 AS ms FROM r GROUP BY run),
+j AS (SELECT r.*, coalesce(epoch_us(ts) <= ms * 1000, false) AS late FROM r JOIN mark USING (run)),
+n AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY run) AS seen FROM j WHERE NOT late)
+SELECT CAST(event_id AS VARCHAR) AS message_id, run, (SELECT count(*) FROM n WHERE seen > 1) AS n_repeated, (SELECT count(*) FROM j WHERE late) AS n_late
+FROM n WHERE seen = 1
+""")
+def late_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of overlapping windows arrive one after the other, the
+    last with mail held back; each run goes on from the checkpoint. Every
+    message is taken once, those later than the watermark are counted."""
+    ev = table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(at), F.max(at)).first()
+    timed = ev.withColumn("t", at - F.lit(lo)).withColumn("span", F.lit(hi) - F.lit(lo))
+    held_back = F.col("event_id") % 10 == 0
+    exports = [
+        ~held_back & (F.col("t") * 2 < F.col("span")),
+        ~held_back & (F.col("t") * 4 >= F.col("span")) & (F.col("t") * 4 < F.col("span") * 3),
+        held_back | (F.col("t") * 4 >= F.col("span")),
+    ]
+    base = work_path(spark, "late-mail")
+    src, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    msgs = SI.events_as_messages(timed.where("false").select(ev.columns)).select("message_id", "internal_ts")
+    done = []
+    for run, export in enumerate(exports, 1):
+        SI.events_as_messages(timed.where(export).select(ev.columns)).select("message_id", "internal_ts").write.mode("append").parquet(src)
+        mark = lambda df, run=run: df.select("message_id", F.lit(run).alias("run"))
+        done.append(INC.load_once(spark, src, msgs.schema, ckpt, sink, ["message_id"], "internal_ts", f"{LATENESS_DAYS} days", mark))
+    total = lambda f: F.lit(sum(getattr(d, f) for d in done)).cast("long")
+    return INC.read_sink(spark, sink).select("message_id", "run", total("repeated").alias("n_repeated"), total("late").alias("n_late"))
+
+
+# -- paths of any depth --------------------------------------------------------
+
+#: Documents' bodies by doc_id % 3: (tag, children...); the text of a is the id.
+TREES = (
+    ("body", ("table", ("tr", ("td", ("a",), ("b", ("a",))), ("td", ("a",)))), ("a",), ("div", ("p", ("b",)), ("span", ("b",)))),
+    ("body", ("div", ("div", ("span", ("a",), ("a",), ("b",), ("a",)), ("p", ("i", ("b",)), ("b",))), ("a",), ("a",))),
+    ("body", ("span", ("table", ("tr", ("td", ("table", ("tr", ("td", ("a",))))))), ("a",)), ("p", ("b",), ("b",)), ("div", ("p",), ("p", ("b",), ("b",)))),
+)
+
+
+def _markup(tree: tuple) -> list[str]:
+    """A tree's HTML, cut where the text of an a stands."""
+    tag, *children = tree
+    if tag == "a":
+        return ['<a href="/x">', "</a>"]
+    parts = [f"<{tag}>"]
+    for child in children:
+        head, *rest = _markup(child)
+        parts[-1] += head
+        parts += rest
+    parts[-1] += f"</{tag}>"
+    return parts
+
+
+def _intervals(tree: tuple, kind: int, rows: list, parent: int = -1, depth: int = 0) -> int:
+    """Appends (kind, ord, last, depth, parent, tag) of every element; last is
+    the greatest ord below it."""
+    at = len([r for r in rows if r[0] == kind])
+    rows.append([kind, at, at, depth, parent, tree[0]])
+    row = rows[-1]
+    for child in tree[1:]:
+        row[2] = _intervals(child, kind, rows, at, depth + 1)
+    return row[2]
+
+
+def _interval_sql() -> str:
+    rows: list = []
+    for kind, tree in enumerate(TREES):
+        _intervals(tree, kind, rows)
+    return ", ".join(f"({k}, {o}, {e}, {d}, {p}, '{t}')" for k, o, e, d, p, t in rows)
+
+
+PATHS = ("//table//a", "//div/p/b", "/body/*//a[2]", "//tr//b/a", "//table//table//a", "//span/a[contains(text(),'7')]")
+
+
+@query(f"""
+WITH e(kind, ord, last, depth, parent, tag) AS (VALUES {_interval_sql()}),
+x AS (SELECT *, row_number() OVER (PARTITION BY kind, parent, tag ORDER BY ord) AS place FROM e),
+m AS (
+  SELECT DISTINCT '//table//a' AS path, a.kind, a.ord FROM x t JOIN x a ON t.kind = a.kind AND a.ord > t.ord AND a.ord <= t.last WHERE t.tag = 'table' AND a.tag = 'a'
+  UNION ALL SELECT DISTINCT '//div/p/b', b.kind, b.ord FROM x d JOIN x p ON d.kind = p.kind AND p.parent = d.ord JOIN x b ON p.kind = b.kind AND b.parent = p.ord WHERE d.tag = 'div' AND p.tag = 'p' AND b.tag = 'b'
+  UNION ALL SELECT DISTINCT '/body/*//a[2]', a.kind, a.ord FROM x r JOIN x c ON r.kind = c.kind AND c.parent = r.ord JOIN x a ON c.kind = a.kind AND a.ord > c.ord AND a.ord <= c.last WHERE r.depth = 0 AND r.tag = 'body' AND a.tag = 'a' AND a.place = 2
+  UNION ALL SELECT DISTINCT '//tr//b/a', a.kind, a.ord FROM x t JOIN x b ON t.kind = b.kind AND b.ord > t.ord AND b.ord <= t.last JOIN x a ON a.kind = b.kind AND a.parent = b.ord WHERE t.tag = 'tr' AND b.tag = 'b' AND a.tag = 'a'
+  UNION ALL SELECT DISTINCT '//table//table//a', a.kind, a.ord FROM x s JOIN x t ON s.kind = t.kind AND t.ord > s.ord AND t.ord <= s.last JOIN x a ON t.kind = a.kind AND a.ord > t.ord AND a.ord <= t.last WHERE s.tag = 'table' AND t.tag = 'table' AND a.tag = 'a'
+  UNION ALL SELECT '//span/a', a.kind, a.ord FROM x s JOIN x a ON s.kind = a.kind AND a.parent = s.ord WHERE s.tag = 'span' AND a.tag = 'a')
+SELECT doc_id, CASE path WHEN '//span/a' THEN '{PATHS[-1].replace("'", "''")}' ELSE path END AS path, CAST(ord AS INTEGER) AS ord
+FROM documents JOIN m ON kind = doc_id % {len(TREES)} WHERE path <> '//span/a' OR contains(CAST(doc_id AS VARCHAR), '7')
+""")
+def deep_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of several steps over bodies built from the ids; the SQL
+    joins intervals of elements."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    body = F.when(F.lit(False), "")
+    for kind, tree in enumerate(TREES):
+        head, *rest = _markup(tree)
+        text = F.concat(F.lit(head), *[x for part in rest for x in (F.col("doc_id").cast("string"), F.lit(part))])
+        body = body.when(F.col("doc_id") % len(TREES) == kind, text)
+    found = [P.path_matches(docs.withColumn("html", body), path).select("doc_id", F.lit(path).alias("path"), F.explode("matches.ord").alias("ord")) for path in PATHS]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

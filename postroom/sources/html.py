@@ -240,6 +240,33 @@ def html_matches(docs: DataFrame, path: str, id_col: str = "doc_id", html_col: s
     return docs.select(*keep, html_col).mapInPandas(run, schema)
 
 
+def html_trees(docs: DataFrame, full: frozenset[str] | None, html_col: str = "html") -> DataFrame:
+    """Every column of ``docs`` but the HTML, with ``status`` and ``elements``,
+    all elements in document order. What is beside their place and tag leaves
+    the Python worker only for the tags in ``full`` (None: for all)."""
+    import pandas as pd
+
+    keep = [c for c in docs.columns if c != html_col]
+    element = T.StructType([f for f in ELEMENT_FIELDS if f.name in ("ord", "depth", "tag")] + MATCH.fields)
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("status", T.StringType()), T.StructField("elements", T.ArrayType(element))])
+
+    def row(ord_, depth, tag, _parent, attrs, texts, text, href):
+        out = {"ord": ord_, "depth": depth, "tag": tag, "attrs": None, "texts": None, "text": None, "href": None}
+        if full is None or tag in full:
+            out |= {"attrs": attrs, "texts": texts, "text": text, "href": href}
+        return out
+
+    def run(batches):
+        for pdf in batches:
+            parsed = [parse_document(html) for html in pdf[html_col]]
+            out = pdf[keep].copy()
+            out["status"] = [how for how, _ in parsed]
+            out["elements"] = pd.Series([[row(*r) for r in rows] for _, rows in parsed], index=out.index, dtype=object)
+            yield out
+
+    return docs.select(*keep, html_col).mapInPandas(run, schema)
+
+
 def html_elements(docs: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
     """One row per element: ``(id, ord, depth, tag, parent_tag, attrs,
     texts, text, href)``. ``texts`` are the element's direct text nodes,
