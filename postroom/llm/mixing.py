@@ -46,6 +46,12 @@ CLOSE, PATIENCE = 1e-6, 8
 PRIOR_TRIGRAMS = 50
 
 
+def bucket_of(flat: np.ndarray) -> np.ndarray:
+    """The bucket of the trigram that starts at each byte but the last two."""
+    key = flat[:-2] << np.uint32(16) | flat[1:-1] << np.uint32(8) | flat[2:]
+    return (key * np.uint32(2654435761) >> np.uint32(20)).astype(np.int64)
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all byte trigrams within the texts, flat; their text; how many each text has."""
     raw = [t.encode() for t in texts]
@@ -71,8 +77,19 @@ class Mixture:
 
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Mean log probability of a text's trigrams by domain."""
-        bucket, owner, n = trigrams(texts)
-        total = np.stack([np.bincount(owner, w[bucket], len(texts)) for w in self.weights], axis=1)
+        raw = [t.encode() for t in texts]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        n, start = np.maximum(size - 2, 0), np.cumsum(size) - size
+        some = np.flatnonzero(n)
+        total = np.zeros((len(texts), len(self.weights)))
+        if len(some):
+            # trigrams over all bytes at once; those across two texts stand between the summed spans
+            bucket = bucket_of(np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32))
+            spans = np.stack([start[some], start[some] + n[some]], axis=1).ravel()
+            held = np.zeros(len(bucket) + 1)
+            for d, w in enumerate(self.weights):
+                np.take(w, bucket, out=held[:-1])
+                total[some, d] = np.add.reduceat(held, spans)[::2]
         return total / (n + PRIOR_TRIGRAMS)[:, None]
 
     def posteriors(self, texts: list[str]) -> np.ndarray:
