@@ -1,9 +1,15 @@
 """Quality rules: text statistics, fixed base rules, and robust multivariate outliers.
 
 Each document has a vector of transformed statistics. Per language and source the minimum covariance
-determinant estimate of location and scatter is found: from coordinate medians and quartile ranges,
-concentration steps take the ``SHARE`` of rows nearest by Mahalanobis distance and fit mean and
-covariance to them. A document beyond ``CUTOFF`` of the chi-squared distribution is rejected.
+determinant estimate of location and scatter is found: concentration steps take the ``SHARE`` of rows
+nearest by Mahalanobis distance and fit mean and covariance to them. Each of four starts makes
+``TRIAL_STEPS`` of them; the one with the least determinant goes on until its determinant falls no
+more. A document beyond ``CUTOFF`` of the chi-squared distribution is rejected.
+
+The starts are the coordinate medians with quartile ranges, and three scatters about the medians: of
+the rows themselves, of rows whose coordinates are bent to a bounded range, and of their directions.
+The determinant is of the covariance with the least variances (``FEATURES``) added, as the distances
+are; concentration lowers that one too.
 
 Every step is a grouped aggregate with map-side partial sums, so a source with a third of all rows
 is never gathered. Groups under ``LEAST_ROWS`` rows are pooled by language, then over all; where a
@@ -33,7 +39,8 @@ from postroom.llm import common
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SHARE = 0.75
-STEPS = 5
+#: Steps from every start; a fall of the log determinant that is as good as none.
+TRIAL_STEPS, STILL = 2, 1e-6
 LEAST_ROWS = 60
 #: The part of the normal distribution beyond the cutoff.
 BEYOND = 1e-3
@@ -143,8 +150,12 @@ def _distance() -> Column:
     return sum(diff[i] * diff[j] * F.col("precision")[k] * (1 if i == j else 2) for k, (i, j) in enumerate(PAIRS))
 
 
+ESTIMATE = "key string, start int, center array<double>, precision array<double>, log_det double"
+
+
 def _estimates(moments: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Center and inverse covariance of each group from its means and mean products."""
+    """Center, inverse covariance and its determinant for each key and start, from the means and mean
+    products of differences from the center before."""
     floor = np.array(list(FEATURES.values())) ** 2
     for frame in moments:
         mean = np.array(frame["m1"].tolist(), float).reshape(-1, P)
@@ -152,8 +163,20 @@ def _estimates(moments: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cov = np.zeros((len(frame), P, P))
         for k, (i, j) in enumerate(PAIRS):
             cov[:, i, j] = cov[:, j, i] = second[:, k] - mean[:, i] * mean[:, j]
-        inverse = np.linalg.inv(cov * CONSISTENCY + np.diag(floor))
-        yield pd.DataFrame({"key": frame["key"], "center": list(mean), "precision": [[x[i, j] for i, j in PAIRS] for x in inverse]})
+        cov = cov * CONSISTENCY + np.diag(floor)
+        inverse = np.linalg.inv(cov)
+        yield pd.DataFrame({
+            "key": frame["key"], "start": frame["start"], "center": list(mean + np.array(frame["center"].tolist(), float).reshape(-1, P)),
+            "precision": [[x[i, j] for i, j in PAIRS] for x in inverse], "log_det": np.linalg.slogdet(cov)[1],
+        })
+
+
+def _fitted(rows: DataFrame, centers: DataFrame) -> DataFrame:
+    """Estimates from rows of ``key, start`` and their differences ``y`` from the center."""
+    y = [F.col("y")[i] for i in range(P)]
+    sums = rows.groupBy("key", "start").agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(y)], *[F.avg(y[i] * y[j]).alias(f"m_{i}_{j}") for i, j in PAIRS])
+    sums = sums.select("key", "start", F.array(*[f"m_{i}" for i in range(P)]).alias("m1"), F.array(*[f"m_{i}_{j}" for i, j in PAIRS]).alias("m2"))
+    return sums.join(centers, [c for c in ("key", "start") if c in centers.columns]).mapInPandas(_estimates, ESTIMATE)
 
 
 def _keyed(vectors: DataFrame) -> DataFrame:
@@ -169,25 +192,59 @@ def _keyed(vectors: DataFrame) -> DataFrame:
     return vectors.join(common.small(keys), ["lang", "source"])
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """``key, center, precision`` of each group by concentration steps; ``vectors`` has a key."""
+def starts(vectors: DataFrame) -> DataFrame:
+    """Four first estimates for each key that has enough rows."""
     names = list(FEATURES)
     quartiles = vectors.groupBy("key").agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f) for f in names], F.count("*").alias("n"))
     spread = [F.greatest((F.col(f)[2] - F.col(f)[0]) / 1.349, F.lit(s)) for f, s in FEATURES.items()]
-    found = quartiles.where(F.col("n") >= LEAST_ROWS).select(
-        "key", F.array(*[F.col(f)[1] for f in names]).alias("center"),
-        F.array(*[1 / spread[i] ** 2 if i == j else F.lit(0.0) for i, j in PAIRS]).alias("precision"),
+    first = quartiles.where(F.col("n") >= LEAST_ROWS).select("key", F.array(*[F.col(f)[1] for f in names]).alias("center"), F.array(*spread).alias("spread"))
+    first = common.staged(first, "mcd")
+    plain = first.select(
+        "key", F.lit(0).alias("start"), "center", F.array(*[1 / F.col("spread")[i] ** 2 if i == j else F.lit(0.0) for i, j in PAIRS]).alias("precision"),
+        F.lit(float("inf")).alias("log_det"),
     )
-    found = common.staged(found, "mcd")
-    mark = F.broadcast if found.count() <= common.BROADCAST_ROWS // 10 else lambda df: df
-    for _ in range(STEPS):
-        near = vectors.join(mark(found), "key").withColumn("d", _distance())
-        cut = near.groupBy("key").agg(F.percentile_approx("d", SHARE, 10000).alias("cut"))
-        kept = near.join(mark(cut), "key").where(F.col("d") <= F.col("cut"))
-        moments = kept.groupBy("key").agg(*[F.avg(f).alias(f) for f in names], *[F.avg(F.col(names[i]) * F.col(names[j])).alias(f"m_{i}_{j}") for i, j in PAIRS])
-        moments = moments.select("key", F.array(*names).alias("m1"), F.array(*[f"m_{i}_{j}" for i, j in PAIRS]).alias("m2"))
-        found = common.staged(moments.mapInPandas(_estimates, "key string, center array<double>, precision array<double>"), "mcd")
-    return found
+    diff = [F.col(f) - F.col("center")[i] for i, f in enumerate(names)]
+    scaled = [d / F.col("spread")[i] for i, d in enumerate(diff)]
+    size = F.greatest(F.sqrt(sum(z * z for z in scaled) / P), F.lit(1e-9))
+    bent = [F.tanh(z) * F.col("spread")[i] for i, z in enumerate(scaled)]
+    scatters = F.posexplode(F.array(F.array(*diff), F.array(*bent), F.array(*[d / size for d in diff]))).alias("at", "y")
+    rows = vectors.join(_mark(first), "key").select("key", scatters).withColumn("start", F.col("at") + 1)
+    return plain.unionByName(_fitted(rows, first.select("key", "center")))
+
+
+def _mark(found: DataFrame) -> DataFrame:
+    """A staged table for the rows' tasks, as long as it is counted to be small."""
+    return F.broadcast(found) if found.count() <= common.BROADCAST_ROWS // 10 else found
+
+
+def concentrated(vectors: DataFrame, found: DataFrame) -> DataFrame:
+    """One concentration step for each key and start of ``found``."""
+    near = vectors.join(_mark(found), "key").withColumn("d", _distance())
+    cut = common.staged(near.groupBy("key", "start").agg(F.percentile_approx("d", SHARE, 10000).alias("cut")), "mcd")
+    kept = near.join(_mark(cut), ["key", "start"]).where(F.col("d") <= F.col("cut"))
+    diff = F.array(*[F.col(f) - F.col("center")[i] for i, f in enumerate(FEATURES)]).alias("y")
+    return common.staged(_fitted(kept.select("key", "start", diff), found.select("key", "start", "center")), "mcd")
+
+
+def estimates(vectors: DataFrame) -> DataFrame:
+    """``key, start, center, precision, log_det`` of each key: the least determinant that
+    concentration finds; ``vectors`` has a key."""
+    vectors = vectors.select("key", *FEATURES)
+    found = common.staged(starts(vectors), "mcd")
+    for _ in range(TRIAL_STEPS):
+        found = concentrated(vectors, found)
+    columns = ["key", "start", "center", "precision", "log_det"]
+    best = F.min(F.struct("log_det", "start", "center", "precision")).alias("r")
+    found = common.staged(found.groupBy("key").agg(best).select("key", "r.*").select(columns), "mcd")
+    ended = found.limit(0)
+    while True:
+        after = concentrated(vectors, found).select("key", *[F.col(c).alias(f"new_{c}") for c in columns[1:]])
+        both = common.staged(found.join(after, "key"), "mcd")
+        falls = F.col("new_log_det") < F.col("log_det") - STILL
+        ended = ended.unionByName(both.where(~falls).select(columns))
+        found = both.where(falls).select("key", *[F.col(f"new_{c}").alias(c) for c in columns[1:]])
+        if found.isEmpty():
+            return common.staged(ended, "mcd")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

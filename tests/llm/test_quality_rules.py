@@ -42,28 +42,75 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert not any(got[i]["kept"] for i, _, _, _ in bad)
 
 
-def test_estimates_are_concentration_steps(spark):
-    rng = random.Random(5)
-    rows = [(i, prose(rng, rng.randint(12, 300)) + " |" * (i % 11 == 0), "en", "a") for i in range(150)]
-    vectors = common.staged(Q._keyed(Q.transformed(Q.document_statistics(frame(spark, rows)))), "vectors")
-    x = np.array([[r[f] for f in Q.FEATURES] for r in vectors.collect()])
+def lowest(v, q):
+    return np.sort(v)[max(0, int(np.ceil(q * len(v))) - 1)]
+
+
+FLOOR = np.array(list(Q.FEATURES.values()))
+
+
+def brute_fit(rows, center):
+    y = rows - center
+    cov = (y.T @ y / len(y) - np.outer(y.mean(0), y.mean(0))) * Q.CONSISTENCY + np.diag(FLOOR**2)
+    return center + y.mean(0), np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
 
-    def lowest(v, q):
-        return np.sort(v)[max(0, int(np.ceil(q * len(v))) - 1)]
+def brute_step(x, fit):
+    d = np.einsum("ni,ij,nj->n", x - fit[0], fit[1], x - fit[0])
+    return brute_fit(x[d <= lowest(d, Q.SHARE)], fit[0])
 
-    floor = np.array(list(Q.FEATURES.values()))
+
+def brute_starts(x):
     center = np.array([lowest(c, 0.5) for c in x.T])
-    spread = np.array([max((lowest(c, 0.75) - lowest(c, 0.25)) / 1.349, f) for c, f in zip(x.T, floor)])
-    precision = np.diag(1 / spread**2)
-    for _ in range(Q.STEPS):
-        d = np.einsum("ni,ij,nj->n", x - center, precision, x - center)
-        near = x[d <= lowest(d, Q.SHARE)]
-        center = near.mean(0)
-        cov = near.T @ near / len(near) - np.outer(center, center)
-        precision = np.linalg.inv(cov * Q.CONSISTENCY + np.diag(floor**2))
-    (got,) = Q.estimates(vectors).collect()
-    np.testing.assert_allclose(got["center"], center, rtol=1e-6, atol=1e-9)
-    np.testing.assert_allclose(got["precision"], [precision[i, j] for i, j in Q.PAIRS], rtol=1e-4, atol=1e-4)
+    spread = np.array([max((lowest(c, 0.75) - lowest(c, 0.25)) / 1.349, f) for c, f in zip(x.T, FLOOR)])
+    z = (x - center) / spread
+    size = np.maximum(np.sqrt((z * z).mean(1)), 1e-9)[:, None]
+    scatters = [x, center + np.tanh(z) * spread, center + (x - center) / size]
+    return [(center, np.diag(1 / spread**2), np.inf), *(brute_fit(y, center) for y in scatters)]
+
+
+def brute_estimate(x):
+    tried = [brute_step(x, brute_step(x, s)) for s in brute_starts(x)]
+    found = min(tried, key=lambda f: f[2])
+    while (after := brute_step(x, found))[2] < found[2] - Q.STILL:
+        found = after
+    return found, tried
+
+
+def test_estimates_have_the_least_determinant(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, rng.randint(12, 300)) + " |" * (i % 11 == 0), "en", "a") for i in range(150)]
+    rows += [(1000 + i, prose(rng, rng.randint(12, 90)) + ("!! " * 20 if i % 3 == 0 else ""), "de", "b") for i in range(120)]
+    vectors = common.staged(Q._keyed(Q.transformed(Q.document_statistics(frame(spark, rows)))), "vectors")
+    held = {}
+    for r in vectors.collect():
+        held.setdefault(r["key"], []).append([r[f] for f in Q.FEATURES])
+    got = {r["key"]: r for r in Q.estimates(vectors).collect()}
+    assert set(got) == set(held) and len(got) == 2
+    for key, x in held.items():
+        (center, precision, log_det), tried = brute_estimate(np.array(x))
+        r = got[key]
+        assert abs(r["log_det"] - log_det) < 1e-6
+        assert all(r["log_det"] <= f[2] + 1e-6 for f in tried)
+        np.testing.assert_allclose(r["center"], center, rtol=1e-6, atol=1e-9)
+        np.testing.assert_allclose(r["precision"], [precision[i, j] for i, j in Q.PAIRS], rtol=1e-4, atol=1e-4)
+
+
+def test_a_cluster_of_outliers_does_not_hold_the_estimate(spark):
+    """A fifth of the rows lie together beside the line that the others are spread along."""
+    rng = np.random.default_rng(3)
+    n, p = 400, len(Q.FEATURES)
+    x = rng.normal(size=(n, p)) * 0.5
+    x[:, 1] = x[:, 0] * 2 + rng.normal(size=n) * 0.05
+    x[: n // 5, 0], x[: n // 5, 1] = 2 + rng.normal(size=n // 5) * 0.05, -4 + rng.normal(size=n // 5) * 0.05
+    vectors = spark.createDataFrame([("k", *map(float, v)) for v in x], ["key", *Q.FEATURES])
+    (r,) = Q.estimates(vectors).collect()
+    precision = np.zeros((p, p))
+    for k, (i, j) in enumerate(Q.PAIRS):
+        precision[i, j] = precision[j, i] = r["precision"][k]
+    d = np.einsum("ni,ij,nj->n", x - r["center"], precision, x - r["center"])
+    assert (d[: n // 5] > Q.CUTOFF).all() and (d[n // 5 :] > Q.CUTOFF).mean() < 0.05
+    assert Q.estimates(vectors.limit(0)).count() == 0
 
 
 def test_chi_squared():
