@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postroom.functions import timewin as W
 from postroom.operators import checks as V
 from postroom.operators import html_select as H
+from postroom.operators import job_index as JI
 from postroom.operators import paths as P
 from postroom.operators import routing as R
 from postroom.operators import schema as S
@@ -816,3 +817,44 @@ def deep_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     for f in found[1:]:
         out = out.unionByName(f)
     return out
+
+
+# -- many jobs -----------------------------------------------------------------
+
+MANY_JOBS = 2000
+_HOUR, _START = 3600, 1704067200
+_KINDS = ("click", "view", "error", "purchase")
+
+
+def _many_jobs() -> list[dict]:
+    """Jobs of four kinds in turn: a sender; a label within hours; a window
+    alone; a subject, with attachment, until a time."""
+    out = []
+    for i in range(MANY_JOBS):
+        job, kind = {"job": f"j{i}"}, _KINDS[i // 4 % 4]
+        if i % 4 == 0:
+            job |= {"from": f"User{i // 4}@"}
+        elif i % 4 == 1:
+            job |= {"label": kind, "after": _START + i * _HOUR // 4, "before": _START + i * _HOUR // 4 + 7 * _HOUR}
+        elif i % 4 == 2:
+            job |= {"after": _START + i * _HOUR // 4 + 17, "before": _START + i * _HOUR // 4 + _HOUR // 2}
+        else:
+            job |= {"subject": f"*{kind}*", "from": f"{i // 4}@pay", "attachment": "true", "before": _START + i * _HOUR}
+        out.append(job)
+    return out
+
+
+@query(f"""
+WITH {MESSAGES}, m AS (SELECT *, epoch(internal_ts) AS s FROM messages),
+j AS (SELECT i, 'j' || i AS job, (['click', 'view', 'error', 'purchase'])[i // 4 % 4 + 1] AS kind, {_START} + i * {_HOUR} // 4 AS t FROM range({MANY_JOBS}) r(i))
+SELECT job, count(*) AS n_messages, min(internal_ts) AS first_ts, max(internal_ts) AS last_ts FROM (
+  SELECT job, internal_ts FROM m JOIN j ON i % 4 = 0 AND contains(lower(sender), 'user' || (i // 4) || '@')
+  UNION ALL SELECT job, internal_ts FROM m JOIN j ON i % 4 = 1 AND list_contains(label_ids, kind) AND s >= t AND s < t + {7 * _HOUR}
+  UNION ALL SELECT job, internal_ts FROM m JOIN j ON i % 4 = 2 AND s >= t + 17 AND s < t + {_HOUR // 2}
+  UNION ALL SELECT job, internal_ts FROM m JOIN j ON i % 4 = 3 AND contains(lower(subject), kind) AND contains(lower(sender), (i // 4) || '@pay')
+    AND has_attachment AND s < {_START} + i * {_HOUR}
+) GROUP BY job
+""")
+def route_many_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches of two thousand jobs, found by an index."""
+    return R.match_counts(JI.route_many(SI.events_as_messages(table(spark, sf_dir, "events")), _many_jobs()))
