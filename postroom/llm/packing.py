@@ -138,11 +138,13 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
             n, held = gaps[gap].pop()
             if not gaps[gap]:
                 del gaps[gap], order[k]
-            take = min(n, rest)
+            # a gap that took one is the tightest for the next as long as it fits
+            most = min(gap // s, rest)
+            take = min(n, rest // most)
             if n > take:
                 put(n - take, held)
-            put(take, [*held, s])
-            rest -= take
+            put(take, [*held, *[s] * most])
+            rest -= take * most
 
     used = dict.fromkeys(left, 0)
     rows, first = [], 0

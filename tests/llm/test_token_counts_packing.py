@@ -94,3 +94,44 @@ def test_hot_length_is_salted(spark):
 def test_too_long_is_an_error(spark):
     with pytest.raises(ValueError, match="longer"):
         packing.pack(spark.range(1).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(2000).cast("long").alias("length")))
+
+
+def brute_fills(lengths, capacity):
+    """Piece by piece: what each sequence holds."""
+    large, small = (sorted((k for k in lengths if (3 * k > capacity) == big), reverse=True) for big in (True, False))
+    fills = []
+    while large:
+        held = large.pop(0)
+        beside = next((i for i, b in enumerate(large) if held + b <= capacity), None)
+        fills.append(held + (0 if beside is None else large.pop(beside)))
+    for k in small:
+        tightest = max((f for f in fills if f + k <= capacity), default=None)
+        if tightest is None:
+            fills.append(k)
+        else:
+            fills[fills.index(tightest)] += k
+    return fills
+
+
+def test_plan_is_that_of_single_pieces():
+    rng = random.Random(9)
+    for round_ in range(300):
+        capacity = rng.choice([5, 12, 31, 100])
+        most = rng.choice([capacity, max(1, capacity // 2), max(1, capacity // 4)])
+        counts = {}
+        for _ in range(rng.randint(1, 80)):
+            k = rng.randint(1, most) if rng.random() < 0.7 else max(1, most // 3)
+            counts[k] = counts.get(k, 0) + 1
+        plan = packing.best_fit(counts, capacity)
+        key = plan.length << 44 | plan.rank
+        held = {}
+        for k, n in counts.items():
+            for rank in range(n):
+                at = int(np.searchsorted(key, k << 44 | rank, "right")) - 1
+                held.setdefault(int(plan.sequence[at] + rank - plan.rank[at]), []).append((int(plan.offset[at]), k))
+        assert sorted(held) == list(range(plan.sequences))
+        for pieces in held.values():
+            pieces.sort()
+            assert [o for o, _ in pieces] == [sum(k for _, k in pieces[:i]) for i in range(len(pieces))]
+        want = brute_fills([k for k, n in counts.items() for _ in range(n)], capacity)
+        assert sorted(sum(k for _, k in x) for x in held.values()) == sorted(want), round_

@@ -52,6 +52,57 @@ def test_gradients_are_the_slopes():
             assert abs((up - down) / 2e-3 - grad[k][w]) < 2e-4, k
 
 
+def brute_score(net, text):
+    """One word after the other, in double precision."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words = toxicity.words_of(text)
+    n, w, h = len(words), toxicity.WINDOW, toxicity.HIDDEN
+
+    def read(word):
+        if not word:
+            return np.zeros(p["word"].shape[1] + p["gram"].shape[1])
+        known = [p["gram"][net.grams[g]] for g in toxicity.grams(word) if g in net.grams]
+        return np.concatenate([p["word"][net.words.get(word, 1)], np.mean(known, axis=0) if known else np.zeros(p["gram"].shape[1])])
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def walk(side, seq):
+        state, out = np.zeros(h), []
+        for x in seq:
+            given, kept = x @ p["in"][side] + p["bias"][side, 0], state @ p["state"][side]
+            update, reset = sigmoid(given[:h] + kept[:h]), sigmoid(given[h : 2 * h] + kept[h : 2 * h])
+            state = (1 - update) * np.tanh(given[2 * h :] + reset * kept[2 * h :]) + update * state
+            out.append(state)
+        return out
+
+    scores = []
+    for begin in [0] if n <= w else [*range(0, n - w, toxicity.STRIDE), n - w]:
+        seq = [read(x) for x in (words[begin : begin + w] + [""] * w)[:w]]
+        both = [np.concatenate(x) for x in zip(walk(0, seq), walk(1, seq[::-1])[::-1])]
+        worth = np.exp([np.tanh(x @ p["att"]) @ p["query"] for x in both])
+        pooled = sum(a * x for a, x in zip(worth / worth.sum(), both))
+        scores.append(sigmoid(pooled @ p["out"] + p["out_bias"][0]))
+    return max(scores)
+
+
+def test_scores_are_the_network_word_by_word():
+    rng = random.Random(8)
+    vocabulary = ["alpha", "beta", "gamma", "ünder", "zwackel"]
+    net = toxicity.Network(vocabulary, sorted({g for w in vocabulary + ["unseen"] for g in toxicity.grams(w)})[::2], seed=3)
+    draw = np.random.default_rng(5)
+    for k in ("bias", "out_bias", "query", "out"):
+        net.p[k] = (net.p[k] + draw.standard_normal(net.p[k].shape) * 0.5).astype(np.float32)
+    # a network drawn at random says much the same of all texts: larger numbers tell them apart
+    for k, by in (("word", 8), ("gram", 8), ("out", 4)):
+        net.p[k] = net.p[k] * np.float32(by)
+    texts = ["", "alpha", "unseen words only", *(" ".join(rng.choices([*vocabulary, "unseen", "x", "日本語"], k=k)) for k in (5, 31, 32, 33, 47, 48, 49, 64, 65, 130))]
+    got = toxicity.Scorer(net).scores(texts)
+    want = np.array([brute_score(net, t) for t in texts])
+    assert want.max() - want.min() > 0.05
+    np.testing.assert_allclose(got, want, atol=1e-4)
+
+
 def test_held_out_texts(spark, toxic_rows):
     docs = frame(spark, toxic_rows)
     labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"), F.lit(1).alias("quality"))
