@@ -139,7 +139,7 @@ def _lookups(messages: DataFrame, rows: list[tuple]) -> DataFrame:
         key, begin = key.when(F.col("_i") < end, made(F.col("_i") - begin)), end
     counted = messages.withColumns(held).withColumns({f"_n{k}": F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)) for k, (n, _) in enumerate(parts)})
     total = begin
-    return counted.where(total > 0).withColumn("_i", F.explode(F.sequence(F.lit(0), total - 1))).withColumn("_key", key).where("_key is not null")
+    return counted.where(total > 0).withColumn("_i", F.explode(F.sequence(F.lit(0), total - 1))).withColumn("_key", key)
 
 
 def _key(kind: Column, piece: Column, level: Column, node: Column) -> Column:
