@@ -4,6 +4,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -487,27 +488,55 @@ def quoted_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
                               quote_character='"', null_marker="\\N", on_error="fail")
 
 
+#: Bytes of text that one task writes as one file, and the most splits in which
+#: all files are read (below that many, splits have ``SPLIT_BYTES``).
+FILE_BYTES, SPLIT_BYTES, MOST_SPLITS = 64 << 20, 1 << 17, 4096
+
+
+def _file_of_rows(df: DataFrame) -> tuple[DataFrame, int]:
+    """The rows dealt to as many tasks as files of ``FILE_BYTES`` take (one
+    for a small table), and the size of the splits to read them in."""
+    size = df.agg(F.sum(F.lit(16) + sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns))).first()[0] or 0
+    return df.repartition(-(-size // FILE_BYTES) or 1), max(SPLIT_BYTES, size // MOST_SPLITS)
+
+
 @query(f"SELECT doc_id, {_ODD_TEXT} AS text, lang, true AS spread FROM documents")
 def split_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file of quoted values with line ends, read by many tasks."""
+    """Files of quoted values with line ends (one file, if the table is
+    small), each read by many tasks."""
     dest = work_path(spark, "one-file")
-    TB.write_delimited(_odd_texts(spark, sf_dir).coalesce(1), dest, null_value="\\N")
+    rows, size = _file_of_rows(_odd_texts(spark, sf_dir))
+    TB.write_delimited(rows, dest, null_value="\\N")
     load = lambda: REC.read_delimited(spark, dest, S.load_schema(TEXT_SCHEMA)[0], field_delimiter="tab", skip_leading_rows=1, allow_quoted_newlines=True,
                                       quote_character='"', null_marker="\\N", on_error="fail")
-    return _spread(_in_splits(spark, 1 << 17, load))
+    return _spread(_in_splits(spark, size, load))
+
+
+def _as_arrays(objects: DataFrame) -> DataFrame:
+    """Lines that make each task's JSON objects one array; no rows, no array."""
+
+    def run(batches):
+        sign = "["
+        for batch in batches:
+            signed = []
+            for value in batch.columns[0].to_pylist():
+                signed.append(sign + value)
+                sign = ","
+            yield pa.RecordBatch.from_pydict({"value": signed})
+        if sign == ",":
+            yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    return objects.mapInArrow(run, "value string")
 
 
 @query("SELECT doc_id, text, lang, true AS spread FROM documents")
 def split_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file that is one JSON array, read by many tasks."""
-    docs = table(spark, sf_dir, "documents")
-    first = docs.agg(F.min("doc_id")).first()[0]
-    element = F.to_json(F.struct("doc_id", "text", "lang"))
-    head = docs.where(F.col("doc_id") == first).select(F.concat(F.lit("["), element).alias("value"))
-    body = docs.where(F.col("doc_id") != first).select(F.concat(F.lit(","), element).alias("value"))
+    """Files that are one JSON array each (one file, if the table is
+    small), each read by many tasks."""
+    rows, size = _file_of_rows(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     dest = work_path(spark, "one-array")
-    head.unionAll(body).unionAll(spark.range(1).select(F.lit("]").alias("value"))).coalesce(1).write.text(dest)
-    return _spread(_in_splits(spark, 1 << 17, lambda: REC.read_json_records(spark, dest, S.load_schema(TEXT_SCHEMA)[0])))
+    _as_arrays(rows.select(F.to_json(F.struct("doc_id", "text", "lang")).alias("value"))).write.text(dest)
+    return _spread(_in_splits(spark, size, lambda: REC.read_json_records(spark, dest, S.load_schema(TEXT_SCHEMA)[0])))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
