@@ -15,6 +15,7 @@ document is one row and nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -121,11 +122,26 @@ def found_at(elements: Column, steps: list[Step]) -> Column:
     return F.aggregate(each, start, take, lambda state: state["found"])
 
 
+def _trees(docs: DataFrame, steps: list[list[Step]], html_col: str) -> DataFrame:
+    told = [s.tag for path in steps for i, s in enumerate(path) if s.tests or i == len(path) - 1]
+    return html_trees(docs, None if "*" in told else frozenset(told), html_col)
+
+
+def _matches(steps: list[Step]) -> Column:
+    return F.transform(found_at(F.col("elements"), steps), lambda i: F.get(F.col("elements"), i))
+
+
 def path_matches(docs: DataFrame, path: str, html_col: str = "html") -> DataFrame:
     """Every column of ``docs`` but the HTML, with ``status`` (``ok`` or
     ``failed``) and ``matches``, the elements of the path in document order."""
     steps = parse_steps(path)
-    told = [s.tag for i, s in enumerate(steps) if s.tests or i == len(steps) - 1]
-    trees = html_trees(docs, None if "*" in told else frozenset(told), html_col)
-    matches = F.transform(found_at(F.col("elements"), steps), lambda i: F.get(F.col("elements"), i))
-    return trees.withColumn("matches", matches).drop("elements")
+    return _trees(docs, [steps], html_col).withColumn("matches", _matches(steps)).drop("elements")
+
+
+def paths_matches(docs: DataFrame, paths: Sequence[str], html_col: str = "html") -> DataFrame:
+    """``path_matches`` of several paths, each document parsed once: a row a
+    document and path, with ``path``."""
+    steps = [parse_steps(path) for path in paths]
+    trees = _trees(docs, steps, html_col)
+    each = F.array(*[F.struct(F.lit(path).alias("path"), _matches(s).alias("matches")) for path, s in zip(paths, steps)])
+    return trees.select(*[c for c in trees.columns if c != "elements"], F.inline(each))

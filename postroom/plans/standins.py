@@ -37,6 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows that one task takes of a table whose rows are small, and each much work.
+TASK_ROWS = 20_000
+
+
+def dealt(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """A table dealt to as many tasks as its rows need. Spark counts bytes,
+    and gives some hundred thousand short rows to one task."""
+    return df.repartition(-(-df.count() // rows) or 1)
+
+
 def events_as_messages(events: DataFrame) -> DataFrame:
     domains = F.array(*[F.lit(d) for d in SENDER_DOMAINS])
     return events.select(
