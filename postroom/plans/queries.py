@@ -24,6 +24,7 @@ from postroom.plans.standins import (
     JOBS,
     conversations_as_mime,
     conversations_as_parts,
+    dealt,
     documents_as_parts,
     events_as_messages,
     table,
@@ -248,7 +249,7 @@ HEADERS = ("Invoice Number", "PO Number", "Account Segment 1 Name", "Commodity L
 def header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job headers combined with every part type and size."""
     _prep(spark)
-    part = table(spark, sf_dir, "part")
+    part = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size"))
     h = part.select("p_partkey", F.posexplode(F.array(*[F.lit(x) for x in HEADERS])).alias("header_no", "h"), "p_type", "p_size")
     h = h.select("p_partkey", "header_no", F.concat_ws(" ", "h", "p_type", F.col("p_size").cast("string")).alias("header"))
     return h.select("p_partkey", "header_no", "header", N.header_name("header").alias("header_name"),
