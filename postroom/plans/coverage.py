@@ -554,6 +554,10 @@ def long_title_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- names and snapshots -------------------------------------------------------------------
 
+#: Small files that one task reads.
+TASK_FILES = 2048
+
+
 @query("""
 SELECT 'in/' || CASE p_partkey % 5 WHEN 0 THEN 'esc_' || p_partkey || '.txt' WHEN 1 THEN 'dir_' || p_partkey || '.txt' WHEN 2 THEN 'back_' || p_partkey || '.txt'
   ELSE 'same_' || p_partkey || '.txt' END AS path, p_name AS text FROM part WHERE p_partkey % 5 <> 4
@@ -566,11 +570,12 @@ def hostile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.concat(k.cast("string"), F.lit(".txt"))
     name = F.when(k % 5 == 0, F.concat(F.lit("../esc_"), end)).when(k % 5 == 1, F.concat(F.lit("/a/sub/dir_"), end))
     name = name.when(k % 5 == 2, F.concat(F.lit("c:\\x\\back_"), end)).when(k % 5 == 3, "same.txt").when(k % 10 == 4, "..")
-    part = table(spark, sf_dir, "part")
+    part = SI.dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name"))
     files = part.select(k.cast("string").alias("message_id"), name.alias("file_name"), F.encode("p_name", "UTF-8").alias("content"))
     base = work_path(spark, "hostile")
-    errors = TB.write_blobs(files, f"{base}/in").agg(F.count_if(F.col("error").isNotNull()).alias("n")).first()["n"]
-    held = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(base)
+    n, errors = TB.write_blobs(files, f"{base}/in").agg(F.count("*"), F.count_if(F.col("error").isNotNull())).first()
+    # Spark takes a file for 4 MB at least, so 32 small ones would be a task
+    held = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(base).coalesce(-(-n // TASK_FILES) or 1)
     found = held.select(F.regexp_extract("path", "hostile-[0-9a-f]+/(.*)$", 1).alias("path"), F.decode("content", "UTF-8").alias("text"))
     return found.unionAll(spark.range(1).select(F.lit(None).cast("string"), F.lit(str(errors))))
 
