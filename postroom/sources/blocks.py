@@ -13,8 +13,8 @@ they are read in Spark's splits, in two passes over a small automaton:
    that ends in one state whatever it began with, and the parity of the
    blocks since then that swap the states, give every block's start state;
    running sums give its depth and the number of its first record.
-3. Each block is cut into records from its known start. Records that lie in
-   one block come out as they are; pieces at the ends of blocks (two a block
+3. Each block is cut, once, into records from its known start; the cut is
+   written. Records that lie in one block come out as they are; pieces at the ends of blocks (two a block
    at most) are put together by a shuffle.
 
 Pieces are lines for delimited text, and what ends with ``}`` for JSON, so
@@ -28,6 +28,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +110,18 @@ def _pieces(spark: SparkSession, path, end: str, encoding: str = "UTF-8") -> Dat
     )
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list, int, int]]:
+    """``[path, block]``, first row and number of rows, of each stretch of
+    rows of one block: a path is as long as a line, and the same for many."""
+    size, columns = batch.num_rows, [batch.column(PATH), batch.column("_block")]
+    if not size:
+        return
+    paths, blocks = (pc.not_equal(c.slice(1), c.slice(0, size - 1)) for c in columns)
+    cuts = [0, *(pc.indices_nonzero(pc.or_(paths, blocks)).to_numpy() + 1).tolist(), size]
+    for first, end in zip(cuts, cuts[1:]):
+        yield [c[first].as_py() for c in columns], first, end - first
+
+
 _EFFECTS = f"{PATH} string, _block long, ends_out boolean, ends_in boolean, deeper_out long, deeper_in long, n_out long, n_in long, base int"
 
 
@@ -125,15 +138,22 @@ def _effects(pieces: DataFrame, grammar) -> DataFrame:
                 rows.append((*key, a, b, da, db, na, nb, base))
 
         for batch in batches:
-            values, paths, blocks = (c.to_pylist() for c in batch.columns)
-            for value, *at in zip(values, paths, blocks):
+            for at, first, size in _runs(batch):
+                values = batch.column("value").slice(first, size).to_pylist()
                 if at != key:
                     close()
-                    key, tracks, base = at, [[False, 0, 0], [True, 0, 0]], grammar.base(value)
-                for track in tracks:
-                    track[2] += not track[0]
-                    track[0], deeper = grammar.scan(value, track[0])
-                    track[1] += deeper
+                    key, tracks, base = at, [[False, 0, 0], [True, 0, 0]], grammar.base(values[0])
+                (a, da, na), (b, db, nb) = tracks
+                for value in values:
+                    na, nb, same = na + (not a), nb + (not b), a == b
+                    a, deeper = grammar.scan(value, a)
+                    da += deeper
+                    if not same:  # from one state the two go on as one
+                        b, deeper = grammar.scan(value, b)
+                    else:
+                        b = a
+                    db += deeper
+                tracks = [[a, da, na], [b, db, nb]]
         close()
         yield pa.RecordBatch.from_pydict({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(fields)})
 
@@ -171,8 +191,8 @@ WHOLE, TAIL, HEAD = 0, 1, 2
 _CUT = f"{PATH} string, _block long, _index long, _kind int, value string"
 
 
-def _cut(placed: DataFrame, grammar, whole: bool) -> DataFrame:
-    """The records that lie in one block, or else the pieces of others: the
+def _cut(placed: DataFrame, grammar) -> DataFrame:
+    """The records that lie in one block (``WHOLE``), and the pieces of others: the
     end of the one a block begins in (``TAIL``), and what is open at its end
     (``HEAD``; a ``TAIL`` too if the block lies within one record)."""
     end = grammar.end
@@ -183,8 +203,7 @@ def _cut(placed: DataFrame, grammar, whole: bool) -> DataFrame:
         inside, depth, base, index, last = False, 0, 0, 0, False
 
         def give(kind: int) -> None:
-            if (kind == WHOLE) == whole:
-                out.append((*key, index, kind, end.join(held)))
+            out.append((*key, index, kind, end.join(held)))
 
         def close() -> None:
             if key is not None and held:
@@ -193,18 +212,20 @@ def _cut(placed: DataFrame, grammar, whole: bool) -> DataFrame:
                 raise ValueError(f"{key[0]} ends within its array")
 
         for batch in batches:
-            for value, path, block, begun, deep, first, at_depth, at_end in zip(*(c.to_pylist() for c in batch.columns)):
-                if [path, block] != key:
+            for at, start, size in _runs(batch):
+                if at != key:
                     close()
-                    key, held, inside, depth, base, last = [path, block], [], begun, deep, at_depth, at_end
-                    open_ = inside or depth != base and block > 0
+                    inside, depth, first, base, last = (batch.column(c)[start].as_py() for c in ("inside", "depth", "first", "base", "last"))
+                    key, held = at, []
+                    open_ = inside or depth != base and key[1] > 0
                     kind, index = (TAIL, first - 1) if open_ else (WHOLE, first)
-                held.append(value)
-                inside, deeper = grammar.scan(value, inside)
-                depth += deeper
-                if not inside and depth == base:
-                    give(kind)
-                    held, kind, index = [], WHOLE, index + 1
+                for value in batch.column("value").slice(start, size).to_pylist():
+                    held.append(value)
+                    inside, deeper = grammar.scan(value, inside)
+                    depth += deeper
+                    if not inside and depth == base:
+                        give(kind)
+                        held, kind, index = [], WHOLE, index + 1
             if len(out) >= 1000:
                 yield made(out)
                 out.clear()
@@ -236,12 +257,13 @@ def block_records(spark: SparkSession, path, grammar, encoding: str = "UTF-8") -
     effects = _effects(pieces, grammar)
     effects.write.parquet(stage)
     starts = block_starts(spark.read.schema(effects.schema).parquet(stage))
-    placed = _placed(pieces, starts)
-    whole = _cut(placed, grammar, True).select(PATH, "_index", "value")
-    ends = work_path(spark, "block-ends")
-    ended = _cut(placed, grammar, False)
-    ended.write.parquet(ends)
-    return whole.unionByName(_joined(spark.read.schema(ended.schema).parquet(ends), grammar.end))
+    cut = _cut(_placed(pieces, starts), grammar)
+    # written: a load checks its records before it gives them, and cutting is dear
+    stage = work_path(spark, "block-records")
+    cut.write.parquet(stage)
+    cut = spark.read.schema(cut.schema).parquet(stage)
+    whole = cut.where(F.col("_kind") == WHOLE).select(PATH, "_index", "value")
+    return whole.unionByName(_joined(cut.where(F.col("_kind") != WHOLE), grammar.end))
 
 
 def quoted_records(spark: SparkSession, path, sep: str = ",", quote: str = '"', skip: int = 0, encoding: str = "UTF-8") -> DataFrame:

@@ -146,7 +146,8 @@ def read_delimited(
         else:
             lines = _lines_after(spark, path, skip, encoding).where("value <> ''")
         row = F.from_csv("value", fields.simpleString(), {k: v for k, v in opts.items() if k != "encoding"} | {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
-        raw = lines.select(PATH, row.alias("r")).select(PATH, "r.*")
+        # a generator's output: a filter on a column would otherwise parse the row again for each field it asks for
+        raw = lines.select(PATH, F.inline(F.array(row)))
     else:
         raw = (
             spark.read.options(**opts).option("header", skip == 1).option("mode", "PERMISSIVE")
@@ -173,9 +174,10 @@ def _finish(good, bad, on_error):
     if on_error == "split":
         return good, bad
     if on_error == "fail":
-        first = bad.select("_reason").limit(1).collect()
-        if first:
-            raise LoadError(f"load rejected: {first[0]['_reason']}")
+        # all tasks at once; a limit would look at one, then at four, ...
+        first = bad.agg(F.min("_reason")).first()[0]
+        if first is not None:
+            raise LoadError(f"load rejected: {first}")
     return good
 
 

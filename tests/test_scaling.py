@@ -66,3 +66,15 @@ def test_several_paths_of_one_parse(spark):
 def test_paths_are_checked_first(spark):
     with pytest.raises(ValueError):
         paths_matches(spark.createDataFrame([(1, "")], "doc_id long, html string"), ["//a", "a"])
+
+
+def test_a_row_is_parsed_once(spark, tmp_dir):
+    spark.createDataFrame([('1,"a\nb",2.5',), ('2,"c",',)], "value string").coalesce(1).write.mode("overwrite").text(tmp_dir)
+    schema = load_schema([{"name": "k", "type": "INTEGER"}, {"name": "t", "type": "STRING"}, {"name": "v", "type": "FLOAT"}])[0]
+    good = REC.read_delimited(spark, tmp_dir, schema, allow_quoted_newlines=True, allow_jagged_rows=True, on_error="fail")
+    assert sorted(map(tuple, good.collect())) == [(1, "a\nb", 2.5), (2, "c", None)]
+    # but for rows of a wrong length, which are read again with one more column
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "from_csv" in line and "_extra" not in line]) == 1
+    with pytest.raises(REC.LoadError, match="too few fields"):
+        REC.read_delimited(spark, tmp_dir, load_schema([*[{"name": c, "type": "STRING"} for c in "abcd"]])[0], allow_quoted_newlines=True, on_error="fail")
