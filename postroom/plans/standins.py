@@ -277,9 +277,10 @@ def orders_as_workbooks(orders: DataFrame) -> DataFrame:
         block = int(pdf["block"].iloc[0])
         pdf = pdf.sort_values("o_orderkey")
         rows = [list(ORDER_HEADERS)]
-        for r in pdf.itertuples(index=False):
-            serial = (pd.Timestamp(r.o_orderdate).to_pydatetime() - epoch).total_seconds() / 86400.0
-            rows.append([int(r.o_orderkey), int(r.o_custkey), r.o_orderstatus, float(r.o_totalprice), ("date", serial), r.o_orderpriority])
+        columns = [pdf[c].tolist() for c in cols]
+        for key, cust, status, price, date, priority in zip(*columns):
+            serial = (date.to_pydatetime() - epoch).total_seconds() / 86400.0
+            rows.append([int(key), int(cust), status, float(price), ("date", serial), priority])
         data = build_xlsx([("Orders", rows), ("Summary", [["Rows"], [len(pdf)]])])
         return pd.DataFrame({"file_name": [f"orders_{block}.xlsx"], "content": [data]})
 
