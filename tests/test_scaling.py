@@ -78,3 +78,15 @@ def test_a_row_is_parsed_once(spark, tmp_dir):
     assert len([line for line in plan.splitlines() if "from_csv" in line and "_extra" not in line]) == 1
     with pytest.raises(REC.LoadError, match="too few fields"):
         REC.read_delimited(spark, tmp_dir, load_schema([*[{"name": c, "type": "STRING"} for c in "abcd"]])[0], allow_quoted_newlines=True, on_error="fail")
+
+
+def test_cells_of_odd_workbooks(spark):
+    from postroom.sources.workbooks import build_xlsx, workbook_cells
+
+    book = bytearray(build_xlsx([("S", [["a", "b"], [1, None], ["x", ("date", 2.5)]])]))
+    df = spark.createDataFrame([(None, book), ("empty", bytearray(build_xlsx([("S", [])]))), ("none", None), ("junk", bytearray(b"junk"))], "file_name string, content binary")
+    got = workbook_cells(df).collect()
+    assert [(r.row, r.col, r.ctype, r.raw, r.header_raw) for r in got if r.file_name is None] == [
+        (0, 0, 1, "a", "a"), (0, 1, 1, "b", "b"), (1, 0, 2, "1", "a"), (2, 0, 1, "x", "a"), (2, 1, 3, "2.5", "b")]
+    assert [(r.file_name, r.error.split(":")[0]) for r in got if r.error] == [("none", "TypeError"), ("junk", "BadZipFile")]
+    assert all(r.file_name != "empty" for r in got)
