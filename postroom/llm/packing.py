@@ -68,13 +68,14 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                 head = (total - (n - 1) * capacity)[owner]
                 start = np.where(piece == 0, 0, head + (piece - 1) * capacity)
                 length = np.where(piece == 0, head, capacity)
-                raw, at = memoryview(ids.view(np.uint8)), ((stop - total)[owner] + start) * 4
+                # the pieces lie in ``ids`` one after another; views of it put into an array by pyarrow are never freed
+                ends = np.append(0, np.cumsum(length * 4)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(doc_ids, pa.int64()).take(pa.array(owner)),
                     "piece": pa.array(piece, pa.int32()),
                     "start": pa.array(start, pa.int64()),
                     "length": pa.array(length, pa.int64()),
-                    "ids": pa.array([raw[a : a + k] for a, k in zip(at.tolist(), (length * 4).tolist())], pa.binary()),
+                    "ids": pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
                 })
 
     return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, piece int, start long, length long, ids binary")

@@ -1,9 +1,12 @@
+import gc
 import random
+import weakref
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,6 +39,31 @@ def test_ids_as_the_library(library):
     assert [p.tolist() for p in parts] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_ids_are_freed(spark):
+    """A worker lives on after its task: no chunk's ids may stay with it."""
+    docs = spark.createDataFrame([(i, "a b c d " * 500) for i in range(10)], "doc_id long, text string").coalesce(1)
+    made: list = []
+    whole = packing.token_ids
+
+    def watched(*args):
+        ids, stop = whole(*args)
+        made.append(weakref.ref(ids))
+        return ids, stop
+
+    held = {}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "token_ids", watched)
+        m.setattr(common, "lean", lambda run: held.setdefault("run", run))
+        packing.token_pieces(docs)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(10)), "text": pa.array(["a b c d " * 500] * 10)})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(packing, "token_ids", watched)
+        lengths = [(b.column("length").to_pylist(), [len(x) for x in b.column("ids").to_pylist()]) for b in held["run"]([batch])]
+    assert lengths and all([4 * n for n in a] == b for a, b in lengths)
+    gc.collect()
+    assert made and all(r() is None for r in made)
+
+
 def test_table(odd_docs, odd_rows, library, no_docs):
     got = sorted(map(str, token_counts.token_counts(odd_docs).collect()))
     want = []
