@@ -110,17 +110,23 @@ def same(joined: str, codes: np.ndarray, begin: np.ndarray, size: np.ndarray) ->
     Pieces are put together by a 64-bit hash, then compared with the first one code by code."""
     if not len(begin):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    piece = np.repeat(np.arange(len(begin)), size)
-    inside = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size)
-    own = codes[begin[piece] + inside]
+    # 32 bits number the places of a chunk: half the memory of the arrays that have one a character
+    small_int = np.int32 if len(codes) < 1 << 31 else np.int64
+    before = np.cumsum(size) - size
+    place = np.arange(int(size.sum()), dtype=small_int)
+
+    def codes_at(start: np.ndarray) -> np.ndarray:
+        return codes[place + np.repeat((start - before).astype(small_int), size)]
+
+    own, inside = codes_at(begin), place - np.repeat(before.astype(small_int), size)
     power = np.cumprod(np.full(int(size.max()), MULTIPLIER))
-    hashed = np.add.reduceat((own + np.uint64(1)) * power[inside], np.cumsum(size) - size)
+    hashed = np.add.reduceat((own + np.uint64(1)) * power[inside], before)
     hashed ^= hashed >> np.uint64(29)
     kind, distinct = pd.factorize(hashed)
     first = np.empty(len(distinct), np.int64)
     first[kind[::-1]] = np.arange(len(kind))[::-1]
     chosen = first[kind]
-    if not (np.array_equal(size[chosen], size) and np.array_equal(codes[begin[chosen][piece] + inside], own)):
+    if not (np.array_equal(size[chosen], size) and np.array_equal(codes_at(begin[chosen]), own)):
         kind, _ = pd.factorize(np.array([joined[a : a + n] for a, n in zip(begin.tolist(), size.tolist())], object))
         first = np.unique(kind, return_index=True)[1]
     return kind, first

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postroom.llm import common
-from postroom.llm.token_counts import VOCABULARY, count_tokens
+from postroom.llm.token_counts import CHUNK_CHARS, VOCABULARY, count_tokens
 
 BUCKETS = 4096
 TEMPER = 0.7
@@ -172,7 +172,7 @@ def memberships(docs: DataFrame, mixture: Mixture, path: str | None = None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in common.chunks(batch, ["doc_id", "text"]):
+            for ids, texts in common.chunks(batch, ["doc_id", "text"], most=CHUNK_CHARS):
                 p = mixture.posteriors(texts) if mixture.domains else np.zeros((len(texts), 0))
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "tokens": pa.array(count_tokens(texts, path)), "posterior": pa.array(p.tolist(), pa.list_(pa.float64()))})
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroom.llm import common, pretokens
-from postroom.llm.token_counts import VOCABULARY, merges
+from postroom.llm.token_counts import CHUNK_CHARS, VOCABULARY, merges
 
 CAPACITY = 1024
 END_ID = 2
@@ -40,16 +40,11 @@ def token_ids(texts: list[str], path: str, end_id: int = END_ID) -> tuple[np.nda
     own = merges(path)
     parts, owner = pretokens.units(texts)
     pieces = pretokens.Pieces(parts)
-    known = [*own.ids(pieces.distinct), own.special[pretokens.SPECIAL].to_bytes(4, "little"), end_id.to_bytes(4, "little")]
-    size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-    flat = np.frombuffer(b"".join(known), "<u4")
+    ids, n = own.tokens(pieces)
     last = np.append(owner[1:] != owner[:-1], True)
-    after = np.searchsorted(pieces.text_of, np.arange(len(parts)), "right")
-    kind = np.insert(pieces.kind, after, np.where(last, len(known) - 1, len(known) - 2))
-    n = size[kind]
-    stop = np.cumsum(n)
-    ids = flat[np.arange(stop[-1]) + np.repeat((np.cumsum(size) - size)[kind] - (stop - n), n)]
-    return ids, stop[(after + np.arange(len(parts)))[last]]
+    after = np.cumsum(np.bincount(pieces.text_of, n, len(parts)).astype(np.int64))
+    ids = np.insert(ids, after, np.where(last, end_id, own.special[pretokens.SPECIAL]))
+    return ids, (after + np.arange(1, len(parts) + 1))[last]
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -59,7 +54,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_ids, texts in common.chunks(batch, ["doc_id", "text"]):
+            for doc_ids, texts in common.chunks(batch, ["doc_id", "text"], most=CHUNK_CHARS):
                 ids, stop = token_ids(texts, path, end_id)
                 total = np.diff(stop, prepend=0)
                 n = -(-total // capacity)

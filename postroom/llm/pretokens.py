@@ -20,6 +20,8 @@ SPECIAL = "<|endoftext|>"
 WHITE_SPACE = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: What may follow an apostrophe as a contraction.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+#: By a number of bytes, a mask of as many low ones.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 
@@ -50,21 +52,41 @@ def char_classes() -> np.ndarray:
 
 
 class Pieces:
-    """The pre-tokens of a list of texts: ``text_of`` is the number of each one's text, ``kind``
-    the number of the distinct pre-token that it is, ``distinct`` those, as strings."""
+    """The pre-tokens of a list of texts: ``text_of`` is the number of each one's text, ``begin`` and
+    ``size`` its place in the texts, which are held as one string with a sentinel after each."""
 
     def __init__(self, texts: list[str]):
-        joined, codes, ends = code_points(texts, SENTINEL)
-        begin = _starts(codes)
-        size = np.diff(np.append(begin, len(codes)))
-        real = codes[begin] != SENTINEL
-        begin, size = begin[real], size[real]
-        self.text_of = np.searchsorted(ends, begin)
-        self.kind, first = same(joined, codes, begin, size)
-        self.distinct = [joined[a:b] for a, b in zip(begin[first].tolist(), (begin + size)[first].tolist())]
-
-    def strings(self) -> list[str]:
-        return [self.distinct[k] for k in self.kind.tolist()]
+        self.joined, self.codes, ends = code_points(texts, SENTINEL)
+        begin = _starts(self.codes)
+        size = np.diff(np.append(begin, len(self.codes)))
+        real = self.codes[begin] != SENTINEL
+        self.begin, self.size = begin[real], size[real]
+        self.text_of = np.searchsorted(ends, self.begin)
+
+    def distinct(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """A number for each of the pre-tokens ``some`` that equal ones share; by that number, which
+        of ``some`` is the first, and the string."""
+        begin, size = self.begin[some], self.size[some]
+        kind, first = same(self.joined, self.codes, begin, size)
+        return kind, first, [self.joined[a : a + n] for a, n in zip(begin[first].tolist(), size[first].tolist())]
+
+    def head_bytes(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``8 * words`` UTF-8 bytes of each as little-endian numbers, zeros after its end;
+        and how many bytes it has."""
+        codes = self.codes
+        # a sentinel is one byte of the string
+        wide = 1 + ((codes >= 0x80) & (codes != SENTINEL)).astype(np.uint8)
+        wide += (codes >= 0x800) & (codes != SENTINEL)
+        wide += (codes >= 0x10000) & (codes != SENTINEL)
+        stop = np.cumsum(wide, dtype=np.int64)
+        start = stop[self.begin] - wide[self.begin]
+        n = stop[self.begin + self.size - 1] - start
+        raw = self.joined.encode() + bytes(8 * words)
+        at = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        heads = np.empty((words, len(n)), np.uint64)
+        for k in range(words):
+            heads[k] = at[np.minimum(start + 8 * k, len(at) - 1)] & LOW_BYTES[np.clip(n - 8 * k, 0, 8)]
+        return heads, n
 
 
 def _starts(codes: np.ndarray) -> np.ndarray:

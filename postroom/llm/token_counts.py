@@ -3,7 +3,8 @@
 Distinct pre-tokens of a chunk are held as one ragged numpy array of symbols. In each round every
 sequence merges all places of its own lowest-rank pair at once; a sequence without such a pair is
 done and its surviving symbols are its tokens. Only pre-tokens that a worker has not seen lately
-are merged; what it keeps is bounded by ``MEMO``.
+are merged: it keeps short ones in a table of ``SLOTS`` places, each holding the latest that fell
+there with its whole bytes, so a place is believed only for the very same pre-token.
 
 Defined results: null and empty text 0 bytes and 0 tokens; repeated rows one row each; empty table
 no rows; other columns are never read. A text of any length is counted whole.
@@ -24,9 +25,14 @@ from postroom.llm import common, pretokens
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-#: Distinct pre-tokens that a worker remembers.
-MEMO = 120_000
+#: Places for pre-tokens that a worker remembers, a power of two; those it does have at most so many
+#: bytes (in numbers of eight) and tokens.
+SLOTS, HEADS, MOST_IDS = 1 << 19, 3, 8
+#: Characters of text that are cut into tokens at a time: a dozen arrays have a number for each.
+CHUNK_CHARS = 200_000
 NONE = np.int64(1 << 40)
+#: Odd numbers that mix the bytes of a pre-token into its place.
+MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
 class Merges:
@@ -50,7 +56,11 @@ class Merges:
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         sign = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(own))}
         self.first = np.array([vocab[sign[b]] for b in range(256)], np.int64)
-        self.memo: dict[str, bytes] = {}
+        # by two bytes, whose pairs are most of those looked up
+        self.byte_rank, self.byte_made = self._pairs(np.repeat(self.first, 256), np.tile(self.first, 256), np.ones(1 << 16, bool))
+        # the remembered pre-tokens: bytes (0 for an empty place), how many bytes and ids, ids
+        self.known_heads, self.known_size = np.zeros((HEADS, SLOTS), np.uint64), np.zeros(SLOTS, np.uint8)
+        self.known_ids, self.known_n = np.zeros((MOST_IDS, SLOTS), np.uint32), np.zeros(SLOTS, np.uint8)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rank of each pair, ``NONE`` if it isn't one, and the symbol it makes."""
@@ -62,11 +72,13 @@ class Merges:
         """Surviving symbols of all pieces, flat, and how many each has."""
         raw = [p.encode() for p in pieces]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        symbols = self.first[np.frombuffer(b"".join(raw), np.uint8)]
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        symbols = self.first[flat]
         seq = np.repeat(np.arange(len(raw)), size)
         # rank[i], made[i]: of the pair of symbols i and i + 1
         rank, made = np.full(len(symbols), NONE), np.zeros(len(symbols), np.int64)
-        rank[:-1], made[:-1] = self._pairs(symbols[:-1], symbols[1:], seq[1:] == seq[:-1])
+        two = flat[:-1].astype(np.uint16) << 8 | flat[1:]
+        rank[:-1], made[:-1] = np.where(seq[1:] == seq[:-1], self.byte_rank[two], NONE), self.byte_made[two]
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(symbols):
             head = np.flatnonzero(np.append(True, seq[1:] != seq[:-1]))
@@ -93,21 +105,46 @@ class Merges:
         order = np.argsort(seq, kind="stable")
         return np.concatenate([x for _, x in done])[order], np.bincount(seq, minlength=len(raw))
 
-    def ids(self, distinct: list[str]) -> list[bytes]:
-        """Each pre-token's ids as little-endian unsigned 32-bit numbers."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        found = list(map(memo.get, distinct))
-        if new := [p for p, n in zip(distinct, found) if n is None]:
-            symbols, n = self.merge(new)
-            raw, ends = symbols.astype("<u4").tobytes(), (np.cumsum(n) * 4).tolist()
-            memo.update(zip(new, (raw[a:b] for a, b in zip([0, *ends], ends))))
-            found = [memo[p] if n is None else n for p, n in zip(distinct, found)]
-        return found
-
-    def counts(self, distinct: list[str]) -> np.ndarray:
-        return np.fromiter(map(len, self.ids(distinct)), np.int64, len(distinct)) // 4
+    def tokens(self, pieces: pretokens.Pieces, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, flat (none unless ``ids``), and how many each has."""
+        heads, size = pieces.head_bytes(HEADS)
+        mixed = (heads * MIX[:, None]).sum(0, dtype=np.uint64)
+        mixed = (mixed ^ mixed >> np.uint64(32)) * MIX[0]
+        slot = (mixed >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+        hit = self.known_size[slot] == size
+        for k in range(HEADS):
+            hit &= self.known_heads[k][slot] == heads[k]
+        n = self.known_n[slot].astype(np.int64)
+        late = np.flatnonzero(~hit)
+        kind, first, new = pieces.distinct(late)
+        symbols, made = self.merge(new)
+        n[late] = made[kind]
+        flat = np.zeros(0, "<u4")
+        if ids:
+            flat = np.empty(int(n.sum()), "<u4")
+            start, found = np.cumsum(n) - n, np.flatnonzero(hit)
+            for k in range(MOST_IDS):
+                found = found[n[found] > k]
+                flat[start[found] + k] = self.known_ids[k][slot[found]]
+            own = n[late]
+            inside = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+            flat[np.repeat(start[late], own) + inside] = symbols[np.repeat((np.cumsum(made) - made)[kind], own) + inside]
+        self._keep(late[first], slot, heads, size, symbols, made)
+        return flat, n
+
+    def _keep(self, piece: np.ndarray, slot: np.ndarray, heads: np.ndarray, size: np.ndarray, symbols: np.ndarray, made: np.ndarray) -> None:
+        begin = np.cumsum(made) - made
+        short = np.flatnonzero((size[piece] <= 8 * HEADS) & (made <= MOST_IDS))
+        # one for each place
+        place, which = np.unique(slot[piece[short]], return_index=True)
+        short = short[which]
+        piece = piece[short]
+        self.known_size[place], self.known_n[place] = size[piece], made[short]
+        for k in range(HEADS):
+            self.known_heads[k][place] = heads[k][piece]
+        for k in range(MOST_IDS):
+            more = made[short] > k
+            self.known_ids[k][place[more]] = symbols[begin[short[more]] + k]
 
 
 @lru_cache(4)
@@ -118,7 +155,7 @@ def merges(path: str) -> Merges:
 def count_tokens(texts: list[str], path: str) -> np.ndarray:
     parts, owner = pretokens.units(texts)
     pieces = pretokens.Pieces(parts)
-    n = np.bincount(owner[pieces.text_of], merges(path).counts(pieces.distinct)[pieces.kind], len(texts)).astype(np.int64)
+    n = np.bincount(owner[pieces.text_of], merges(path).tokens(pieces, ids=False)[1], len(texts)).astype(np.int64)
     # a special string stands between two parts of a text
     return n + np.bincount(owner, minlength=len(texts)) - 1
 
@@ -129,7 +166,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in common.chunks(batch, ["doc_id", "text"]):
+            for ids, texts in common.chunks(batch, ["doc_id", "text"], most=CHUNK_CHARS):
                 n = count_tokens(texts, path)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids, pa.int64()),

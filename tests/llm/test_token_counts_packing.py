@@ -1,5 +1,6 @@
 import gc
 import random
+import tracemalloc
 import weakref
 import zlib
 from collections import Counter
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postroom.llm import common, packing, token_counts
+from postroom.llm import common, packing, pretokens, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -39,6 +40,38 @@ def test_ids_as_the_library(library):
     assert [p.tolist() for p in parts] == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_ids_with_few_places(library, monkeypatch):
+    """Pre-tokens that fall on one place put each other out; each still gets its own ids."""
+    monkeypatch.setattr(token_counts, "SLOTS", 4)
+    own = token_counts.Merges(PATH)
+    rng = random.Random(2)
+    seen = 0
+    for _ in range(6):
+        texts = ["".join(rng.choice("ab é中\x00") for _ in range(rng.randint(1, 12))) for _ in range(100)]
+        texts += ["a", "a\x00", "a\x00\x00", "b" * 24, "b" * 25, "é" * 12, "é" * 13, "\x00" * 9]
+        pieces = pretokens.Pieces(texts)
+        ids, n = own.tokens(pieces)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [x for w in want for x in w]
+        assert np.bincount(pieces.text_of, n, len(texts)).tolist() == list(map(len, want))
+        assert own.tokens(pieces, ids=False)[1].tolist() == n.tolist()
+        seen += int((own.known_size > 0).sum())
+    assert seen
+
+
+def test_worker_keeps_no_long_pretokens():
+    """What a worker keeps doesn't grow with the texts that it has seen."""
+    token_counts.count_tokens(["any"], PATH)
+    tracemalloc.start()
+    try:
+        for k in range(60):
+            token_counts.count_tokens([chr(97 + k % 26) + "xyzzy" * 4000 + chr(97 + k // 26)], PATH)
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_ids_are_freed(spark):
     """A worker lives on after its task: no chunk's ids may stay with it."""
     docs = spark.createDataFrame([(i, "a b c d " * 500) for i in range(10)], "doc_id long, text string").coalesce(1)
